@@ -1,12 +1,13 @@
-"""Per-group rows plus an `all` row, from one pre-aggregated frame.
+"""Per-group rows plus `all` rows, from one pre-aggregated frame.
 
-The original jobs ran the per-group query and the overall query separately and
+The original ran the per-group query and the overall query separately and
 pasted the results into one document. Here the input is scanned and
-aggregated once per (group, *keys); the `all` rows are a second, tiny
-aggregation over those partial rows (every counter is a sum, so sums of sums
-are exact). Spark reuses the first aggregation's shuffle for both branches
-(`ReusedExchange`), so the input is read and shuffled once, with map-side
-combining, and never expanded per grouping set.
+aggregated once per (group, *keys), with map-side combining. The `all` rows
+come from GROUPING SETS over those partial rows, not over the input: every
+counter is a sum, so sums of the partial sums are exact, and the expansion
+touches one row per (group, key) instead of every input record. `grouping()`
+tells an `all` row from a real NULL group, which counts towards `all` but is
+not reported on its own.
 """
 
 from __future__ import annotations
@@ -27,19 +28,12 @@ def with_all_rows(
     """Rows of `per_group` with a non-NULL group, plus one `all` row per `keys`.
 
     `per_group` must be aggregated by (group_col, *keys) and still contain the
-    NULL-group rows: they count towards `all` but are not reported themselves.
-    `all` rows have `is_all = true` and a NULL group.
+    NULL-group rows. `all` rows have `is_all = true` and a NULL group.
     """
     const_cols = const_cols or {}
-    groups = per_group.where(F.col(group_col).isNotNull()).select(
-        F.lit(False).alias(IS_ALL), group_col, *keys, *sum_cols, *const_cols.keys()
+    rolled = per_group.groupingSets([[group_col, *keys], list(keys)], group_col, *keys).agg(
+        (F.grouping(group_col) == 1).alias(IS_ALL), *[F.sum(c).alias(c) for c in sum_cols]
     )
-    totals = per_group.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sum_cols])
-    totals = totals.select(
-        F.lit(True).alias(IS_ALL),
-        F.lit(None).cast(per_group.schema[group_col].dataType).alias(group_col),
-        *keys,
-        *sum_cols,
-        *[c.alias(name) for name, c in const_cols.items()],
+    return rolled.where(F.col(IS_ALL) | F.col(group_col).isNotNull()).select(
+        IS_ALL, group_col, *keys, *sum_cols, *[c.alias(name) for name, c in const_cols.items()]
     )
-    return groups.unionByName(totals)
