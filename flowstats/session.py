@@ -54,6 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="flowstats-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # core conf not settable at runtime: the context keeps it
+            pass
+        spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")

@@ -1,0 +1,96 @@
+"""HTTP reports on the 7-row micro fixture (FIXTURES.md §3.1)."""
+
+import pytest
+
+from flowstats.operators import http as agg
+from flowstats.plans import http_reports as H
+from tests.conftest import rows_by
+
+
+def test_host_totals(http_micro):
+    rows = rows_by(agg.host_totals(http_micro), "dst_group_id", "host")
+    metrics = ["bytes_total", "bytes_in", "bytes_out", "latency", "requests"]
+    got = {k: tuple(v[m] for m in metrics) for k, v in rows.items()}
+    assert got == {
+        (1, "a.com"): (120, 20, 100, 600, 2),
+        (1, "b.com"): (10, 5, 9, 1000004, 2),  # h7's NULL in_bytes drops out of total and in
+        (2, "a.com"): (2, 1, 1, 10, 1),
+    }  # the NULL group (c.com) is not reported
+
+
+def test_overall_host_keeps_null_group_and_null_url(http_micro):
+    rows = rows_by(agg.overall_host(http_micro), "host")
+    assert rows["c.com"]["total_bytes"] == 6 and rows["c.com"]["requests"] == 1
+    assert rows[None]["requests"] == 1  # h5: NULL url -> NULL host, kept as a key
+    assert rows["a.com"]["requests"] == 3
+
+
+def test_static_dynamic(http_micro):
+    rows = rows_by(H.static_dynamic(http_micro), "request_type")
+    s, d = rows["static_request"], rows["dynamic_request"]
+    assert s["requests"] == 3 and d["requests"] == 4
+    assert s["in_bytes"] == pytest.approx(25 / 3)
+    assert s["out_bytes"] == pytest.approx(35)
+    assert s["latency_sec"] == pytest.approx(1 / 3)
+    assert s["latency_usec"] == pytest.approx(200)
+    assert d["in_bytes"] == pytest.approx(11 / 3)
+    assert d["out_bytes"] == pytest.approx(3.75)
+    assert d["latency_sec"] == pytest.approx(0)
+    assert d["latency_usec"] == pytest.approx(6)
+
+
+def test_url_class_pivot(http_micro):
+    rows = rows_by(agg.url_class_pivot(http_micro, ["dst_group_id"]), "dst_group_id", "url")
+    classes = ["count_1xx", "count_2xx", "count_3xx", "count_4xx", "count_5xx"]
+    got = {k: tuple(v[c] for c in classes) for k, v in rows.items()}
+    assert got == {
+        (1, "a.com/x.js"): (None, 1, None, 1, None),
+        (1, "b.com:8080/y?f=1.js"): (None, 1, None, None, None),
+        (1, "b.com/z.png?v=2"): (None, None, None, None, 1),
+        (2, "a.com"): (None, None, 1, None, None),
+    }
+
+
+def test_top_url_status_per_group_and_class(http_micro):
+    rows = H.top_url_status(http_micro).collect()
+    got = sorted((r.status_class, r.dst_group_id, r.rank, r.url, r.requests) for r in rows)
+    assert got == [
+        ("2xx", 1, 1, "a.com/x.js", 1),
+        ("2xx", 1, 2, "b.com:8080/y?f=1.js", 1),
+        ("3xx", 2, 1, "a.com", 1),
+        ("4xx", 1, 1, "a.com/x.js", 1),
+        ("5xx", 1, 1, "b.com/z.png?v=2", 1),
+    ]
+    x = [r for r in rows if r.url == "a.com/x.js" and r.status_class == "4xx"][0]
+    assert (x.count_2xx, x.count_4xx) == (1, 1)  # the other classes are attached
+
+
+def test_status_counts_drop_null_group(http_micro):
+    rows = rows_by(H.status_counts(http_micro), "dst_group_id", "status_code")
+    assert {k: v["requests"] for k, v in rows.items()} == {
+        (1, "200"): 2, (1, "404"): 1, (1, "503"): 1, (2, "301"): 1, (2, "500"): 1,
+    }
+    overall = rows_by(H.overall_status_counts(http_micro), "status_code")
+    assert {k: v["requests"] for k, v in overall.items()} == {"200": 3, "404": 1, "503": 1, "301": 1, "500": 1}
+
+
+def test_top_urls_rank_and_ties(http_micro):
+    top = H.top_urls(http_micro, k=2)
+    reqs = sorted((r.dst_group_id, r.rank, r.url) for r in top.where("metric = 'requests'").collect())
+    # group 1: a.com/x.js has 2 requests; the two 1-request URLs tie and the key breaks it
+    assert reqs == [(1, 1, "a.com/x.js"), (1, 2, "b.com/z.png?v=2"), (2, 1, "a.com")]
+    assert {r.metric for r in top.collect()} == {"bytes_total", "bytes_in", "bytes_out", "latency", "requests"}
+
+
+def test_overall_top_urls_keep_null_url(http_micro):
+    top = H.overall_top_urls(http_micro).where("metric = 'requests'").collect()
+    assert len(top) == 6  # 5 URLs + NULL
+    by_rank = {r.rank: r.url for r in top}
+    assert by_rank[1] == "a.com/x.js"  # 2 requests; the rest tie at 1, ordered by URL, NULL last
+    assert by_rank[6] is None
+
+
+def test_url_totals_names(http_micro):
+    cols = H.url_totals(http_micro).columns
+    assert cols == ["dst_group_id", "url", "total_bytes", "in_bytes", "out_bytes", "latency", "requests"]
+    assert H.top_servers(http_micro).columns[:4] == ["metric", "dst_group_id", "rank", "ip"]

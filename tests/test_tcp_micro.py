@@ -1,0 +1,97 @@
+"""TCP reports on the 6-row micro fixture (FIXTURES.md §3.2)."""
+
+import pytest
+
+from flowstats.operators import tcp as agg
+from flowstats.plans import tcp_reports as TR
+from tests.conftest import rows_by
+
+
+def test_group_summary(tcp_micro):
+    rows = rows_by(TR.group_summary(tcp_micro), "is_all", "dst_group_id")
+    assert set(rows) == {(False, 1), (False, 2), (True, None)}
+    g1, g2, al = rows[(False, 1)], rows[(False, 2)], rows[(True, None)]
+
+    def pick(r, cols):
+        return tuple(r[c] for c in cols)
+
+    traffic = ["bytes_total", "bytes_in", "bytes_out", "packets_total", "tcp_window_size_zero", "counter"]
+    assert pick(g1, traffic) == (1110, 160, 950, 13, 1, 2)
+    assert pick(g2, traffic) == (60, 25, 35, 4, 0, 1)
+    assert pick(al, traffic) == (1172, 186, 986, 18, 1, 4)
+
+    assert g1["retransmitted_in"] + g1["retransmitted_out"] == 1
+    assert g1["ooorder_in"] + g1["ooorder_out"] == 1
+    assert g2["retransmitted_in"] + g2["retransmitted_out"] == 2
+
+    lat = ["server_latency_total", "server_latency", "client_latency_total", "client_latency"]
+    assert pick(g1, lat) == (1001001, 500500, 300, 150)
+    assert pick(g2, lat) == (700, 0, 300, 0)  # counter 1 is not > 1
+    assert pick(al, lat) == (1001711, 250427, 610, 152)
+
+    conn = ["closed", "fin", "reset", "scan", "syn_attack", "timeout", "new"]
+    assert pick(g1, conn) == (3, 1, 1, 1, 0, 1, 0)
+    assert pick(g2, conn) == (1, 1, 0, 0, 0, 0, 0)
+    assert pick(al, conn) == (5, 2, 1, 1, 1, 2, 0)
+
+    assert g1["retransfer_rate"] == pytest.approx(1 / 13)
+    assert g1["outoforder_rate"] == pytest.approx(1 / 13)
+    assert g2["retransfer_rate"] == pytest.approx(0.5)
+    assert g2["outoforder_rate"] == 0.0
+    assert al["retransfer_rate"] == pytest.approx(3 / 18)
+    assert al["outoforder_rate"] == pytest.approx(1 / 18)
+
+
+def test_server_summary_mixed_grain(tcp_micro):
+    rows = rows_by(TR.server_summary(tcp_micro), "dst_group_id", "dst_ipv4")
+    assert set(rows) == {(1, "a"), (2, "a"), (1, "b")}  # c has only a NULL group
+    a1, a2, b1 = rows[(1, "a")], rows[(2, "a")], rows[(1, "b")]
+    assert (a1["bytes_total"], a1["packets_total"]) == (1100, 12)
+    assert a1["retransfer_rate"] == pytest.approx(1 / 12)
+    assert (a2["bytes_total"], a2["packets_total"], a2["retransfer_rate"]) == (60, 4, 0.5)
+    assert (b1["bytes_total"], b1["packets_total"], b1["retransfer_rate"]) == (10, 1, 0.0)
+    conn = ["counter", "server_latency_total", "client_latency_total", "closed", "fin", "reset", "scan", "timeout"]
+    # server a's counters cover both of its groups and show in both rows
+    assert tuple(a1[c] for c in conn) == (3, 1001701, 600, 3, 2, 1, 0, 0)
+    assert tuple(a2[c] for c in conn) == tuple(a1[c] for c in conn)
+    assert (a1["server_latency"], a1["client_latency"]) == (333900, 200)
+    assert tuple(b1[c] for c in conn) == (0, 0, 0, 1, 0, 0, 1, 1)
+
+
+def test_proto_and_port_bytes(tcp_micro):
+    proto = rows_by(TR.proto_bytes(tcp_micro), "is_all", "dst_group_id", "l7_proto")
+    got = {k: (v["total_bytes"], v["bytes_in"], v["bytes_out"]) for k, v in proto.items()}
+    assert got == {
+        (False, 1, 7): (1110, 160, 950),
+        (False, 2, 9): (60, 25, 35),
+        (True, None, 7): (1110, 160, 950),
+        (True, None, 9): (62, 26, 36),  # the NULL-group flow counts in `all`
+    }
+    port = rows_by(TR.port_bytes(tcp_micro), "is_all", "dst_group_id", "port")
+    got = {k: v["total_bytes"] for k, v in port.items()}
+    assert got == {
+        (False, 1, 80): 1100, (False, 1, 443): 10, (False, 2, 443): 50, (False, 2, 22): 10,
+        (True, None, 80): 1100, (True, None, 443): 60, (True, None, 22): 12,
+    }
+
+
+def test_connection_counters_exclude_statuses_5_and_6(tcp_micro):
+    by_group = rows_by(agg.connections_by_group(tcp_micro), "dst_group_id")
+    assert set(by_group) == {1, 2}
+    assert (by_group[2]["closed"], by_group[2]["counter"]) == (1, 1)  # t5 (status 5) excluded
+    by_server = rows_by(agg.connections_by_server(tcp_micro), "dst_ipv4")
+    assert (by_server["a"]["closed"], by_server["c"]["syn_attack"]) == (3, 1)
+
+
+def test_null_status_and_flag_count_nowhere(spark):
+    from flowstats.schemas import TCP_SCHEMA
+
+    row = (1, "a", 80, 7, None, None, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 1, 0, 1)
+    df = spark.createDataFrame([row], TCP_SCHEMA)
+    g = TR.group_summary(df).where("NOT is_all").first()
+    assert (g.closed, g.counter, g.timeout, g.bytes_total) == (0, 0, 0, 2)
+
+
+def test_dimensions(tcp_micro):
+    got = {(r.dimension, r.value) for r in agg.dimensions(tcp_micro).collect()}
+    assert got == {("l7_proto", 7), ("l7_proto", 9), ("dst_port", 80), ("dst_port", 443), ("dst_port", 22)}
