@@ -36,6 +36,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round double columns so both engines hash the same values."""
+    if not any(isinstance(f.dataType, T.DoubleType) for f in df.schema.fields):
+        return df
     return df.select(
         *[
             F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -18,8 +19,34 @@ TABLES = [
 ]
 
 
+# Columns read from the stored tables. Declaring them skips schema inference
+# (a footer-reading job per table) and reads nothing else.
+SOURCE_SCHEMAS = {
+    "events": T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("ts", T.TimestampNTZType()),
+            T.StructField("user_id", T.LongType()),
+        ]
+    ),
+    "pages": T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType())]),
+    "lineitem": T.StructType(
+        [
+            T.StructField("l_orderkey", T.LongType()),
+            T.StructField("l_partkey", T.LongType()),
+            T.StructField("l_suppkey", T.LongType()),
+            T.StructField("l_linenumber", T.IntegerType()),
+        ]
+    ),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A stored table; with a declared schema for the tables the flows use."""
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _cases(key: Column, mapping: list[tuple[int, object]], default: object) -> Column:
