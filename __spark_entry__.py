@@ -23,6 +23,7 @@ from flowstats.operators import http as http_ops
 from flowstats.operators import tcp as tcp_ops
 from flowstats.plans import http_reports as H
 from flowstats.plans import tcp_reports as TR
+from flowstats.plans.replay import replay_by_bucket
 from flowstats.schemas import HTTP_SCHEMA, OVERALL_METRICS, STATIC_EXTENSIONS, STATUS_CLASSES, TOP_K
 from flowstats.session import checkpoint_dir, configure
 from flowstats.sinks.documents import keyed_document
@@ -101,6 +102,10 @@ def _bytes_per_bucket(http: DataFrame) -> DataFrame:
     )
 
 
+def _by_bucket(report: Callable[..., DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    return lambda http: replay_by_bucket(http, report)
+
+
 def _status_document(http: DataFrame) -> DataFrame:
     return keyed_document(H.status_counts(http), ["dst_group_id"], "status_code", "requests")
 
@@ -166,6 +171,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "http_status_class": _on_http(_status_class),
         "http_groups": _on_http(_groups),
         "http_bytes_per_bucket": _on_http(_bytes_per_bucket),
+        # Reports replayed per 10-second bucket of stored history
+        "http_status_by_bucket": _on_http(_by_bucket(H.status_counts)),
+        "http_top_host_by_bucket": _on_http(_by_bucket(H.top_hosts)),
+        "http_top_url_status_by_bucket": _on_http(_by_bucket(H.top_url_status)),
+        "http_overall_top_server_by_bucket": _on_http(_by_bucket(H.overall_top_servers)),
         # TCP reports R13-R16 and their aggregations
         "tcp_proto_bytes": _on_tcp(TR.proto_bytes),
         "tcp_port_bytes": _on_tcp(TR.port_bytes),
@@ -267,21 +277,25 @@ def _topk(agg_sql: str, metrics: list[str], key: str, partition: list[str], valu
     )
 
 
-def _url_status_top(grouped: bool) -> str:
-    g = "dst_group_id, " if grouped else ""
+def _url_status_top(grouped: bool, bucketed: bool = False) -> str:
+    g = ("batch_time, " if bucketed else "") + ("dst_group_id, " if grouped else "")
     gw = "dst_group_id IS NOT NULL AND " if grouped else ""
+    src = f"(SELECT *, {BUCKET_SQL} AS batch_time FROM http_flows)" if bucketed else "http_flows"
     pivots = ", ".join(f"max(CASE WHEN status_class = '{c}' THEN requests END) AS count_{c}" for c in STATUS_CLASSES)
     classes = ", ".join(f"'{c}'" for c in STATUS_CLASSES)
     join_on = "r.url = p.url" + (" AND r.dst_group_id = p.dst_group_id" if grouped else "")
+    join_on += " AND r.batch_time = p.batch_time" if bucketed else ""
+    part = ", ".join(["status_class"] + (["batch_time"] if bucketed else []) + (["dst_group_id"] if grouped else []))
+    lead = ("r.batch_time, " if bucketed else "") + ("r.dst_group_id, " if grouped else "")
     counts = ", ".join(f"p.count_{c}" for c in STATUS_CLASSES)
     return (
-        f"classed AS (SELECT *, {CLASS_SQL} AS status_class FROM http_flows WHERE url IS NOT NULL), "
+        f"classed AS (SELECT *, {CLASS_SQL} AS status_class FROM {src} WHERE url IS NOT NULL), "
         f"long AS (SELECT {g}url, status_class, count(*) AS requests FROM classed "
         f"WHERE {gw}status_class IS NOT NULL GROUP BY ALL), "
         f"piv AS (SELECT {g}url, {pivots} FROM long GROUP BY ALL), "
-        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY status_class{', dst_group_id' if grouped else ''} "
+        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY {part} "
         f"ORDER BY requests DESC, url ASC) AS _rk FROM long WHERE status_class IN ({classes})) "
-        f"SELECT r.status_class, {'r.dst_group_id, ' if grouped else ''}CAST(r._rk AS INTEGER) AS \"rank\", r.url, "
+        f"SELECT r.status_class, {lead}CAST(r._rk AS INTEGER) AS \"rank\", r.url, "
         f"r.requests, {counts} FROM ranked r JOIN piv p ON {join_on} WHERE r._rk <= {TOP_K}"
     )
 
@@ -419,6 +433,20 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {BUCKET_SQL} AS batch_time, dst_group_id, {_sum5(OVERALL_NAMES)} FROM http_flows "
             "WHERE dst_group_id IS NOT NULL GROUP BY ALL"
         ),
+        "http_status_by_bucket": _http_sql(
+            f"SELECT {BUCKET_SQL} AS batch_time, dst_group_id, status_code, count(*) AS requests FROM http_flows "
+            "WHERE dst_group_id IS NOT NULL AND status_code IS NOT NULL GROUP BY ALL"
+        ),
+        "http_top_host_by_bucket": _http_sql(
+            _topk(f"SELECT {BUCKET_SQL} AS batch_time, dst_group_id, {HOST_SQL} AS host, {_sum5(GROUP_NAMES)} "
+                  f"FROM http_flows WHERE {grouped_url} GROUP BY ALL",
+                  GROUP_NAMES, "host", ["batch_time", "dst_group_id"], "BIGINT")
+        ),
+        "http_top_url_status_by_bucket": _http_sql(_url_status_top(True, bucketed=True)),
+        "http_overall_top_server_by_bucket": _http_sql(
+            _topk(f"SELECT {BUCKET_SQL} AS batch_time, dst_ipv4, {AVG5} FROM http_flows GROUP BY ALL",
+                  OVERALL_NAMES, "dst_ipv4", ["batch_time"], "DOUBLE", ["in_bytes", "out_bytes", "latency"])
+        ),
         "tcp_proto_bytes": _tcp_sql(_bytes_by_sql("l7_proto", "l7_proto")),
         "tcp_port_bytes": _tcp_sql(_bytes_by_sql("dst_port", "port")),
         "tcp_group_summary": _tcp_sql(

@@ -17,6 +17,9 @@ from flowstats.schemas import GROUP_METRICS, OVERALL_METRICS, STATUS_CLASSES
 
 GROUP = "dst_group_id"
 
+# Extra leading key columns, e.g. a time bucket (see flowstats.plans.replay).
+Keys = list[str] | tuple[str, ...]
+
 
 def sum_metrics(names: list[str] = GROUP_METRICS) -> list[Column]:
     """Total/in/out bytes, latency (µs) and requests, all summed."""
@@ -46,25 +49,25 @@ def _grouped_with_url(http: DataFrame) -> DataFrame:
     return http.where(F.col(GROUP).isNotNull() & F.col("url").isNotNull())
 
 
-def url_totals(http: DataFrame, names: list[str] = GROUP_METRICS) -> DataFrame:
+def url_totals(http: DataFrame, names: list[str] = GROUP_METRICS, by: Keys = ()) -> DataFrame:
     """A1: five summed metrics per (group, url)."""
-    return _grouped_with_url(http).groupBy(GROUP, "url").agg(*sum_metrics(names))
+    return _grouped_with_url(http).groupBy(*by, GROUP, "url").agg(*sum_metrics(names))
 
 
-def host_totals(http: DataFrame, names: list[str] = GROUP_METRICS) -> DataFrame:
+def host_totals(http: DataFrame, names: list[str] = GROUP_METRICS, by: Keys = ()) -> DataFrame:
     """A2: five summed metrics per (group, host)."""
-    return _grouped_with_url(http).groupBy(GROUP, url_host().alias("host")).agg(*sum_metrics(names))
+    return _grouped_with_url(http).groupBy(*by, GROUP, url_host().alias("host")).agg(*sum_metrics(names))
 
 
-def server_totals(http: DataFrame, names: list[str] = GROUP_METRICS, key: str = "dst_ipv4") -> DataFrame:
+def server_totals(http: DataFrame, names: list[str] = GROUP_METRICS, key: str = "dst_ipv4", by: Keys = ()) -> DataFrame:
     """A3: five summed metrics per (group, server address)."""
-    return _grouped_with_url(http).groupBy(GROUP, F.col("dst_ipv4").alias(key)).agg(*sum_metrics(names))
+    return _grouped_with_url(http).groupBy(*by, GROUP, F.col("dst_ipv4").alias(key)).agg(*sum_metrics(names))
 
 
-def static_dynamic(http: DataFrame) -> DataFrame:
+def static_dynamic(http: DataFrame, by: Keys = ()) -> DataFrame:
     """A4: averages and request count for static vs dynamic requests."""
     label = F.when(is_static() == 1, F.lit("static_request")).otherwise(F.lit("dynamic_request"))
-    return http.groupBy(label.alias("request_type")).agg(
+    return http.groupBy(*by, label.alias("request_type")).agg(
         F.avg("in_bytes").alias("in_bytes"),
         F.avg("out_bytes").alias("out_bytes"),
         F.avg("latency_sec").alias("latency_sec"),
@@ -73,33 +76,37 @@ def static_dynamic(http: DataFrame) -> DataFrame:
     )
 
 
-def overall_url(http: DataFrame) -> DataFrame:
+def overall_url(http: DataFrame, by: Keys = ()) -> DataFrame:
     """A5: averaged metrics per URL over all groups; a NULL URL is a key."""
-    return http.groupBy("url").agg(*avg_metrics())
+    return http.groupBy(*by, "url").agg(*avg_metrics())
 
 
-def overall_host(http: DataFrame) -> DataFrame:
+def overall_host(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Averaged metrics per host over all groups; NULL URL -> NULL host key."""
-    return http.groupBy(url_host().alias("host")).agg(*avg_metrics())
+    return http.groupBy(*by, url_host().alias("host")).agg(*avg_metrics())
 
 
-def overall_server(http: DataFrame) -> DataFrame:
+def overall_server(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Averaged metrics per server address; a NULL address is a key."""
-    return http.groupBy("dst_ipv4").agg(*avg_metrics())
+    return http.groupBy(*by, "dst_ipv4").agg(*avg_metrics())
 
 
-def status_counts(http: DataFrame) -> DataFrame:
+def status_counts(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Requests per (group, status code)."""
     return (
         http.where(F.col(GROUP).isNotNull() & F.col("status_code").isNotNull())
-        .groupBy(GROUP, "status_code")
+        .groupBy(*by, GROUP, "status_code")
         .agg(F.count(F.lit(1)).alias("requests"))
     )
 
 
-def overall_status_counts(http: DataFrame) -> DataFrame:
+def overall_status_counts(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Requests per status code."""
-    return http.where(F.col("status_code").isNotNull()).groupBy("status_code").agg(F.count(F.lit(1)).alias("requests"))
+    return (
+        http.where(F.col("status_code").isNotNull())
+        .groupBy(*by, "status_code")
+        .agg(F.count(F.lit(1)).alias("requests"))
+    )
 
 
 def _with_class(http: DataFrame) -> DataFrame:
@@ -108,18 +115,18 @@ def _with_class(http: DataFrame) -> DataFrame:
     )
 
 
-def url_status_long(http: DataFrame) -> DataFrame:
+def url_status_long(http: DataFrame, by: Keys = ()) -> DataFrame:
     """A10: requests per (group, url, status class)."""
     return (
         _with_class(http.where(F.col(GROUP).isNotNull()))
-        .groupBy(GROUP, "url", "status_class")
+        .groupBy(*by, GROUP, "url", "status_class")
         .agg(F.count(F.lit(1)).alias("requests"))
     )
 
 
-def overall_url_status_long(http: DataFrame) -> DataFrame:
+def overall_url_status_long(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Requests per (url, status class)."""
-    return _with_class(http).groupBy("url", "status_class").agg(F.count(F.lit(1)).alias("requests"))
+    return _with_class(http).groupBy(*by, "url", "status_class").agg(F.count(F.lit(1)).alias("requests"))
 
 
 def class_count_column(cls: str) -> str:

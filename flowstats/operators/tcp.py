@@ -23,6 +23,9 @@ from flowstats.schemas import (
 
 GROUP = "dst_group_id"
 
+# Extra leading key columns, e.g. a time bucket (see flowstats.plans.replay).
+Keys = list[str] | tuple[str, ...]
+
 BYTE_COLS = ["total_bytes", "bytes_in", "bytes_out"]
 TRAFFIC_COLS = [
     "bytes_total", "bytes_in", "bytes_out", "packets_total", "packets_in", "packets_out",
@@ -87,7 +90,7 @@ def connection_counters() -> list[Column]:
     ]
 
 
-def bytes_by(tcp: DataFrame, dimension: str, alias: str | None = None) -> DataFrame:
+def bytes_by(tcp: DataFrame, dimension: str, alias: str | None = None, by: Keys = ()) -> DataFrame:
     """Byte totals per (group, dimension) plus `all` rows per dimension.
 
     A NULL dimension value is dropped; a NULL group counts in `all` only.
@@ -95,10 +98,10 @@ def bytes_by(tcp: DataFrame, dimension: str, alias: str | None = None) -> DataFr
     name = alias or dimension
     per_group = (
         tcp.where(F.col(dimension).isNotNull())
-        .groupBy(GROUP, F.col(dimension).alias(name))
+        .groupBy(*by, GROUP, F.col(dimension).alias(name))
         .agg(*byte_sums())
     )
-    return with_all_rows(per_group, GROUP, [name], BYTE_COLS)
+    return with_all_rows(per_group, GROUP, [*by, name], BYTE_COLS)
 
 
 def closing_flows(tcp: DataFrame) -> DataFrame:
@@ -106,29 +109,29 @@ def closing_flows(tcp: DataFrame) -> DataFrame:
     return tcp.where(~F.col("final_status").isin(*EXCLUDED_STATUSES))
 
 
-def connections_by_group(tcp: DataFrame) -> DataFrame:
+def connections_by_group(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Connection counters per group (groups with closing flows only)."""
     return (
         closing_flows(tcp)
         .where(F.col(GROUP).isNotNull())
-        .groupBy(GROUP)
+        .groupBy(*by, GROUP)
         .agg(*connection_counters(), F.lit(0).alias("new"))
     )
 
 
-def traffic_by_group(tcp: DataFrame) -> DataFrame:
+def traffic_by_group(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Traffic counters per group."""
-    return tcp.where(F.col(GROUP).isNotNull()).groupBy(GROUP).agg(*traffic_counters())
+    return tcp.where(F.col(GROUP).isNotNull()).groupBy(*by, GROUP).agg(*traffic_counters())
 
 
-def connections_by_server(tcp: DataFrame) -> DataFrame:
+def connections_by_server(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Connection counters per server address over all groups."""
-    return closing_flows(tcp).groupBy("dst_ipv4").agg(*connection_counters(), F.lit(0).alias("new"))
+    return closing_flows(tcp).groupBy(*by, "dst_ipv4").agg(*connection_counters(), F.lit(0).alias("new"))
 
 
-def traffic_by_server(tcp: DataFrame) -> DataFrame:
+def traffic_by_server(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Traffic counters per (group, server address)."""
-    return tcp.where(F.col(GROUP).isNotNull()).groupBy(GROUP, "dst_ipv4").agg(*traffic_counters())
+    return tcp.where(F.col(GROUP).isNotNull()).groupBy(*by, GROUP, "dst_ipv4").agg(*traffic_counters())
 
 
 def dimensions(tcp: DataFrame) -> DataFrame:

@@ -11,35 +11,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowstats.operators import http as agg
+from flowstats.operators.http import Keys
 from flowstats.operators.topk import top_k_by_metrics, top_k_per_class
 from flowstats.schemas import GROUP_METRICS, OVERALL_METRICS, STATUS_CLASSES, TOP_K
 
 GROUP = "dst_group_id"
 
 
-def url_totals(http: DataFrame) -> DataFrame:
+def url_totals(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Every URL of every group with its summed metrics (no order, no limit)."""
-    return agg.url_totals(http, OVERALL_METRICS)
+    return agg.url_totals(http, OVERALL_METRICS, by)
 
 
-def top_urls(http: DataFrame, k: int = TOP_K) -> DataFrame:
+def top_urls(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """R2: top k URLs per group for each of the five metrics."""
-    return top_k_by_metrics(agg.url_totals(http), GROUP_METRICS, ["url"], [GROUP], k)
+    return top_k_by_metrics(agg.url_totals(http, by=by), GROUP_METRICS, ["url"], [*by, GROUP], k)
 
 
-def top_hosts(http: DataFrame, k: int = TOP_K) -> DataFrame:
+def top_hosts(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """Top k hosts per group for each of the five metrics."""
-    return top_k_by_metrics(agg.host_totals(http), GROUP_METRICS, ["host"], [GROUP], k)
+    return top_k_by_metrics(agg.host_totals(http, by=by), GROUP_METRICS, ["host"], [*by, GROUP], k)
 
 
-def top_servers(http: DataFrame, k: int = TOP_K) -> DataFrame:
+def top_servers(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """Top k server addresses (`ip`) per group for each of the five metrics."""
-    return top_k_by_metrics(agg.server_totals(http, key="ip"), GROUP_METRICS, ["ip"], [GROUP], k)
+    return top_k_by_metrics(agg.server_totals(http, key="ip", by=by), GROUP_METRICS, ["ip"], [*by, GROUP], k)
 
 
-def status_counts(http: DataFrame) -> DataFrame:
+def status_counts(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Requests per status code per group."""
-    return agg.status_counts(http)
+    return agg.status_counts(http, by)
 
 
 def _top_url_status(http: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -56,42 +57,42 @@ def _top_url_status(http: DataFrame, keys: list[str], k: int) -> DataFrame:
     return top_k_per_class(long, "requests", ["url"], ["status_class", *keys], k)
 
 
-def top_url_status(http: DataFrame, k: int = TOP_K) -> DataFrame:
+def top_url_status(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """Per status class and group, the k URLs with most requests of that class.
 
     Each row carries the URL's counts for all five classes (NULL = none).
     """
-    return _top_url_status(http, [GROUP], k)
+    return _top_url_status(http, [*by, GROUP], k)
 
 
-def static_dynamic(http: DataFrame) -> DataFrame:
+def static_dynamic(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Average sizes/latency and request count, static vs dynamic URLs."""
-    return agg.static_dynamic(http)
+    return agg.static_dynamic(http, by)
 
 
-def overall_top_urls(http: DataFrame, k: int = TOP_K) -> DataFrame:
+def overall_top_urls(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """Top k URLs over all groups for each metric (averages; NULL URL kept)."""
-    return top_k_by_metrics(agg.overall_url(http), OVERALL_METRICS, ["url"], [], k)
+    return top_k_by_metrics(agg.overall_url(http, by), OVERALL_METRICS, ["url"], list(by), k)
 
 
-def overall_top_hosts(http: DataFrame, k: int = TOP_K) -> DataFrame:
+def overall_top_hosts(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """Top k hosts over all groups for each metric."""
-    return top_k_by_metrics(agg.overall_host(http), OVERALL_METRICS, ["host"], [], k)
+    return top_k_by_metrics(agg.overall_host(http, by), OVERALL_METRICS, ["host"], list(by), k)
 
 
-def overall_top_servers(http: DataFrame, k: int = TOP_K) -> DataFrame:
+def overall_top_servers(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """Top k server addresses over all groups for each metric."""
-    return top_k_by_metrics(agg.overall_server(http), OVERALL_METRICS, ["dst_ipv4"], [], k)
+    return top_k_by_metrics(agg.overall_server(http, by), OVERALL_METRICS, ["dst_ipv4"], list(by), k)
 
 
-def overall_status_counts(http: DataFrame) -> DataFrame:
+def overall_status_counts(http: DataFrame, by: Keys = ()) -> DataFrame:
     """Requests per status code over all groups."""
-    return agg.overall_status_counts(http)
+    return agg.overall_status_counts(http, by)
 
 
-def overall_top_url_status(http: DataFrame, k: int = TOP_K) -> DataFrame:
+def overall_top_url_status(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """Per status class, the k URLs with most requests of that class."""
-    return _top_url_status(http, [], k)
+    return _top_url_status(http, list(by), k)
 
 
 HTTP_REPORTS = {

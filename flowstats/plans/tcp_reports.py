@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowstats.functions.columns import floor_mean, safe_rate
 from flowstats.operators import tcp as agg
+from flowstats.operators.tcp import Keys
 from flowstats.operators.rollup import IS_ALL, with_all_rows
 
 GROUP = "dst_group_id"
@@ -24,17 +25,17 @@ def _derived(df: DataFrame) -> DataFrame:
     )
 
 
-def proto_bytes(tcp: DataFrame) -> DataFrame:
+def proto_bytes(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Bytes per (group, L7 protocol), plus `all` rows per protocol."""
-    return agg.bytes_by(tcp, "l7_proto")
+    return agg.bytes_by(tcp, "l7_proto", by=by)
 
 
-def port_bytes(tcp: DataFrame) -> DataFrame:
+def port_bytes(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Bytes per (group, destination port), plus `all` rows per port."""
-    return agg.bytes_by(tcp, "dst_port", "port")
+    return agg.bytes_by(tcp, "dst_port", "port", by)
 
 
-def group_summary(tcp: DataFrame) -> DataFrame:
+def group_summary(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Traffic + connection counters, rates and mean latencies per group.
 
     One aggregation per group (a NULL group too) carries both counter families,
@@ -42,12 +43,12 @@ def group_summary(tcp: DataFrame) -> DataFrame:
     recomputed from the summed counters of every record, then rates and means
     are derived from those sums, the same way as for a group.
     """
-    per_group = tcp.groupBy(GROUP).agg(*agg.traffic_counters(), *agg.connection_counters())
-    rows = with_all_rows(per_group, GROUP, [], agg.TRAFFIC_COLS + agg.CONN_COLS)
+    per_group = tcp.groupBy(*by, GROUP).agg(*agg.traffic_counters(), *agg.connection_counters())
+    rows = with_all_rows(per_group, GROUP, list(by), agg.TRAFFIC_COLS + agg.CONN_COLS)
     return _derived(rows.withColumn("new", F.lit(0)))
 
 
-def server_summary(tcp: DataFrame) -> DataFrame:
+def server_summary(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Traffic per (group, server) with the server's connection counters.
 
     Connection counters are per server over all groups (a server in two
@@ -56,9 +57,10 @@ def server_summary(tcp: DataFrame) -> DataFrame:
     so no join and a second scan are needed. A server's window holds one row
     per group, whatever its traffic.
     """
-    per_pair = tcp.groupBy(GROUP, "dst_ipv4").agg(*agg.traffic_counters(), *agg.connection_counters())
-    by_server = Window.partitionBy("dst_ipv4")
+    per_pair = tcp.groupBy(*by, GROUP, "dst_ipv4").agg(*agg.traffic_counters(), *agg.connection_counters())
+    by_server = Window.partitionBy(*by, "dst_ipv4")
     spread = per_pair.select(
+        *by,
         GROUP,
         "dst_ipv4",
         *agg.TRAFFIC_COLS,
