@@ -1,10 +1,15 @@
 """Report snapshots as a partitioned JSON table.
 
 The original wrote one JSON file per report and 10-second batch under
-`YYYY/MM/DD/HH/`. Here a report's rows are written with
-`partitionBy("report", "dt", "hour", ...)` in dynamic-overwrite mode: writing
-a batch again (a replay after a failure) replaces exactly its own partitions
-and leaves every other batch alone, so the sink is idempotent.
+`YYYY/MM/DD/HH/`. Here every row is stamped with `report`, `dt` and `hour`
+and written with `partitionBy(...)` in dynamic-overwrite mode: writing a batch
+again (a replay after a failure) replaces exactly its own partitions and
+leaves every other batch alone, so the sink is idempotent.
+
+The default partitions are (report, day); `hour` stays a column. Each
+partition costs a folder, files and a commit step on the driver, so a month
+of hourly folders per report (720) takes ~10x longer to commit than the
+data takes to write; pass `partition_cols=[..., "hour"]` to get hour folders.
 """
 
 from __future__ import annotations
@@ -13,11 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PARTITION_COLS = ["report", "dt", "hour"]
+STAMP_COLS = ["report", "dt", "hour"]
+PARTITION_COLS = ["report", "dt"]
 
 
 def stamp(df: DataFrame, report: str, batch_time: Column) -> DataFrame:
-    """Add the partition columns from a `yyyyMMddHHmmss` batch-time column."""
+    """Add `report`, `dt` and `hour` from a `yyyyMMddHHmmss` batch-time column."""
     return df.select(
         "*",
         F.lit(report).alias("report"),
@@ -29,12 +35,14 @@ def stamp(df: DataFrame, report: str, batch_time: Column) -> DataFrame:
 def write_snapshot(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
     """Write stamped rows; rewrites only the partitions present in `df`.
 
-    Rows are clustered by their partition so each partition is written by one
-    task (one file) instead of one file per input partition.
+    The REBALANCE hint clusters rows by their partition (few files per
+    partition instead of one per input task per partition) and lets AQE split
+    a partition that is too large over several tasks, so one big batch or hour
+    is not written by a single task.
     """
     parts = list(partition_cols or PARTITION_COLS)
     (
-        df.repartition(*parts)
+        df.hint("rebalance", *[F.col(p) for p in parts])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
@@ -42,8 +50,11 @@ def write_snapshot(df: DataFrame, path: str, partition_cols: list[str] | None =
     )
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, partition_cols: list[str] | None = None) -> DataFrame:
-    """Read a snapshot table back; partition columns stay strings (`'09'`)."""
-    parts = list(partition_cols or PARTITION_COLS)
-    full = T.StructType(list(schema.fields) + [T.StructField(p, T.StringType()) for p in parts])
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, stamp_cols: list[str] | None = None) -> DataFrame:
+    """Read a snapshot table back with the report's schema plus its stamp columns.
+
+    Stamp and partition columns are read as strings, so `hour` stays `'09'`.
+    """
+    extra = [c for c in (stamp_cols or STAMP_COLS) if c not in schema.fieldNames()]
+    full = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in extra])
     return spark.read.schema(full).json(path)

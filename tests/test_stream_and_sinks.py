@@ -66,15 +66,26 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path, http_micro):
     assert per_batch == {"0": 5, "1": 5}
 
 
-def test_snapshot_partitions_keep_strings(spark, tmp_path):
-    df = spark.createDataFrame([("20240101090510", 1), ("20240101100000", 2)], "batch_time string, n long")
+def test_snapshot_day_partitions(spark, tmp_path):
+    df = spark.createDataFrame([("20240101090510", 1), ("20240102100000", 2)], "batch_time string, n long")
     path = str(tmp_path / "snap")
     write_snapshot(stamp(df, "r", F.col("batch_time")), path)
+    assert sorted(p.name for p in (tmp_path / "snap" / "report=r").iterdir()) == ["dt=2024-01-01", "dt=2024-01-02"]
     back = read_snapshot(spark, path, df.schema)
-    rows = sorted((r.dt, r.hour, r.n) for r in back.collect())
-    assert rows == [("2024-01-01", "09", 1), ("2024-01-01", "10", 2)]
-    # rewriting hour 09 leaves hour 10 alone and adds no duplicate
+    assert sorted((r.dt, r.hour, r.n) for r in back.collect()) == [("2024-01-01", "09", 1), ("2024-01-02", "10", 2)]
+    # rewriting one day replaces that day only, without duplicates
     write_snapshot(stamp(df.where("n = 1").withColumn("n", F.lit(5).cast("long")), "r", F.col("batch_time")), path)
+    assert sorted((r.dt, r.n) for r in read_snapshot(spark, path, df.schema).collect()) == [("2024-01-01", 5), ("2024-01-02", 2)]
+
+
+def test_snapshot_hour_partitions_keep_strings(spark, tmp_path):
+    df = spark.createDataFrame([("20240101090510", 1), ("20240101100000", 2)], "batch_time string, n long")
+    path, parts = str(tmp_path / "snap"), ["report", "dt", "hour"]
+    write_snapshot(stamp(df, "r", F.col("batch_time")), path, parts)
+    rows = sorted((r.dt, r.hour, r.n) for r in read_snapshot(spark, path, df.schema).collect())
+    assert rows == [("2024-01-01", "09", 1), ("2024-01-01", "10", 2)]  # '09', not 9
+    # rewriting hour 09 leaves hour 10 alone and adds no duplicate
+    write_snapshot(stamp(df.where("n = 1").withColumn("n", F.lit(5).cast("long")), "r", F.col("batch_time")), path, parts)
     rows = sorted((r.hour, r.n) for r in read_snapshot(spark, path, df.schema).collect())
     assert rows == [("09", 5), ("10", 2)]
 
