@@ -19,7 +19,7 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from flowstats.session import DEFAULTS, checkpoint_dir
+    from flowstats.session import BUILD_DEFAULTS, DEFAULTS, checkpoint_dir
 
     builder = (
         SparkSession.builder.master("local[*]")
@@ -28,7 +28,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in DEFAULTS.items():
+    for key, value in {**DEFAULTS, **BUILD_DEFAULTS}.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
