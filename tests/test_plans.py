@@ -11,7 +11,7 @@ TOPK = [
     "http_top_url", "http_top_host", "http_top_server", "http_top_url_status",
     "http_overall_top_url", "http_overall_top_host", "http_overall_top_server", "http_overall_top_url_status",
 ]
-SIDE_EFFECTS = {"snapshot_roundtrip", "stream_http_status"}  # they run jobs while being built
+SIDE_EFFECTS = {"snapshot_roundtrip", "stream_http_status", "stream_tcp_proto"}  # they run jobs while being built
 
 
 def plan_of(df) -> str:

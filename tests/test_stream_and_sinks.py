@@ -99,3 +99,21 @@ def test_documents(spark, http_micro):
     lists = {r.dst_group_id: json.loads(r.document) for r in row_document(top, ["dst_group_id"], "rank").collect()}
     assert [e["url"] for e in lists[1]] == ["a.com/x.js", "b.com/z.png?v=2"]
     assert lists[1][1].get("bytes_in") is None  # NULL fields are omitted, like toJSON
+
+
+def test_command_line_job_runs_all_reports(spark, tmp_path):
+    from flowstats.streaming.job import parse_args, start
+
+    flows = tcp_flows(spark, SF001)
+    encode_json(flows).write.text(str(tmp_path / "src"))
+    args = parse_args(["tcp", "--files", str(tmp_path / "src"), "--sink", str(tmp_path / "sink"),
+                       "--checkpoint", str(tmp_path / "ckpt"), "--available-now"])
+    q = start(spark, args)
+    q.awaitTermination()
+    assert q.exception() is None
+    written = {p.name for p in (tmp_path / "sink").iterdir() if p.name.startswith("report=")}
+    assert written == {f"report={n}" for n in TR.TCP_REPORTS}
+    expected = TR.group_summary(flows)
+    out = read_snapshot(spark, str(tmp_path / "sink"), _sink_schema(expected), STREAM_PARTITIONS)
+    got = out.where("report = 'tcp_10s'").select(*expected.columns)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
