@@ -59,16 +59,20 @@ def _cases(key: Column, mapping: list[tuple[int, object]], default: object) -> C
 def http_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One HTTP request per `events` row; the URL comes from a page of `pages`."""
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    pages = read_table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"))
+    # The page URL is split once per page, on the smaller side of the join.
+    pages = read_table(spark, sf_dir, "pages").select(
+        "page_id",
+        F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("page_site"),
+        F.regexp_extract("url", r"^https?://(.*)$", 1).alias("page_rest"),
+    )
     # Scalar subquery: stays in the plan, no driver round trip.
     n_pages = pages.select(F.count(F.lit(1))).scalar()
     keyed = events.withColumn("page_key", F.col("event_id") % n_pages)
     joined = keyed.join(pages, keyed.page_key == pages.page_id, "left")
 
     eid, uid = F.col("event_id"), F.col("user_id")
-    site = F.regexp_extract("page_url", r"^https?://([^/?#]+)", 1)
     static_url = F.concat(
-        site,
+        F.col("page_site"),
         F.lit(":8080/static/f"),
         (eid % 10).cast("string"),
         _cases(eid % 3, [(0, ".js"), (1, ".png")], ".html"),
@@ -76,7 +80,7 @@ def http_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = (
         F.when(eid % 53 == 0, F.lit(None).cast("string"))
         .when(eid % 4 == 0, static_url)
-        .otherwise(F.regexp_extract("page_url", r"^https?://(.*)$", 1))
+        .otherwise(F.col("page_rest"))
     )
     status = _cases(
         (eid * 7 + uid) % 11,

@@ -28,14 +28,23 @@ Report = Callable[[DataFrame], DataFrame]
 STREAM_PARTITIONS = ["report", "batch_id"]
 
 
-def _batch_time(batch: DataFrame, time_col: str | None, interval_seconds: int) -> F.Column:
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600}
+
+
+def interval_seconds(interval: str) -> int:
+    """`'10 seconds'` -> 10, `'1 minute'` -> 60, `'2 hours'` -> 7200."""
+    amount, unit = interval.split()
+    return int(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+
+
+def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) -> F.Column:
     if time_col is None:
         ts = F.current_timestamp()
     else:
         # Stable on replay: derived from the records, not the wall clock.
         ts = batch.select(F.min(time_col)).scalar()
     secs = F.unix_seconds(ts.cast("timestamp"))
-    bucket = F.timestamp_seconds(secs - secs % interval_seconds)
+    bucket = F.timestamp_seconds(secs - secs % bucket_seconds)
     return F.date_format(bucket, "yyyyMMddHHmmss")
 
 
@@ -45,14 +54,14 @@ def process_batch(
     reports: dict[str, Report],
     sink_path: str,
     time_col: str | None = None,
-    interval_seconds: int = 10,
+    bucket_seconds: int = 10,
 ) -> None:
     """Run every report on one micro-batch and write its rows to the sink."""
-    if batch.isEmpty():
-        return
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stamp = _batch_time(batch, time_col, interval_seconds)
+        if batch.isEmpty():
+            return
+        stamp = _batch_time(batch, time_col, bucket_seconds)
         for name, report in reports.items():
             rows = report(batch).select(
                 "*", F.lit(name).alias("report"), F.lit(batch_id).alias("batch_id"), stamp.alias("batch_time")
@@ -77,7 +86,7 @@ def run_reports(
     `interval` is the processing-time trigger (the original's 10 s, here a
     real parameter); `available_now` processes what is there and stops.
     """
-    seconds = int(interval.split()[0])
+    seconds = interval_seconds(interval)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, reports, sink_path, time_col, seconds)

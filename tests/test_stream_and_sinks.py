@@ -117,3 +117,9 @@ def test_command_line_job_runs_all_reports(spark, tmp_path):
     out = read_snapshot(spark, str(tmp_path / "sink"), _sink_schema(expected), STREAM_PARTITIONS)
     got = out.where("report = 'tcp_10s'").select(*expected.columns)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+def test_interval_seconds():
+    from flowstats.streaming.runner import interval_seconds
+
+    assert [interval_seconds(i) for i in ("10 seconds", "1 second", "1 minute", "2 hours")] == [10, 1, 60, 7200]
