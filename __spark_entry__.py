@@ -380,6 +380,7 @@ def oracle_sql() -> dict[str, str]:
         "http_top_url_status": _http_sql(_url_status_top(True)),
         "http_static_dynamic": _http_sql(
             f"SELECT CASE WHEN {EXT_SQL} IN ({STATIC_SQL}) THEN 'static_request' ELSE 'dynamic_request' END AS request_type, "
+            f"CASE WHEN {EXT_SQL} IN ({STATIC_SQL}) THEN 1 ELSE 0 END AS url_type, "
             "round(avg(in_bytes), 6) AS in_bytes, round(avg(out_bytes), 6) AS out_bytes, "
             "round(avg(latency_sec), 6) AS latency_sec, round(avg(latency_usec), 6) AS latency_usec, count(*) AS requests "
             "FROM http_flows GROUP BY ALL"

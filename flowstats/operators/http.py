@@ -65,9 +65,10 @@ def server_totals(http: DataFrame, names: list[str] = GROUP_METRICS, key: str =
 
 
 def static_dynamic(http: DataFrame, by: Keys = ()) -> DataFrame:
-    """A4: averages and request count for static vs dynamic requests."""
-    label = F.when(is_static() == 1, F.lit("static_request")).otherwise(F.lit("dynamic_request"))
-    return http.groupBy(*by, label.alias("request_type")).agg(
+    """A4: averages and request count for static (`url_type` 1) vs dynamic (0) requests."""
+    flag = is_static()
+    label = F.when(flag == 1, F.lit("static_request")).otherwise(F.lit("dynamic_request"))
+    return http.groupBy(*by, label.alias("request_type"), flag.alias("url_type")).agg(
         F.avg("in_bytes").alias("in_bytes"),
         F.avg("out_bytes").alias("out_bytes"),
         F.avg("latency_sec").alias("latency_sec"),

@@ -29,6 +29,7 @@ def test_static_dynamic(http_micro):
     rows = rows_by(H.static_dynamic(http_micro), "request_type")
     s, d = rows["static_request"], rows["dynamic_request"]
     assert s["requests"] == 3 and d["requests"] == 4
+    assert (s["url_type"], d["url_type"]) == (1, 0)
     assert s["in_bytes"] == pytest.approx(25 / 3)
     assert s["out_bytes"] == pytest.approx(35)
     assert s["latency_sec"] == pytest.approx(1 / 3)
