@@ -25,7 +25,7 @@ from flowstats.plans import http_reports as H
 from flowstats.plans import tcp_reports as TR
 from flowstats.plans.replay import replay_by_bucket
 from flowstats.schemas import HTTP_SCHEMA, OVERALL_METRICS, TCP_SCHEMA, STATIC_EXTENSIONS, STATUS_CLASSES, TOP_K
-from flowstats.session import checkpoint_dir, configure
+from flowstats.session import checkpoint_dir
 from flowstats.sinks.documents import keyed_document
 from flowstats.sinks.snapshot import read_snapshot, stamp, write_snapshot
 from flowstats.sources.json_records import decode_json, encode_json, stream_json_files
@@ -49,7 +49,6 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def _on_http(report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
         return _rounded(report(http_flows(spark, sf_dir)))
 
     return run
@@ -57,7 +56,6 @@ def _on_http(report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession
 
 def _on_tcp(report: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
         return _rounded(report(tcp_flows(spark, sf_dir)))
 
     return run
@@ -112,7 +110,6 @@ def _status_document(http: DataFrame) -> DataFrame:
 
 def _snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the per-bucket report as a dt/hour-partitioned JSON table, read it back."""
-    configure(spark)
     path = f"{checkpoint_dir(spark)}/snapshot_roundtrip/{uuid.uuid4().hex}"
     report = _bytes_per_bucket(http_flows(spark, sf_dir))
     schema = report.schema
@@ -135,14 +132,12 @@ def _through_stream(
 
 def _stream_http_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status counts through the streaming runner, summed over micro-batches."""
-    configure(spark)
     out = _through_stream(spark, http_flows(spark, sf_dir), HTTP_SCHEMA, "http_status", H.status_counts)
     return out.groupBy("dst_group_id", "status_code").agg(F.sum("requests").alias("requests"))
 
 
 def _stream_tcp_proto(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TCP bytes by protocol through the streaming runner, summed over micro-batches."""
-    configure(spark)
     out = _through_stream(spark, tcp_flows(spark, sf_dir), TCP_SCHEMA, "tcp_proto_10s", TR.proto_bytes)
     return out.groupBy("is_all", "dst_group_id", "l7_proto").agg(
         *[F.sum(c).alias(c) for c in ("total_bytes", "bytes_in", "bytes_out")]

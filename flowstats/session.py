@@ -1,7 +1,7 @@
 """Spark session settings for the reports.
 
-On a cluster the session comes from the deployment; `configure` only adds what
-is unset, so cluster-level choices (shuffle partitions, checkpoint folder) win.
+On a cluster the session comes from the deployment and its settings win;
+these are the settings used for the sessions built here (tests, bench).
 """
 
 from __future__ import annotations
@@ -20,17 +20,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-
-def configure(spark: SparkSession) -> SparkSession:
-    for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, value)
-    return spark
-
-
-# Builder-only settings for sessions created here: PySpark's per-call Python
-# call-site capture costs several JVM round trips for every Column operation
-# while a plan is built; it only adds context to error messages.
+# PySpark's per-call Python call-site capture costs several JVM round trips
+# for every Column operation while a plan is built; it only adds context to
+# error messages.
 BUILD_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowstats.plans.http_reports import HTTP_REPORTS
 from flowstats.plans.tcp_reports import TCP_REPORTS
 from flowstats.schemas import BATCH_INTERVAL, HTTP_SCHEMA, TCP_SCHEMA
-from flowstats.session import checkpoint_dir, configure
+from flowstats.session import checkpoint_dir
 from flowstats.sources.json_records import kafka_stream, stream_json_files
 from flowstats.streaming.runner import run_reports
 
@@ -49,7 +49,6 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-    configure(spark)
     schema, catalog = KINDS[args.kind]
     names = args.reports.split(",") if args.reports else list(catalog)
     unknown = [n for n in names if n not in catalog]

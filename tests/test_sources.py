@@ -73,3 +73,17 @@ def test_kafka_source_needs_connector(spark):
     # connector present: the source is defined lazily, nothing is started here
     assert df.isStreaming and "timestamp" in df.columns
     pytest.skip("Kafka connector on the classpath; source built without starting")
+
+
+def test_views_for_sql_users(spark, http_micro, tcp_micro):
+    from flowstats.plans import http_reports as H
+    from flowstats.sources.views import register_views
+
+    assert register_views(http=http_micro, tcp=tcp_micro) == ["http", "urls", "tcp"]
+    top = spark.sql(
+        "SELECT url, bytes_total FROM urls WHERE dst_group_id = 1 ORDER BY bytes_total DESC, url LIMIT 2"
+    ).collect()
+    assert [r.url for r in top] == ["a.com/x.js", "b.com:8080/y?f=1.js"]
+    report = H.top_urls(http_micro).where("metric = 'bytes_total' AND dst_group_id = 1 AND rank <= 2")
+    assert sorted(r.url for r in report.collect()) == sorted(r.url for r in top)
+    assert spark.sql("SELECT sum(in_bytes + out_bytes) AS b FROM tcp").first().b == 1172
