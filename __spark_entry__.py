@@ -18,13 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowstats.functions.columns import EXTENSION_PATTERN, HOST_PATTERN, batch_time, is_static, status_class, url_extension, url_host
+from flowstats.functions.columns import (
+    EXTENSION_PATTERN,
+    HOST_PATTERN,
+    batch_time,
+    is_static,
+    status_class,
+    url_extension,
+    url_host,
+)
 from flowstats.operators import http as http_ops
 from flowstats.operators import tcp as tcp_ops
 from flowstats.plans import http_reports as H
 from flowstats.plans import tcp_reports as TR
 from flowstats.plans.replay import replay_by_bucket
-from flowstats.schemas import HTTP_SCHEMA, OVERALL_METRICS, TCP_SCHEMA, STATIC_EXTENSIONS, STATUS_CLASSES, TOP_K
+from flowstats.schemas import HTTP_SCHEMA, OVERALL_METRICS, STATIC_EXTENSIONS, STATUS_CLASSES, TCP_SCHEMA, TOP_K
 from flowstats.session import checkpoint_dir
 from flowstats.sinks.documents import keyed_document
 from flowstats.sinks.snapshot import read_snapshot, stamp, write_snapshot
@@ -109,7 +117,7 @@ def _status_document(http: DataFrame) -> DataFrame:
 
 
 def _snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the per-bucket report as a dt/hour-partitioned JSON table, read it back."""
+    """Write the per-bucket report as a (report, day)-partitioned JSON table, read it back."""
     path = f"{checkpoint_dir(spark)}/snapshot_roundtrip/{uuid.uuid4().hex}"
     report = _bytes_per_bucket(http_flows(spark, sf_dir))
     schema = report.schema
