@@ -109,7 +109,7 @@ def _bytes_per_bucket(http: DataFrame) -> DataFrame:
 
 
 def _by_bucket(report: Callable[..., DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    return lambda http: replay_by_bucket(http, report)
+    return lambda flows: replay_by_bucket(flows, report)
 
 
 def _status_document(http: DataFrame) -> DataFrame:
@@ -197,6 +197,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tcp_traffic_by_server": _on_tcp(tcp_ops.traffic_by_server),
         "tcp_dimensions": _on_tcp(tcp_ops.dimensions),
         "tcp_groups": _on_tcp(_groups),
+        "tcp_port_bytes_by_bucket": _on_tcp(_by_bucket(TR.port_bytes)),
+        "tcp_group_summary_by_bucket": _on_tcp(_by_bucket(TR.group_summary)),
+        "tcp_server_summary_by_bucket": _on_tcp(_by_bucket(TR.server_summary)),
         # Sources, sinks, streaming
         "json_decode_http": _on_http(_json_decode),
         "group_document": _on_http(_status_document),
@@ -240,7 +243,8 @@ TCP_CTE = """tcp_flows AS (
     l_orderkey % 2 AS ooorder_in_pkts, l_partkey % 3 AS ooorder_out_pkts,
     CAST(CASE WHEN l_orderkey % 17 = 0 THEN 1 ELSE 0 END AS BIGINT) AS tcp_window_size_zero,
     l_orderkey % 2 AS client_latency_sec, (l_orderkey * 7919) % 1000000 AS client_latency_usec,
-    l_partkey % 2 AS server_latency_sec, (l_partkey * 104729) % 1000000 AS server_latency_usec
+    l_partkey % 2 AS server_latency_sec, (l_partkey * 104729) % 1000000 AS server_latency_usec,
+    l_shipdate AS ts
   FROM lineitem)"""
 
 GROUP_NAMES = ["bytes_total", "bytes_in", "bytes_out", "latency", "requests"]
@@ -492,6 +496,30 @@ def oracle_sql() -> dict[str, str]:
             "UNION SELECT 'dst_port' AS dimension, dst_port AS value FROM tcp_flows WHERE dst_port IS NOT NULL"
         ),
         "tcp_groups": _tcp_sql("SELECT DISTINCT dst_group_id FROM tcp_flows WHERE dst_group_id IS NOT NULL"),
+        "tcp_port_bytes_by_bucket": _tcp_sql(
+            f"f AS (SELECT *, {BUCKET_SQL} AS batch_time FROM tcp_flows) "
+            "SELECT grouping(dst_group_id) = 1 AS is_all, dst_group_id, batch_time, dst_port AS port, "
+            "CAST(sum(in_bytes + out_bytes) AS BIGINT) AS total_bytes, CAST(sum(in_bytes) AS BIGINT) AS bytes_in, "
+            "CAST(sum(out_bytes) AS BIGINT) AS bytes_out FROM f WHERE dst_port IS NOT NULL "
+            "GROUP BY GROUPING SETS ((batch_time, dst_group_id, dst_port), (batch_time, dst_port)) "
+            "HAVING grouping(dst_group_id) = 1 OR dst_group_id IS NOT NULL"
+        ),
+        "tcp_group_summary_by_bucket": _tcp_sql(
+            f"f AS (SELECT *, {BUCKET_SQL} AS batch_time FROM tcp_flows), "
+            f"agg AS (SELECT grouping(dst_group_id) = 1 AS is_all, batch_time, dst_group_id, {TRAFFIC_SQL}, "
+            f"{_conn_sql('final_status NOT IN (5, 6)')} FROM f "
+            "GROUP BY GROUPING SETS ((batch_time, dst_group_id), (batch_time))) "
+            f"SELECT *, 0 AS \"new\", {DERIVED_SQL} FROM agg WHERE is_all OR dst_group_id IS NOT NULL"
+        ),
+        "tcp_server_summary_by_bucket": _tcp_sql(
+            f"f AS (SELECT *, {BUCKET_SQL} AS batch_time FROM tcp_flows), "
+            f"t AS (SELECT batch_time, dst_group_id, dst_ipv4, {TRAFFIC_SQL} FROM f WHERE dst_group_id IS NOT NULL GROUP BY ALL), "
+            f"c AS (SELECT batch_time, dst_ipv4, {_conn_sql()} FROM f WHERE final_status NOT IN (5, 6) GROUP BY ALL), "
+            "j AS (SELECT t.*, "
+            + ", ".join(f"coalesce(c.{x}, 0) AS {x}" for x in CONN_COLS_SQL.split(", "))
+            + " FROM t LEFT JOIN c ON t.batch_time = c.batch_time AND t.dst_ipv4 IS NOT DISTINCT FROM c.dst_ipv4) "
+            f"SELECT *, 0 AS \"new\", {DERIVED_SQL} FROM j"
+        ),
         "json_decode_http": _http_sql(
             "SELECT dst_group_id, dst_ipv4, url, status_code, in_bytes, out_bytes, latency_sec, latency_usec, "
             "CAST(NULL AS VARCHAR) AS _corrupt_record FROM http_flows"

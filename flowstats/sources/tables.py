@@ -36,6 +36,7 @@ SOURCE_SCHEMAS = {
             T.StructField("l_partkey", T.LongType()),
             T.StructField("l_suppkey", T.LongType()),
             T.StructField("l_linenumber", T.IntegerType()),
+            T.StructField("l_shipdate", T.TimestampNTZType()),
         ]
     ),
 }
@@ -102,7 +103,7 @@ def http_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tcp_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One TCP flow per `lineitem` row; `final_status` spans 0..8."""
+    """One TCP flow per `lineitem` row; `final_status` spans 0..8, `ts` is the ship date."""
     li = read_table(spark, sf_dir, "lineitem")
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     return li.select(
@@ -125,4 +126,5 @@ def tcp_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((ok * 7919) % 1000000).alias("client_latency_usec"),
         (pk % 2).alias("server_latency_sec"),
         ((pk * 104729) % 1000000).alias("server_latency_usec"),
+        F.col("l_shipdate").alias("ts"),
     )
