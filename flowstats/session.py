@@ -56,5 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # core conf not settable at runtime: the context keeps it
             pass
-        spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.sparkContext.setCheckpointDir(path)
+        except Exception:  # no SparkContext on a Spark Connect client
+            pass
     return path.rstrip("/")
