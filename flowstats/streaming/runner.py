@@ -15,6 +15,7 @@ own partitions instead of adding duplicates.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -55,18 +56,30 @@ def process_batch(
     sink_path: str,
     time_col: str | None = None,
     bucket_seconds: int = 10,
+    parallel_reports: int = 4,
 ) -> None:
-    """Run every report on one micro-batch and write its rows to the sink."""
+    """Run every report on one micro-batch and write its rows to the sink.
+
+    Reports are submitted from up to `parallel_reports` threads, so their
+    (often small) jobs share the cluster instead of queueing one after the
+    other; each writes its own partitions, so the writes do not conflict.
+    """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if batch.isEmpty():
             return
         stamp = _batch_time(batch, time_col, bucket_seconds)
-        for name, report in reports.items():
+
+        def run(name: str, report: Report) -> None:
             rows = report(batch).select(
                 "*", F.lit(name).alias("report"), F.lit(batch_id).alias("batch_id"), stamp.alias("batch_time")
             )
             write_snapshot(rows, sink_path, STREAM_PARTITIONS)
+
+        workers = max(1, min(parallel_reports, len(reports)))
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            for done in [pool.submit(run, name, report) for name, report in reports.items()]:
+                done.result()  # re-raises a report's failure, failing the batch
     finally:
         batch.unpersist()
 
@@ -80,6 +93,7 @@ def run_reports(
     available_now: bool = False,
     time_col: str | None = None,
     query_name: str | None = None,
+    parallel_reports: int = 4,
 ) -> StreamingQuery:
     """Start a streaming query that runs `reports` on each micro-batch.
 
@@ -89,7 +103,7 @@ def run_reports(
     seconds = interval_seconds(interval)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, reports, sink_path, time_col, seconds)
+        process_batch(batch, batch_id, reports, sink_path, time_col, seconds, parallel_reports)
 
     writer = records.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     if query_name:
