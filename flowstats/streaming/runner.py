@@ -57,16 +57,23 @@ def process_batch(
     time_col: str | None = None,
     bucket_seconds: int = 10,
     parallel_reports: int = 4,
+    persist: bool = True,
 ) -> None:
     """Run every report on one micro-batch and write its rows to the sink.
 
     Reports are submitted from up to `parallel_reports` threads, so their
     (often small) jobs share the cluster instead of queueing one after the
     other; each writes its own partitions, so the writes do not conflict.
+
+    `persist` caches the batch once for all reports, which is what a decoded
+    Kafka or JSON batch needs (decoding costs more than caching). A batch read
+    from a columnar table is cheaper to re-read than to cache: pass False.
     """
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if batch.isEmpty():
+        # With persist, this one pass fills the cache for every report.
+        if batch.isEmpty() if not persist else batch.count() == 0:
             return
         stamp = _batch_time(batch, time_col, bucket_seconds)
 
@@ -81,7 +88,8 @@ def process_batch(
             for done in [pool.submit(run, name, report) for name, report in reports.items()]:
                 done.result()  # re-raises a report's failure, failing the batch
     finally:
-        batch.unpersist()
+        if persist:
+            batch.unpersist()
 
 
 def run_reports(
