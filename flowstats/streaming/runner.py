@@ -14,6 +14,7 @@ own partitions instead of adding duplicates.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -39,11 +40,14 @@ def interval_seconds(interval: str) -> int:
 
 
 def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) -> F.Column:
+    """`yyyyMMddHHmmss` start of the batch's time bucket, the same for all its reports."""
     if time_col is None:
-        ts = F.current_timestamp()
-    else:
-        # Stable on replay: derived from the records, not the wall clock.
-        ts = batch.select(F.min(time_col)).scalar()
+        # Wall clock (UTC), read once per batch. A replay may stamp another
+        # time, but it still overwrites its own `batch_id` partitions.
+        now = int(time.time())
+        return F.lit(time.strftime("%Y%m%d%H%M%S", time.gmtime(now - now % bucket_seconds)))
+    # Stable on replay: derived from the records, not the wall clock.
+    ts = batch.select(F.min(time_col)).scalar()
     secs = F.unix_seconds(ts.cast("timestamp"))
     bucket = F.timestamp_seconds(secs - secs % bucket_seconds)
     return F.date_format(bucket, "yyyyMMddHHmmss")
@@ -72,8 +76,9 @@ def process_batch(
     if persist:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # With persist, this one pass fills the cache for every report.
-        if batch.isEmpty() if not persist else batch.count() == 0:
+        # With persist, counting fills the cache for every report in one pass.
+        empty = batch.count() == 0 if persist else batch.isEmpty()
+        if empty:
             return
         stamp = _batch_time(batch, time_col, bucket_seconds)
 
