@@ -65,6 +65,31 @@ def floor_mean(total: Column, counter: Column) -> Column:
     return F.when(counter > 1, exact).otherwise(F.lit(0).cast("long"))
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def interval_seconds(interval: str) -> int:
+    """`'10 seconds'` -> 10, `'1 minute'` -> 60, `'2 hours'` -> 7200."""
+    amount, unit = interval.split()
+    return int(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+
+
 def batch_time(ts: str | Column = "ts", interval: str = BATCH_INTERVAL) -> Column:
-    """Start of the tumbling bucket of `ts`, formatted `yyyyMMddHHmmss`."""
-    return F.date_format(F.window(_col(ts), interval).start, "yyyyMMddHHmmss")
+    """Start of the tumbling bucket of `ts` as `yyyyMMddHHmmss`; NULL for a NULL time.
+
+    Buckets are aligned to midnight of the timestamp's wall clock (so
+    `interval` must divide a day), the same as epoch-aligned buckets. Built
+    from the clock fields rather than `window()`, which would drop every row
+    whose time is NULL.
+    """
+    n = interval_seconds(interval)
+    if 86400 % n:
+        raise ValueError(f"bucket length {interval!r} must divide a day")
+    c = _col(ts)
+    of_day = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    start = of_day - of_day % n
+
+    def two(x: Column) -> Column:
+        return F.lpad(x.cast("string"), 2, "0")
+
+    return F.concat(F.date_format(c, "yyyyMMdd"), two(F.floor(start / 3600)), two(F.floor(start % 3600 / 60)), two(start % 60))

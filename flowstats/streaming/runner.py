@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from flowstats.functions.columns import interval_seconds
 from flowstats.schemas import BATCH_INTERVAL
 from flowstats.sinks.snapshot import write_snapshot
 
@@ -30,15 +31,6 @@ Report = Callable[[DataFrame], DataFrame]
 STREAM_PARTITIONS = ["report", "batch_id"]
 
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600}
-
-
-def interval_seconds(interval: str) -> int:
-    """`'10 seconds'` -> 10, `'1 minute'` -> 60, `'2 hours'` -> 7200."""
-    amount, unit = interval.split()
-    return int(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")]
-
-
 def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) -> F.Column:
     """`yyyyMMddHHmmss` start of the batch's time bucket, the same for all its reports."""
     if time_col is None:

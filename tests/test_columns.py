@@ -91,3 +91,19 @@ def test_floor_mean_is_exact_for_large_totals(spark):
 def test_batch_time_floors_to_ten_seconds(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 3, 5, 10, 20, 37),)], "ts timestamp_ntz")
     assert df.select(batch_time("ts").alias("b")).first().b == "20240305102030"
+
+
+def test_batch_time_keeps_null_times_and_other_lengths(spark):
+    rows = [(dt.datetime(2024, 3, 5, 23, 59, 59), 1), (None, 2), (dt.datetime(2024, 3, 5, 0, 0, 0), 3)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, n long")
+    got = df.select(
+        "n", batch_time("ts").alias("s10"), batch_time("ts", "1 minute").alias("m1"),
+        batch_time("ts", "15 minutes").alias("m15"), batch_time("ts", "1 day").alias("d1"),
+    ).orderBy("n").collect()
+    assert [tuple(r)[1:] for r in got] == [
+        ("20240305235950", "20240305235900", "20240305234500", "20240305000000"),
+        (None, None, None, None),  # the row is kept, with no bucket
+        ("20240305000000", "20240305000000", "20240305000000", "20240305000000"),
+    ]
+    with pytest.raises(ValueError):
+        batch_time("ts", "7 seconds")

@@ -120,6 +120,6 @@ def test_command_line_job_runs_all_reports(spark, tmp_path):
 
 
 def test_interval_seconds():
-    from flowstats.streaming.runner import interval_seconds
+    from flowstats.functions.columns import interval_seconds
 
     assert [interval_seconds(i) for i in ("10 seconds", "1 second", "1 minute", "2 hours")] == [10, 1, 60, 7200]
