@@ -129,3 +129,16 @@ def test_connection_invariants(tcp01):
             | (F.col("server_latency") * F.col("counter") > F.col("server_latency_total"))
         )
         assert bad.count() == 0
+
+
+def test_reports_on_empty_input(spark):
+    from flowstats.plans.http_reports import HTTP_REPORTS
+    from flowstats.plans.tcp_reports import TCP_REPORTS
+    from flowstats.schemas import TCP_SCHEMA
+
+    http = spark.createDataFrame([], HTTP_SCHEMA)
+    tcp = spark.createDataFrame([], TCP_SCHEMA)
+    for name, report in HTTP_REPORTS.items():
+        assert report(http).count() == 0, name
+    for name, report in TCP_REPORTS.items():
+        assert report(tcp).count() == 0, name
