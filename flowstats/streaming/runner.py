@@ -52,7 +52,7 @@ def process_batch(
     sink_path: str,
     time_col: str | None = None,
     bucket_seconds: int = 10,
-    parallel_reports: int = 4,
+    parallel_reports: int = 8,
     persist: bool = True,
 ) -> None:
     """Run every report on one micro-batch and write its rows to the sink.
@@ -98,7 +98,7 @@ def run_reports(
     available_now: bool = False,
     time_col: str | None = None,
     query_name: str | None = None,
-    parallel_reports: int = 4,
+    parallel_reports: int = 8,
 ) -> StreamingQuery:
     """Start a streaming query that runs `reports` on each micro-batch.
 
