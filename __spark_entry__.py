@@ -11,8 +11,15 @@ Averages and rates are rounded to 6 digits on both sides.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
+from pathlib import Path
+
+# The package sits next to this file; make it importable however this module is loaded.
+_ROOT = str(Path(__file__).resolve().parent)
+if _ROOT not in sys.path:
+    sys.path.insert(0, _ROOT)
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
