@@ -142,3 +142,50 @@ def test_reports_on_empty_input(spark):
         assert report(http).count() == 0, name
     for name, report in TCP_REPORTS.items():
         assert report(tcp).count() == 0, name
+
+
+CODES = ["200", "404", "301", "100", "503", "600", "99", "-5", "abc", " 302 ", "404.5", None]
+
+
+def _class_of(code):
+    try:
+        return f"{int(code) // 100}xx"  # Python floor division, as the original
+    except (TypeError, ValueError):
+        return None
+
+
+def brute_top_url_status(rows, grouped, k):
+    counts = defaultdict(int)
+    for g, url, code in rows:
+        cls = _class_of(code)
+        if url is None or cls is None or (grouped and g is None):
+            continue
+        counts[(g if grouped else None, url, cls)] += 1
+    pivot = defaultdict(dict)
+    for (g, url, cls), n in counts.items():
+        pivot[(g, url)][cls] = n
+    out = set()
+    for cls in ["1xx", "2xx", "3xx", "4xx", "5xx"]:
+        per = defaultdict(list)
+        for (g, url, c), n in counts.items():
+            if c == cls:
+                per[g].append((-n, url))
+        for g, entries in per.items():
+            for rank, (neg, url) in enumerate(sorted(entries)[:k], start=1):
+                p = pivot[(g, url)]
+                out.add((cls, g, rank, url, -neg, *(p.get(c) for c in ["1xx", "2xx", "3xx", "4xx", "5xx"])))
+    return out
+
+
+status_row = st.tuples(st.sampled_from([0, 1, None]), st.sampled_from(["a/x", "b/y", "c", None]), st.sampled_from(CODES))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(status_row, min_size=0, max_size=40), k=st.integers(1, 3))
+def test_top_url_status_matches_brute_force(spark, rows, k):
+    df = spark.createDataFrame([(g, "10.0.0.1", u, c, 1, 1, 0, 0) for g, u, c in rows], HTTP_SCHEMA)
+    cols = ["status_class", "dst_group_id", "rank", "url", "requests", "count_1xx", "count_2xx", "count_3xx", "count_4xx", "count_5xx"]
+    got = {tuple(r[c] for c in cols) for r in H.top_url_status(df, k).collect()}
+    assert got == brute_top_url_status(rows, True, k)
+    overall = {tuple(r[c] if c != "dst_group_id" else None for c in cols) for r in H.overall_top_url_status(df, k).collect()}
+    assert overall == brute_top_url_status(rows, False, k)
