@@ -12,7 +12,7 @@ not reported on its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 IS_ALL = "is_all"
@@ -23,17 +23,15 @@ def with_all_rows(
     group_col: str,
     keys: list[str],
     sum_cols: list[str],
-    const_cols: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Rows of `per_group` with a non-NULL group, plus one `all` row per `keys`.
 
     `per_group` must be aggregated by (group_col, *keys) and still contain the
     NULL-group rows. `all` rows have `is_all = true` and a NULL group.
     """
-    const_cols = const_cols or {}
     rolled = per_group.groupingSets([[group_col, *keys], list(keys)], group_col, *keys).agg(
         (F.grouping(group_col) == 1).alias(IS_ALL), *[F.sum(c).alias(c) for c in sum_cols]
     )
     return rolled.where(F.col(IS_ALL) | F.col(group_col).isNotNull()).select(
-        IS_ALL, group_col, *keys, *sum_cols, *[c.alias(name) for name, c in const_cols.items()]
+        IS_ALL, group_col, *keys, *sum_cols
     )
