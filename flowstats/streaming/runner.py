@@ -32,17 +32,16 @@ STREAM_PARTITIONS = ["report", "batch_id"]
 
 
 def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) -> F.Column:
-    """`yyyyMMddHHmmss` start of the batch's time bucket, the same for all its reports."""
-    if time_col is None:
-        # Wall clock (UTC), read once per batch. A replay may stamp another
-        # time, but it still overwrites its own `batch_id` partitions.
-        now = int(time.time())
-        return F.lit(time.strftime("%Y%m%d%H%M%S", time.gmtime(now - now % bucket_seconds)))
-    # Stable on replay: derived from the records, not the wall clock.
-    ts = batch.select(F.min(time_col)).scalar()
-    secs = F.unix_seconds(ts.cast("timestamp"))
-    bucket = F.timestamp_seconds(secs - secs % bucket_seconds)
-    return F.date_format(bucket, "yyyyMMddHHmmss")
+    """`yyyyMMddHHmmss` (UTC) start of the batch's time bucket, one literal for all its reports."""
+    seconds = None
+    if time_col is not None:
+        # Stable on replay: the records' earliest time, read once for the batch.
+        seconds = batch.agg(F.unix_seconds(F.min(time_col).cast("timestamp"))).first()[0]
+    if seconds is None:
+        # Wall clock: a replay may stamp another time, but it still overwrites
+        # its own `batch_id` partitions.
+        seconds = int(time.time())
+    return F.lit(time.strftime("%Y%m%d%H%M%S", time.gmtime(seconds - seconds % bucket_seconds)))
 
 
 def process_batch(

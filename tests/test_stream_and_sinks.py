@@ -164,3 +164,12 @@ def test_processing_time_trigger_and_restart(spark, tmp_path, http_micro):
     tripled = template.select("dst_group_id", "status_code", (F.col("requests") * 3).alias("requests"))
     assert summed.exceptAll(tripled).count() == 0 and tripled.exceptAll(summed).count() == 0
     assert out.select("batch_id").distinct().count() == first_batches + 1
+
+
+def test_batch_stamp_from_record_time(spark, tmp_path, http_micro):
+    import datetime as dt
+
+    stamped = http_micro.withColumn("timestamp", F.lit(dt.datetime(2024, 5, 6, 7, 8, 19, tzinfo=dt.timezone.utc)))
+    process_batch(stamped, 3, {"http_status": H.status_counts}, str(tmp_path / "sink"), time_col="timestamp")
+    out = read_snapshot(spark, str(tmp_path / "sink"), _sink_schema(H.status_counts(http_micro)), STREAM_PARTITIONS)
+    assert {r.batch_time for r in out.collect()} == {"20240506070810"}
