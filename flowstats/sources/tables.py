@@ -59,9 +59,14 @@ def _cases(key: Column, mapping: list[tuple[int, object]], default: object) -> C
 
 def http_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One HTTP request per `events` row; the URL comes from a page of `pages`."""
-    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    return http_flows_from(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "pages"))
+
+
+def http_flows_from(events: DataFrame, pages: DataFrame) -> DataFrame:
+    """`http_flows` over given `events` (event_id, ts, user_id) and `pages` (page_id, url)."""
+    events = events.select("event_id", "ts", "user_id")
     # The page URL is split once per page, on the smaller side of the join.
-    pages = read_table(spark, sf_dir, "pages").select(
+    pages = pages.select(
         "page_id",
         F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("page_site"),
         F.regexp_extract("url", r"^https?://(.*)$", 1).alias("page_rest"),
@@ -104,7 +109,11 @@ def http_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tcp_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One TCP flow per `lineitem` row; `final_status` spans 0..8, `ts` is the ship date."""
-    li = read_table(spark, sf_dir, "lineitem")
+    return tcp_flows_from(read_table(spark, sf_dir, "lineitem"))
+
+
+def tcp_flows_from(li: DataFrame) -> DataFrame:
+    """`tcp_flows` over a given `lineitem` frame."""
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     return li.select(
         (sk % 4).alias("dst_group_id"),

@@ -107,3 +107,13 @@ def test_batch_time_keeps_null_times_and_other_lengths(spark):
     ]
     with pytest.raises(ValueError):
         batch_time("ts", "7 seconds")
+
+
+def test_url_host_equals_the_single_pattern(spark):
+    from flowstats.functions.columns import HOST_PATTERN
+
+    odd = ["a.com:81:82/x", "a.com:8x/y", "a.com:", "::", "1http://a.com", "a.com/x:80", "HTTP://A.com:1",
+           "ftp+ssh://h:22?x", "://x", "u:p@h:9#f", "a.com/r?u=http://z.com/q", "#x", "?", "/", ":80"]
+    df = _one_col(spark, [u for u, _ in HOST_CASES] + odd)
+    diff = df.where(~url_host("v").eqNullSafe(F.regexp_extract("v", HOST_PATTERN, 1)))
+    assert diff.count() == 0, diff.collect()
