@@ -19,7 +19,7 @@ HOST_PATTERN = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/?#]*?)(?::[0-9]*)?(?:[/?#]|
 SCHEME_PATTERN = r"^[a-zA-Z][a-zA-Z0-9+.-]*://"
 PORT_PATTERN = r":[0-9]*$"
 
-# Text after the last `/`, then after its last `.`.
+# Text after the last `/`, then after its last `.` (the SQL oracle uses this pattern).
 EXTENSION_PATTERN = r"([^./]*)$"
 
 
@@ -46,8 +46,11 @@ def url_host(url: str | Column = "url") -> Column:
 
 
 def url_extension(url: str | Column = "url") -> Column:
-    """Extension of the last path segment (the whole segment if it has no dot)."""
-    return F.regexp_extract(_col(url), EXTENSION_PATTERN, 1)
+    """Extension of the last path segment (the whole segment if it has no dot).
+
+    The `EXTENSION_PATTERN` rule, cut with `substring_index` instead of a regex.
+    """
+    return F.substring_index(F.substring_index(_col(url), "/", -1), ".", -1)
 
 
 def is_static(url: str | Column = "url", extensions: list[str] | None = None) -> Column:

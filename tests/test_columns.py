@@ -117,3 +117,13 @@ def test_url_host_equals_the_single_pattern(spark):
     df = _one_col(spark, [u for u, _ in HOST_CASES] + odd)
     diff = df.where(~url_host("v").eqNullSafe(F.regexp_extract("v", HOST_PATTERN, 1)))
     assert diff.count() == 0, diff.collect()
+
+
+def test_url_extension_equals_the_pattern(spark):
+    from flowstats.functions.columns import EXTENSION_PATTERN
+
+    urls = ["a.com/x.js", "b.com/y?f=1.js", "a.com", "a.com/dir/", "x.tar.gz", "/", ".", "a/.b", "a.b/c", "", None,
+            "a.com/p.JPG", "no-dot", "a.com/x.js#frag.png"]
+    df = _one_col(spark, urls)
+    diff = df.where(~url_extension("v").eqNullSafe(F.regexp_extract("v", EXTENSION_PATTERN, 1)))
+    assert diff.count() == 0, diff.collect()
