@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowstats.functions.columns import interval_seconds
+from flowstats.plans.http_shared import BATCH, ReportSet
 from flowstats.schemas import BATCH_INTERVAL
 from flowstats.sinks.snapshot import write_snapshot
 
@@ -47,7 +48,7 @@ def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) ->
 def process_batch(
     batch: DataFrame,
     batch_id: int,
-    reports: dict[str, Report],
+    reports: dict[str, Report] | ReportSet,
     sink_path: str,
     time_col: str | None = None,
     bucket_seconds: int = 10,
@@ -63,34 +64,49 @@ def process_batch(
     `persist` caches the batch once for all reports, which is what a decoded
     Kafka or JSON batch needs (decoding costs more than caching). A batch read
     from a columnar table is cheaper to re-read than to cache: pass False.
+
+    With a `ReportSet`, its shared aggregations are built once per batch and
+    cached (they are small next to the batch) while every report derived from
+    them is written.
     """
     if persist:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    shared: dict[str, DataFrame] = {}
     try:
         # With persist, counting fills the cache for every report in one pass.
         empty = batch.count() == 0 if persist else batch.isEmpty()
         if empty:
             return
         stamp = _batch_time(batch, time_col, bucket_seconds)
-
-        def run(name: str, report: Report) -> None:
-            rows = report(batch).select(
-                "*", F.lit(name).alias("report"), F.lit(batch_id).alias("batch_id"), stamp.alias("batch_time")
-            )
-            write_snapshot(rows, sink_path, STREAM_PARTITIONS)
-
-        workers = max(1, min(parallel_reports, len(reports)))
+        workers = max(1, parallel_reports)
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            for done in [pool.submit(run, name, report) for name, report in reports.items()]:
+            if isinstance(reports, ReportSet):
+                shared = {n: build(batch).persist(StorageLevel.MEMORY_AND_DISK) for n, build in reports.shared.items()}
+                for done in [pool.submit(df.count) for df in shared.values()]:
+                    done.result()
+                frames = {**shared, BATCH: batch}
+                jobs = {name: (lambda fn=fn: fn(frames)) for name, fn in reports.reports.items()}
+            else:
+                jobs = {name: (lambda fn=fn: fn(batch)) for name, fn in reports.items()}
+
+            def run(name: str, build: Callable[[], DataFrame]) -> None:
+                rows = build().select(
+                    "*", F.lit(name).alias("report"), F.lit(batch_id).alias("batch_id"), stamp.alias("batch_time")
+                )
+                write_snapshot(rows, sink_path, STREAM_PARTITIONS)
+
+            for done in [pool.submit(run, name, build) for name, build in jobs.items()]:
                 done.result()  # re-raises a report's failure, failing the batch
     finally:
+        for df in shared.values():
+            df.unpersist()
         if persist:
             batch.unpersist()
 
 
 def run_reports(
     records: DataFrame,
-    reports: dict[str, Report],
+    reports: dict[str, Report] | ReportSet,
     sink_path: str,
     checkpoint_location: str,
     interval: str = BATCH_INTERVAL,
