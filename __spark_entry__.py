@@ -38,7 +38,8 @@ from flowstats.operators import http as http_ops
 from flowstats.operators import tcp as tcp_ops
 from flowstats.plans import http_reports as H
 from flowstats.plans import tcp_reports as TR
-from flowstats.plans.http_shared import BATCH, http_report_set
+from flowstats.plans.http_shared import http_report_set
+from flowstats.plans.tcp_shared import tcp_report_set
 from flowstats.plans.replay import replay_by_bucket
 from flowstats.schemas import HTTP_SCHEMA, OVERALL_METRICS, STATIC_EXTENSIONS, STATUS_CLASSES, TCP_SCHEMA, TOP_K
 from flowstats.session import checkpoint_dir
@@ -120,14 +121,12 @@ def _by_bucket(report: Callable[..., DataFrame]) -> Callable[[DataFrame], DataFr
     return lambda flows: replay_by_bucket(flows, report)
 
 
-def _from_shared(name: str) -> Callable[[DataFrame], DataFrame]:
-    """One HTTP report derived from the shared aggregations of the streaming job."""
+def _from_shared(name: str, make_set=http_report_set) -> Callable[[DataFrame], DataFrame]:
+    """One report derived from the aggregations a streaming job shares per batch."""
 
-    def run(http: DataFrame) -> DataFrame:
-        report_set = http_report_set()
-        frames = {n: build(http) for n, build in report_set.shared.items()}
-        frames[BATCH] = http
-        return report_set.reports[name](frames)
+    def run(flows: DataFrame) -> DataFrame:
+        report_set = make_set()
+        return report_set.reports[name](report_set.frames(flows))
 
     return run
 
@@ -210,6 +209,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "http_shared_top_server": _on_http(_from_shared("http_server")),
         "http_shared_overall_top_url": _on_http(_from_shared("http_filter_url")),
         "http_shared_overall_top_url_status": _on_http(_from_shared("http_filter_url_status")),
+        "tcp_shared_group_summary": _on_tcp(_from_shared("tcp_10s", tcp_report_set)),
         # TCP reports R13-R16 and their aggregations
         "tcp_proto_bytes": _on_tcp(TR.proto_bytes),
         "tcp_port_bytes": _on_tcp(TR.port_bytes),
@@ -566,4 +566,5 @@ def oracle_sql() -> dict[str, str]:
     sql["http_shared_top_server"] = sql["http_top_server"]
     sql["http_shared_overall_top_url"] = sql["http_overall_top_url"]
     sql["http_shared_overall_top_url_status"] = sql["http_overall_top_url_status"]
+    sql["tcp_shared_group_summary"] = sql["tcp_group_summary"]
     return sql

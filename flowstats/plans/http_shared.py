@@ -13,9 +13,6 @@ shared aggregations while the reports derived from them are written.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,28 +20,16 @@ from flowstats.functions.columns import latency_us, status_class, url_host
 from flowstats.operators.http import class_count_column
 from flowstats.operators.topk import top_k_by_metrics, top_k_per_class
 from flowstats.plans import http_reports as H
+from flowstats.plans.report_set import BATCH, ReportSet
 from flowstats.schemas import GROUP_METRICS, OVERALL_METRICS, STATUS_CLASSES, TOP_K
 
 GROUP = "dst_group_id"
-BATCH = "batch"  # key under which the runner passes the batch itself
 
 SUMS = ["total", "in_sum", "out_sum", "lat_sum", "requests"]
 URL_ONLY_SUMS = ["u_total", "u_in", "u_out", "u_lat", "u_requests"]
 COUNTS = [class_count_column(c) for c in STATUS_CLASSES]
 
 
-@dataclass(frozen=True)
-class ReportSet:
-    """Reports computed from aggregations shared within one batch.
-
-    `shared[name](batch)` builds each shared frame; `reports[name](frames)`
-    builds a report from them (`frames[BATCH]` is the batch itself).
-    """
-
-    shared: dict[str, Callable[[DataFrame], DataFrame]]
-    reports: dict[str, Callable[[dict[str, DataFrame]], DataFrame]]
-
-
 def _partials(url_only: bool = False) -> list[Column]:
     """Sums, non-NULL counts and request counts; `url_only` adds sums over rows with a URL."""
     lat = latency_us()

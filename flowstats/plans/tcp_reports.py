@@ -44,10 +44,20 @@ def group_summary(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     are derived from those sums, the same way as for a group.
     """
     per_group = tcp.groupBy(*by, GROUP).agg(*agg.traffic_counters(), *agg.connection_counters())
+    return group_summary_from(per_group, by)
+
+
+def group_summary_from(per_group: DataFrame, by: Keys = ()) -> DataFrame:
+    """R15 from counters already summed per (*by, group), NULL group included."""
     rows = with_all_rows(per_group, GROUP, list(by), agg.TRAFFIC_COLS + agg.CONN_COLS)
     return _derived(rows.withColumn("new", F.lit(0)))
 
 
+def pair_counters(tcp: DataFrame, by: Keys = ()) -> DataFrame:
+    """Traffic and connection counters per (*by, group, server), NULL group included."""
+    return tcp.groupBy(*by, GROUP, "dst_ipv4").agg(*agg.traffic_counters(), *agg.connection_counters())
+
+
 def server_summary(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     """Traffic per (group, server) with the server's connection counters.
 
@@ -57,7 +67,11 @@ def server_summary(tcp: DataFrame, by: Keys = ()) -> DataFrame:
     so no join and a second scan are needed. A server's window holds one row
     per group, whatever its traffic.
     """
-    per_pair = tcp.groupBy(*by, GROUP, "dst_ipv4").agg(*agg.traffic_counters(), *agg.connection_counters())
+    return server_summary_from(pair_counters(tcp, by), by)
+
+
+def server_summary_from(per_pair: DataFrame, by: Keys = ()) -> DataFrame:
+    """R16 from `pair_counters`."""
     by_server = Window.partitionBy(*by, "dst_ipv4")
     spread = per_pair.select(
         *by,

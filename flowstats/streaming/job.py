@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowstats.plans.http_reports import HTTP_REPORTS
 from flowstats.plans.http_shared import http_report_set
+from flowstats.plans.tcp_shared import tcp_report_set
 from flowstats.plans.tcp_reports import TCP_REPORTS
 from flowstats.schemas import BATCH_INTERVAL, HTTP_SCHEMA, TCP_SCHEMA
 from flowstats.session import checkpoint_dir
@@ -62,8 +63,9 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         records = stream_json_files(spark, args.files, schema)
         time_col = None
     checkpoint = args.checkpoint or f"{checkpoint_dir(spark)}/flowstats-{args.kind}"
-    # All HTTP reports: derive them from five shared aggregations per batch.
-    reports = http_report_set() if args.kind == "http" and not args.reports else {n: catalog[n] for n in names}
+    # All reports of a kind: derive them from aggregations shared within each batch.
+    shared_sets = {"http": http_report_set, "tcp": tcp_report_set}
+    reports = shared_sets[args.kind]() if not args.reports else {n: catalog[n] for n in names}
     return run_reports(
         records,
         reports,

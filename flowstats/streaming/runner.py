@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowstats.functions.columns import interval_seconds
-from flowstats.plans.http_shared import BATCH, ReportSet
+from flowstats.plans.report_set import BATCH, ReportSet
 from flowstats.schemas import BATCH_INTERVAL
 from flowstats.sinks.snapshot import write_snapshot
 

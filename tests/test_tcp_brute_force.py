@@ -103,3 +103,13 @@ def test_group_and_server_summary_match_brute_force(spark, rows):
         expected[(g, ip)] = _norm(row, ())
     got = {(r.dst_group_id, r.dst_ipv4): _norm(r.asDict(), ("dst_group_id", "dst_ipv4", "new")) for r in TR.server_summary(df).collect()}
     assert got == expected
+
+    # the shared-counter versions of both reports give the same rows
+    from flowstats.plans.tcp_shared import tcp_report_set
+
+    report_set = tcp_report_set()
+    frames = report_set.frames(df)
+    for name, direct in (("tcp_10s", TR.group_summary), ("tcp_server_10s", TR.server_summary)):
+        want = direct(df)
+        have = report_set.reports[name](frames).select(*want.columns)
+        assert have.exceptAll(want).count() == 0 and want.exceptAll(have).count() == 0, name
