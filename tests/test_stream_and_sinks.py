@@ -173,3 +173,21 @@ def test_batch_stamp_from_record_time(spark, tmp_path, http_micro):
     process_batch(stamped, 3, {"http_status": H.status_counts}, str(tmp_path / "sink"), time_col="timestamp")
     out = read_snapshot(spark, str(tmp_path / "sink"), _sink_schema(H.status_counts(http_micro)), STREAM_PARTITIONS)
     assert {r.batch_time for r in out.collect()} == {"20240506070810"}
+
+
+def test_command_line_job_report_subset(spark, tmp_path, http_micro):
+    import pytest
+
+    from flowstats.streaming.job import parse_args, start
+
+    encode_json(http_micro).write.text(str(tmp_path / "src"))
+    common = ["--files", str(tmp_path / "src"), "--sink", str(tmp_path / "sink"), "--checkpoint", str(tmp_path / "ckpt"),
+              "--available-now"]
+    q = start(spark, parse_args(["http", *common, "--reports", "http_status,http_filter_status"]))
+    q.awaitTermination()
+    written = {p.name for p in (tmp_path / "sink").iterdir() if p.name.startswith("report=")}
+    assert written == {"report=http_status", "report=http_filter_status"}
+    with pytest.raises(ValueError):
+        start(spark, parse_args(["http", *common, "--reports", "no_such_report"]))
+    with pytest.raises(SystemExit):
+        parse_args(["tcp", "--brokers", "b:9092", "--sink", "s"])  # --brokers needs --topic
