@@ -37,3 +37,24 @@ def test_tcp_reports_by_leading_key(tcp_micro):
     assert servers[("B", 2, "a")]["counter"] == 1
     proto = rows_by(TR.proto_bytes(df, by=["bucket"]), "bucket", "is_all", "dst_group_id", "l7_proto")
     assert proto[("B", True, None, 9)]["total_bytes"] == 62
+
+
+def test_batch_job_writes_replayed_reports(spark, tmp_path):
+    from flowstats.batch_job import parse_args, run
+    from flowstats.sinks.snapshot import read_snapshot
+
+    flows = http_flows(spark, SF001)
+    flows.write.parquet(str(tmp_path / "in"))
+    args = parse_args(["http", "--input", str(tmp_path / "in"), "--sink", str(tmp_path / "out"),
+                       "--reports", "http_host,http_status", "--by-bucket", "--interval", "1 day"])
+    assert run(spark, args) == ["http_host", "http_status"]
+    expected = replay_by_bucket(flows, H.status_counts, interval="1 day")
+    got = read_snapshot(spark, str(tmp_path / "out"), expected.schema).where("report = 'http_status'")
+    got = got.select(*expected.columns)
+    assert _same(got, expected)
+
+    args = parse_args(["tcp", "--input", str(tmp_path / "in"), "--sink", str(tmp_path / "out2"), "--reports", "nope"])
+    import pytest
+
+    with pytest.raises(ValueError):
+        run(spark, args)
