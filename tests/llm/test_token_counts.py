@@ -1,0 +1,53 @@
+"""Token counts against the tokenizer library itself."""
+
+from __future__ import annotations
+
+import pytest
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+tokenizers = pytest.importorskip("tokenizers")
+
+from flowstats.llm.common import read_table  # noqa: E402
+from flowstats.llm.token_counts import MergeTable, count_tokens  # noqa: E402
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+ODD = [
+    "", " ", "   ", "\t\n\r\n  x", "a" * 5000, "aaaa aaa aa a", "ab" * 3000, "don't we'll I'M they've",
+    "x<|endoftext|>y <|endoftext|><|endoftext|> <|endof", "ñandú 12345  67   x\u0085y​ z", "\x1c\x1d a\x1fb\x00c",
+    "日本語のテキスト 한국어 🙂🙃👩‍👩‍👧 é", "½²³ Ⅷ ٣٤", "foo...bar!!! ---- $$$%%% &&&", "\n\n\n a \n b", "ß" * 300, "e﻿ x᠎",
+]
+
+
+def expected(texts):
+    tok = tokenizers.Tokenizer.from_file(PATH)
+    tok.no_truncation()
+    tok.no_padding()
+    return [len(e.ids) for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_odd_strings_nulls_and_repeats(spark):
+    rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(None, None, "x"), (3, ODD[3], None), (3, ODD[3], None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
+    got = sorted((tuple(r) for r in count_tokens(df, PATH).collect()), key=str)
+    counts = expected([r[1] for r in rows])
+    want = [(r[0], len((r[1] or "").encode()), c, c > 1024) for r, c in zip(rows, counts, strict=True)]
+    assert got == sorted(want, key=str)
+
+
+def test_whole_table(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.n_tokens for r in count_tokens(docs, PATH).collect()}
+    assert got == dict(zip(texts, expected(texts.values()), strict=True))
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id int, text string")
+    out = count_tokens(df, PATH)
+    assert out.collect() == [] and dict(out.dtypes)["doc_id"] == "int"
+
+
+def test_overlapping_pairs_merge_from_the_left():
+    table = MergeTable(PATH)
+    words = [b"a" * n for n in range(1, 40)] + [b"ab" * 9 + b"aab"]
+    assert table.count(words).tolist() == expected([w.decode() for w in words])
