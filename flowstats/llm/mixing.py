@@ -154,6 +154,30 @@ def _last_taken(placed: DataFrame, slices: int) -> tuple[float, int] | None:
     return None if row is None else (row[0], row[1])
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns kept, of which the mix takes anything, with size, source_size, target, taken.
+
+    Equal rows (id, source and text) share what the mix takes of them evenly. Columns of `docs` with the added names
+    are replaced.
+    """
+    docs = docs.drop("size", "source_size", "target", "taken")
+    tagged = docs.withColumn("__size", word_count(F.col("text")))
+    taken = (
+        mix_sources(docs)
+        .where("taken > 0")
+        .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"))
+        .agg(F.sum("taken").alias("__taken"), F.max("source_size").alias("source_size"), F.max("target").alias("target"))
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("__id"))
+        & F.col("source").eqNullSafe(F.col("__source"))
+        & (F.col("__size") == F.col("__words"))
+    )
+    copies = F.count(F.lit(1)).over(Window.partitionBy("__id", "__source", "__words"))
+    joined = tagged.join(taken, same).withColumn("taken", (F.col("__taken") / copies).cast("long"))
+    return joined.select(*docs.columns, F.col("__size").alias("size"), "source_size", "target", "taken")
+
+
 ORACLE_SQL = rf"""
 WITH w AS (SELECT doc_id, source,
     CAST(CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS BIGINT) AS size,
