@@ -41,11 +41,11 @@ from flowstats.plans import tcp_reports as TR
 from flowstats.plans.http_shared import http_report_set
 from flowstats.plans.tcp_shared import tcp_report_set
 from flowstats.plans.replay import replay_by_bucket
-from flowstats.schemas import HTTP_SCHEMA, OVERALL_METRICS, STATIC_EXTENSIONS, STATUS_CLASSES, TCP_SCHEMA, TOP_K
+from flowstats.schemas import CORRUPT_RECORD, HTTP_SCHEMA, OVERALL_METRICS, STATIC_EXTENSIONS, STATUS_CLASSES, TCP_SCHEMA, TOP_K
 from flowstats.session import checkpoint_dir
-from flowstats.sinks.documents import keyed_document
+from flowstats.sinks.documents import keyed_document, report_documents
 from flowstats.sinks.snapshot import read_snapshot, stamp, write_snapshot
-from flowstats.sources.json_records import decode_json, encode_json, stream_json_files
+from flowstats.sources.json_records import decode_json, encode_json, split_bad, stream_json_files
 from flowstats.sources.tables import http_flows, tcp_flows
 from flowstats.streaming.runner import STREAM_PARTITIONS, run_reports
 
@@ -136,7 +136,7 @@ def _status_document(http: DataFrame) -> DataFrame:
 
 
 def _snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the per-bucket report as a (report, day)-partitioned JSON table, read it back."""
+    """Write the per-bucket report as a (report, day, hour)-partitioned JSON table, read it back."""
     path = f"{checkpoint_dir(spark)}/snapshot_roundtrip/{uuid.uuid4().hex}"
     report = _bytes_per_bucket(http_flows(spark, sf_dir))
     schema = report.schema
@@ -144,6 +144,62 @@ def _snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, path, schema)
 
 
+def _snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the halves of every day, then a replay of the first half: nothing is lost or doubled."""
+    path = f"{checkpoint_dir(spark)}/snapshot_incremental/{uuid.uuid4().hex}"
+    report = _bytes_per_bucket(http_flows(spark, sf_dir))
+    rows = stamp(report, "http_bytes_per_bucket", F.col("batch_time"))
+    for half in (F.col("hour") < "12", F.col("hour") >= "12", F.col("hour") < "12"):
+        write_snapshot(rows.where(half), path)
+    return read_snapshot(spark, path, report.schema)
+
+
+def _mixed_messages(http: DataFrame) -> DataFrame:
+    """Flows as JSON messages with cases mixed in by id: bad text and fields, blanks, tombstones, arrays, quoted numbers."""
+    eid = F.col("event_id")
+    group = F.col("dst_group_id").cast("string")
+    plain = F.to_json(F.struct(*[F.col(f.name) for f in HTTP_SCHEMA.fields]))
+    small = F.concat(F.lit('{"in_bytes":"'), eid.cast("string"), F.lit('","out_bytes":'), eid.cast("string"), F.lit(".0}"))
+    value = (
+        F.when(eid % 13 == 0, F.concat(F.lit("junk "), eid.cast("string")))
+        .when(eid % 13 == 1, F.concat(F.lit('{"dst_group_id":"x'), eid.cast("string"), F.lit('"}')))
+        .when(eid % 13 == 2, F.lit("  "))
+        .when(eid % 13 == 3, F.lit(None).cast("string"))
+        .when(eid % 13 == 4, F.concat(F.lit("["), small, F.lit(","), small, F.lit("]")))
+        .when(eid % 13 == 5, small)
+        .when(
+            (eid % 13 == 6) & group.isNotNull(),
+            F.concat(F.lit('{"dst_group_id":"'), group, F.lit('","status_code":200.0}')),
+        )
+        .otherwise(plain)
+    )
+    return http.select(value.alias("value"))
+
+
+def _json_decode_mixed(http: DataFrame) -> DataFrame:
+    good, _ = split_bad(decode_json(_mixed_messages(http), HTTP_SCHEMA))
+    return good
+
+
+def _json_quarantine(http: DataFrame) -> DataFrame:
+    _, bad = split_bad(decode_json(_mixed_messages(http), HTTP_SCHEMA))
+    return bad.select(F.col(CORRUPT_RECORD).alias("bad_record"))
+
+
+def _static_dynamic_of_good(http: DataFrame) -> DataFrame:
+    """R7 over decoded messages: bad ones count nowhere."""
+    good, _ = split_bad(decode_json(_mixed_messages(http), HTTP_SCHEMA))
+    return H.static_dynamic(good)
+
+
+def _server_document(http: DataFrame) -> DataFrame:
+    return report_documents("http_server", H.top_servers(http))
+
+
+def _proto_document(tcp: DataFrame) -> DataFrame:
+    return report_documents("tcp_proto_10s", TR.proto_bytes(tcp))
+
+
 def _through_stream(
     spark: SparkSession, flows: DataFrame, schema: T.StructType, name: str, report: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
@@ -244,7 +300,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tcp_server_summary_by_bucket": _on_tcp(_by_bucket(TR.server_summary)),
         # Sources, sinks, streaming
         "json_decode_http": _on_http(_json_decode),
+        "json_decode_mixed": _on_http(_json_decode_mixed),
+        "json_quarantine": _on_http(_json_quarantine),
+        "json_static_dynamic": _on_http(_static_dynamic_of_good),
         "group_document": _on_http(_status_document),
+        "http_server_document": _on_http(_server_document),
+        "tcp_proto_document": _on_tcp(_proto_document),
+        "snapshot_incremental": _snapshot_incremental,
         "snapshot_roundtrip": _snapshot_roundtrip,
         "stream_http_status": _stream_http_status,
         "stream_tcp_proto": _stream_tcp_proto,
@@ -259,14 +321,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 HTTP_CTE = """http_flows AS (
   SELECT e.event_id, e.ts,
     CASE WHEN e.event_id % 97 = 0 THEN NULL ELSE e.user_id % 5 END AS dst_group_id,
-    '10.0.' || CAST(e.user_id % 4 AS VARCHAR) || '.' || CAST(e.user_id % 60 AS VARCHAR) AS dst_ipv4,
+    CASE WHEN e.event_id % 71 <> 0 THEN '10.0.' || CAST(e.user_id % 4 AS VARCHAR) || '.'
+         || CAST((e.event_id * 7 + e.user_id) % 200 AS VARCHAR) END AS dst_ipv4,
     CASE WHEN e.event_id % 53 = 0 THEN NULL
+         WHEN e.event_id % 37 = 0 THEN 'https://user:pw@' || regexp_extract(p.url, '^https?://([^/?#]+)', 1) || ':8443?q='
+              || CAST(e.event_id % 7 AS VARCHAR)
          WHEN e.event_id % 4 = 0 THEN regexp_extract(p.url, '^https?://([^/?#]+)', 1) || ':8080/static/f'
               || CAST(e.event_id % 10 AS VARCHAR)
               || CASE e.event_id % 3 WHEN 0 THEN '.js' WHEN 1 THEN '.png' ELSE '.html' END
          ELSE regexp_extract(p.url, '^https?://(.*)$', 1) END AS url,
-    CAST(CASE (e.event_id * 7 + e.user_id) % 11 WHEN 0 THEN 100 WHEN 1 THEN 204 WHEN 2 THEN 301 WHEN 3 THEN 302
-         WHEN 4 THEN 404 WHEN 5 THEN 403 WHEN 6 THEN 500 WHEN 7 THEN 503 ELSE 200 END AS VARCHAR) AS status_code,
+    CASE WHEN e.event_id % 41 = 0 THEN NULL WHEN e.event_id % 43 = 0 THEN 'n/a' WHEN e.event_id % 47 = 0 THEN '999'
+         WHEN e.event_id % 59 = 0 THEN '0' ELSE CAST(CASE (e.event_id * 7 + e.user_id) % 11 WHEN 0 THEN 100 WHEN 1 THEN 204 WHEN 2 THEN 301 WHEN 3 THEN 302
+         WHEN 4 THEN 404 WHEN 5 THEN 403 WHEN 6 THEN 500 WHEN 7 THEN 503 ELSE 200 END AS VARCHAR) END AS status_code,
     CASE WHEN e.event_id % 101 = 0 THEN NULL ELSE (e.event_id * 13) % 1500 + 40 END AS in_bytes,
     (e.event_id * 31) % 20000 AS out_bytes,
     e.event_id % 3 AS latency_sec,
@@ -274,13 +340,14 @@ HTTP_CTE = """http_flows AS (
   FROM events e LEFT JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages))"""
 
 TCP_CTE = """tcp_flows AS (
-  SELECT l_suppkey % 4 AS dst_group_id,
+  SELECT CASE WHEN (l_orderkey + l_partkey) % 31 <> 0 THEN l_suppkey % 4 END AS dst_group_id,
     '10.1.' || CAST(l_suppkey % 3 AS VARCHAR) || '.' || CAST(l_suppkey % 25 AS VARCHAR) AS dst_ipv4,
-    CAST(CASE l_partkey % 5 WHEN 0 THEN 80 WHEN 1 THEN 443 WHEN 2 THEN 22 WHEN 3 THEN 3306 ELSE 8080 END AS BIGINT) AS dst_port,
-    l_partkey % 6 AS l7_proto,
-    CAST((l_orderkey * 7 + l_linenumber) % 9 AS BIGINT) AS final_status,
-    CAST(CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS unknown_conn,
-    (l_orderkey * 13) % 1500 AS in_bytes, (l_partkey * 31) % 9000 AS out_bytes,
+    CAST(CASE WHEN (l_orderkey + l_partkey) % 37 = 0 THEN NULL ELSE CASE l_partkey % 5 WHEN 0 THEN 80 WHEN 1 THEN 443
+         WHEN 2 THEN 22 WHEN 3 THEN 3306 ELSE 8080 END END AS BIGINT) AS dst_port,
+    CASE WHEN (l_orderkey + l_partkey) % 41 <> 0 THEN l_partkey % 6 END AS l7_proto,
+    CAST(CASE WHEN (l_orderkey + l_partkey) % 43 <> 0 THEN (l_orderkey * 7 + l_linenumber) % 9 END AS BIGINT) AS final_status,
+    CAST(CASE WHEN (l_orderkey + l_partkey) % 47 = 0 THEN NULL WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS unknown_conn,
+    CASE WHEN (l_orderkey + l_partkey) % 53 <> 0 THEN (l_orderkey * 13) % 1500 END AS in_bytes, (l_partkey * 31) % 9000 AS out_bytes,
     (l_orderkey * 3) % 40 AS in_pkts, (l_partkey * 5) % 60 AS out_pkts,
     l_orderkey % 3 AS retransmitted_in_pkts, l_partkey % 2 AS retransmitted_out_pkts,
     l_orderkey % 2 AS ooorder_in_pkts, l_partkey % 3 AS ooorder_out_pkts,
@@ -350,11 +417,12 @@ def _url_status_top(grouped: bool, bucketed: bool = False) -> str:
         f"classed AS (SELECT *, {CLASS_SQL} AS status_class FROM {src} WHERE url IS NOT NULL), "
         f"long AS (SELECT {g}url, status_class, count(*) AS requests FROM classed "
         f"WHERE {gw}status_class IS NOT NULL GROUP BY ALL), "
-        f"piv AS (SELECT {g}url, {pivots} FROM long GROUP BY ALL), "
+        f"piv AS (SELECT {g}url, {pivots}, '{{' || string_agg('\"' || status_class || '\":' || CAST(requests AS VARCHAR), ',' "
+        f"ORDER BY status_class) FILTER (WHERE status_class NOT IN ({classes})) || '}}' AS other_classes FROM long GROUP BY ALL), "
         f"ranked AS (SELECT *, row_number() OVER (PARTITION BY {part} "
         f"ORDER BY requests DESC, url ASC) AS _rk FROM long WHERE status_class IN ({classes})) "
         f"SELECT r.status_class, {lead}CAST(r._rk AS INTEGER) AS \"rank\", r.url, "
-        f"r.requests, {counts} FROM ranked r JOIN piv p ON {join_on} WHERE r._rk <= {TOP_K}"
+        f"r.requests, {counts}, p.other_classes FROM ranked r JOIN piv p ON {join_on} WHERE r._rk <= {TOP_K}"
     )
 
 
@@ -402,6 +470,25 @@ def _bytes_by_sql(dim: str, alias: str) -> str:
     )
 
 
+HTTP_FIELDS = "dst_group_id, dst_ipv4, url, status_code, in_bytes, out_bytes, latency_sec, latency_usec"
+_NO_HTTP = "NULL::BIGINT AS dst_group_id, NULL::VARCHAR AS dst_ipv4, NULL::VARCHAR AS url, NULL::VARCHAR AS status_code"
+# The good records among the mixed messages.
+MIXED_SQL = (
+    f"good AS (SELECT {HTTP_FIELDS} FROM http_flows WHERE event_id % 13 > 6 OR (event_id % 13 = 6 AND dst_group_id IS NULL) "
+    f"UNION ALL SELECT {_NO_HTTP}, event_id AS in_bytes, event_id AS out_bytes, NULL::BIGINT AS latency_sec, NULL::BIGINT AS latency_usec "
+    "FROM http_flows, range(2) AS copies(c) WHERE event_id % 13 = 4 OR (event_id % 13 = 5 AND c = 0) "
+    "UNION ALL SELECT dst_group_id, NULL, NULL, '200', NULL, NULL, NULL, NULL FROM http_flows "
+    "WHERE event_id % 13 = 6 AND dst_group_id IS NOT NULL)"
+)
+
+
+def _row_json(columns: list[str], texts: list[str] = ()) -> str:
+    """SQL text of a row as JSON, NULL fields left out."""
+    quote = lambda c: f"'\"' || \"{c}\" || '\"'" if c in texts else f"CAST(\"{c}\" AS VARCHAR)"
+    parts = ", ".join(f"CASE WHEN \"{c}\" IS NOT NULL THEN '\"{c}\":' || {quote(c)} END" for c in columns)
+    return f"'{{' || concat_ws(',', {parts}) || '}}'"
+
+
 BUCKET_SQL = "strftime(time_bucket(INTERVAL '10 seconds', ts), '%Y%m%d%H%M%S')"
 STATUS_COUNTS_SQL = (
     "SELECT dst_group_id, status_code, count(*) AS requests FROM http_flows "
@@ -567,6 +654,28 @@ def oracle_sql() -> dict[str, str]:
             "SELECT dst_group_id, dst_ipv4, url, status_code, in_bytes, out_bytes, latency_sec, latency_usec, "
             "CAST(NULL AS VARCHAR) AS _corrupt_record FROM http_flows"
         ),
+        "json_decode_mixed": _http_sql(f"{MIXED_SQL} SELECT * FROM good"),
+        "json_quarantine": _http_sql(
+            "SELECT CASE event_id % 13 WHEN 0 THEN 'junk ' || event_id ELSE '{\"dst_group_id\":\"x' || event_id || '\"}' END AS bad_record "
+            "FROM http_flows WHERE event_id % 13 IN (0, 1)"
+        ),
+        "json_static_dynamic": _http_sql(
+            f"{MIXED_SQL}, cls AS (SELECT *, CASE WHEN {EXT_SQL} IN ({STATIC_SQL}) THEN 1 ELSE 0 END AS url_type FROM good) "
+            "SELECT CASE WHEN url_type = 1 THEN 'static_request' ELSE 'dynamic_request' END AS request_type, url_type, "
+            "round(avg(in_bytes), 6) AS in_bytes, round(avg(out_bytes), 6) AS out_bytes, round(avg(latency_sec), 6) AS latency_sec, "
+            "round(avg(latency_usec), 6) AS latency_usec, count(*) AS requests FROM cls GROUP BY ALL"
+        ),
+        "http_server_document": _http_sql(
+            _topk(f"SELECT dst_group_id, dst_ipv4 AS ip, {_sum5(GROUP_NAMES)} FROM http_flows WHERE {grouped_url} GROUP BY ALL",
+                  GROUP_NAMES, "ip", ["dst_group_id"], "BIGINT").replace(" SELECT metric,", ", top AS (SELECT metric,")
+            + ") SELECT metric, dst_group_id, '[' || string_agg(" + _row_json(["rank", "ip", *GROUP_NAMES], ["ip"])
+            + ", ',' ORDER BY \"rank\") || ']' AS document FROM top GROUP BY ALL"
+        ),
+        "tcp_proto_document": _tcp_sql(
+            f"rep AS ({_bytes_by_sql('l7_proto', 'l7_proto')}) SELECT is_all, dst_group_id, '{{' || string_agg('\"' || l7_proto || '\":' || "
+            + _row_json(["l7_proto", "total_bytes", "bytes_in", "bytes_out"])
+            + ", ',' ORDER BY CAST(l7_proto AS VARCHAR)) || '}' AS document FROM rep GROUP BY ALL"
+        ),
         "group_document": _http_sql(
             f"sc AS ({STATUS_COUNTS_SQL}) SELECT dst_group_id, "
             "'{' || string_agg('\"' || status_code || '\":' || CAST(requests AS VARCHAR), ',' ORDER BY status_code) || '}' "
@@ -582,6 +691,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_tcp_proto": _tcp_sql(_bytes_by_sql("l7_proto", "l7_proto")),
     }
     # Reports from the shared aggregations must equal the standalone reports.
+    sql["snapshot_incremental"] = sql["snapshot_roundtrip"]
     sql["http_shared_top_server"] = sql["http_top_server"]
     sql["http_shared_overall_top_url"] = sql["http_overall_top_url"]
     sql["http_shared_overall_top_url_status"] = sql["http_overall_top_url_status"]

@@ -60,8 +60,10 @@ def is_static(url: str | Column = "url", extensions: list[str] | None = None) ->
 
 
 def status_class(status: str | Column = "status_code") -> Column:
-    """`'2xx'` for 200..299 etc.; NULL when the code is NULL or not an integer."""
-    code = _col(status).try_cast("int")
+    """`'2xx'` for 200..299 etc.; NULL when the code is NULL or no whole number (`200.0` is one)."""
+    c = _col(status)
+    exact = c.try_cast("decimal(18,6)")
+    code = F.coalesce(c.try_cast("int"), F.when(exact == F.floor(exact), exact).try_cast("int"))
     return F.concat(F.floor(code / 100).cast("string"), F.lit("xx"))
 
 
@@ -83,23 +85,40 @@ _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
 def interval_seconds(interval: str) -> int:
-    """`'10 seconds'` -> 10, `'1 minute'` -> 60, `'2 hours'` -> 7200."""
-    amount, unit = interval.split()
-    return int(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")]
-
-
-def batch_time(ts: str | Column = "ts", interval: str = BATCH_INTERVAL) -> Column:
+    """`'10 seconds'` -> 10, `'2 hours'` -> 7200, `'1 minute 30 seconds'` -> 90; whole seconds only."""
+    words = interval.lower().split()
+    pairs = list(zip(words[::2], words[1::2]))
+    if not words or len(words) % 2 or not all(a.isdigit() and u.rstrip("s") in _UNIT_SECONDS for a, u in pairs):
+        units = ", ".join(_UNIT_SECONDS)
+        raise ValueError(f"interval {interval!r} must be whole numbers of {units}, e.g. '10 seconds'")
+    total = sum(int(a) * _UNIT_SECONDS[u.rstrip("s")] for a, u in pairs)
+    if total <= 0:
+        raise ValueError(f"interval {interval!r} must be longer than nothing")
+    return total
+
+
+def batch_time(ts: str | Column = "ts", interval: str = BATCH_INTERVAL, zoned: bool = False) -> Column:
     """Start of the tumbling bucket of `ts` as `yyyyMMddHHmmss`; NULL for a NULL time.
 
-    Buckets are aligned to midnight of the timestamp's wall clock (so
-    `interval` must divide a day), the same as epoch-aligned buckets. Built
-    from the clock fields rather than `window()`, which would drop every row
-    whose time is NULL.
+    `interval` must divide a day. Without `zoned`, `ts` has no zone and buckets
+    follow its clock fields. With it, `ts` is an instant: the bucket starts at a
+    floor of its epoch seconds and is written in UTC, whatever the session's
+    zone, so two hours never fall together at a clock change and the labels
+    equal those of a stream. Not built from `window()`, which would drop every
+    row whose time is NULL.
     """
     n = interval_seconds(interval)
     if 86400 % n:
         raise ValueError(f"bucket length {interval!r} must divide a day")
     c = _col(ts)
+    if zoned:
+        seconds = F.unix_seconds(c)
+        floor = seconds - F.pmod(seconds, F.lit(n))
+        # Days and seconds since the epoch, put back together without a zone.
+        utc = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(
+            F.floor(floor / 86400).cast("int"), F.lit(0), F.lit(0), F.pmod(floor, F.lit(86400)).cast("decimal(18,6)")
+        )
+        return F.date_format(utc, "yyyyMMddHHmmss")
     of_day = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
     start = of_day - of_day % n
 

@@ -134,16 +134,28 @@ def class_count_column(cls: str) -> str:
     return f"count_{cls}"
 
 
-def url_class_pivot(http: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per (*keys, url) with a request count per status class.
+# Counts of a URL's classes that have no column of their own, as JSON text `{"9xx": 3}`; NULL without any.
+OTHER_CLASSES = "other_classes"
+
 
-    A class the URL never had is NULL. Written as conditional sums in a single
-    aggregation, which is what `pivot` with fixed values compiles to.
+def class_pivot(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per (*keys, url) from (*keys, url, status_class, requests) rows.
+
+    A column per class of STATUS_CLASSES (NULL where the URL never had it), and
+    every other class in `other_classes`, so none is lost.
     """
+    cls, n = F.col("status_class"), F.col("requests")
+    other = F.array_sort(F.collect_list(F.when(~cls.isin(*STATUS_CLASSES), F.struct(cls, n))))
+    return counts.groupBy(*keys, "url").agg(
+        *[F.sum(F.when(cls == c, n)).alias(class_count_column(c)) for c in STATUS_CLASSES],
+        F.when(F.size(other) > 0, F.to_json(F.map_from_entries(other))).alias(OTHER_CLASSES),
+    )
+
+
+def url_class_pivot(http: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per (*keys, url) with a request count per status class."""
     classed = _with_class(http)
     if GROUP in keys:
         classed = classed.where(F.col(GROUP).isNotNull())
-    cls = F.col("status_class")
-    return classed.groupBy(*keys, "url").agg(
-        *[F.sum(F.when(cls == c, F.lit(1))).alias(class_count_column(c)) for c in STATUS_CLASSES]
-    )
+    counts = classed.groupBy(*keys, "url", "status_class").agg(F.count(F.lit(1)).alias("requests"))
+    return class_pivot(counts, keys)

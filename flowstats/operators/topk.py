@@ -5,12 +5,14 @@ group from a driver loop. Here the metrics are stacked into (metric, value)
 rows and ranked with `row_number` over (metric, *partition_by). Spark plans
 the `rank <= k` filter as a `WindowGroupLimit`: a partial top-k runs before the
 shuffle, so each map task sends at most k rows per window partition, however
-many rows one group or key holds.
+many rows one group or key holds. That partial top-k sorts all rows of a task,
+though, so lists over all groups are `ORDER BY ... LIMIT k` per metric instead:
+each task keeps a heap of k rows, and the metrics read one aggregate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +27,12 @@ def _value_type(df: DataFrame, metrics: list[str]) -> str:
     return "long" if integral else "double"
 
 
+def _limited(df: DataFrame, value: Column, order_keys: list[str], k: int, rank_col: str) -> DataFrame:
+    """The first k rows by `value` descending, numbered; the window covers those k rows only."""
+    order = [value.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order_keys]]
+    return df.orderBy(*order).limit(k).withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+
+
 def top_k_by_metrics(
     df: DataFrame,
     metrics: list[str],
@@ -42,6 +50,15 @@ def top_k_by_metrics(
     """
     partition_by = list(partition_by or [])
     vtype = _value_type(df, metrics)
+    if not partition_by:
+        lists = [
+            _limited(df.select(F.lit(m).alias(metric_col), "*"), F.col(m).cast(vtype), order_keys, k, rank_col)
+            for m in metrics
+        ]
+        out = lists[0]
+        for one in lists[1:]:
+            out = out.union(one)
+        return out.select(metric_col, rank_col, *[c for c in df.columns if c not in (metric_col, rank_col)])
     pairs = []
     for m in metrics:
         pairs += [F.lit(m), F.col(m).cast(vtype)]
@@ -63,10 +80,26 @@ def top_k_per_class(
     k: int = TOP_K,
     rank_col: str = "rank",
 ) -> DataFrame:
-    """The k rows with the largest `value_col` per `partition_by` (rows are already long)."""
+    """The k rows with the largest `value_col` per `partition_by` (rows are already long).
+
+    For a few known classes and no other key use `top_k_of_classes`.
+    """
     window = Window.partitionBy(*partition_by).orderBy(
         F.col(value_col).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order_keys]
     )
     ranked = df.withColumn(rank_col, F.row_number().over(window)).where(F.col(rank_col) <= k)
     leading = [*partition_by, rank_col]
     return ranked.select(*leading, *[c for c in df.columns if c not in leading])
+
+
+def top_k_of_classes(
+    df: DataFrame, values: dict[str, str], order_keys: list[str], class_col: str, value_col: str, k: int = TOP_K, rank_col: str = "rank"
+) -> DataFrame:
+    """For each class, the k rows with the largest value in the class's column (`values`: class -> column), NULLs left out."""
+    out = None
+    for label, column in values.items():
+        rows = df.where(F.col(column).isNotNull()).select(F.lit(label).alias(class_col), "*", F.col(column).alias(value_col))
+        one = _limited(rows, F.col(value_col), order_keys, k, rank_col)
+        out = one if out is None else out.union(one)
+    leading = [class_col, rank_col]
+    return out.select(*leading, *[c for c in out.columns if c not in leading])

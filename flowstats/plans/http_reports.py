@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowstats.operators import http as agg
 from flowstats.operators.http import Keys
-from flowstats.operators.topk import top_k_by_metrics, top_k_per_class
+from flowstats.operators.topk import top_k_by_metrics, top_k_of_classes, top_k_per_class
 from flowstats.schemas import GROUP_METRICS, OVERALL_METRICS, STATUS_CLASSES, TOP_K
 
 GROUP = "dst_group_id"
@@ -43,24 +43,30 @@ def status_counts(http: DataFrame, by: Keys = ()) -> DataFrame:
     return agg.status_counts(http, by)
 
 
-def _top_url_status(http: DataFrame, keys: list[str], k: int) -> DataFrame:
-    # One aggregate per (keys, url) with a count per class, then one long row
-    # per class the URL has; each long row keeps all class counts, which is
-    # what the original attached with a self-join.
-    pivot = agg.url_class_pivot(http, keys)
-    pairs = []
-    for c in STATUS_CLASSES:
-        pairs += [F.lit(c), F.col(agg.class_count_column(c))]
-    long = pivot.select("*", F.stack(F.lit(len(STATUS_CLASSES)), *pairs).alias("status_class", "requests")).where(
+def top_classes(pivot: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Per status class (and `keys`), the k URLs of a class pivot with most requests of that class.
+
+    One long row per class the URL has; each keeps all class counts, which is
+    what the original attached with a self-join.
+    """
+    columns = {c: agg.class_count_column(c) for c in STATUS_CLASSES}
+    if not keys:
+        return top_k_of_classes(pivot, columns, ["url"], "status_class", "requests", k)
+    pairs = [x for c, n in columns.items() for x in (F.lit(c), F.col(n))]
+    long = pivot.select("*", F.stack(F.lit(len(columns)), *pairs).alias("status_class", "requests")).where(
         F.col("requests").isNotNull()
     )
     return top_k_per_class(long, "requests", ["url"], ["status_class", *keys], k)
 
 
+def _top_url_status(http: DataFrame, keys: list[str], k: int) -> DataFrame:
+    return top_classes(agg.url_class_pivot(http, keys), keys, k)
+
+
 def top_url_status(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:
     """Per status class and group, the k URLs with most requests of that class.
 
-    Each row carries the URL's counts for all five classes (NULL = none).
+    Each row carries the URL's counts for all its classes (NULL = none).
     """
     return _top_url_status(http, [*by, GROUP], k)
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from flowstats.functions.columns import batch_time
 from flowstats.schemas import BATCH_INTERVAL
@@ -28,5 +29,6 @@ def replay_by_bucket(
     **options,
 ) -> DataFrame:
     """`report` per tumbling `interval` bucket of `ts_col` (bucket as `yyyyMMddHHmmss`)."""
-    bucketed = records.withColumn(bucket_col, batch_time(ts_col, interval))
+    zoned = isinstance(records.schema[ts_col].dataType, T.TimestampType)
+    bucketed = records.withColumn(bucket_col, batch_time(ts_col, interval, zoned))
     return report(bucketed, by=[bucket_col], **options)

@@ -7,6 +7,7 @@ these are the settings used for the sessions built here (tests, bench).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,21 +44,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_local_dir: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written tables.
+    """The shared folder for checkpoints and written tables, from `spark.checkpoint.dir`.
 
-    Read from `spark.checkpoint.dir`; only when the session has none (local
-    tests) is a fresh local folder created and set.
+    Only a session in one local process (tests) may have none: it gets a fresh
+    local folder, kept for the life of the process. On a cluster a machine-local
+    folder would not be shared, so a missing setting is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="flowstats-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # core conf not settable at runtime: the context keeps it
-            pass
-        try:
-            spark.sparkContext.setCheckpointDir(path)
-        except Exception:  # no SparkContext on a Spark Connect client
-            pass
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    if _local_dir is None:
+        globals()["_local_dir"] = tempfile.mkdtemp(prefix="flowstats-ckpt-")
+        spark.sparkContext.setCheckpointDir(_local_dir)
+    return _local_dir

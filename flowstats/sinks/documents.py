@@ -5,6 +5,8 @@ on the driver. Here the folding is an aggregation: one JSON document per
 outer key, built on the executors. Only use it for reports whose inner
 entries per outer key are bounded (status codes, protocols, ports, top-k
 lists); an unbounded inner list would put a whole group into one row.
+`report_documents` knows the shape of every report and refuses those whose
+inner list has no bound.
 """
 
 from __future__ import annotations
@@ -13,6 +15,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Shape of each report's document: outer keys, inner key, and whether a group's entries are rows in order (`list`),
+# rows by key (`rows`) or one count by key (`count`).
+DOCUMENTS = {
+    "http_url": (["metric", "dst_group_id"], "rank", "list"),
+    "http_host": (["metric", "dst_group_id"], "rank", "list"),
+    "http_server": (["metric", "dst_group_id"], "rank", "list"),
+    "http_url_status": (["status_class", "dst_group_id"], "rank", "list"),
+    "http_filter_url": (["metric"], "rank", "list"),
+    "http_filter_host": (["metric"], "rank", "list"),
+    "http_filter_server": (["metric"], "rank", "list"),
+    "http_filter_url_status": (["status_class"], "rank", "list"),
+    "http_status": (["dst_group_id"], "status_code", "count"),
+    "http_filter_status": ([], "status_code", "count"),
+    "http_filter": ([], "request_type", "rows"),
+    "tcp_proto_10s": (["is_all", "dst_group_id"], "l7_proto", "rows"),
+    "tcp_dstport_10s": (["is_all", "dst_group_id"], "port", "rows"),
+    "tcp_10s": (["is_all"], "dst_group_id", "rows"),
+}
+# A group of these may hold any number of URLs or servers.
+UNBOUNDED = ("http", "tcp_server_10s")
+
+
+def report_documents(report: str, rows: DataFrame, by: list[str] | tuple[str, ...] = (), doc_col: str = "document") -> DataFrame:
+    """The documents of a report's rows, one per outer key (`by` leads, e.g. a time bucket).
+
+    Status codes and ports come from the records, so the inner lists of those reports are as long as there are
+    codes (ports: 65,536 at most); the `all` entry of TCP documents is the one with `is_all`.
+    """
+    if report in UNBOUNDED:
+        raise ValueError(f"{report}: a group's list has no bound, write its rows instead")
+    outer, key, shape = DOCUMENTS[report]
+    outer = [*by, *outer]
+    if shape == "list":
+        return row_document(rows, outer, key, doc_col)
+    if shape == "count":
+        return keyed_document(rows, outer, key, "requests", doc_col)
+    return keyed_rows(rows, outer, key, doc_col)
+
+
+def keyed_rows(df: DataFrame, outer: list[str], key: str, doc_col: str = "document") -> DataFrame:
+    """`{key: {row}, ...}` per outer key, keys sorted, as JSON text; a NULL key is written as `all`."""
+    inner = [c for c in df.columns if c not in outer]
+    name = F.coalesce(F.col(key).cast("string"), F.lit("all"))
+    entries = F.array_sort(F.collect_list(F.struct(name.alias("k"), F.struct(*inner).alias("v"))))
+    return df.groupBy(*outer).agg(F.to_json(F.map_from_entries(entries)).alias(doc_col))
+
+
 def keyed_document(df: DataFrame, outer: list[str], key: str, value: str, doc_col: str = "document") -> DataFrame:
     """`{key: value, ...}` per outer key, keys sorted, as JSON text."""
     entries = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.col(value).alias("v"))))

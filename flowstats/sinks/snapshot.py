@@ -6,20 +6,24 @@ and written with `partitionBy(...)` in dynamic-overwrite mode: writing a batch
 again (a replay after a failure) replaces exactly its own partitions and
 leaves every other batch alone, so the sink is idempotent.
 
-The default partitions are (report, day); `hour` stays a column. Each
-partition costs a folder, files and a commit step on the driver, so a month
-of hourly folders per report (720) takes ~10x longer to commit than the
-data takes to write; pass `partition_cols=[..., "hour"]` to get hour folders.
+The partitions are (report, day, hour), the grain in which jobs write: a run
+over some hours replaces these hours and no other. A run must cover whole
+partitions, or it would replace an hour by a part of it; `aligned_range`
+checks that. Dynamic overwrite moves finished files into place when the job
+commits, which needs a store with an atomic rename (HDFS, a local or network
+file system). On an object store give every run a `path` of its own.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STAMP_COLS = ["report", "dt", "hour"]
-PARTITION_COLS = ["report", "dt"]
+PARTITION_COLS = ["report", "dt", "hour"]
 
 
 def stamp(df: DataFrame, report: str, batch_time: Column) -> DataFrame:
@@ -32,6 +36,20 @@ def stamp(df: DataFrame, report: str, batch_time: Column) -> DataFrame:
     )
 
 
+def aligned_range(start: str, end: str, grain_seconds: int = 3600) -> tuple[datetime, datetime]:
+    """The half-open UTC range [start, end) of ISO times; both must lie on the partition grain."""
+    out = []
+    for text in (start, end):
+        t = datetime.fromisoformat(text)
+        t = t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t.astimezone(timezone.utc)
+        if t.microsecond or int(t.timestamp()) % grain_seconds:
+            raise ValueError(f"{text!r} is not aligned to {grain_seconds} s, the grain of the written partitions")
+        out.append(t)
+    if out[0] >= out[1]:
+        raise ValueError(f"empty range: {start!r} to {end!r}")
+    return out[0], out[1]
+
+
 def write_snapshot(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
     """Write stamped rows; rewrites only the partitions present in `df`.
 

@@ -1,32 +1,79 @@
 """JSON message decoding and the file/Kafka sources that feed it.
 
 Every source yields a `value` column of JSON text; `decode_json` turns it into
-typed columns with a fixed schema. Bad records are kept, with NULL fields and
-their text in `_corrupt_record`, instead of failing or dropping the batch.
+typed columns with a fixed schema. A message is one record or an array of
+records. Bad records are kept, with NULL fields and their text in
+`_corrupt_record`; `split_bad` parts them from the good ones, so that reports
+see good records only and the bad text can be stored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowstats.schemas import CORRUPT_RECORD
 
+STATUS = "status_code"
+
+
+def _whole_number(text: Column) -> Column:
+    """A whole number written as `5`, `"5"` or `5.0`; NULL for anything else."""
+    exact = text.try_cast("decimal(38,6)")
+    return F.coalesce(text.try_cast("bigint"), F.when(exact == F.floor(exact), exact).try_cast("bigint"))
+
+
+def _typed(field: T.StructField, text: Column) -> Column:
+    if isinstance(field.dataType, T.LongType):
+        return _whole_number(text)
+    if field.name == STATUS:  # `200`, `"200"` and `200.0` are one status
+        return F.coalesce(_whole_number(text).cast("string"), text)
+    return text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
+
 
 def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """Parse `value_col` (string or binary) with `schema`, PERMISSIVE mode.
+    """Parse `value_col` (string or binary) into one row per record of `schema`.
 
+    NULL and blank messages (tombstones, empty lines) hold no record and give no
+    row; an array gives a row per element. Numbers may be quoted or have a zero
+    fraction. Text that is no JSON object, or a field that does not fit its
+    type, sets `_corrupt_record` to the record's text; the fields that fit stay.
     `keep` names source columns (e.g. the Kafka `timestamp`) carried along.
     """
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_RECORD, T.StringType())])
-    parsed = F.from_json(
-        F.col(value_col).cast("string"),
-        with_corrupt,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD},
+    keep = list(keep or [])
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    value = F.col(value_col).cast("string")
+    messages = df.select(*keep, value.alias("_text")).where(F.length(F.trim(F.translate("_text", "\t\r\n", "   "))) > 0)
+    # An object is read as an array of one; what is neither gives no element that is a record.
+    elements = F.from_json(F.col("_text"), T.ArrayType(texts), {"mode": "PERMISSIVE"})
+    valid = F.get_json_object("_text", "$").isNotNull() & elements.isNotNull()
+    lone = F.array(F.lit(None).cast(texts))
+    is_empty_list = valid & (F.size(elements) == 0)
+    rows = messages.where(~F.coalesce(is_empty_list, F.lit(False))).select(
+        *keep, "_text", F.explode(F.when(valid, elements).otherwise(lone)).alias("_rec")
+    )
+    fields = {f.name: F.col("_rec").getField(f.name) for f in schema.fields}
+    misfit = F.lit(False)
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            misfit = misfit | (fields[f.name].isNotNull() & _typed(f, fields[f.name]).isNull())
+    is_list = F.substring(F.ltrim("_text"), 1, 1) == "["
+    own_text = F.when(is_list & F.col("_rec").isNotNull(), F.to_json("_rec")).otherwise(F.col("_text"))
+    return rows.select(
+        *keep,
+        *[_typed(f, fields[f.name]).alias(f.name) for f in schema.fields],
+        F.when(F.col("_rec").isNull() | misfit, own_text).alias(CORRUPT_RECORD),
     )
-    carried = [F.col(c) for c in (keep or [])]
-    return df.select(*carried, parsed.alias("_rec")).select(*(keep or []), "_rec.*")
+
+
+def split_bad(records: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(good records without `_corrupt_record`, bad records) of decoded rows; no second part where there is no such column."""
+    if CORRUPT_RECORD not in records.columns:
+        return records, None
+    bad = F.col(CORRUPT_RECORD).isNotNull()
+    return records.where(~bad).drop(CORRUPT_RECORD), records.where(bad)
 
 
 def encode_json(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -35,17 +82,35 @@ def encode_json(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(F.to_json(F.struct(*cols)).alias("value"))
 
 
-def read_json_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Batch read of JSON-lines files through the shared decoder."""
-    return decode_json(spark.read.text(path), schema)
+def read_json_files(spark: SparkSession, path: str, schema: T.StructType, time_col: str | None = None) -> DataFrame:
+    """Batch read of JSON-lines files through the shared decoder.
+
+    `time_col` names a time field of the records, ISO text or epoch seconds,
+    which is decoded as a timestamp besides the fields of `schema`.
+    """
+    lines = spark.read.text(path)
+    if time_col is None:
+        return decode_json(lines, schema)
+    with_time = T.StructType([*schema.fields, T.StructField(time_col, T.StringType())])
+    text = F.col(time_col)
+    epoch = F.timestamp_seconds(text.try_cast("double"))
+    return decode_json(lines, with_time).withColumn(time_col, F.coalesce(text.try_cast("timestamp"), epoch))
+
+
+#: Column with the time that a source gives its records: the Kafka timestamp, or the file's modification time.
+SOURCE_TIME = "timestamp"
 
 
 def stream_json_files(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of JSON-lines files dropped into `path`."""
+    """Streaming read of JSON-lines files dropped into `path`.
+
+    Each record carries its file's modification time as `timestamp`, which is the same when a batch is run again.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return decode_json(reader.load(path), schema)
+    lines = reader.load(path).select("value", F.col("_metadata.file_modification_time").alias(SOURCE_TIME))
+    return decode_json(lines, schema, keep=[SOURCE_TIME])
 
 
 def kafka_stream(
@@ -59,7 +124,8 @@ def kafka_stream(
     """Decoded records of one Kafka topic; needs the spark-sql-kafka package.
 
     Only the message value is decoded; the Kafka `timestamp` is kept so a
-    replayed batch can be stamped with a stable time.
+    replayed batch can be stamped with a stable time. `options` are the
+    source's own, e.g. `maxOffsetsPerTrigger` to bound a catch-up batch.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -71,11 +137,11 @@ def kafka_stream(
         reader = reader.option(key, value)
     try:
         raw = reader.load()
-    except Exception as exc:  # connector jar missing
-        if "kafka" in str(exc).lower():
+    except AnalysisException as exc:  # only a missing data source means a missing package
+        if "Failed to find data source" in str(exc) or exc.getCondition() in ("DATA_SOURCE_NOT_FOUND", None):
             raise RuntimeError(
                 "Kafka source unavailable: start Spark with the spark-sql-kafka-0-10 package "
                 "(spark.jars.packages) to read from a topic"
             ) from exc
         raise
-    return decode_json(raw, schema, keep=["timestamp"])
+    return decode_json(raw, schema, keep=[SOURCE_TIME])

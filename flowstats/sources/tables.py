@@ -85,21 +85,31 @@ def http_flows_from(events: DataFrame, pages: DataFrame) -> DataFrame:
     )
     url = (
         F.when(eid % 53 == 0, F.lit(None).cast("string"))
+        .when(eid % 37 == 0, F.concat(F.lit("https://user:pw@"), F.col("page_site"), F.lit(":8443?q="), (eid % 7).cast("string")))
         .when(eid % 4 == 0, static_url)
         .otherwise(F.col("page_rest"))
     )
-    status = _cases(
+    known = _cases(
         (eid * 7 + uid) % 11,
         [(0, 100), (1, 204), (2, 301), (3, 302), (4, 404), (5, 403), (6, 500), (7, 503)],
         200,
     )
+    # Also codes that are missing, no number, or in a class without a list of its own.
+    status = (
+        F.when(eid % 41 == 0, F.lit(None).cast("string"))
+        .when(eid % 43 == 0, F.lit("n/a"))
+        .when(eid % 47 == 0, F.lit("999"))
+        .when(eid % 59 == 0, F.lit("0"))
+        .otherwise(known.cast("string"))
+    )
+    address = F.concat(F.lit("10.0."), (uid % 4).cast("string"), F.lit("."), ((eid * 7 + uid) % 200).cast("string"))
     return joined.select(
         "event_id",
         "ts",
         F.when(eid % 97 == 0, F.lit(None).cast("long")).otherwise(uid % 5).alias("dst_group_id"),
-        F.concat(F.lit("10.0."), (uid % 4).cast("string"), F.lit("."), (uid % 60).cast("string")).alias("dst_ipv4"),
+        F.when(eid % 71 == 0, F.lit(None).cast("string")).otherwise(address).alias("dst_ipv4"),
         url.alias("url"),
-        status.cast("string").alias("status_code"),
+        status.alias("status_code"),
         F.when(eid % 101 == 0, F.lit(None).cast("long")).otherwise((eid * 13) % 1500 + 40).alias("in_bytes"),
         ((eid * 31) % 20000).alias("out_bytes"),
         (eid % 3).alias("latency_sec"),
@@ -115,14 +125,18 @@ def tcp_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tcp_flows_from(li: DataFrame) -> DataFrame:
     """`tcp_flows` over a given `lineitem` frame."""
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+
+    def missing(every: int, value: Column) -> Column:
+        return F.when((ok + pk) % every != 0, value)  # NULL in the rest
+
     return li.select(
-        (sk % 4).alias("dst_group_id"),
+        missing(31, sk % 4).alias("dst_group_id"),
         F.concat(F.lit("10.1."), (sk % 3).cast("string"), F.lit("."), (sk % 25).cast("string")).alias("dst_ipv4"),
-        _cases(pk % 5, [(0, 80), (1, 443), (2, 22), (3, 3306)], 8080).cast("long").alias("dst_port"),
-        (pk % 6).alias("l7_proto"),
-        ((ok * 7 + F.col("l_linenumber")) % 9).cast("long").alias("final_status"),
-        F.when(pk % 3 == 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("unknown_conn"),
-        ((ok * 13) % 1500).alias("in_bytes"),
+        missing(37, _cases(pk % 5, [(0, 80), (1, 443), (2, 22), (3, 3306)], 8080)).cast("long").alias("dst_port"),
+        missing(41, pk % 6).alias("l7_proto"),
+        missing(43, (ok * 7 + F.col("l_linenumber")) % 9).cast("long").alias("final_status"),
+        missing(47, F.when(pk % 3 == 0, F.lit(1)).otherwise(F.lit(0))).cast("long").alias("unknown_conn"),
+        missing(53, (ok * 13) % 1500).alias("in_bytes"),
         ((pk * 31) % 9000).alias("out_bytes"),
         ((ok * 3) % 40).alias("in_pkts"),
         ((pk * 5) % 60).alias("out_pkts"),

@@ -15,6 +15,7 @@ micro-batch. `--files DIR` reads JSON-lines files instead of Kafka and
 from __future__ import annotations
 
 import argparse
+import hashlib
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -24,8 +25,7 @@ from flowstats.plans.http_shared import http_report_set
 from flowstats.plans.tcp_shared import tcp_report_set
 from flowstats.plans.tcp_reports import TCP_REPORTS
 from flowstats.schemas import BATCH_INTERVAL, HTTP_SCHEMA, TCP_SCHEMA
-from flowstats.session import checkpoint_dir
-from flowstats.sources.json_records import kafka_stream, stream_json_files
+from flowstats.sources.json_records import SOURCE_TIME, kafka_stream, stream_json_files
 from flowstats.streaming.runner import run_reports
 
 KINDS = {"http": (HTTP_SCHEMA, HTTP_REPORTS), "tcp": (TCP_SCHEMA, TCP_REPORTS)}
@@ -41,15 +41,35 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--reports", help="comma-separated report names (default: all of the kind)")
     p.add_argument("--sink", required=True, help="output folder of the report table")
-    p.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
+    p.add_argument("--checkpoint", help="stream checkpoint folder (default: one for this source and sink under spark.checkpoint.dir)")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="most Kafka records in one batch, so a catch-up batch stays bounded")
+    p.add_argument("--max-files-per-trigger", type=int, help="most files in one batch")
+    p.add_argument("--kafka-option", action="append", default=[], metavar="NAME=VALUE", help="passed to the Kafka source")
     p.add_argument("--interval", default=BATCH_INTERVAL)
     p.add_argument("--available-now", action="store_true")
     args = p.parse_args(argv)
     if args.brokers and not args.topic:
         p.error("--brokers needs --topic")
+    if any("=" not in o for o in args.kafka_option):
+        p.error("--kafka-option needs NAME=VALUE")
     return args
 
 
+def checkpoint_location(spark: SparkSession, args: argparse.Namespace) -> str:
+    """`--checkpoint`, or the folder of this kind, source and sink under `spark.checkpoint.dir`; an error without either.
+
+    A folder made anew at each start would forget the offsets, and the records between two runs would be skipped.
+    """
+    if args.checkpoint:
+        return args.checkpoint
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("pass --checkpoint or set spark.checkpoint.dir: offsets must outlive the job")
+    source = f"{args.brokers}/{args.topic}" if args.brokers else args.files
+    digest = hashlib.sha256("\n".join([args.kind, source, args.sink]).encode()).hexdigest()[:16]
+    return f"{root.rstrip('/')}/flowstats-{args.kind}-{digest}"
+
+
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     schema, catalog = KINDS[args.kind]
     names = args.reports.split(",") if args.reports else list(catalog)
@@ -57,12 +77,13 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     if unknown:
         raise ValueError(f"unknown {args.kind} reports: {unknown}; known: {sorted(catalog)}")
     if args.brokers:
-        records = kafka_stream(spark, args.brokers, args.topic, schema, args.starting_offsets)
-        time_col = "timestamp"
+        options = dict(o.split("=", 1) for o in args.kafka_option)
+        if args.max_offsets_per_trigger:
+            options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
+        records = kafka_stream(spark, args.brokers, args.topic, schema, args.starting_offsets, options)
     else:
-        records = stream_json_files(spark, args.files, schema)
-        time_col = None
-    checkpoint = args.checkpoint or f"{checkpoint_dir(spark)}/flowstats-{args.kind}"
+        records = stream_json_files(spark, args.files, schema, args.max_files_per_trigger)
+    checkpoint = checkpoint_location(spark, args)
     # All reports of a kind: derive them from aggregations shared within each batch.
     shared_sets = {"http": http_report_set, "tcp": tcp_report_set}
     reports = shared_sets[args.kind]() if not args.reports else {n: catalog[n] for n in names}
@@ -73,7 +94,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         checkpoint,
         interval=args.interval,
         available_now=args.available_now,
-        time_col=time_col,
+        time_col=SOURCE_TIME,
         query_name=f"flowstats_{args.kind}",
     )
 

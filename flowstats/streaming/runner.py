@@ -7,9 +7,13 @@ allowed on streaming frames, but inside `foreachBatch` the batch is a plain
 DataFrame, so the batch reports are reused unchanged.
 
 Fault tolerance: offsets are checkpointed, so a failed batch is replayed with
-the same `batch_id` and the same records. Output is partitioned by report and
-`batch_id` and written in dynamic-overwrite mode, so a replay replaces its
-own partitions instead of adding duplicates.
+the same `batch_id` and the same records. Output is partitioned by report, day,
+hour and `batch_id` and written in dynamic-overwrite mode, so a replay replaces
+its own partitions instead of adding duplicates. The day and hour are those of
+the batch's earliest source time, which a replay finds again.
+
+Bad records (`_corrupt_record`) never reach a report: they are written as text
+to a quarantine folder beside the sink, under the same day, hour and batch.
 """
 
 from __future__ import annotations
@@ -18,18 +22,25 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowstats.functions.columns import interval_seconds
 from flowstats.plans.report_set import BATCH, ReportSet
-from flowstats.schemas import BATCH_INTERVAL
-from flowstats.sinks.snapshot import write_snapshot
+from flowstats.schemas import BATCH_INTERVAL, CORRUPT_RECORD
+from flowstats.sinks.snapshot import stamp, write_snapshot
+from flowstats.sources.json_records import split_bad
 
 Report = Callable[[DataFrame], DataFrame]
-STREAM_PARTITIONS = ["report", "batch_id"]
+STREAM_PARTITIONS = ["report", "dt", "hour", "batch_id"]
+QUARANTINE_PARTITIONS = ["dt", "hour", "batch_id"]
+
+
+def quarantine_path(sink_path: str) -> str:
+    """Folder of the bad records of a sink, beside it."""
+    return f"{sink_path.rstrip('/')}-quarantine"
 
 
 def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) -> F.Column:
@@ -39,8 +50,7 @@ def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) ->
         # Stable on replay: the records' earliest time, read once for the batch.
         seconds = batch.agg(F.unix_seconds(F.min(time_col).cast("timestamp"))).first()[0]
     if seconds is None:
-        # Wall clock: a replay may stamp another time, but it still overwrites
-        # its own `batch_id` partitions.
+        # Wall clock, only where the source gives no time: a replay may then stamp another hour.
         seconds = int(time.time())
     return F.lit(time.strftime("%Y%m%d%H%M%S", time.gmtime(seconds - seconds % bucket_seconds)))
 
@@ -77,25 +87,33 @@ def process_batch(
         empty = batch.count() == 0 if persist else batch.isEmpty()
         if empty:
             return
-        stamp = _batch_time(batch, time_col, bucket_seconds)
+        when = _batch_time(batch, time_col, bucket_seconds)
+        good, bad = split_bad(batch)
+        if bad is not None:
+            text = bad.select(F.col(CORRUPT_RECORD).alias("bad_record"), F.lit(batch_id).alias("batch_id"), when.alias("batch_time"))
+            write_snapshot(
+                stamp(text, "quarantine", F.col("batch_time")).drop("report"), quarantine_path(sink_path), QUARANTINE_PARTITIONS
+            )
+            if good.isEmpty():
+                return
         workers = max(1, parallel_reports)
+        # Pool threads take the query's job group along, so that stopping the query cancels their jobs.
+        carried = inheritable_thread_target(batch.sparkSession)
         with ThreadPoolExecutor(max_workers=workers) as pool:
             if isinstance(reports, ReportSet):
-                shared = {n: build(batch).persist(StorageLevel.MEMORY_AND_DISK) for n, build in reports.shared.items()}
-                for done in [pool.submit(df.count) for df in shared.values()]:
+                shared = {n: build(good).persist(StorageLevel.MEMORY_AND_DISK) for n, build in reports.shared.items()}
+                for done in [pool.submit(carried(df.count)) for df in shared.values()]:
                     done.result()
-                frames = {**shared, BATCH: batch}
+                frames = {**shared, BATCH: good}
                 jobs = {name: (lambda fn=fn: fn(frames)) for name, fn in reports.reports.items()}
             else:
-                jobs = {name: (lambda fn=fn: fn(batch)) for name, fn in reports.items()}
+                jobs = {name: (lambda fn=fn: fn(good)) for name, fn in reports.items()}
 
             def run(name: str, build: Callable[[], DataFrame]) -> None:
-                rows = build().select(
-                    "*", F.lit(name).alias("report"), F.lit(batch_id).alias("batch_id"), stamp.alias("batch_time")
-                )
-                write_snapshot(rows, sink_path, STREAM_PARTITIONS)
+                rows = build().select("*", F.lit(batch_id).alias("batch_id"), when.alias("batch_time"))
+                write_snapshot(stamp(rows, name, F.col("batch_time")), sink_path, STREAM_PARTITIONS)
 
-            for done in [pool.submit(run, name, build) for name, build in jobs.items()]:
+            for done in [pool.submit(carried(run), name, build) for name, build in jobs.items()]:
                 done.result()  # re-raises a report's failure, failing the batch
     finally:
         for df in shared.values():

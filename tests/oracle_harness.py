@@ -106,7 +106,7 @@ def main(argv: list[str]) -> int:
             r = compare(spark, con, name, sf_dir)
         except Exception as exc:  # report and go on
             r = {"name": name, "match": False, "error": repr(exc)[:600]}
-        bad += not r.get("match", r.get("oracle") == "none")
+        bad += not r.get("match", r.get("oracle") == "none")  # no twin: rows only
         print(r, flush=True)
     print(f"mismatches: {bad} of {len(names)}")
     return 1 if bad else 0

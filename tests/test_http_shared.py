@@ -3,7 +3,8 @@
 import pytest
 
 from flowstats.plans.http_reports import HTTP_REPORTS
-from flowstats.plans.http_shared import BATCH, http_report_set
+from flowstats.plans.http_shared import http_report_set
+from flowstats.plans.report_set import BATCH
 from flowstats.sources.tables import http_flows
 from tests.conftest import SF01
 

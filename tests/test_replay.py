@@ -53,8 +53,63 @@ def test_batch_job_writes_replayed_reports(spark, tmp_path):
     got = got.select(*expected.columns)
     assert _same(got, expected)
 
+    # Stored JSON with its time field gives the same rows.
+    from flowstats.sources.json_records import encode_json
+
+    encode_json(flows).write.text(str(tmp_path / "json"))
+    args = parse_args(["http", "--input", str(tmp_path / "json"), "--format", "json", "--sink", str(tmp_path / "out3"),
+                       "--reports", "http_status", "--by-bucket", "--interval", "1 day"])
+    run(spark, args)
+    got = read_snapshot(spark, str(tmp_path / "out3"), expected.schema).select(*expected.columns)
+    assert _same(got, expected)
+
     args = parse_args(["tcp", "--input", str(tmp_path / "in"), "--sink", str(tmp_path / "out2"), "--reports", "nope"])
     import pytest
 
     with pytest.raises(ValueError):
         run(spark, args)
+
+
+def test_batch_job_runs_hour_by_hour(spark, tmp_path):
+    """Two runs of one day and a replay of the first equal one run over both hours."""
+    import pytest
+
+    from flowstats.batch_job import parse_args, run
+    from flowstats.sinks.snapshot import read_snapshot
+
+    flows = http_flows(spark, SF001)
+    flows.write.parquet(str(tmp_path / "in"))
+    day = flows.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("d")).count().orderBy(F.desc("count"), "d").first().d
+
+    def job(sink, start, end, *more):
+        return run(spark, parse_args(["http", "--input", str(tmp_path / "in"), "--sink", str(tmp_path / sink), "--by-bucket",
+                                      "--interval", "1 hour", "--start", f"{day}T{start}", "--end", f"{day}T{end}", *more]))
+
+    names = job("parts", "00", "12", "--documents")
+    job("parts", "12", "23")
+    job("parts", "00", "12", "--documents")
+    job("whole", "00", "23")
+    part = flows.where(F.date_format("ts", "yyyy-MM-dd") == day).where(F.hour("ts") < 23)
+    for name in names:
+        expected = replay_by_bucket(part, H.HTTP_REPORTS[name], interval="1 hour")
+        for sink in ("parts", "whole"):
+            got = read_snapshot(spark, str(tmp_path / sink), expected.schema).where(F.col("report") == name).select(*expected.columns)
+            assert _same(got, expected), (name, sink)
+    with pytest.raises(ValueError, match="aligned"):
+        job("parts", "00:30", "12")
+    with pytest.raises(SystemExit):
+        parse_args(["http", "--input", "a", "--sink", "b", "--by-bucket", "--start", "2024-01-01T00"])
+
+
+def test_buckets_of_instants_over_a_clock_change(spark):
+    """Two instants an hour apart that the session's clock shows as the same time stay apart."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(1730610000,), (1730613600,), (-5,), (None,)], "e long").withColumn("ts", F.timestamp_seconds("e"))
+        got = [r.b for r in df.select(batch_time("ts", "1 hour", zoned=True).alias("b")).collect()]
+        assert got == ["20241103050000", "20241103060000", "19691231230000", None]
+        counted = replay_by_bucket(df.withColumn("status_code", F.lit("200")), H.overall_status_counts, interval="1 hour")
+        assert sorted((r.batch_time or "", r.requests) for r in counted.collect()) == [("", 1), ("19691231230000", 1), ("20241103050000", 1), ("20241103060000", 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

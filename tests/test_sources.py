@@ -28,6 +28,19 @@ def test_decode_cases(spark):
     assert rows[4][CORRUPT_RECORD] is not None  # bad field keeps the record, flags it
 
 
+def test_arrays_blanks_and_tolerant_numbers(spark):
+    lines = ["", None, " \t", "[]", '[{"dst_group_id":1,"status_code":"200.0"},{"dst_group_id":"2"},{"dst_group_id":"q"}]',
+             '{"dst_group_id":"5","in_bytes":"7","status_code":200.0}', '{"in_bytes":1.5}', "[1]", "7", "null", "{}",
+             '{"in_bytes":99999999999999999999}']
+    rows = decode_json(spark.createDataFrame([(v,) for v in lines], "value string"), HTTP_SCHEMA).collect()
+    got = [(r.dst_group_id, r.in_bytes, r.status_code, r[CORRUPT_RECORD]) for r in rows]
+    assert got == [
+        (1, None, "200", None), (2, None, None, None), (None, None, None, '{"dst_group_id":"q"}'), (5, 7, "200", None),
+        (None, None, None, '{"in_bytes":1.5}'), (None, None, None, "[1]"), (None, None, None, "7"), (None, None, None, "null"),
+        (None, None, None, None), (None, None, None, '{"in_bytes":99999999999999999999}'),
+    ]
+
+
 def test_binary_value_and_kept_columns(spark):
     raw = spark.createDataFrame([(bytearray(b'{"dst_group_id":3}'), 7)], "value binary, offset long")
     row = decode_json(raw, HTTP_SCHEMA, keep=["offset"]).first()

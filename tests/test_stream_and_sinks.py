@@ -66,16 +66,33 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path, http_micro):
     assert per_batch == {"0": 5, "1": 5}
 
 
-def test_snapshot_day_partitions(spark, tmp_path):
-    df = spark.createDataFrame([("20240101090510", 1), ("20240102100000", 2)], "batch_time string, n long")
+def test_snapshot_keeps_earlier_hours_of_the_day(spark, tmp_path):
     path = str(tmp_path / "snap")
-    write_snapshot(stamp(df, "r", F.col("batch_time")), path)
-    assert sorted(p.name for p in (tmp_path / "snap" / "report=r").iterdir()) == ["dt=2024-01-01", "dt=2024-01-02"]
-    back = read_snapshot(spark, path, df.schema)
-    assert sorted((r.dt, r.hour, r.n) for r in back.collect()) == [("2024-01-01", "09", 1), ("2024-01-02", "10", 2)]
-    # rewriting one day replaces that day only, without duplicates
-    write_snapshot(stamp(df.where("n = 1").withColumn("n", F.lit(5).cast("long")), "r", F.col("batch_time")), path)
-    assert sorted((r.dt, r.n) for r in read_snapshot(spark, path, df.schema).collect()) == [("2024-01-01", 5), ("2024-01-02", 2)]
+
+    def write(*rows):
+        df = spark.createDataFrame(list(rows), "batch_time string, n long")
+        write_snapshot(stamp(df, "r", F.col("batch_time")), path)
+
+    def stored():
+        return sorted((r.dt, r.hour, r.n) for r in read_snapshot(spark, path, T.StructType.fromDDL("batch_time string, n long")).collect())
+
+    write(("20240101090510", 1), ("20240102100000", 2))
+    write(("20240101100000", 3))  # a later run of the same day
+    assert stored() == [("2024-01-01", "09", 1), ("2024-01-01", "10", 3), ("2024-01-02", "10", 2)]
+    write(("20240101095000", 5))  # a replay of hour 09 replaces that hour only
+    assert stored() == [("2024-01-01", "09", 5), ("2024-01-01", "10", 3), ("2024-01-02", "10", 2)]
+
+
+def test_ranges_are_whole_hours():
+    import pytest
+
+    from flowstats.sinks.snapshot import aligned_range
+
+    start, end = aligned_range("2024-01-01T09", "2024-01-01T11:00:00+01:00")
+    assert (start.hour, end.hour) == (9, 10)
+    for bad in (("2024-01-01T09:30", "2024-01-01T10"), ("2024-01-01T09", "2024-01-01T09"), ("2024-01-01T10", "2024-01-01T09")):
+        with pytest.raises(ValueError):
+            aligned_range(*bad)
 
 
 def test_snapshot_hour_partitions_keep_strings(spark, tmp_path):
@@ -123,6 +140,12 @@ def test_interval_seconds():
     from flowstats.functions.columns import interval_seconds
 
     assert [interval_seconds(i) for i in ("10 seconds", "1 second", "1 minute", "2 hours")] == [10, 1, 60, 7200]
+    assert interval_seconds("1 minute 30 seconds") == 90
+    import pytest
+
+    for bad in ("500 milliseconds", "", "10", "ten seconds", "0 seconds"):
+        with pytest.raises(ValueError, match="interval"):
+            interval_seconds(bad)
 
 
 def _write_json_part(df, folder, name):
@@ -191,3 +214,101 @@ def test_command_line_job_report_subset(spark, tmp_path, http_micro):
         start(spark, parse_args(["http", *common, "--reports", "no_such_report"]))
     with pytest.raises(SystemExit):
         parse_args(["tcp", "--brokers", "b:9092", "--sink", "s"])  # --brokers needs --topic
+
+
+BAD = ["junk", '{"dst_group_id":"x","status_code":200}', "", "   ", '{"status_code":']
+
+
+def test_bad_records_are_quarantined_and_reach_no_report(spark, tmp_path, http_micro):
+    from flowstats.streaming.job import parse_args, start
+    from flowstats.streaming.runner import QUARANTINE_PARTITIONS, quarantine_path
+
+    good = [r.value for r in encode_json(http_micro).collect()]
+    spark.createDataFrame([(v,) for v in good + BAD], "value string").coalesce(1).write.text(str(tmp_path / "src"))
+    sink = str(tmp_path / "sink")
+    args = parse_args(["http", "--files", str(tmp_path / "src"), "--sink", sink, "--checkpoint", str(tmp_path / "ckpt"),
+                       "--available-now", "--max-files-per-trigger", "1"])
+    start(spark, args).awaitTermination()
+    for name in ("http_filter", "http_filter_url", "http_filter_status"):
+        expected = H.HTTP_REPORTS[name](http_micro)
+        got = read_snapshot(spark, sink, _sink_schema(expected), STREAM_PARTITIONS).where(F.col("report") == name).select(*expected.columns)
+        assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0, name
+    bad = read_snapshot(spark, quarantine_path(sink), T.StructType.fromDDL("bad_record string, batch_time string"), QUARANTINE_PARTITIONS)
+    rows = bad.collect()
+    assert sorted(r.bad_record for r in rows) == sorted(v for v in BAD if v.strip())
+    # The day and hour are those of the source file, so a replay writes the same partitions.
+    written = min(p.stat().st_mtime for p in (tmp_path / "src").glob("part-*"))
+    import time
+
+    assert {(r.dt, r.hour) for r in rows} == {(time.strftime("%Y-%m-%d", time.gmtime(written)), time.strftime("%H", time.gmtime(written)))}
+
+
+def test_a_batch_of_bad_records_only(spark, tmp_path):
+    raw = spark.createDataFrame([("junk",)], "value string")
+    from flowstats.sources.json_records import decode_json
+    from flowstats.streaming.runner import quarantine_path
+
+    process_batch(decode_json(raw, HTTP_SCHEMA), 0, {"http_status": H.status_counts}, str(tmp_path / "sink"))
+    assert not (tmp_path / "sink").exists()
+    assert [r.bad_record for r in spark.read.json(quarantine_path(str(tmp_path / "sink"))).collect()] == ["junk"]
+
+
+def test_a_start_without_a_checkpoint_folder_fails(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from flowstats.session import checkpoint_dir
+    from flowstats.streaming.job import checkpoint_location, parse_args
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    base = ["http", "--files", "in", "--sink"]
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpoint_location(Session, parse_args([*base, "a"]))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session)
+    Session.conf["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert checkpoint_dir(Session) == "hdfs://shared"
+    one, other = (checkpoint_location(Session, parse_args([*base, s])) for s in ("a", "b"))
+    topic = checkpoint_location(Session, parse_args(["http", "--brokers", "h:1", "--topic", "t", "--sink", "a"]))
+    assert len({one, other, topic}) == 3 and one == checkpoint_location(Session, parse_args([*base, "a"]))
+    assert checkpoint_location(Session, parse_args([*base, "a", "--checkpoint", "c"])) == "c"
+
+
+def test_report_threads_inherit_the_job_group(spark, tmp_path, http_micro):
+    seen = []
+
+    def report(batch):
+        seen.append(batch.sparkSession.sparkContext.getLocalProperty("spark.jobGroup.id"))
+        return H.status_counts(batch)
+
+    spark.sparkContext.setJobGroup("the-stream", "x")
+    try:
+        process_batch(http_micro, 0, {"http_status": report}, str(tmp_path / "sink"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert seen == ["the-stream"]
+
+
+def test_documents_of_every_report(spark, http_micro, tcp_micro):
+    import pytest
+
+    from flowstats.sinks.documents import DOCUMENTS, UNBOUNDED, report_documents
+
+    catalog = {**H.HTTP_REPORTS, **TR.TCP_REPORTS}
+    assert set(DOCUMENTS) | set(UNBOUNDED) == set(catalog)
+    for name in DOCUMENTS:
+        records = tcp_micro if name.startswith("tcp") else http_micro
+        rows = catalog[name](records)
+        docs = report_documents(name, rows).collect()
+        assert sum(len(json.loads(d.document)) for d in docs) == rows.count(), name
+    summary = {d.is_all: json.loads(d.document) for d in report_documents("tcp_10s", TR.group_summary(tcp_micro)).collect()}
+    assert set(summary[False]) == {"1", "2"} and summary[True]["all"]["bytes_total"] == 1172
+    for name in UNBOUNDED:
+        with pytest.raises(ValueError, match="no bound"):
+            report_documents(name, http_micro)
