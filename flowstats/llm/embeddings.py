@@ -99,7 +99,11 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     bits, tables = plan_tables(distinct.count(), threshold, recall)
     found = cut(_linked(distinct, bits, tables, threshold))
     links = found.where("a IS NULL").groupBy("k1", "k2").agg(F.sum("links").alias("links"))
-    roots = connected_components(found.where("a IS NOT NULL").select("a", "b"))
+    # An id that occurs with several vectors is one node, so the representatives of these are connected.
+    several = rows.where("fine").groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id")
+    several = rows.where("fine").drop("embedding").join(several, "vec_id").join(distinct.drop("embedding"), ["k1", "k2"])
+    same = several.select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
+    roots = connected_components(found.where("a IS NOT NULL").select("a", "b").union(same))
     known = distinct.drop("embedding").join(links, ["k1", "k2"], "left").join(
         roots, F.col("rep") == F.col("node"), "left"
     ).select(

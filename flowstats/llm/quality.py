@@ -23,7 +23,7 @@ DIMENSIONS, NEIGHBOURS, SHARPNESS = 48, 25, 4
 THRESHOLD = 0.3  # fixed value: score from which a document is predicted to be good
 SLICE_BYTES = 1 << 20
 WORD_BUCKETS, SHAPES, REPEAT_BINS = 2048, 16**3, 32
-WIDTH = SHAPES + WORD_BUCKETS + REPEAT_BINS
+WIDTH = SHAPES + WORD_BUCKETS + 2 * REPEAT_BINS
 
 
 def _shape_classes() -> np.ndarray:
@@ -67,19 +67,24 @@ def featurize(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _repetition(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Share of word pairs that came before in the text, as a position between bins."""
-    out = np.zeros((n, REPEAT_BINS), np.float32)
+    """Share of word pairs that came before in the text, and of words equal to the one before."""
     if len(hashes) < 2:
-        return out
+        return np.zeros((n, 2 * REPEAT_BINS), np.float32)
     pair = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
     inside = owner[:-1] == owner[1:]
+    twin = (hashes[:-1] == hashes[1:])[inside]
     pair, of = pair[inside], owner[:-1][inside]
     order = np.lexsort((pair, of))
     again = np.zeros(len(pair), bool)
     again[1:] = (pair[order][1:] == pair[order][:-1]) & (of[order][1:] == of[order][:-1])
+    return np.c_[_binned(again, of[order], n), _binned(twin, of, n)]
+
+
+def _binned(flags: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """Each text's share of flags, as a position between two bins."""
+    out = np.zeros((n, REPEAT_BINS), np.float32)
     total = np.bincount(of, minlength=n)
-    share = np.bincount(of[order], again, minlength=n) / np.maximum(total, 1)
-    place = share * (REPEAT_BINS - 1)
+    place = np.bincount(of, flags, minlength=n) / np.maximum(total, 1) * (REPEAT_BINS - 1)
     low = place.astype(np.int64)
     rows = np.flatnonzero(total)
     out[rows, low[rows]] = (1 - (place - low))[rows] * 0.2

@@ -1,6 +1,6 @@
 """Toxicity as expected severity from a cumulative-link (proportional odds) regression on sparse text features.
 
-Grades are ordered: 0 is not toxic, 1 to 3 are toxic texts by the density of the words that mark toxic labels.
+Grades are ordered: 0 is not toxic, 1 to 3 are toxic texts by how many of the words they hold that mark toxic labels.
 P(grade >= k) = sigmoid(w.x + b_k) with one weight per word shared by all thresholds and b_1 > b_2 > b_3; the expected
 severity is the sum of the three probabilities. Features are whether a word occurs in the text, by its exact hash.
 """
@@ -13,14 +13,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flowstats.llm.common import LOWER, RangeHash, ragged, slices
+from flowstats.llm.common import RangeHash, ragged, slices
 from flowstats.llm.quality import fold, labelled_sample
 
 #: At most this many labelled rows are fitted on; bounds what is collected, whatever the size of the tables.
 SAMPLE_ROWS = 8192
 #: A word is a feature if it occurs in so many rows of the sample.
 MIN_ROWS = 4
+#: and if its share among toxic and other rows differs by so many standard errors.
+MIN_DEVIATIONS = 5.0
+PREFIXES = (4, 5, 6)
 GRADES = 3
 SLICE_BYTES = 2 << 20
 #: A text is toxic if P(grade >= 1) is at least this.
@@ -28,11 +32,13 @@ THRESHOLD = 0.5
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-assert LOWER[65] == 97
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, text index) of the words of each text: runs of letters, digits and non-ASCII bytes, in lower case."""
+    """(hashes, text index) of the words of each text and of the longer words' beginnings of 4, 5 and 6 bytes.
+
+    A word is a run of letters, digits and non-ASCII bytes, in lower case; a beginning never equals a whole word.
+    """
     n = len(data)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -43,7 +49,13 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after = np.r_[inside[1:], False] & ~edge[1:]
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
     owner = np.searchsorted(offsets, starts, side="right") - 1
-    return RangeHash(data, lower=True)(starts, ends), owner
+    ranged = RangeHash(data, lower=True)
+    hashes, owners = [ranged(starts, ends)], [owner]
+    for k in PREFIXES:
+        long = ends - starts > k
+        hashes.append(ranged.fixed(starts[long], k) ^ np.uint64(k))
+        owners.append(owner[long])
+    return np.concatenate(hashes), np.concatenate(owners)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -62,6 +74,10 @@ class OrdinalModel:
         """P(grade >= k) for k = 1.. of n texts."""
         total = np.zeros(n)
         if len(self.words) and len(hashes):
+            sieve = np.zeros(1 << 16, bool)
+            sieve[self.words >> np.uint64(48)] = True
+            maybe = sieve[hashes >> np.uint64(48)]
+            hashes, owner = hashes[maybe], owner[maybe]
             at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
             hit = self.words[at] == hashes
             seen = np.unique(owner[hit] * len(self.words) + at[hit])  # a word counts once per text
@@ -69,22 +85,30 @@ class OrdinalModel:
         return _sigmoid(total[:, None] + self.cuts[None, :])
 
 
-def grades(rows: list[np.ndarray], toxic: np.ndarray, words: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
-    """Ordered grades of labelled texts: toxic ones split at the thirds of their density of marking words."""
-    n = len(words)
-    with_word = np.bincount(np.concatenate(columns), minlength=n) if columns else np.zeros(n)
-    in_toxic = np.bincount(np.concatenate([c for c, t in zip(columns, toxic, strict=True) if t] or [np.zeros(0, int)]), minlength=n)
-    odds = np.log((in_toxic + 0.5) / (toxic.sum() + 1)) - np.log((with_word - in_toxic + 0.5) / ((~toxic).sum() + 1))
-    marks = odds > 2.0
-    density = np.array([marks[c].sum() / max(1, len(r)) for c, r in zip(columns, rows, strict=True)])
+def select(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, whether they mark toxic rows) of the words that tell the two kinds of rows apart."""
+    words, counts = np.unique(np.concatenate(rows), return_counts=True)
+    words, counts = words[counts >= MIN_ROWS], counts[counts >= MIN_ROWS]
+    in_toxic, found = np.unique(np.concatenate([r for r, t in zip(rows, toxic, strict=True) if t]), return_counts=True)
+    at = np.minimum(np.searchsorted(in_toxic, words), len(in_toxic) - 1)
+    k = np.where(in_toxic[at] == words, found[at], 0) if len(in_toxic) else np.zeros(len(words))
+    n, m = len(rows), toxic.sum()
+    share = counts / n
+    deviation = (k / m - (counts - k) / (n - m)) / np.sqrt(share * (1 - share) * (1 / m + 1 / (n - m)) + 1e-12)
+    chosen = np.abs(deviation) >= MIN_DEVIATIONS
+    return words[chosen], deviation[chosen] > 0
+
+
+def grades(toxic: np.ndarray, columns: list[np.ndarray], marks: np.ndarray) -> np.ndarray:
+    """Ordered grades of labelled texts: toxic ones split at the thirds of how many marking words they hold."""
+    count = np.array([marks[c].sum() for c in columns])
     out = np.zeros(len(toxic), np.int64)
-    if toxic.any():
-        edges = np.quantile(density[toxic], np.arange(1, GRADES) / GRADES)
-        out[toxic] = 1 + np.searchsorted(edges, density[toxic], side="left")
+    edges = np.quantile(count[toxic], np.arange(1, GRADES) / GRADES)
+    out[toxic] = 1 + np.searchsorted(edges, count[toxic], side="left")
     return out
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: float = 0.02) -> OrdinalModel:
+def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: float = 3e-4) -> OrdinalModel:
     """Fit weights and cuts by gradient steps with momentum on the cumulative likelihood.
 
     `rows` holds the distinct word hashes of each text. Without rows of both kinds the model predicts the share of
@@ -95,17 +119,15 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: f
     flat = np.log(share / (1 - share)) - np.arange(GRADES)
     if not n or toxic.all() or not toxic.any():
         return OrdinalModel(np.zeros(0, np.uint64), np.zeros(0), flat)
-    words, counts = np.unique(np.concatenate(rows), return_counts=True)
-    words = words[counts >= MIN_ROWS]
+    words, marks = select(rows, toxic)
     columns = []
     for r in rows:
         at = np.minimum(np.searchsorted(words, r), max(len(words) - 1, 0))
         columns.append(at[words[at] == r] if len(words) else np.zeros(0, np.int64))
-    y = grades(rows, toxic, words, columns)
+    y = grades(toxic, columns, marks)
     row = np.repeat(np.arange(n), [len(c) for c in columns])
     col = np.concatenate(columns)
     weights, cuts = np.zeros(len(words)), flat.copy()
-    reach = (y[:, None] >= np.arange(1, GRADES + 1)[None, :]).astype(float)
     # Each class of rows (toxic or not) carries half of the loss.
     importance = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum()) * n
     m1, v1 = np.zeros(len(words) + GRADES), np.zeros(len(words) + GRADES)
@@ -122,14 +144,13 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: f
         below = y < GRADES
         d[np.flatnonzero(below), y[below]] -= slope[np.flatnonzero(below), y[below]]
         d *= (importance / mass)[:, None] / n
-        gradient = np.r_[np.bincount(col, d.sum(1)[row], len(words)) - penalty / n * weights * 10, d.sum(0)]
+        gradient = np.r_[np.bincount(col, d.sum(1)[row], len(words)) - penalty * weights, d.sum(0)]
         m1 = 0.9 * m1 + 0.1 * gradient
         v1 = 0.99 * v1 + 0.01 * gradient**2
         move = 0.05 * (m1 / (1 - 0.9**step)) / (np.sqrt(v1 / (1 - 0.99**step)) + 1e-8)
         weights += move[: len(words)]
         cuts += move[len(words) :]
         cuts = np.minimum.accumulate(cuts)  # thresholds stay in order
-    del reach
     return OrdinalModel(words, weights, cuts)
 
 
@@ -140,7 +161,8 @@ def _labelled_words(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
         for batch in batches:
             data, offsets = ragged(batch.column(0))
             hashes, owner = terms(data, offsets)
-            edges = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            order = np.argsort(owner, kind="stable")
+            hashes, edges = hashes[order], np.searchsorted(owner[order], np.arange(batch.num_rows + 1))
             sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1).cast(pa.int32()), pa.array(sets, pa.binary())], names=["label", "words"]
@@ -163,8 +185,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     added = ["expected_severity", "severity", "toxic"]
     kept = docs.drop(*added)
     at = kept.columns.index("text")
-    schema = kept.schema.simpleString()[len("struct<") : -1]
-    del schema
 
     def run(batches):
         m = model.value
@@ -180,8 +200,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
                     names=[*part.schema.names, *added],
                 )
 
-    from pyspark.sql import types as T
-
     out = T.StructType(
         [*kept.schema.fields, T.StructField(added[0], T.DoubleType()), T.StructField(added[1], T.IntegerType()),
          T.StructField(added[2], T.BooleanType())]

@@ -67,3 +67,15 @@ def test_whole_small_table(spark):
     docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
     assert result(docs) == sorted(similar(rows), key=str)
+
+
+def test_common_passages_bring_nothing_together(spark):
+    """Documents that share a passage, three quarters of each, are no candidates; near copies among them are found."""
+    rnd = random.Random(8)
+    passage = " ".join(f"common{i}" for i in range(60))
+    rows = [(i, f"{passage} " + " ".join(f"own{i}x{k}" for k in range(20))) for i in range(200)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(0, 200, 10)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df) == sorted(similar(rows), key=str)
+    assert jaccard._candidates(df, 4, 85, 3, 2).distinct().count() <= 40

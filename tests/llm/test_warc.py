@@ -1,0 +1,92 @@
+"""Archives: round trips, revisits, and files that break the format."""
+
+from __future__ import annotations
+
+import hashlib
+import struct
+
+import duckdb
+import pytest
+import zstandard
+
+from flowstats.llm.common import read_table
+from flowstats.llm.warc import (
+    DICTIONARY_FRAME, ORACLE_SQL, WarcError, archive_pages, decode_archive, decode_record, encode_archive, encode_record,
+    plan_records, read_archives, write_archives,
+)
+
+
+def record(i, body=b"<p>some html of a page</p>" * 5):
+    return encode_record(i, f"http://x/{i}", body, hashlib.sha256(body).hexdigest(), len(body), None)
+
+
+def test_round_trip_of_all_pages(spark, tmp_path):
+    pages = read_table(spark, "/root/testdata/sf0.001", "pages")
+    want = {r.page_id: (r.url, r.html.encode()) for r in pages.collect()}
+    manifest = write_archives(plan_records(pages), str(tmp_path), archive_bytes=100_000)
+    assert manifest.count() > 1
+    got = {r.page_id: (r.url, bytes(r.payload)) for r in read_archives(manifest, str(tmp_path)).collect() if r.record_type == "response"}
+    assert got == {k: want[k] for k in got}
+    db = duckdb.connect()
+    db.sql("CREATE VIEW pages AS SELECT * FROM '/root/testdata/sf0.001/pages.parquet'")
+    rows = archive_pages(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, rows)) == sorted(db.sql(ORACLE_SQL).fetchall())
+
+
+def test_revisits_nulls_repeats_and_odd_addresses(spark):
+    big, other = "é" * 50, "x" * 5_000_000
+    rows = [(5, "http://a/\r\nWARC-Type: fake", big), (3, None, big), (9, "u", big), (1, "u", "s" * 99), (2, "u", "s" * 99),
+            (4, "é \\u", None), (6, "u", ""), (7, "u", other), (8, "u", other), (3, None, big), (None, "n", big), (None, None, None)]
+    df = spark.createDataFrame([(*r, "x", 2) for r in rows], "page_id long, url string, html string, payload string, refers_to int")
+    out = archive_pages(df).collect()
+    digest = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    refers = {5: 3, 9: 3, 8: 7}
+    want = []
+    for p, u, h in rows:
+        to = 3 if p is None and h == big else refers.get(p)
+        want.append((p, u, len((h or "").encode()), digest(h), "response" if to is None else "revisit", to))
+    got = [(r.page_id, r.url, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert all((r.payload is None) == (r.record_type == "revisit") for r in out)
+    assert archive_pages(df.where("page_id > 100")).collect() == []
+
+
+def test_dictionary_frame_leads_and_is_needed():
+    records = [record(i, b"<html><body>%d common words of every page</body></html>" % i * 9) for i in range(400)]
+    content = encode_archive(records)
+    magic, size = struct.unpack_from("<II", content)
+    assert magic == DICTIONARY_FRAME
+    assert [h["x-page-id"] for h, _ in decode_archive(content)] == [str(i) for i in range(400)]
+    raw = content[8 : 8 + size]
+    packed = zstandard.ZstdCompressor().compress(raw)
+    again = struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed + content[8 + size :]
+    assert len(list(decode_archive(again))) == 400
+    with pytest.raises((WarcError, zstandard.ZstdError)):
+        list(decode_archive(content[8 + size :]))  # the dictionary is gone
+    skipped = content + struct.pack("<II", 0x184D2A50, 3) + b"abc"
+    assert len(list(decode_archive(skipped))) == 400
+
+
+@pytest.mark.parametrize("damage", [
+    lambda r: r.replace(b"WARC/1.1", b"WARC/9.9"),
+    lambda r: r.replace(b"Content-Length: 130", b"Content-Length: 131"),
+    lambda r: r.replace(b"Content-Length: 130", b"Content-Length: 129"),
+    lambda r: r.replace(b"Content-Length: 130", b"Content-Length: -1"),
+    lambda r: r.replace(b"WARC-Type: response\r\n", b""),
+    lambda r: r.replace(b"WARC-Date", b"WARC Date no colon\r\nX"),
+    lambda r: r[:-4],
+    lambda r: b"",
+])
+def test_damaged_records_are_refused(damage):
+    good = record(1)
+    assert decode_record(good)[0]["content-length"] == "130"
+    with pytest.raises(WarcError):
+        decode_record(damage(good))
+
+
+def test_cut_archives_are_refused():
+    content = encode_archive([record(i) for i in range(300)])
+    for n in (len(content) - 1, len(content) - 5, 6, 30):
+        with pytest.raises((WarcError, zstandard.ZstdError)):
+            list(decode_archive(content[:n]))
+    assert list(decode_archive(b"")) == []
