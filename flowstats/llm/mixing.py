@@ -7,6 +7,8 @@ The mix is the globally ordered list of (virtual finish time, source, document),
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(docs: DataFrame, rows_per_slice: int = 100_000) -> DataFrame:
+def mix_sources(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) of every row of `docs` (doc_id, text, source).
 
     `taken` is the number of words of the row that the mix takes, repeats counted: 0, size or 2 x size. Null texts
@@ -80,7 +82,8 @@ def mix_sources(docs: DataFrame, rows_per_slice: int = 100_000) -> DataFrame:
             F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"),
         )
     )
-    slices = max(1, -(-words.count() // rows_per_slice))
+    # As many slices as rows in one, up to a constant: neither the windows over slices nor those over rows grow fast.
+    slices = max(1, math.isqrt(words.count()) // 2)
     targets = source_targets(words.groupBy("source").agg(F.sum("size").alias("source_size")))
     slice_of = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * F.lit(slices) / F.lit(2**32))
     queue = words.withColumn("slice", slice_of)
