@@ -12,7 +12,7 @@ compared as in difference-cover suffix sorting, to the depth of LENGTH bytes:
 3. The sampled positions of strings that are still open are named and sorted once more, among themselves only: the
    smallest document with a string is never settled, so nothing that could settle a string is missing.
 4. Merge the remaining suffixes. Every open string, sampled start or not, that holds a surviving name is sorted by its
-   whole prefix of LENGTH bytes (as two 64-bit names of its halves), and neighbours with equal prefixes are compared.
+   whole prefix of LENGTH bytes (as names of its halves, 96 bits together), and neighbours with equal prefixes are compared.
 
 Documents are dealt in chunks that are ranges of the id. A chunk sends each distinct name once, as sorted integers for
 one range of names, so a passage that a third of all documents share is a single entry per chunk; and as chunks are
@@ -126,7 +126,7 @@ class Entries:
         edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
         ends = np.r_[edges[1:], len(bucket)][: len(edges)]
         return [
-            (int(bucket[a]), chunk, pack(payload[a:b]), None if self.second is None else pack(self.second[a:b]))
+            (int(bucket[a]), chunk, pack(payload[a:b], in_order=True), None if self.second is None else pack(self.second[a:b]))
             for a, b in zip(edges, ends, strict=True)
         ]
 
@@ -184,11 +184,11 @@ def _settle(rows: DataFrame, ranges: int, kind: str) -> DataFrame:
             return table.select(["bucket", "chunk", "a", "b"]).cast(_STAGE_ARROW)
         chunks = table.column("chunk").to_pylist()
         dtype = "u4" if kind == "name" else "u8"
-        parts = [unpack(x, dtype) for x in table.column("a").to_pylist()]
+        parts = [unpack(x, dtype, in_order=True) for x in table.column("a").to_pylist()]
         sizes = [len(p) for p in parts]
         names, chunk = np.concatenate(parts), np.repeat(np.array(chunks, np.int32), sizes)
         if kind == "prefix":
-            second = np.concatenate([unpack(x, "u8") for x in table.column("b").to_pylist()])
+            second = np.concatenate([unpack(x, "u4") for x in table.column("b").to_pylist()])
             order = np.lexsort((second, names))
         else:
             second, order = None, np.argsort(names)
@@ -293,7 +293,8 @@ def remove_repeats(
 
     def prefixes(c: Chunk, at: np.ndarray) -> Entries:
         half = length // 2
-        return Entries(c.hash.fixed(at, half), c.ranks(at), c.hash.fixed(at + half, length - half))
+        second = (c.hash.fixed(at + half, length - half) >> np.uint64(32)).astype(np.uint32)
+        return Entries(c.hash.fixed(at, half), c.ranks(at), second)
 
     # Step 4: whole prefixes of the remaining strings.
     def open_prefixes(table: pa.Table, answers: pa.Table) -> pa.Table:
