@@ -1,16 +1,16 @@
 """Similarity join on word shingles by Jaccard, with a token-group matrix.
 
-Documents with equal shingle sets are collapsed. Similar sets are brought together by signatures of parts of a set:
-two sets that reach the threshold differ in a bounded number of shingles, so of that many parts plus one at least one
-is equal in both, and no link is lost. Within what is brought together, sets are partitioned in groups of similar ones
-and each group's token union is one row of a token-group matrix. A query's overlap with the union bounds its overlap
-with every member, so only the groups that reach the threshold are opened and their members compared exactly.
+Documents with equal shingle sets are collapsed. Sets that can reach the threshold are brought together by their
+rarest shingles: with all shingles in one order, the first shingle that two linked sets share lies among the first
+n - ceil(threshold * n) + 1 of both, so no link is lost; in the order of how many documents hold a shingle, those of
+passages that many documents share come last and bring nothing together. Within what is brought together, sets are
+partitioned in groups of similar ones and each group's token union is one row of a token-group matrix. A query's
+overlap with the union bounds its overlap with every member, so only the groups that reach the threshold are opened
+and their members compared exactly.
 """
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -20,8 +20,8 @@ from flowstats.llm.common import RangeHash, connected_components, cut, mix, pack
 
 WORDS, PERCENT = 4, 85
 SLICE_BYTES = 2 << 20
-#: Shingles whose sets are compared in one task's group, and signature entries in one.
-BLOCK_SHINGLES, RANGE_ENTRIES = 400_000, 1_500_000
+#: Text bytes per chunk of documents, shingles in one range, and shingles whose sets are compared in one block.
+CHUNK_BYTES, RANGE_ENTRIES, BLOCK_SHINGLES = 4 << 20, 4_000_000, 400_000
 #: Sets per row of the token-group matrix.
 GROUP_SETS = 12
 
@@ -60,63 +60,87 @@ def _per_set(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-@cache
-def _bands(percent: int) -> np.ndarray:
-    """First sizes of bands such that sets that can link lie in the same band or in neighbours."""
-    edges = [1]
-    while edges[-1] < 1 << 40:
-        edges.append(edges[-1] * 100 // percent + 1)
-    return np.array(edges, np.int64)
-
+def _ranges_of(tokens: np.ndarray, ranges: int) -> np.ndarray:
+    """A shingle's range and 32 more bits of its hash: equal shingles stay equal, and few others meet."""
+    place = ((tokens >> np.uint64(40)) * np.uint64(ranges)) >> np.uint64(24)
+    return (place << np.uint64(32)) | ((tokens >> np.uint64(8)) & np.uint64(0xFFFFFFFF))
 
-def _most_different(total: np.ndarray | int, percent: int):
-    """Most shingles in which two sets of these sizes together can differ and still link."""
-    return total * (100 - percent) // (100 + percent)
 
+class Chunk:
+    """The distinct sets of some documents, and the shingles that occur in them."""
 
-def signatures(hashes: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, set) of every part of every set, for both pairs of neighbouring bands that a set belongs to.
+    def __init__(self, table: pa.Table, words: int, ranges: int):
+        ids = table.column("doc_id").to_numpy()
+        data, offsets = ragged(table.column("text"))
+        parts = [shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words) for a, b in slices(offsets, SLICE_BYTES)]
+        h = np.concatenate([p[0] for p in parts])
+        at = np.r_[0, np.cumsum(np.concatenate([np.diff(p[1]) for p in parts]))]
+        # Copies count once: the smallest id of each distinct set.
+        f1, f2 = _per_set(mix(h), at), _per_set(mix(h ^ np.uint64(0x5555555555555555)), at)
+        order = np.lexsort((ids, f2, f1))
+        first = np.r_[True, (f1[order][1:] != f1[order][:-1]) | (f2[order][1:] != f2[order][:-1])]
+        rows = np.sort(order[first])
+        rows = rows[np.diff(at)[rows] > 0]
+        self.ids = ids[rows]
+        self.sizes = np.diff(at)[rows]
+        self.offsets = np.r_[0, np.cumsum(self.sizes)]
+        self.tokens = np.concatenate([h[at[r] : at[r + 1]] for r in rows] or [h[:0]])
+        self.names, self.of, self.holders = np.unique(_ranges_of(self.tokens, ranges), return_inverse=True, return_counts=True)
+
+    def rows(self, number: int) -> pa.Table:
+        """A row for each range of shingles: the shingles in order, and how many of these sets hold each."""
+        bucket = (self.names >> np.uint64(32)).astype(np.int64)
+        head = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+        tail = np.r_[head[1:], len(bucket)][: len(head)]
+        names, held = self.names.astype(np.uint32), np.minimum(self.holders, 255).astype(np.uint8)
+        return pa.table(
+            {
+                "bucket": pa.array(bucket[head], pa.int64()),
+                "chunk": pa.array(np.full(len(head), number), pa.int32()),
+                "a": pa.array([pack(names[x:y], in_order=True) for x, y in zip(head, tail, strict=True)], pa.binary()),
+                "b": pa.array([pack(held[x:y]) for x, y in zip(head, tail, strict=True)], pa.binary()),
+            }
+        )
 
-    A set with too few non-empty parts to be sure of an equal one also sends its empty parts.
-    """
-    edges = _bands(percent)
-    sizes = np.diff(offsets)
-    some = np.flatnonzero(sizes)
-    band = np.searchsorted(edges, sizes[some], side="right") - 1
-    out_sig, out_set = [], []
-    for shift in (0, -1):
-        pair = band + shift  # the pair of bands (pair, pair + 1)
-        ok = pair >= 0
-        sets, pair = some[ok], pair[ok]
-        size = sizes[sets]
-        largest = edges[pair + 2] - 1
-        allowed = _most_different(2 * largest, percent)
-        parts = allowed + 1 + (allowed + 24) // 25
-        own = _most_different(size + np.minimum(largest, size * 100 // percent), percent)
-        ok = own > 0  # else only equal sets link
-        sets, pair, parts, own, size = sets[ok], pair[ok], parts[ok], own[ok], size[ok]
-        if not len(sets):
-            continue
-        token = np.concatenate([np.arange(a, b) for a, b in zip(offsets[sets], offsets[sets + 1], strict=True)])
-        which = np.repeat(np.arange(len(sets)), size)
-        h = hashes[token]
-        part = ((h >> np.uint64(32)) * parts[which].astype(np.uint64)) >> np.uint64(32)  # in order within a set
-        key = which.astype(np.uint64) << np.uint64(32) | part
-        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        scrambled = mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-        total = np.add.reduceat(scrambled, head)
-        of, part = which[head], part[head]
-        salt = (pair[of].astype(np.uint64) << np.uint64(40)) + part
-        out_sig.append(mix(mix(salt) + total))
-        out_set.append(sets[of])
-        filled = np.bincount(of, minlength=len(sets))
-        for s in np.flatnonzero(filled <= own):
-            empty = np.setdiff1d(np.arange(parts[s], dtype=np.uint64), part[of == s])
-            out_sig.append(mix(mix((np.uint64(pair[s]) << np.uint64(40)) + empty)))
-            out_set.append(np.full(len(empty), sets[s]))
-    if not out_sig:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(out_sig), np.concatenate(out_set)
+    def prefixes(self, rarity: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """(shingles, set) of every set's first shingles from rare to frequent, without those nothing else holds."""
+        out_token, out_set = [], []
+        rare = rarity[self.of]
+        for i, (a, b) in enumerate(zip(self.offsets[:-1], self.offsets[1:], strict=True)):
+            n = b - a
+            length = n - -(-percent * n // 100) + 1
+            c = rare[a:b]
+            if np.count_nonzero(c == 0) >= length:
+                continue  # its first shingles occur nowhere else
+            first = np.lexsort((self.tokens[a:b], c))[:length]
+            first = first[c[first] > 0]
+            out_token.append(self.tokens[a:b][first])
+            out_set.append(np.full(len(first), i))
+        if not out_token:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.concatenate(out_token), np.concatenate(out_set)
+
+
+def _rarity(table: pa.Table) -> pa.Table:
+    """For the shingles of one range, a byte that grows with how many documents hold each; 0 if only one does."""
+    names = [unpack(x, "u4", in_order=True) for x in table.column("a").to_pylist()]
+    held = np.concatenate([unpack(x, "u1") for x in table.column("b").to_pylist()]).astype(np.int64)
+    sizes = [len(x) for x in names]
+    flat = np.concatenate(names)
+    order = np.argsort(flat)
+    head = np.flatnonzero(np.r_[True, flat[order][1:] != flat[order][:-1]])
+    total = np.add.reduceat(held[order], head)
+    grade = np.minimum(np.ceil(np.log2(total) * 8), 255).astype(np.uint8)
+    grades = np.empty(len(flat), np.uint8)
+    grades[order] = np.repeat(grade, np.diff(np.r_[head, len(flat)]))
+    ends = np.cumsum(sizes)
+    return pa.table(
+        {
+            "bucket": table.column("bucket").cast(pa.int64()),
+            "chunk": table.column("chunk").cast(pa.int32()),
+            "a": pa.array([pack(grades[e - n : e]) for e, n in zip(ends, sizes, strict=True)], pa.binary()),
+        }
+    )
 
 
 class _Union:
@@ -202,57 +226,61 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long")
 
 
-def _candidates(docs: DataFrame, words: int, percent: int, ranges: int) -> DataFrame:
-    """Edges (a, b) that connect all documents that share a signature."""
+def _candidates(docs: DataFrame, words: int, percent: int, chunks: int, ranges: int) -> DataFrame:
+    """Edges (a, b) that connect all documents whose sets share one of both first shingles and fit in size.
+
+    The text is shuffled once, in chunks; a chunk sends each distinct shingle once and gets back how frequent it is.
+    """
+    spread = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
+    by_chunk = docs.withColumn("__chunk", spread).groupBy("__chunk")
+
+    def tokens(table: pa.Table) -> pa.Table:
+        return Chunk(table, words, ranges).rows(table.column("__chunk")[0].as_py())
+
+    def first(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _entries([], [], [], 1)
+        chunk = Chunk(table, words, ranges)
+        graded = sorted(zip(answers.column("bucket").to_pylist(), answers.column("a").to_pylist(), strict=True))
+        rarity = np.concatenate([unpack(x, "u1") for _, x in graded] or [np.zeros(0, np.uint8)])
+        token, of = chunk.prefixes(rarity, percent)
+        return _entries(token, chunk.ids[of], chunk.sizes[of], ranges)
+
+    rows = by_chunk.applyInArrow(tokens, "bucket long, chunk int, a binary, b binary")
+    grades = rows.groupBy("bucket").applyInArrow(_rarity, "bucket long, chunk int, a binary")
+    entries = by_chunk.cogroup(grades.groupBy("chunk")).applyInArrow(first, "bucket long, token binary, doc binary, n binary")
+    return entries.groupBy("bucket").applyInArrow(lambda t: _meet(t, percent), "a long, b long")
+
+
+def _entries(token, doc, size, ranges: int) -> pa.Table:
+    token, doc, size = np.asarray(token, np.uint64), np.asarray(doc, np.int64), np.asarray(size, np.uint32)
+    order = np.argsort(token, kind="stable")
+    token, doc, size = token[order], doc[order], size[order]
+    bucket = (((token >> np.uint64(40)) * np.uint64(ranges)) >> np.uint64(24)).astype(np.int64)
+    head = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(token) else np.zeros(0, np.int64)
+    tail = np.r_[head[1:], len(token)][: len(head)]
+    packed = [[pack(x[a:b]) for a, b in zip(head, tail, strict=True)] for x in (token, doc, size)]
+    return pa.table(
+        {"bucket": pa.array(bucket[head], pa.int64()), **{k: pa.array(v, pa.binary()) for k, v in zip(("token", "doc", "n"), packed, strict=True)}}
+    )
 
-    def send(batches):
-        for batch in batches:
-            data, offsets = ragged(batch.column(1))
-            for lo, hi in slices(offsets, SLICE_BYTES):
-                ids = batch.column(0).slice(lo, hi - lo).to_numpy()
-                h, at = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], words)
-                # Copies send once: the smallest id of each distinct set of the slice.
-                f = _per_set(mix(h), at)
-                first = np.lexsort((ids, f))
-                first = first[np.r_[True, f[first][1:] != f[first][:-1]]] if len(first) else first
-                keep = np.zeros(len(ids), bool)
-                keep[first] = True
-                sig, of = signatures(h, at, percent)
-                ok = keep[of]
-                sig, doc = sig[ok], ids[of[ok]]
-                bucket = (((sig >> np.uint64(40)) * np.uint64(ranges)) >> np.uint64(24)).astype(np.int32)
-                order = np.argsort(sig)
-                sig, doc, bucket = sig[order], doc[order], bucket[order]
-                head = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(sig) else np.zeros(0, np.int64)
-                tail = np.r_[head[1:], len(sig)][: len(head)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(bucket[head]),
-                        pa.array([pack(sig[a:b]) for a, b in zip(head, tail, strict=True)], pa.binary()),
-                        pa.array([pack(doc[a:b]) for a, b in zip(head, tail, strict=True)], pa.binary()),
-                    ],
-                    names=["bucket", "sig", "doc"],
-                )
 
-    def meet(table: pa.Table) -> pa.Table:
-        sig = np.concatenate([unpack(x, "u8") for x in table.column("sig").to_pylist()])
-        doc = np.concatenate([unpack(x, "i8") for x in table.column("doc").to_pylist()])
-        order = np.argsort(sig, kind="stable")
-        same = np.flatnonzero(sig[order][1:] == sig[order][:-1])
-        a, b = doc[order][same], doc[order][same + 1]
-        ok = a != b
-        a, b = np.minimum(a, b)[ok], np.maximum(a, b)[ok]
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
-        return pa.table({"a": pa.array(a[new]), "b": pa.array(b[new])})
-
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    return (
-        rows.mapInArrow(send, "bucket int, sig binary, doc binary")
-        .groupBy("bucket")
-        .applyInArrow(meet, "a long, b long")
+def _meet(table: pa.Table, percent: int) -> pa.Table:
+    """Edges between neighbours of a shingle's documents in order of size, as long as their sizes allow a link.
+
+    Where two neighbours' sizes do not, no smaller one fits any larger one either, so the chain breaks exactly there.
+    """
+    token, doc, n = (
+        np.concatenate([unpack(x, t) for x in table.column(c).to_pylist()]) for c, t in (("token", "u8"), ("doc", "i8"), ("n", "u4"))
     )
+    order = np.lexsort((doc, n, token))
+    token, doc, n = token[order], doc[order], n[order].astype(np.int64)
+    near = np.flatnonzero((token[1:] == token[:-1]) & (doc[1:] != doc[:-1]) & (100 * n[:-1] >= percent * n[1:]))
+    a, b = np.minimum(doc[near], doc[near + 1]), np.maximum(doc[near], doc[near + 1])
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    return pa.table({"a": pa.array(a[new], pa.int64()), "b": pa.array(b[new], pa.int64())})
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -265,14 +293,14 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     empty table gives an empty result.
     """
     _, n_bytes = text_volume(docs)
+    chunks = max(1, -(-n_bytes // CHUNK_BYTES))
     sets = cut(_sets(docs, words))
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     linkable = sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = cut(linkable.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")))
-    # About two fifths of a set's size in signatures, at 85 percent.
-    per_shingle = 0.1 + 2.8 * (100 - percent) / (100 + percent)
-    ranges = max(1, int(total * per_shingle / RANGE_ENTRIES) + 1)
-    near = connected_components(_candidates(docs, words, percent, ranges))
+    ranges = max(1, -(-total // RANGE_ENTRIES))
+    known = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    near = connected_components(_candidates(known, words, percent, chunks, ranges))
     members = classes.join(near, F.col("rep") == F.col("node")).select(F.col("root").alias("g"), "rep", "n")
     groups = members.groupBy("g").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("volume")).where("sets > 1")
     groups = groups.withColumn("blocks", F.ceil(F.col("volume") / BLOCK_SHINGLES).cast("int"))
