@@ -28,7 +28,7 @@ PREFIXES = (4, 5, 6)
 GRADES = 3
 SLICE_BYTES = 2 << 20
 #: A text is toxic if P(grade >= 1) is at least this.
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -120,6 +120,8 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: f
     if not n or toxic.all() or not toxic.any():
         return OrdinalModel(np.zeros(0, np.uint64), np.zeros(0), flat)
     words, marks = select(rows, toxic)
+    if not len(words):
+        return OrdinalModel(words, np.zeros(0), flat)
     columns = []
     for r in rows:
         at = np.minimum(np.searchsorted(words, r), max(len(words) - 1, 0))
@@ -128,8 +130,9 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: f
     row = np.repeat(np.arange(n), [len(c) for c in columns])
     col = np.concatenate(columns)
     weights, cuts = np.zeros(len(words)), flat.copy()
-    # Each class of rows (toxic or not) carries half of the loss.
-    importance = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum()) * n
+    # The rarer kind of rows counts more, by the root of how much rarer it is.
+    importance = 1 / np.sqrt(np.where(toxic, toxic.sum(), (~toxic).sum()) / n)
+    importance /= importance.mean()
     m1, v1 = np.zeros(len(words) + GRADES), np.zeros(len(words) + GRADES)
     for step in range(1, rounds + 1):
         p = _sigmoid(np.bincount(row, weights[col], n)[:, None] + cuts[None, :])
