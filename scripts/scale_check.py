@@ -2,8 +2,9 @@
 """Time reports as the input grows: the given tables replicated k times by Spark.
 
 Each `events` / `lineitem` row is repeated k times (`explode(sequence(...))`,
-a new id per copy) and goes through the same flow derivation as the tests; the
-copies are written once as multi-file parquet into a fresh scratch folder, so
+a new id per copy) and goes through the same flow derivation as the tests. Each
+`pages` row is repeated too, with an address of its own, so distinct URLs grow
+with k as well as rows. The copies are written once as multi-file parquet into a fresh scratch folder, so
 the timed runs scan files in parallel. Prints one Markdown row per k with the
 seconds per report (noop sink, median of 3 after a warm-up).
 
@@ -29,6 +30,7 @@ from flowstats.sources.tables import http_flows_from, read_table, tcp_flows_from
 REPORTS = {
     "http_top_url": (H.top_urls, "http"),
     "http_top_url_status": (H.top_url_status, "http"),
+    "http_overall_top_url": (H.overall_top_urls, "http"),
     "http_overall_top_host": (H.overall_top_hosts, "http"),
     "tcp_proto_bytes": (T.proto_bytes, "tcp"),
     "tcp_group_summary": (T.group_summary, "tcp"),
@@ -45,7 +47,6 @@ def main() -> None:
     sf_dir, out_dir = sys.argv[1], sys.argv[2]
     ks = [int(x) for x in sys.argv[3:]] or [1, 4, 16]
     spark = local_session(8)
-    pages = read_table(spark, sf_dir, "pages")
     print("| k | HTTP rows | TCP rows | " + " | ".join(REPORTS) + " |")
     print("|---|---|---|" + "---|" * len(REPORTS))
     for k in ks:
@@ -54,6 +55,10 @@ def main() -> None:
         lineitem = read_table(spark, sf_dir, "lineitem").repartition(8)
         replicate(events, "event_id", k, 1_000_000_000).write.parquet(f"{base}/events")
         replicate(lineitem, "l_orderkey", k, 10_000_000_000).write.parquet(f"{base}/lineitem")
+        copies = replicate(read_table(spark, sf_dir, "pages"), "page_id", k, read_table(spark, sf_dir, "pages").count())
+        copies = copies.withColumn("url", F.concat("url", F.lit("/c"), F.col("page_id").cast("string")))
+        copies.write.parquet(f"{base}/pages")
+        pages = spark.read.parquet(f"{base}/pages")
         inputs = {
             "http": http_flows_from(spark.read.parquet(f"{base}/events"), pages),
             "tcp": tcp_flows_from(spark.read.parquet(f"{base}/lineitem")),

@@ -7,11 +7,12 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF001
 
-TOPK = [
-    "http_top_url", "http_top_host", "http_top_server", "http_top_url_status",
-    "http_overall_top_url", "http_overall_top_host", "http_overall_top_server", "http_overall_top_url_status",
-]
-SIDE_EFFECTS = {"snapshot_roundtrip", "stream_http_status", "stream_tcp_proto"}  # they run jobs while being built
+TOPK = ["http_top_url", "http_top_host", "http_top_server", "http_top_url_status"]
+OVERALL_TOPK = ["http_overall_top_url", "http_overall_top_host", "http_overall_top_server", "http_overall_top_url_status"]
+# They run jobs while being built.
+SIDE_EFFECTS = {"snapshot_roundtrip", "snapshot_incremental", "stream_http_status", "stream_tcp_proto"}
+# The queries of this part of the library; those of the training-data operators have tests of their own.
+REPORTS = {name: fn for name, fn in E.queries().items() if not re.match(r"op\d+_|pipeline$", name)}
 
 
 def plan_of(df) -> str:
@@ -25,7 +26,7 @@ def full_plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan_of(fn(spark, SF001)) for name, fn in E.queries().items() if name not in SIDE_EFFECTS}
+    return {name: plan_of(fn(spark, SF001)) for name, fn in REPORTS.items() if name not in SIDE_EFFECTS}
 
 
 def test_no_python_udfs(plans):
@@ -43,8 +44,40 @@ def test_top_k_is_partial_before_the_shuffle(plans):
         assert "WindowGroupLimit" in plan[exchange:], name
 
 
+def test_overall_top_k_keeps_a_heap_instead_of_sorting(plans):
+    for name in OVERALL_TOPK:
+        plan = plans[name]
+        assert plan.count("TakeOrderedAndProject(limit=50") == 5, name
+        assert "WindowGroupLimit" not in plan, name
+
+
+def test_batch_job_reads_its_input_three_times(spark, tmp_path, http_micro, tcp_micro):
+    """Twelve HTTP reports from three scans, four TCP reports from two."""
+    from pyspark import StorageLevel
+
+    from flowstats.plans.http_shared import http_report_set
+    from flowstats.plans.report_set import BATCH
+    from flowstats.plans.tcp_shared import tcp_report_set
+
+    for records, make_set, scans in ((http_micro, http_report_set, 3), (tcp_micro, tcp_report_set, 2)):
+        path = str(tmp_path / f"in{scans}")
+        records.write.parquet(path)
+        stored = spark.read.parquet(path)
+        report_set = make_set()
+        assert len(report_set.needed(list(report_set.reports))) == scans
+        shared = {n: build(stored).persist(StorageLevel.DISK_ONLY) for n, build in report_set.shared.items()}
+        assert sum(plan_of(df).count("FileScan parquet") for df in report_set.frames(stored).values() if df is not stored) == scans
+        for name, report in report_set.reports.items():
+            plan = plan_of(report({**shared, BATCH: stored}))
+            assert "InMemoryTableScan" in plan, name
+            # What is read is one of the kept aggregations; the files are only scanned to build it.
+            assert plan.split("InMemoryRelation")[0].count("FileScan parquet") == 0, name
+        for df in shared.values():
+            df.unpersist()
+
+
 def test_scans_read_only_needed_columns(spark):
-    for name, fn in E.queries().items():
+    for name, fn in REPORTS.items():
         if name in SIDE_EFFECTS:
             continue
         schemas = re.findall(r"ReadSchema: (struct<.*>)", full_plan(fn(spark, SF001)))
@@ -67,7 +100,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(REPORTS) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_filters_reach_a_parquet_scan(spark, tmp_path, http_micro, tcp_micro):
