@@ -74,8 +74,8 @@ def http_report_set(k: int = TOP_K, by: Keys = ()) -> ReportSet:
     }
 
     def per_group(base: DataFrame, key: str, out_key: str, names: list[str], sums: list[str] = SUMS) -> DataFrame:
-        """Summed metrics per (group, key), NULL group and key dropped."""
-        return base.where(F.col(GROUP).isNotNull() & F.col(key).isNotNull()).select(
+        """Summed metrics per (group, key), the NULL group dropped."""
+        return base.where(F.col(GROUP).isNotNull()).select(
             *by, GROUP, F.col(key).alias(out_key), *[F.col(s).alias(n) for s, n in zip(sums, names)]
         )
 
@@ -96,6 +96,9 @@ def http_report_set(k: int = TOP_K, by: Keys = ()) -> ReportSet:
     def hosts(f):
         return _summed(f["url"], *by, GROUP, url_host().alias("host"))
 
+    def known_hosts(f):
+        return hosts(f).where(F.col("host").isNotNull())
+
     def servers(f):
         with_url = f["server"].where(F.col("u_requests") > 0)  # the per-group report counts rows with a URL
         return per_group(with_url, "dst_ipv4", "ip", GROUP_METRICS, URL_ONLY_SUMS)
@@ -128,7 +131,7 @@ def http_report_set(k: int = TOP_K, by: Keys = ()) -> ReportSet:
     reports = {
         "http": lambda f: per_group(urls(f), "url", "url", OVERALL_METRICS),
         "http_url": lambda f: grouped(per_group(urls(f), "url", "url", GROUP_METRICS), "url"),
-        "http_host": lambda f: grouped(per_group(hosts(f), "host", "host", GROUP_METRICS), "host"),
+        "http_host": lambda f: grouped(per_group(known_hosts(f), "host", "host", GROUP_METRICS), "host"),
         "http_server": lambda f: grouped(servers(f), "ip"),
         "http_status": lambda f: f["status"].where(F.col(GROUP).isNotNull() & F.col("status_code").isNotNull()),
         "http_url_status": lambda f: classes(f, *by, GROUP),
