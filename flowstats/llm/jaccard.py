@@ -34,8 +34,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     n = len(n_words)
     grams = np.zeros(max(0, len(w) - words + 1), np.uint64)
     for i in range(words):
-        grams += w[i : i + len(grams)] * np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64)
-    grams = mix(grams)
+        grams = mix(grams * np.uint64(0x9E3779B97F4A7C15) + w[i : i + len(grams)])
     sets = []
     for r in range(n):
         a, k = by_row[r], n_words[r]

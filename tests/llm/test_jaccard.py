@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from flowstats.llm import jaccard
@@ -79,3 +80,11 @@ def test_common_passages_bring_nothing_together(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(df) == sorted(similar(rows), key=str)
     assert jaccard._candidates(df, 4, 85, 3, 2).distinct().count() <= 40
+
+
+def test_orders_of_the_same_words_are_different_shingles():
+    words = ["x", "y", "x", "y", "y", "x", "x", "y", "y", "x", "y", "x", "x", "x", "y", "y", "y", "y", "x"]
+    text = " ".join(words).encode()
+    data = np.frombuffer(text, np.uint8)
+    hashes, offsets = jaccard.shingle_sets(data, np.array([0, len(data)]), 4)
+    assert len(hashes) == offsets[-1] == len({tuple(words[i : i + 4]) for i in range(len(words) - 3)})
