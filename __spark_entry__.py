@@ -100,10 +100,6 @@ def _status_class(http: DataFrame) -> DataFrame:
     return http.select("event_id", "status_code", status_class().alias("status_class"))
 
 
-def _groups(flows: DataFrame) -> DataFrame:
-    return flows.select("dst_group_id").where(F.col("dst_group_id").isNotNull()).distinct()
-
-
 def _json_decode(http: DataFrame) -> DataFrame:
     # Round trip through JSON text: the path every streamed message takes.
     return decode_json(encode_json(http), HTTP_SCHEMA)
@@ -272,7 +268,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "http_host_extract": _on_http(_host_extract),
         "http_url_class": _on_http(_url_class),
         "http_status_class": _on_http(_status_class),
-        "http_groups": _on_http(_groups),
+        "http_groups": _on_http(http_ops.groups),
         "http_bytes_per_bucket": _on_http(_bytes_per_bucket),
         # Reports replayed per 10-second bucket of stored history
         "http_status_by_bucket": _on_http(_by_bucket(H.status_counts)),
@@ -294,7 +290,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tcp_conn_by_server": _on_tcp(tcp_ops.connections_by_server),
         "tcp_traffic_by_server": _on_tcp(tcp_ops.traffic_by_server),
         "tcp_dimensions": _on_tcp(tcp_ops.dimensions),
-        "tcp_groups": _on_tcp(_groups),
+        "tcp_groups": _on_tcp(http_ops.groups),
         "tcp_port_bytes_by_bucket": _on_tcp(_by_bucket(TR.port_bytes)),
         "tcp_group_summary_by_bucket": _on_tcp(_by_bucket(TR.group_summary)),
         "tcp_server_summary_by_bucket": _on_tcp(_by_bucket(TR.server_summary)),

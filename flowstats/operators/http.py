@@ -45,6 +45,11 @@ def avg_metrics(names: list[str] = OVERALL_METRICS) -> list[Column]:
     ]
 
 
+def groups(flows: DataFrame) -> DataFrame:
+    """The distinct groups of HTTP or TCP records, NULL left out."""
+    return flows.select(GROUP).where(F.col(GROUP).isNotNull()).distinct()
+
+
 def _grouped_with_url(http: DataFrame) -> DataFrame:
     return http.where(F.col(GROUP).isNotNull() & F.col("url").isNotNull())
 
