@@ -22,6 +22,7 @@ SEGMENT, Q, EDIT_SHARE = 100, 10, 0.08
 #: Items are broadcast in blocks of at most this many bytes; every block is searched in all documents.
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 2 << 20
+HITS_AT_ONCE = 4_000_000
 _FILTER_BITS = 21
 _SPACE = np.zeros(256, bool)
 _SPACE[list(WORD_SEPARATORS)] = True
@@ -95,21 +96,26 @@ class Index:
         if not len(pos):
             return none
         n = (self.first[at + 1] - self.first[at]).astype(np.int64)
-        hit = np.repeat(np.arange(len(pos)), n)
-        place = np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n) + self.first[at][hit]
-        seg, off = self.seg[place], self.off[place]
-        diagonal = pos[hit] - off + SEGMENT  # not negative
-        band = diagonal // (self.budget[seg] + 1)
-        bands = len(data) + 2 * SEGMENT + 2
-        # A band and the one before it overlap, so both count the hit; a band of diagonals belongs to one row only
-        # through its key.
-        key = np.concatenate([(seg * bands + b) for b in (band, np.maximum(band - 1, 0))])
-        rows2 = np.concatenate([row[hit], row[hit]])
-        order = np.lexsort((rows2, key))
-        key, rows2 = key[order], rows2[order]
-        head = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (rows2[1:] != rows2[:-1])])
-        count = np.diff(np.r_[head, len(key)])
-        seg, band, rows2 = key[head] // bands, key[head] % bands, rows2[head]
+        bands, n_rows = len(data) + 2 * SEGMENT + 2, len(offsets) - 1
+        # Frequent q-grams have many places in the items: their hits are counted some millions at a time.
+        upto = np.cumsum(n)
+        cuts = np.unique(np.r_[0, np.searchsorted(upto, np.arange(HITS_AT_ONCE, upto[-1], HITS_AT_ONCE)) + 1, len(pos)])
+        keys, counts = [], []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            m = n[lo:hi]
+            hit = np.repeat(np.arange(lo, hi), m)
+            place = np.arange(len(hit)) - np.repeat(np.cumsum(m) - m, m) + self.first[at][hit]
+            seg = self.seg[place]
+            diagonal = pos[hit] - self.off[place] + SEGMENT  # not negative
+            band = diagonal // (self.budget[seg] + 1)
+            # A band and the one before it overlap, so both count the hit.
+            both = np.concatenate([seg * bands + b for b in (band, np.maximum(band - 1, 0))])
+            k, c = np.unique(both * n_rows + np.concatenate([row[hit], row[hit]]), return_counts=True)
+            keys.append(k)
+            counts.append(c)
+        key, back = np.unique(np.concatenate(keys), return_inverse=True)
+        count = np.bincount(back, np.concatenate(counts)).astype(np.int64)
+        rows2, seg, band = key % n_rows, key // n_rows // bands, key // n_rows % bands
         ok = count >= self.least[seg]
         seg, band, rows2 = seg[ok], band[ok], rows2[ok]
         edits, end = self.verify(data, offsets, seg, band * (self.budget[seg] + 1) - SEGMENT, rows2)

@@ -90,6 +90,7 @@ def test_planted_passages(spark, monkeypatch):
     dirty = {r[0] for r in want}
     assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted(((*r, "x") for r in docs if r[0] not in dirty), key=str)
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)  # several blocks of items
+    monkeypatch.setattr(decontaminate, "HITS_AT_ONCE", 50)
     assert got() == want
 
 
@@ -110,3 +111,11 @@ def test_whole_items_in_the_small_table(spark):
     want = brute(texts, [(b.item_id, b.text) for b in items.collect()][:8])
     ids = {d for d, _ in texts}
     assert [r for r in sorted((tuple(r)[:4] for r in leaks(docs, items).collect()), key=str) if r[0] in ids and r[1] in {b.item_id for b in items.collect()[:8]}] == want
+
+
+def test_items_and_documents_of_one_character():
+    index = decontaminate.Index([(1, "a" * 3000), (2, "b" * 95)])
+    data = np.frombuffer(b"a" * 20_000 + b"c" * 500 + b"b" * 95, np.uint8)
+    rows, segments_found, edits, _ = index.find(data, np.array([0, 10_000, 20_500, 20_595]))
+    found = {(int(r), index.item[s]) for r, s in zip(rows, segments_found, strict=True)}
+    assert found == {(0, 1), (1, 1), (2, 2)} and edits.min() == 0
