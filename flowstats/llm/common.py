@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         # A session without the setting has no other machines to share with.
         path = _LOCAL.setdefault("dir", None) or tempfile.mkdtemp(prefix="llm-shared-")
         _LOCAL["dir"] = path
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 

@@ -126,6 +126,8 @@ def _linked(distinct: DataFrame, bits: int, tables: int, threshold: float) -> Da
     Both come from the tiles of the buckets; a pair that shares several tables counts in the first of them.
     """
 
+    kind = dict(distinct.dtypes)["embedding"]
+
     def sign(batches):
         for batch in batches:
             for dim, part in _by_length(batch, 4):
@@ -137,7 +139,7 @@ def _linked(distinct: DataFrame, bits: int, tables: int, threshold: float) -> Da
 
     signed = cut(
         distinct.select("k1", "k2", "rep", "copies", "embedding").mapInArrow(
-            sign, "k1 long, k2 long, rep long, copies long, embedding array<float>, dim int, sig array<long>"
+            sign, f"k1 long, k2 long, rep long, copies long, embedding {kind}, dim int, sig array<long>"
         )
     )
     spread = signed.drop("embedding").select("k1", "dim", F.posexplode("sig").alias("tab", "bucket"))

@@ -62,6 +62,8 @@ def test_odd_vectors_copies_ties_and_empty(spark):
             (13, [1e-30, 1e-30]), (14, [1e30, 1e30]), (9, [-5.0, 1.0])]
     assert result(frame(spark, rows)) == sorted(exact(rows), key=str)
     assert result(frame(spark, rows).where("vec_id < 0")) == []
+    wide = frame(spark, rows).selectExpr("vec_id", "cast(embedding as array<double>) as embedding")
+    assert len(result(wide)) == len(rows)
 
 
 def test_tables_reach_the_recall_at_the_threshold():
