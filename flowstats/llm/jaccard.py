@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowstats.llm.common import RangeHash, connected_components, cut, mix, pack, ragged, slices, text_volume, unpack, word_spans
+from flowstats.llm.common import RangeHash, connected_components, cut, hold, mix, pack, ragged, slices, text_volume, unpack, word_spans
 
 WORDS, PERCENT = 4, 85
 SLICE_BYTES = 2 << 20
@@ -311,9 +311,11 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
     # Links inside blocks, and inside packs of small groups.
-    here = members.join(texts, "rep").withColumn("key", F.when(F.col("pack") >= 0, F.lit(-1).cast("long")).otherwise(F.col("g")))
-    links = cut(here.groupBy("pack", "key", "block").applyInArrow(_compare(words, percent), "a long, b long"))
-    links = _across_blocks(members, texts, links, words, percent)
+    here = hold(members.join(texts, "rep"))  # the texts of sets in groups only; all that is compared later
+    dealt = here.withColumn("key", F.when(F.col("pack") >= 0, F.lit(-1).cast("long")).otherwise(F.col("g")))
+    links = cut(dealt.groupBy("pack", "key", "block").applyInArrow(_compare(words, percent), "a long, b long"))
+    links = _across_blocks(members, here.where("blocks > 1").select("rep", "text"), links, words, percent)
+    here.unpersist()
     copies = linkable.join(classes.drop("n"), ["f1", "f2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     roots = connected_components(links)
     # Copies hang on their representative's root; ids that occur with several sets are nodes of the graph as well.
@@ -397,8 +399,8 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
     Of rows with the same id one stays. Rows with a null id, and texts without words, stay.
     """
-    kept = similar_components(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("keep")).distinct()
+    kept = similar_components(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     named = docs.where(F.col("doc_id").isNotNull())
-    chosen = named.join(kept, F.col("doc_id") == F.col("keep"), "left_semi").withColumn("__n", F.row_number().over(one))
+    chosen = named.join(kept, F.col("doc_id") == F.col("__keep"), "left_semi").withColumn("__n", F.row_number().over(one))
     return chosen.where("__n = 1").drop("__n").union(docs.where(F.col("doc_id").isNull()))
