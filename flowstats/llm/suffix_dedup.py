@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -324,7 +325,7 @@ def remove_repeats(
             at = table.column_names.index("text")
             left = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
             if table.column("text").null_count:  # a null text stays null
-                left = pa.compute.if_else(table.column("text").combine_chunks().is_null(), pa.nulls(len(left), pa.string()), left)
+                left = pc.if_else(table.column("text").combine_chunks().is_null(), pa.nulls(len(left), pa.string()), left)
             table = table.set_column(at, "text", left)
         else:
             table = table.drop_columns(["text"])

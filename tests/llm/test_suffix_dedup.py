@@ -49,6 +49,7 @@ def test_nulls_repeats_ties_and_empty(spark):
     df = spark.createDataFrame([(*r, "n", 1) for r in rows], "doc_id long, text string, n_removed string, __chunk int")
     assert result(df, chunk_bytes=100) == sorted(repeats(rows), key=str)
     assert result(df.where("doc_id < 0")) == []
+    assert {r.text for r in remove_repeats(df.where("doc_id = 2"), with_text=True).collect()} == {None}
     kept = {r.doc_id: r.text for r in remove_repeats(df.where("doc_id > 3"), with_text=True).collect()}
     assert kept[4] == rows[6][1] and kept[5] == long[:50] and kept[7] == "a" * 500
 
