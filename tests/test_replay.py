@@ -85,10 +85,11 @@ def test_batch_job_runs_hour_by_hour(spark, tmp_path):
         return run(spark, parse_args(["http", "--input", str(tmp_path / "in"), "--sink", str(tmp_path / sink), "--by-bucket",
                                       "--interval", "1 hour", "--start", f"{day}T{start}", "--end", f"{day}T{end}", *more]))
 
-    names = job("parts", "00", "12", "--documents")
-    job("parts", "12", "23")
-    job("parts", "00", "12", "--documents")
-    job("whole", "00", "23")
+    some = ("--reports", "http_url,http_status,http_filter,http_filter_url_status")
+    names = job("parts", "00", "12", "--documents", *some)
+    job("parts", "12", "23", *some)
+    job("parts", "00", "12", "--documents", *some)
+    job("whole", "00", "23", *some)
     part = flows.where(F.date_format("ts", "yyyy-MM-dd") == day).where(F.hour("ts") < 23)
     for name in names:
         expected = replay_by_bucket(part, H.HTTP_REPORTS[name], interval="1 hour")
