@@ -197,3 +197,17 @@ def _linked(distinct: DataFrame, bits: int, tables: int, threshold: float) -> Da
     return tiles.groupBy("dim", "tab", "bucket", "i", "j").applyInArrow(
         compare, "k1 long, k2 long, links long, a long, b long"
     )
+
+
+#: All pairs, and the smallest id reachable by links; for small tables. The operator finds a link at exactly the
+#: threshold with a chance of RECALL.
+ORACLE_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.x, b.x) >= {THRESHOLD}),
+r(vec_id, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.vec_id),
+m AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN m ON v.vec_id = m.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""

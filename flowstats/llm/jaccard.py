@@ -404,3 +404,20 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     named = docs.where(F.col("doc_id").isNotNull())
     chosen = named.join(kept, F.col("doc_id") == F.col("__keep"), "left_semi").withColumn("__n", F.row_number().over(one))
     return chosen.where("__n = 1").drop("__n").union(docs.where(F.col("doc_id").isNull()))
+
+
+#: All pairs that share a shingle, and the smallest id reachable by links; for small tables.
+ORACLE_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {WORDS} THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct([array_to_string(ws[i:i + {WORDS} - 1], ' ') for i in range(1, len(ws) - {WORDS} + 2)]) END AS sh FROM w),
+x AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS i
+    FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE 100 * i >= {PERCENT} * (na + nb - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id),
+m AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT s.doc_id, len(sh) AS n_shingles, component_id FROM s JOIN m ON s.doc_id = m.doc_id
+"""

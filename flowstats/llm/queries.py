@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowstats.llm import mixing, warc
+from flowstats.llm import embeddings, jaccard, mixing, warc
 from flowstats.llm.common import read_table
 from flowstats.llm.decontaminate import leaks
 from flowstats.llm.embeddings import link_vectors
@@ -76,4 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_decontamination, op8_quality, op9_warc, op10_language_model,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE_SQL, "op9_warc": warc.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard_join": jaccard.ORACLE_SQL,
+    "op4_embedding_dedup": embeddings.ORACLE_SQL,
+    "op5_mixing": mixing.ORACLE_SQL,
+    "op9_warc": warc.ORACLE_SQL,
+}
