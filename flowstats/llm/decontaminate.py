@@ -1,10 +1,11 @@
-"""Benchmark decontamination: q-gram lemma filtering over diagonal bands, verified by banded alignment.
+"""Benchmark decontamination: exact pieces as seeds, verified by banded alignment of half a segment, then all of it.
 
 Texts and benchmark items are compared as UTF-8 bytes with A-Z lowered and white space runs as one blank. An item is
 cut in segments of SEGMENT bytes that overlap by half (a shorter item is one segment); a document leaks an item if a
-region of it lies within the edit budget of one of the item's segments. By the q-gram lemma such a region shares at
-least m + 1 - q (k + 1) q-grams with a segment of m bytes and k allowed edits, on diagonals no more than k apart, so it
-is found by counting shared q-grams in overlapping bands of 2 (k + 1) diagonals.
+region of it lies within the edit budget of one of the item's segments. Any 3 / 2 SEGMENT - 1 bytes of an item hold a
+whole segment, so an excerpt of that length leaks wherever it starts. A region within k edits of a segment leaves one
+of k + 1 pieces of Q bytes unchanged, and of two halves one within k // 2 edits: so each place of a piece is a seed,
+the half around it is aligned within the small budget first, and the few segments that are left are aligned whole.
 """
 
 from __future__ import annotations
@@ -16,14 +17,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowstats.llm.common import LOWER, WORD_SEPARATORS, RangeHash, ragged, slices
+from flowstats.llm.common import LOWER, WORD_SEPARATORS, ragged, slices
 
-SEGMENT, Q, EDIT_SHARE = 100, 10, 0.08
+#: The budget of half a segment must be at least half of the segment's, rounded down.
+SEGMENT, Q, EDIT_SHARE = 36, 6, 0.14
 #: Items are broadcast in blocks of at most this many bytes; every block is searched in all documents.
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 2 << 20
 HITS_AT_ONCE = 4_000_000
 _FILTER_BITS = 21
+#: Bytes between texts, which match nothing: more than any budget, so that no alignment crosses them.
+_GAP = 8
+_LOW_BYTES = np.uint64((1 << 8 * Q) - 1)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_ALIGNED_AT_ONCE = 1 << 15
 _SPACE = np.zeros(256, bool)
 _SPACE[list(WORD_SEPARATORS)] = True
 _FOLD = LOWER.copy()
@@ -41,111 +48,157 @@ def normalize(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return _FOLD[data[keep]], np.r_[0, np.cumsum(keep)][offsets]
 
 
+def _budget(length: int) -> int:
+    """Edits allowed in `length` bytes: the share of the length, lowered to what leaves a piece of Q bytes unchanged."""
+    return max(0, min(int(length * EDIT_SHARE), length // Q - 1))
+
+
+def _grams(data: np.ndarray) -> np.ndarray:
+    """The Q bytes from each place as a number; `data` has 8 - Q bytes more than places."""
+    return np.ndarray(len(data) - 7, "<u8", data, strides=(1,)) & _LOW_BYTES
+
+
+def _slot(grams: np.ndarray) -> np.ndarray:
+    return (grams * _SPREAD) >> np.uint64(64 - _FILTER_BITS)
+
+
+class _Strings:
+    """Distinct byte strings, numbered; those of one length lie in one matrix."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+
+    def add(self, text: bytes) -> int:
+        return self.number.setdefault(text, len(self.number))
+
+    def close(self) -> None:
+        self.length = np.array([len(x) for x in self.number], np.int64)
+        self.place = np.zeros(len(self.length), np.int64)
+        self.by_length = {}
+        texts = list(self.number)
+        for m in np.unique(self.length).tolist():
+            same = np.flatnonzero(self.length == m)
+            self.place[same] = np.arange(len(same))
+            self.by_length[m] = np.frombuffer(b"".join(texts[i] for i in same), np.uint8).reshape(len(same), m)
+        del self.number
+
+    def align(self, padded: np.ndarray, which: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fewest edits of each string on the diagonals within its budget from `start`, and that alignment's end."""
+        edits, end = np.empty(len(which), np.int64), np.empty(len(which), np.int64)
+        for m in np.unique(self.length[which]).tolist():
+            k = _budget(m)
+            width = 2 * k + 1
+            windows = np.lib.stride_tricks.sliding_window_view(padded, m + 2 * k)
+            same = np.flatnonzero(self.length[which] == m)
+            for lo in range(0, len(same), _ALIGNED_AT_ONCE):
+                part = same[lo : lo + _ALIGNED_AT_ONCE]
+                text = np.ascontiguousarray(windows[start[part] - k].T)
+                pattern = np.ascontiguousarray(self.by_length[m][self.place[which[part]]].T)
+                d = np.zeros((width, len(part)), np.uint8)
+                for i in range(m):
+                    e = d + (text[i : i + width] != pattern[i])
+                    np.minimum(e[:-1], d[1:] + np.uint8(1), out=e[:-1])
+                    for j in range(1, width):
+                        np.minimum(e[j], e[j - 1] + np.uint8(1), out=e[j])
+                    d = e
+                best = d.argmin(0)
+                edits[part] = d[best, np.arange(len(part))]
+                end[part] = start[part] - k + m + best
+        return edits, end
+
+
+def _expand(at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into `at`, place) of all places first[x] to first[x + 1] of each x in `at`."""
+    n = first[at + 1] - first[at]
+    hit = np.repeat(np.arange(len(at)), n)
+    return hit, np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n) + first[at][hit]
+
+
+def _lists(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first): the places of key x in `keys` are order[first[x]:first[x + 1]]."""
+    return np.argsort(keys, kind="stable"), np.r_[0, np.cumsum(np.bincount(keys, minlength=n))]
+
+
 class Index:
-    """Segments of the items of a block, their q-grams sorted by hash, and a bit filter over the hashes."""
+    """The distinct segments of the items of a block, the parts that are aligned first, and the parts' pieces."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.item, self.pattern = [], []
+        self.item, pattern_of, halves = [], [], []
+        self.patterns, self.parts = _Strings(), _Strings()
         for item_id, text in items:
             body = np.frombuffer((text or "").encode("utf-8"), np.uint8)
             body, _ = normalize(body, np.array([0, len(body)]))
-            body = body[1:] if len(body) and body[0] == 32 else body
-            body = body[:-1] if len(body) and body[-1] == 32 else body
+            body = body.tobytes().strip(b" ")
             if len(body) < Q:
                 continue  # too short to tell a leak from chance
             starts = [0] if len(body) <= SEGMENT else [*range(0, len(body) - SEGMENT, SEGMENT // 2), len(body) - SEGMENT]
             for s in starts:
                 self.item.append(item_id)
-                self.pattern.append(body[s : s + SEGMENT])
-        self.length = np.array([len(p) for p in self.pattern], np.int64)
-        # The budget is the share of the length, lowered where the lemma would ask for no shared q-gram.
-        self.budget = np.minimum((self.length * EDIT_SHARE).astype(np.int64), self.length // Q - 1).clip(0)
-        self.least = self.length + 1 - Q * (self.budget + 1)
-        flat = np.concatenate(self.pattern) if self.pattern else np.zeros(0, np.uint8)
-        ends = np.cumsum(self.length)
-        seg = np.repeat(np.arange(len(self.length)), self.length - Q + 1)
-        off = np.concatenate([np.arange(n - Q + 1) for n in self.length]) if self.pattern else np.zeros(0, np.int64)
-        grams = RangeHash(flat).fixed((ends - self.length)[seg] + off, Q) if len(seg) else np.zeros(0, np.uint64)
+                pattern_of.append(self.patterns.add(body[s : s + SEGMENT]))
+        for number, text in enumerate(self.patterns.number):
+            cuts = (0, SEGMENT // 2) if len(text) == SEGMENT else (0,)
+            for c, e in zip(cuts, (*cuts[1:], len(text)), strict=True):
+                halves.append((self.parts.add(text[c:e]), number, c))
+        pieces = [
+            (int.from_bytes(x[o : o + Q], "little"), u, o)
+            for u, x in enumerate(self.parts.number)
+            for o in range(0, Q * (_budget(len(x)) + 1), Q)
+        ]
+        self.segments, self.first_segment = _lists(np.array(pattern_of, np.int64), len(self.patterns.number))
+        half = np.array(halves, np.int64).reshape(-1, 3)
+        order, self.first_half = _lists(half[:, 0], len(self.parts.number))
+        self.half_pattern, self.half_at = half[order, 1], half[order, 2]
+        self.patterns.close()
+        self.parts.close()
+        self.pattern_budget, self.part_budget = (np.array([_budget(m) for m in x.length.tolist()], np.int64) for x in (self.patterns, self.parts))
+        grams = np.array([p[0] for p in pieces], np.uint64)
         order = np.argsort(grams, kind="stable")
         self.grams, first = np.unique(grams[order], return_index=True)
         self.first = np.r_[first, len(order)]
-        self.seg, self.off = seg[order], off[order]
+        piece = np.array([p[1:] for p in pieces], np.int64).reshape(-1, 2)[order]
+        self.piece_part, self.piece_at = piece[:, 0], piece[:, 1]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[self.grams >> np.uint64(64 - _FILTER_BITS)] = True
+        self.filter[_slot(self.grams)] = True
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(row, segment, edits, end) of the verified regions of normalized texts."""
+        """(row, segment, edits, end) of the segments found in normalized texts, each with its best region."""
         none = tuple(np.zeros(0, np.int64) for _ in range(4))
         if not len(self.grams) or len(data) < Q:
             return none
-        hashes = RangeHash(data).fixed(np.arange(len(data) - Q + 1), Q)
-        pos = np.flatnonzero(self.filter[hashes >> np.uint64(64 - _FILTER_BITS)])
-        at = np.minimum(np.searchsorted(self.grams, hashes[pos]), len(self.grams) - 1)
-        row = np.searchsorted(offsets, pos, side="right") - 1
-        ok = (self.grams[at] == hashes[pos]) & (pos + Q <= offsets[row + 1])
-        pos, at, row = pos[ok], at[ok], row[ok]
-        # Regions where the q-grams of all segments together are dense enough for any one of them.
-        span = int((self.length + 2 * self.budget).max())
-        within = np.searchsorted(pos, pos + span) - np.arange(len(pos))
-        dense = np.flatnonzero(within >= int(self.least.min()))
-        mark = np.zeros(len(pos) + 1, np.int64)
-        np.add.at(mark, dense, 1)
-        np.add.at(mark, dense + within[dense], -1)
-        keep = np.cumsum(mark[:-1]) > 0
-        pos, at, row = pos[keep], at[keep], row[keep]
+        n_rows, margin = len(offsets) - 1, 2 * SEGMENT
+        begins = offsets[:-1] + margin + _GAP * np.arange(n_rows)
+        padded = np.full(len(data) + _GAP * n_rows + 2 * margin, 255, np.uint8)  # no byte of UTF-8
+        padded[np.arange(len(data)) + np.repeat(begins - offsets[:-1], np.diff(offsets))] = data
+        grams = _grams(padded)
+        pos = np.flatnonzero(self.filter[_slot(grams)])
+        at = np.minimum(np.searchsorted(self.grams, grams[pos]), len(self.grams) - 1)
+        ok = self.grams[at] == grams[pos]
+        pos, at = pos[ok], at[ok]
         if not len(pos):
             return none
-        n = (self.first[at + 1] - self.first[at]).astype(np.int64)
-        bands, n_rows = len(data) + 2 * SEGMENT + 2, len(offsets) - 1
-        # Frequent q-grams have many places in the items: their hits are counted some millions at a time.
-        upto = np.cumsum(n)
+        # Frequent pieces have many places in the items: their hits are aligned some millions at a time.
+        upto = np.cumsum(self.first[at + 1] - self.first[at])
         cuts = np.unique(np.r_[0, np.searchsorted(upto, np.arange(HITS_AT_ONCE, upto[-1], HITS_AT_ONCE)) + 1, len(pos)])
-        keys, counts = [], []
+        best = np.zeros((4, 0), np.int64)
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            m = n[lo:hi]
-            hit = np.repeat(np.arange(lo, hi), m)
-            place = np.arange(len(hit)) - np.repeat(np.cumsum(m) - m, m) + self.first[at][hit]
-            seg = self.seg[place]
-            diagonal = pos[hit] - self.off[place] + SEGMENT  # not negative
-            band = diagonal // (self.budget[seg] + 1)
-            # A band and the one before it overlap, so both count the hit.
-            both = np.concatenate([seg * bands + b for b in (band, np.maximum(band - 1, 0))])
-            k, c = np.unique(both * n_rows + np.concatenate([row[hit], row[hit]]), return_counts=True)
-            keys.append(k)
-            counts.append(c)
-        key, back = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(back, np.concatenate(counts)).astype(np.int64)
-        rows2, seg, band = key % n_rows, key // n_rows // bands, key // n_rows % bands
-        ok = count >= self.least[seg]
-        seg, band, rows2 = seg[ok], band[ok], rows2[ok]
-        edits, end = self.verify(data, offsets, seg, band * (self.budget[seg] + 1) - SEGMENT, rows2)
-        ok = edits <= self.budget[seg]
-        return rows2[ok], seg[ok], edits[ok], end[ok]
-
-    def verify(self, data, offsets, seg, low, row) -> tuple[np.ndarray, np.ndarray]:
-        """Fewest edits of each segment against the band of diagonals from `low`, and the end of that alignment."""
-        edits, end = np.full(len(seg), 1 << 30), np.zeros(len(seg), np.int64)
-        for m in np.unique(self.length[seg]):
-            same = np.flatnonzero(self.length[seg] == m)
-            for lo in range(0, len(same), 4096):
-                part = same[lo : lo + 4096]
-                k = int(self.budget[seg[part[0]]])
-                width = 2 * (k + 1) + 2 * k + 1
-                start = low[part] - k  # the text position of pattern position 0 on the band's first diagonal
-                place = start[:, None] + np.arange(m + width)[None, :]
-                inside = (place >= offsets[row[part]][:, None]) & (place < offsets[row[part] + 1][:, None])
-                text = np.where(inside, data[np.clip(place, 0, len(data) - 1)], 256)
-                pattern = np.stack([self.pattern[s] for s in seg[part]])
-                steps = np.arange(width)
-                d = np.zeros((len(part), width), np.int64)
-                for i in range(m):
-                    e = d + (text[:, i : i + width] != pattern[:, i : i + 1])
-                    e[:, :-1] = np.minimum(e[:, :-1], d[:, 1:] + 1)
-                    d = np.minimum.accumulate(e - steps, axis=1) + steps
-                best = d.argmin(1)
-                edits[part] = d[np.arange(len(part)), best]
-                end[part] = start + m + best - offsets[row[part]]
-        return edits, end
+            hit, place = _expand(at[lo:hi], self.first)
+            part, start = self.piece_part[place], pos[lo:hi][hit] - self.piece_at[place]
+            ok = self.parts.align(padded, part, start)[0] <= self.part_budget[part]
+            # A part seeded by several pieces on one diagonal is aligned on once.
+            key = np.unique(start[ok] * len(self.parts.length) + part[ok])
+            start, part = key // len(self.parts.length), key % len(self.parts.length)
+            hit, place = _expand(part, self.first_half)
+            pattern, start = self.half_pattern[place], start[hit] - self.half_at[place]
+            edits, end = self.patterns.align(padded, pattern, start)
+            ok = edits <= self.pattern_budget[pattern]
+            row = np.searchsorted(begins, end[ok] - 1, side="right") - 1
+            found = np.concatenate([best, np.stack([row, pattern[ok], edits[ok], end[ok]])], axis=1)
+            found = found[:, np.lexsort(found[::-1])]
+            best = found[:, np.r_[True, (found[:2, 1:] != found[:2, :-1]).any(0)]] if found.shape[1] else found
+        row, pattern, edits, end = best
+        hit, place = _expand(pattern, self.first_segment)
+        end = np.minimum(end - begins[row], np.diff(offsets)[row])
+        return row[hit], self.segments[place], edits[hit], end[hit]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Index]:

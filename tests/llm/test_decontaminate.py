@@ -119,3 +119,71 @@ def test_items_and_documents_of_one_character():
     rows, segments_found, edits, _ = index.find(data, np.array([0, 10_000, 20_500, 20_595]))
     found = {(int(r), index.item[s]) for r, s in zip(rows, segments_found, strict=True)}
     assert found == {(0, 1), (1, 1), (2, 2)} and edits.min() == 0
+
+
+def planted(seed, change):
+    """(items, documents): each document holds an excerpt of one item, cut anywhere and changed, and leaks that item."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, prose(rnd.choice([16, 20, 25, 60]))) for i in range(60)]
+    docs = [(i, f"{prose(30)} {change(rnd, text)} {prose(30)}") for i, text in items]
+    return items, docs
+
+
+def found(items, docs):
+    index = decontaminate.Index(items)
+    raw = [norm(t) for _, t in docs]
+    rows, segs, _, _ = index.find(np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(x) for x in raw])])
+    return {(docs[r][0], index.item[s]) for r, s in zip(rows.tolist(), segs.tolist(), strict=True)}
+
+
+def test_excerpts_at_any_offset():
+    """60 bytes of an item, copied from any place, leak it; what leaks nothing is not found."""
+
+    def cut(rnd, text):
+        a = rnd.randint(0, len(text) - 60)
+        return text[a : a + 60]
+
+    for seed in range(5):
+        items, docs = planted(seed, cut)
+        assert found(items, docs) == {(i, i) for i, _ in items}
+
+
+def test_excerpts_with_replaced_words():
+    """120 bytes from any place with one word replaced, and items without 12 bytes at each end."""
+
+    def replaced(rnd, text):
+        a = rnd.randint(0, max(0, len(text) - 120))
+        words = text[a : a + 120].split(" ")
+        words[rnd.randrange(len(words))] = "zzzzzzzz"
+        return " ".join(words)
+
+    for change in (replaced, lambda rnd, text: text[12:-12]):
+        items, docs = planted(7, change)
+        # The claim is about the excerpt: five edits at most in some 53 bytes of the item, by the full scan.
+        want = set()
+        for (i, item), (d, text) in zip(items, docs, strict=True):
+            windows = [norm(item)[a : a + 53] for a in range(max(1, len(item) - 52))]
+            if min(distance(w, norm(text)) for w in windows) <= 5:
+                want.add((d, i))
+        assert len(want) >= 55 and want <= found(items, docs)
+
+
+def test_everything_the_wider_segments_found():
+    """Regions within 8 % edits of 100 bytes of an item, edits close together or spread, are still found."""
+    rnd = random.Random(3)
+    items, _ = planted(9, lambda rnd, text: text)
+    items += [(100 + n, items[n][1][:n].strip()) for n in range(37, 60)] + [(200 + n, items[0][1][:n].ljust(n, "y")) for n in (63, 70, 75, 79, 99)]
+    docs, want = [], set()
+    for i, text in items:
+        for spread in (2, 10, 400):
+            a = rnd.randint(0, max(0, len(text) - 100))
+            piece = list(text[a : a + 100]) if len(text) > 100 else list(text)
+            middle = len(piece) // 2
+            for _ in range(max(0, min(int(len(piece) * 0.08), len(piece) // 10 - 1))):
+                at = min(len(piece) - 1, max(0, middle + rnd.randint(-spread, spread)))
+                piece[at] = rnd.choice(["", "Q", "q" + piece[at]])
+            want.add((len(docs), i))
+            docs.append((len(docs), "".join(piece)))
+    assert want <= found(items, docs)
