@@ -159,11 +159,11 @@ class _Union:
 
 
 def link_sets(hashes: np.ndarray, offsets: np.ndarray, percent: int, query: np.ndarray | None = None,
-              joined: np.ndarray | None = None) -> np.ndarray:
+              joined: np.ndarray | None = None, side: np.ndarray | None = None) -> np.ndarray:
     """The component of each set under all links among them, as the first set's index.
 
-    With `query`, only links of a queried set are looked for; `joined` are labels of sets already known to be
-    connected. Links inside a component are not needed and not compared.
+    With `query` and `side` (0 or 1), only links of a queried set with one of the other side are looked for;
+    `joined` are labels of sets already known to be connected. Links inside a component are not needed and not compared.
     """
     sizes = np.diff(offsets)
     n = len(sizes)
@@ -175,9 +175,14 @@ def link_sets(hashes: np.ndarray, offsets: np.ndarray, percent: int, query: np.n
     vocabulary, token = np.unique(hashes, return_inverse=True)
     # Groups of similar sets: by their smallest token, then by size.
     smallest = np.array([token[a] if b > a else -1 for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
-    order = np.lexsort((sizes, smallest))
+    kind = np.zeros(n, np.int64) if query is None else 2 * side.astype(np.int64) + query
+    order = np.lexsort((sizes, smallest, kind))
     order = order[sizes[order] > 0]
-    groups = [order[i : i + GROUP_SETS] for i in range(0, len(order), GROUP_SETS)]
+    kinds = np.searchsorted(kind[order], np.arange(5))
+    groups = [order[i : min(i + GROUP_SETS, b)] for a, b in zip(kinds[:-1], kinds[1:], strict=True) for i in range(a, b, GROUP_SETS)]
+    # Of two sides: queries of the first ask all of the second, queries of the second the rest of the first.
+    upto = np.r_[0, np.cumsum(-(-np.diff(kinds) // GROUP_SETS))]
+    asked = {0: (0, len(groups))} if query is None else {1: (upto[2], upto[4]), 3: (0, upto[1])}
     unions = [np.unique(np.concatenate([token[offsets[s] : offsets[s + 1]] for s in g])) for g in groups]
     flat = np.concatenate(unions) if unions else np.zeros(0, np.int64)
     union_starts = np.r_[0, np.cumsum([len(u) for u in unions])[:-1]].astype(np.int64) if unions else None
@@ -188,13 +193,16 @@ def link_sets(hashes: np.ndarray, offsets: np.ndarray, percent: int, query: np.n
     for i, g in enumerate(groups):
         place[g] = i
     for q in order.tolist():
-        if query is not None and not query[q]:
+        from_group, to_group = asked.get(int(kind[q]), (0, 0))
+        if from_group == to_group:
             continue
         own = token[offsets[q] : offsets[q + 1]]
         marked[own] = 1
-        bound = np.add.reduceat(marked[flat], union_starts, dtype=np.int64)
+        base = union_starts[from_group]
+        end = union_starts[to_group] if to_group < len(groups) else len(flat)
+        bound = np.add.reduceat(marked[flat[base:end]], union_starts[from_group:to_group] - base, dtype=np.int64)
         least = -(-percent * int(sizes[q]) // 100)
-        for g in np.flatnonzero(bound >= least).tolist():
+        for g in (from_group + np.flatnonzero(bound >= least)).tolist():
             if query is None and g < place[q]:
                 continue  # compared when that group's sets were queries
             root = union.find(q)
@@ -305,8 +313,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     groups = groups.withColumn("blocks", F.ceil(F.col("volume") / BLOCK_SHINGLES).cast("int"))
     packs = groups.where("blocks = 1").agg(F.coalesce(F.sum("volume"), F.lit(0))).first()[0] // BLOCK_SHINGLES + 1
     members = cut(
-        members.join(groups.drop("sets", "volume"), "g")
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        _in_blocks(members.join(groups.drop("sets", "volume"), "g"))
         .withColumn("pack", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("g"), F.lit(packs))).otherwise(-1))
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
@@ -329,6 +336,43 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     return whole.select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """`members` (g, rep, n, blocks) with the block of each: a group's sets in order of size, BLOCK_SHINGLES at a time.
+
+    Sets of one size are dealt over the blocks that their size fills, so only sizes are ordered, not sets.
+    """
+    by_size = members.where("blocks > 1").groupBy("g", "n").agg(F.sum("n").alias("v"))
+    upto = Window.partitionBy("g").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_size = by_size.withColumn("before", F.sum("v").over(upto) - F.col("v"))
+    share = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / F.lit(1 << 20)
+    block = F.floor((F.col("before") + share * F.col("v")) / BLOCK_SHINGLES).cast("int")
+    return members.join(by_size, ["g", "n"], "left").withColumn("block", F.coalesce(block, F.lit(0))).drop("before", "v")
+
+
+def _tiles(rows: DataFrame, percent: int) -> DataFrame:
+    """(g, low, high, side, rep, comp, query): what pairs of blocks of `rows` (g, rep, n, block, comp, query) compare.
+
+    Pairs without a query, and those whose sizes allow no link, are left out, and so are the sets of a block that
+    fit no set of the other in size or have no query to meet there.
+    """
+    blocks = cut(
+        rows.groupBy("g", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("query").alias("asks"))
+    )
+    other = blocks.select("g", F.col("block").alias("other"), "least", "most", "asks")
+    pairs = blocks.select("g", "block", F.col("least").alias("a"), F.col("most").alias("b"), F.col("asks").alias("own")).join(other, "g")
+    fit = (100 * F.col("b") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("a"))
+    pairs = pairs.where((F.col("block") != F.col("other")) & (F.col("own") | F.col("asks")) & fit).drop("a", "b", "own")
+    sent = rows.join(pairs, ["g", "block"]).where(
+        (F.col("query") | F.col("asks"))
+        & (100 * F.col("n") >= percent * F.col("least"))
+        & (100 * F.col("most") >= percent * F.col("n"))
+    )
+    return sent.select(
+        "g", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "comp", "query",
+    )
+
+
 def _compare(words: int, percent: int, cross: bool = False):
     """Links (document, smallest document connected to it) of the sets of one block or pack."""
 
@@ -340,7 +384,7 @@ def _compare(words: int, percent: int, cross: bool = False):
         at = np.r_[0, np.cumsum(np.concatenate([np.diff(p[1]) for p in parts]))]
         root = np.arange(len(ids))
         if cross:
-            root = link_sets(h, at, percent, table.column("query").to_numpy(), table.column("comp").to_numpy())
+            root = link_sets(h, at, percent, *(table.column(c).to_numpy() for c in ("query", "comp", "side")))
         else:
             group = table.column("g").to_numpy()
             order = np.argsort(group, kind="stable")
@@ -360,8 +404,9 @@ def _across_blocks(members: DataFrame, texts: DataFrame, links: DataFrame, words
     """Adds the links between blocks of the groups that were dealt in several.
 
     First one set of each component meets the others of its group, in blocks again, as long as that joins anything.
-    Then what is still apart is compared exactly: every set outside its group's largest component is a query against
-    all blocks of the group, so no link between two components can be missed.
+    Then what is still apart is compared exactly: every set outside its group's largest component is a query, and
+    each pair of blocks with a query is a task of its own, so no link between two components can be missed and no
+    task holds more than two blocks.
     """
     large = members.where("blocks > 1").select("g", "rep", "n", "blocks", "block")
     if not large.limit(1).count():
@@ -387,10 +432,8 @@ def _across_blocks(members: DataFrame, texts: DataFrame, links: DataFrame, words
     main = weight.groupBy("g").agg(F.max(F.struct("sets", "comp")).alias("m"), F.count(F.lit(1)).alias("parts"))
     open_groups = main.where("parts > 1").select("g", F.col("m.comp").alias("main"))
     rows = cut(comp.join(open_groups, "g").withColumn("query", F.col("comp") != F.col("main")))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asked = rows.where("query").withColumn("block", every)
-    tile = rows.where("NOT query").union(asked.select(rows.columns))
-    found = tile.join(texts, "rep").groupBy("g", "block").applyInArrow(_compare(words, percent, cross=True), "a long, b long")
+    compare = _compare(words, percent, cross=True)
+    found = _tiles(rows, percent).join(texts, "rep").groupBy("g", "low", "high").applyInArrow(compare, "a long, b long")
     return cut(links.union(found))
 
 

@@ -50,6 +50,39 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert result(df) == sorted(similar(rows), key=str)
 
 
+def test_large_family_under_the_threshold(spark, monkeypatch):
+    """One candidate group whose sets do not link: no task gets more than two blocks of it, and no link is lost."""
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for k in rnd.sample(range(200), rnd.randint(3, 7)):
+            words[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(words)))
+    for i in (3, 50, 90):  # links across blocks, some between sets of other sizes
+        rows += [(200 + i, rows[i][1] + " tail"), (300 + i, rows[i][1] + " a longer tail of it" * 3)]
+    rnd.shuffle(rows)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 2000)  # some ten sets
+    compare = jaccard._compare
+
+    def watched(*args, **more):
+        run = compare(*args, **more)
+
+        def bounded(table):
+            if table.num_rows > 45:
+                raise ValueError(f"{table.num_rows} of 126 sets in one task")
+            return run(table)
+
+        return bounded
+
+    monkeypatch.setattr(jaccard, "_compare", watched)
+    want = similar(rows)
+    assert 1 < sum(c != i for i, _, c in want) < 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df) == sorted(want, key=str)
+
+
 def test_nulls_short_texts_repeats_and_empty(spark):
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "One two"), (5, "one TWO "), (6, "two one"), (None, "one two"), (None, "one two"),
             (7, "a b c d"), (7, "a b c d"), (8, "A B C D"), (9, "x " * 30000), (10, "x x x x x"), (11, "É b"), (12, "é b"),
