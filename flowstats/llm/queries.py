@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowstats.llm import embeddings, jaccard, mixing, warc
+from flowstats.llm import divergence, embeddings, jaccard, mixing, resampling, warc
 from flowstats.llm.common import read_table
 from flowstats.llm.decontaminate import leaks
 from flowstats.llm.embeddings import link_vectors
 from flowstats.llm.jaccard import similar_components
 from flowstats.llm.kneser_ney import score_documents
+from flowstats.llm.license_scan import find_licenses, license_digest
 from flowstats.llm.quality import quality_scores
 from flowstats.llm.suffix_dedup import remove_repeats
 from flowstats.llm.token_counts import count_tokens
@@ -69,11 +70,24 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(find_licenses(read_table(spark, sf_dir, "documents")))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_jaccard_join, op3_token_counts, op4_embedding_dedup, op5_mixing, op6_toxicity,
-        op7_decontamination, op8_quality, op9_warc, op10_language_model,
+        op7_decontamination, op8_quality, op9_warc, op10_language_model, op11_license_scan, op12_resampling,
+        op13_divergence,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -81,4 +95,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_embedding_dedup": embeddings.ORACLE_SQL,
     "op5_mixing": mixing.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
+    "op12_resampling": resampling.ORACLE_SQL,
+    "op13_divergence": divergence.ORACLE_SQL,
 }

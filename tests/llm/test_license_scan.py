@@ -1,0 +1,155 @@
+"""Licence places against plain Python, and the expression parser against worked examples."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from flowstats.llm.common import read_table
+from flowstats.llm.license_scan import (
+    BASE_PHRASES,
+    EXCEPTION_RELIEF,
+    NOTICES,
+    find_licenses,
+    license_digest,
+    parse_expression,
+    restriction,
+)
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(UPPER))
+
+
+def places(text, phrases):
+    found = words(text)
+    cut = [(p.split(" "), label) for p, label in phrases.items()]
+    return [(i, label) for i in range(len(found)) for p, label in cut if found[i : i + len(p)] == p]
+
+
+def brute(rows):
+    out = []
+    for doc_id, text in rows:
+        base = places(text, BASE_PHRASES)
+        at = [i for i, _ in base]
+        out.append((doc_id, len(words(text)), len(base), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in base}))))
+    return out
+
+
+BASE = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+ODD = [
+    "", None, "  ", "Released under the MIT License.", "under the MIT-license", "under the\n\tmit (license)", "under the mitlicense",
+    "under the mit", "License under the mit", "Apache License, Version 2.0. Apache License version 2 apache LICENSE Version 2",
+    "CC BY-NC 4.0", "cc by ncx", "xcc by nc", "ccé by nc", "é under the mit license é", "under under the mit license license",
+    "cc by nc by nc cc by nc", "apache license version 20", "UNDER THE MİT LICENSE", "a" * 200_000 + " cc by nc",
+    "x " * 300_000 + "under the mit license", "under the mit license\x00cc by nc",
+]
+
+
+def test_odd_rows_nulls_and_repeats(spark):
+    rows = [*enumerate(ODD), (None, None), (3, ODD[3]), (3, ODD[3]), (None, "cc by nc")]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, n_words int, labels string")
+    got = license_digest(find_licenses(df.repartition(3)))
+    assert got.columns == [*BASE, "labels", "score"]
+    assert sorted(map(tuple, got.select(*BASE).collect()), key=str) == sorted(brute(rows), key=str)
+
+
+def test_rows_do_not_join(spark):
+    df = spark.createDataFrame([(1, "under the mit"), (2, "license under"), (3, "the mit license")], "doc_id long, text string").coalesce(1)
+    assert [r.n_base for r in license_digest(find_licenses(df)).collect()] == [0, 0, 0]
+
+
+def test_whole_table(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    got = license_digest(find_licenses(docs)).collect()
+    assert sorted(tuple(r)[:6] for r in got) == sorted(brute(map(tuple, docs.collect())))
+    for r, (_, text) in zip(sorted(got), sorted(map(tuple, docs.collect())), strict=True):
+        notices = {x for _, x in places(text, NOTICES)} | set(filter(None, r.base_labels.split(",")))
+        assert set(filter(None, r.labels.split(","))) == notices
+        assert r.score == max(map(restriction, notices), default=0.0)
+
+
+def test_empty_table(spark):
+    out = license_digest(find_licenses(spark.createDataFrame([], "doc_id int, text string")))
+    assert out.collect() == [] and dict(out.dtypes)["doc_id"] == "int"
+
+
+@pytest.mark.parametrize(
+    ("raw", "shown", "complete", "labels", "grade"),
+    [
+        ("MIT", "mit", True, ["mit"], restriction("mit")),
+        ("MIT OR GPL-2.0-only", "mit or gpl-2.0-only", True, ["gpl-2.0-only", "mit"], restriction("mit")),
+        ("MIT AND GPL-2.0-only", "mit and gpl-2.0-only", True, ["gpl-2.0-only", "mit"], restriction("gpl")),
+        ("MIT OR GPL-2.0-only AND MPL-2.0", "mit or gpl-2.0-only and mpl-2.0", True, ["gpl-2.0-only", "mit", "mpl-2.0"], restriction("mit")),
+        ("(MIT OR GPL-2.0-only) AND MPL-2.0", "(mit or gpl-2.0-only) and mpl-2.0", True, ["gpl-2.0-only", "mit", "mpl-2.0"], restriction("mpl")),
+        ("GPL-2.0-only AND (MIT OR MPL-2.0)", "gpl-2.0-only and (mit or mpl-2.0)", True, ["gpl-2.0-only", "mit", "mpl-2.0"], restriction("gpl")),
+        ("GPL-2.0+ WITH Classpath-exception-2.0", "gpl-2.0+ with classpath-exception-2.0", True,
+         ["gpl-2.0+ with classpath-exception-2.0"], restriction("gpl") * EXCEPTION_RELIEF),
+        ("GPL-2.0 WITH Bison-exception-2.2 OR AGPL-3.0", "gpl-2.0 with bison-exception-2.2 or agpl-3.0", True,
+         ["agpl-3.0", "gpl-2.0 with bison-exception-2.2"], restriction("gpl") * EXCEPTION_RELIEF),
+        ("MIT and then some prose", "mit", True, ["mit"], restriction("mit")),
+        ("MIT AND", "mit", True, ["mit"], restriction("mit")),
+        ("MIT AND (see below)", "mit", True, ["mit"], restriction("mit")),
+        ("((MIT OR ISC)", "((mit or isc)", False, ["isc", "mit"], restriction("mit")),
+        ("MIT) OR ISC", "mit", True, ["mit"], restriction("mit")),
+        ("LicenseRef-own AND MIT", "licenseref-own and mit", True, ["licenseref-own", "mit"], restriction("licenseref-own")),
+        ("MIT */ GPL-2.0", "mit", True, ["mit"], restriction("mit")),
+    ],
+)
+def test_expressions(raw, shown, complete, labels, grade):
+    assert parse_expression(raw.encode()) == (shown, complete, tuple(labels), pytest.approx(grade))
+
+
+@pytest.mark.parametrize("raw", ["", "  ", "see the file", "AND MIT", ")", "()", "WITH MIT", "\nMIT"])
+def test_no_expression(raw):
+    assert parse_expression(raw.encode()) is None
+
+
+def trees():
+    leaf = st.sampled_from(["mit", "mpl-2.0", "gpl-2.0", "lgpl-2.1", "cc-by-nc-4.0"])
+    return st.recursive(leaf, lambda t: st.tuples(st.sampled_from(["and", "or"]), t, t), max_leaves=12)
+
+
+def written(tree, above=0):
+    if isinstance(tree, str):
+        return tree
+    own = {"or": 1, "and": 2}[tree[0]]
+    text = f"{written(tree[1], own)} {tree[0]} {written(tree[2], own)}"
+    return f"({text})" if own < above else text
+
+
+def value(tree):
+    if isinstance(tree, str):
+        return restriction(tree)
+    return (max if tree[0] == "and" else min)(value(tree[1]), value(tree[2]))
+
+
+@settings(max_examples=200, deadline=None)
+@given(trees())
+def test_written_expressions_are_evaluated_as_their_trees(tree):
+    shown, complete, _, grade = parse_expression(written(tree).encode())
+    assert (shown, complete, grade) == (written(tree), True, value(tree))
+
+
+def test_tags_in_texts(spark):
+    rows = [
+        (1, "// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-3.0-only WITH GCC-exception-3.1\ncode"),
+        (2, "license: MIT\nlicense : bsd-3-clause"),
+        (3, "license MIT, SPDX-License-Identifier without a colon"),
+        (4, "SPDX-License-Identifier:\nMIT"),
+    ]
+    got = {r.doc_id: r for r in find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    first = got[1].expressions[0]
+    assert len(got[1].expressions) == 1 and first.word == 0
+    assert first.expression == "(mit or apache-2.0) and gpl-3.0-only with gcc-exception-3.1"
+    assert got[1].restriction == pytest.approx(restriction("gpl") * EXCEPTION_RELIEF)
+    assert [(e.word, e.expression) for e in got[2].expressions] == [(0, "mit"), (2, "bsd-3-clause")]
+    assert got[3].expressions == [] and got[4].expressions == []
+    digest = {r.doc_id: r.labels for r in license_digest(find_licenses(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert digest[2] == "bsd-3-clause,mit" and digest[3] == ""
