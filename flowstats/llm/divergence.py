@@ -9,6 +9,7 @@ terms, with all sources of a language, then give the divergences and the terms i
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -128,7 +129,6 @@ def _shard(table: pa.Table) -> pa.Table:
         {
             "lang": table.column("lang").slice(0, 1),
             "shard": table.column("shard").slice(0, 1),
-            "shards": table.column("shards").slice(0, 1),
             "levels": pa.array([[x.tobytes() for x in perfect.levels]], pa.list_(pa.binary())),
             "terms": pa.array([placed], pa.list_(pa.binary())),
             "doubles": pa.array([[terms[i] for i in later]], pa.list_(pa.binary())),
@@ -136,24 +136,23 @@ def _shard(table: pa.Table) -> pa.Table:
     )
 
 
-def build_shards(kept: DataFrame, shards: DataFrame) -> DataFrame:
-    """A perfect hash and its terms per (lang, shard) of `kept` (lang, term); `shards` (lang, shards) says how many a language has."""
-    placed = kept.join(shards, "lang").select("lang", "term", "shards", F.expr("pmod(xxhash64(term), shards)").cast("int").alias("shard"))
-    schema = "lang string, shard int, shards int, levels array<binary>, terms array<binary>, doubles array<binary>"
+def build_shards(kept: DataFrame, shards: int) -> DataFrame:
+    """A perfect hash and its terms per (lang, shard) of `kept` (lang, term)."""
+    placed = kept.select("lang", "term", F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int").alias("shard"))
+    schema = "lang string, shard int, levels array<binary>, terms array<binary>, doubles array<binary>"
     return placed.groupBy("lang", "shard").applyInArrow(_shard, schema)
 
 
 class Lookup:
     """Slots of words by language over all broadcast shards, a shard's slots behind those of the shards before."""
 
-    def __init__(self, rows: list[dict]):
+    def __init__(self, rows: list[dict], n_shards: int):
+        self.n_shards = n_shards
         self.shards: dict[str, dict[int, tuple[int, Shard]]] = {}
-        self.n_shards: dict[str, int] = {}
         self.terms: dict[str, list[bytes]] = {}
         self.doubles: dict[str, dict[bytes, int]] = {}
         for r in rows:
             terms = self.terms.setdefault(r["lang"], [])
-            self.n_shards[r["lang"]] = r["shards"]
             self.shards.setdefault(r["lang"], {})[r["shard"]] = (len(terms), Shard(r["levels"], r["terms"]))
             terms += r["terms"]
             for term in r["doubles"]:
@@ -166,7 +165,7 @@ class Lookup:
         if lang not in self.shards or not words:
             return out
         hashes = _hashes(words)
-        shard_of = hashes.view(np.int64) % self.n_shards[lang]
+        shard_of = hashes.view(np.int64) % self.n_shards
         order = np.argsort(shard_of, kind="stable")
         for at in np.split(order, np.flatnonzero(np.diff(shard_of[order])) + 1):
             base, shard = self.shards[lang].get(int(shard_of[at[0]]), (0, None))
@@ -179,20 +178,26 @@ class Lookup:
         return out
 
 
-def recount(docs: DataFrame, kept: DataFrame, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
-    """(lang, source, term, n): occurrences of the kept terms (a written table) in each group's rows, none of them 0."""
-    spark = docs.sparkSession
-    # The most frequent terms whose number is within the bound go into the hashes; 64 rows at most come to the driver.
+def frequent_lookup(kept: DataFrame, broadcast_terms: int) -> tuple[Lookup, DataFrame | None]:
+    """(hashes of the most frequent terms, as many as the bound allows; the other kept terms, None without any)."""
     level = F.floor(F.log2(F.col("docs").cast("double"))).cast("int")
-    total, least = 0, 64
-    for r in kept.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+    total, least, all_in = 0, 64, True
+    for r in kept.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # 64 rows at most
         if total + r["count"] > broadcast_terms:
+            all_in = False
             break
         total, least = total + r["count"], r.level
-    frequent, rest = kept.where(level >= least), kept.where(level < least)
-    has_rest = not rest.isEmpty()
-    sizes = frequent.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / SHARD_TERMS).cast("int").alias("shards"))
-    lookup = spark.sparkContext.broadcast(Lookup(build_shards(frequent, sizes).toArrow().to_pylist()))
+    shards = max(1, -(-total // SHARD_TERMS))
+    found = Lookup(build_shards(kept.where(level >= least), shards).toArrow().to_pylist(), shards)
+    return found, None if all_in else kept.where(level < least)
+
+
+def recount(docs: DataFrame, lookup, rest: DataFrame | None) -> DataFrame:
+    """(lang, source, slot, term, n): occurrences of the kept terms in each group's rows, none of them 0.
+
+    `lookup` is the broadcast `Lookup`; its terms are counted by slot (term null), those of `rest` by term (slot -1).
+    """
+    has_rest = rest is not None
 
     def run(batches):
         found = lookup.value
@@ -204,8 +209,7 @@ def recount(docs: DataFrame, kept: DataFrame, broadcast_terms: int = BROADCAST_T
         def sent():
             for (lang, source), counts in dense.items():
                 at = np.flatnonzero(counts)
-                terms = _strings([found.terms[lang][i] for i in at.tolist()])
-                yield rows(lang, source, terms, pa.array(counts[at]), True)
+                yield rows(lang, source, pa.array(at), pa.nulls(len(at), pa.string()), pa.array(counts[at]))
             dense.clear()
 
         def sent_others():
@@ -213,13 +217,13 @@ def recount(docs: DataFrame, kept: DataFrame, broadcast_terms: int = BROADCAST_T
             for (lang, source, term), n in others.items():
                 by_group.setdefault((lang, source), []).append((term, n))
             for (lang, source), pairs in by_group.items():
-                yield rows(lang, source, _strings([t for t, _ in pairs]), pa.array([n for _, n in pairs], pa.int64()), False)
+                none = pa.array(np.full(len(pairs), -1, np.int64))
+                yield rows(lang, source, none, _strings([t for t, _ in pairs]), pa.array([n for _, n in pairs], pa.int64()))
             others.clear()
 
-        def rows(lang, source, terms, counts, is_kept):
-            n = len(terms)
-            one = [pa.array([x]).take(pa.array(np.zeros(n, np.int64))) for x in (lang, source)]
-            return pa.RecordBatch.from_arrays([*one, terms, counts, pa.array([is_kept] * n, pa.bool_())], names=["lang", "source", "term", "n", "kept"])
+        def rows(lang, source, slots, terms, counts):
+            group = [pa.repeat(x, len(slots)) for x in (lang, source)]
+            return pa.RecordBatch.from_arrays([*group, slots, terms, counts], names=["lang", "source", "slot", "term", "n"])
 
         for batch in batches:
             groups: dict[tuple[str, str], list[int]] = {}
@@ -256,12 +260,16 @@ def recount(docs: DataFrame, kept: DataFrame, broadcast_terms: int = BROADCAST_T
         yield from sent()
         yield from sent_others()
 
-    parts = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, n long, kept boolean")
-    counts = parts.groupBy("lang", "source", "term", "kept").agg(F.sum("n").alias("n"))
-    if not has_rest:
-        return counts.drop("kept")
-    sure = counts.where("kept").drop("kept")
-    return sure.union(counts.where("not kept").join(rest, ["lang", "term"], "left_semi").select(*sure.columns))
+    parts = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, slot long, term string, n long")
+    # A task has added up its rows: they go to their key's partition as they are and are added up there.
+    by_slot = parts.where("slot >= 0").select("lang", "source", "slot", "n").repartition("lang", "source", "slot")
+    counts = by_slot.groupBy("lang", "source", "slot").agg(F.sum("n").alias("n"))
+    counts = counts.select("lang", "source", "slot", F.lit(None).cast("string").alias("term"), "n")
+    if has_rest:
+        by_term = parts.where("slot < 0").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+        by_term = by_term.join(rest.select("lang", "term"), ["lang", "term"], "left_semi")
+        counts = counts.union(by_term.select("lang", "source", F.lit(-1).cast("long").alias("slot"), "term", "n"))
+    return counts
 
 
 def _share(count: np.ndarray, total) -> np.ndarray:
@@ -274,14 +282,16 @@ def _share(count: np.ndarray, total) -> np.ndarray:
     return out + 1
 
 
-def _block(counts: pa.Table, groups: pa.Table) -> pa.Table:
+def _block(counts: pa.Table, groups: pa.Table, terms_of_lang: dict[str, list[bytes]]) -> pa.Table:
     """Parts of the divergences, and the terms that may reach the reported ranks, of one block of a language's terms."""
     if not groups.num_rows:
         return _RESULT.empty_table()
     info = {x: groups.column(x).to_numpy() for x in ("size", "lang_size", "vocabulary")}
     sources = groups.column("source").to_pylist()
     lang = groups.column("lang")[0].as_py()
-    terms, column = np.unique(np.array([t.encode("utf-8") for t in counts.column("term").to_pylist()], object), return_inverse=True)
+    slots, by_slot = counts.column("slot").to_numpy(), terms_of_lang.get(lang, [])
+    named = [t.encode("utf-8") if at < 0 else by_slot[at] for at, t in zip(slots.tolist(), counts.column("term").to_pylist(), strict=True)]
+    terms, column = np.unique(np.array([*named, b""], object)[:-1], return_inverse=True)
     index = {s: i for i, s in enumerate(sources)}
     seen = np.zeros((len(sources), len(terms)), np.int64)
     seen[[index[s] for s in counts.column("source").to_pylist()], column] = counts.column("n").to_numpy()
@@ -328,25 +338,34 @@ def audit_sources(
     """
     plain = _plain(docs, text_column, lang_column, source_column)
     kept = cut(kept_terms(plain, min_docs))
-    counts = cut(recount(plain, kept, broadcast_terms))
+    found, rest = frequent_lookup(kept, broadcast_terms)
+    lookup = docs.sparkSession.sparkContext.broadcast(found)
+    counts = cut(recount(plain, lookup, rest))
     sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("size"))
     groups = plain.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").fillna(0, ["size"])
     langs = groups.groupBy("lang").agg(F.sum("size").alias("lang_size"), F.count(F.lit(1)).alias("sources"))
-    langs = langs.join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary")), "lang", "left").fillna(0, ["vocabulary"])
-    # Blocks hold BLOCK_TERMS terms, or the root of the vocabulary where that is more, and a bounded number of cells.
-    v = F.col("vocabulary")
-    blocks = F.greatest(
-        F.lit(1),
-        F.ceil(v / F.greatest(F.lit(BLOCK_TERMS), F.sqrt(v))),
-        F.ceil(v * F.col("sources") / BLOCK_CELLS),
-    ).cast("int")
-    langs = cut(langs.withColumn("blocks", blocks))
-    left = counts.join(langs.select("lang", "blocks"), "lang").withColumn("block", F.expr("pmod(xxhash64(term), blocks)").cast("int"))
-    right = groups.join(langs, "lang").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary"))
+    langs = cut(langs.join(vocabulary, "lang", "left").fillna(0, ["vocabulary"]))
+    # All blocks are one number of terms wide: the root of the vocabulary, within a bound of terms x sources.
+    most = langs.agg(F.max("vocabulary"), F.max("sources")).first()
+    width = max(1, min(max(BLOCK_TERMS, math.isqrt(most[0] or 0)), BLOCK_CELLS // (most[1] or 1)))
+    # Blocks by slot come first, 0 to `of_slots`; behind them those by hash, for terms that have no slot.
+    of_slots = -(-max(map(len, found.terms.values()), default=0) // width)
+    of_rest = 0 if rest is None else -(-(most[0] or 0) // width)
+    by_hash = F.lit(of_slots) + F.pmod(F.xxhash64("term"), F.lit(max(1, of_rest)))
+    block = F.when(F.col("slot") >= 0, F.floor(F.col("slot") / width)).otherwise(by_hash).cast("int").alias("block")
+    left = counts.select("lang", "source", "slot", "term", "n", block)
+    # Every block of a language knows all its groups; a language without kept terms has one empty block.
+    slots_of_lang = F.least(F.lit(of_slots), F.ceil(F.col("vocabulary") / width))
+    blocks = F.concat(
+        F.sequence(F.lit(0), F.greatest(slots_of_lang, F.lit(1)).cast("int") - 1),
+        F.sequence(F.lit(of_slots), F.lit(of_slots + of_rest - 1)) if of_rest else F.array().cast("array<int>"),
+    )
+    right = groups.join(langs, "lang").withColumn("block", F.explode(F.array_distinct(blocks.cast("array<int>"))))
     schema = "lang string, part string, source string, item string, value long"
-    found = left.select("lang", "block", "source", "term", "n").groupBy("lang", "block").cogroup(
+    found = left.groupBy("lang", "block").cogroup(
         right.select("lang", "block", "source", "size", "lang_size", "vocabulary").groupBy("lang", "block")
-    ).applyInArrow(_block, schema)
+    ).applyInArrow(lambda x, y: _block(x, y, lookup.value.terms), schema)
     found = cut(found)
     pairs = found.where(F.col("part") == "pair").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))

@@ -94,8 +94,8 @@ def test_perfect_hash_numbers_every_key_once(n):
 def test_equal_hashes_keep_their_terms_apart(monkeypatch, spark):
     monkeypatch.setattr(divergence.xxhash, "xxh64_intdigest", lambda t, seed: len(t))
     terms = [b"a", b"b", b"cc", b"ddd", b"ee"]
-    table = divergence.pa.table({"lang": ["x"] * 5, "shard": [0] * 5, "shards": [1] * 5, "term": [t.decode() for t in terms]})
-    found = Lookup(divergence._shard(table).to_pylist())
+    table = divergence.pa.table({"lang": ["x"] * 5, "shard": [0] * 5, "term": [t.decode() for t in terms]})
+    found = Lookup(divergence._shard(table).to_pylist(), 1)
     slots = found.slots("x", [*terms, b"q", b"zzzz"])
     assert sorted(slots[:5].tolist()) == list(range(5)) and slots[5:].tolist() == [-1, -1]
     assert [found.terms["x"][i] for i in slots[:5]] == terms
