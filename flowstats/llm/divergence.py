@@ -178,6 +178,28 @@ class Lookup:
         return out
 
 
+class _Known(dict):
+    """Numbers of the words of a language that a task has met, and their slots, looked up once each."""
+
+    def __init__(self):
+        super().__init__()
+        self.names: list[bytes] = []
+        self.found = np.zeros(0, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = at = len(self.names)
+        self.names.append(word)
+        return at
+
+    def ids(self, text: bytes) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, terms_of(text)), np.int64)
+
+    def slots(self, lookup: Lookup, lang: str) -> np.ndarray:
+        if len(self.found) < len(self.names):
+            self.found = np.r_[self.found, lookup.slots(lang, self.names[len(self.found) :])]
+        return self.found
+
+
 def frequent_lookup(kept: DataFrame, broadcast_terms: int) -> tuple[Lookup, DataFrame | None]:
     """(hashes of the most frequent terms, as many as the bound allows; the other kept terms, None without any)."""
     level = F.floor(F.log2(F.col("docs").cast("double"))).cast("int")
@@ -203,8 +225,8 @@ def recount(docs: DataFrame, lookup, rest: DataFrame | None) -> DataFrame:
         found = lookup.value
         dense: dict[tuple[str, str], np.ndarray] = {}
         others: Counter = Counter()
-        known: dict[str, dict[bytes, int]] = {}
-        used = cached = 0
+        known: dict[str, _Known] = {}
+        used = 0
 
         def sent():
             for (lang, source), counts in dense.items():
@@ -230,18 +252,9 @@ def recount(docs: DataFrame, lookup, rest: DataFrame | None) -> DataFrame:
             for i, pair in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 groups.setdefault(pair, []).append(i)
             for (lang, source), members in groups.items():
-                counts: Counter = Counter()
-                for i in members:
-                    counts.update(terms_of(batch.column(2)[i].as_buffer().to_pybytes()))
-                slot_of = known.setdefault(lang, {})
-                new = [w for w in counts if w not in slot_of]
-                if cached + len(new) > CACHED_WORDS:
-                    known.clear()
-                    slot_of, cached, new = known.setdefault(lang, {}), 0, list(counts)
-                slot_of.update(zip(new, found.slots(lang, new).tolist(), strict=True))
-                cached += len(new)
-                slots = np.fromiter(map(slot_of.__getitem__, counts), np.int64, len(counts))
-                times = np.fromiter(counts.values(), np.int64, len(counts))
+                words = known.setdefault(lang, _Known())
+                ids = np.concatenate([words.ids(batch.column(2)[i].as_buffer().to_pybytes()) for i in members])
+                slots = words.slots(found, lang)[ids]
                 width = len(found.terms.get(lang, ()))
                 if (lang, source) not in dense and width:
                     if used + width > DENSE_SLOTS:
@@ -250,13 +263,15 @@ def recount(docs: DataFrame, lookup, rest: DataFrame | None) -> DataFrame:
                     dense[lang, source] = np.zeros(width, np.int64)
                     used += width
                 if width:
-                    dense[lang, source][slots[slots >= 0]] += times[slots >= 0]  # a word has one slot: no place twice
+                    dense[lang, source] += np.bincount(slots[slots >= 0], minlength=width)
                 if has_rest:
-                    for word, slot, n in zip(counts, slots.tolist(), times.tolist(), strict=True):
-                        if slot < 0:
-                            others[lang, source, word] += n
+                    left, times = np.unique(ids[slots < 0], return_counts=True)
+                    for i, n in zip(left.tolist(), times.tolist(), strict=True):
+                        others[lang, source, words.names[i]] += n
                     if len(others) > HELD_TERMS:
                         yield from sent_others()
+                if len(words) > CACHED_WORDS:
+                    del known[lang]
         yield from sent()
         yield from sent_others()
 
