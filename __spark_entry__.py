@@ -14,6 +14,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from pathlib import Path
 
 # The package sits next to this file; make it importable however this module is loaded.
@@ -43,7 +44,9 @@ from flowstats.plans.tcp_shared import tcp_report_set
 from flowstats.plans.replay import replay_by_bucket
 from flowstats.schemas import CORRUPT_RECORD, HTTP_SCHEMA, OVERALL_METRICS, STATIC_EXTENSIONS, STATUS_CLASSES, TCP_SCHEMA, TOP_K
 from flowstats.session import checkpoint_dir
-from flowstats.sinks.documents import keyed_document, report_documents
+from flowstats.sinks.documents import keyed_document, report_documents, report_parts
+from flowstats.sinks.quarantine import add_bad, read_quarantine
+from flowstats.sinks.committed import commit, compact, hours_between, new_run, read_committed, replaced_by_all, write_rows, written_hours
 from flowstats.sinks.snapshot import read_snapshot, stamp, write_snapshot
 from flowstats.sources.json_records import decode_json, encode_json, split_bad, stream_json_files
 from flowstats.sources.tables import http_flows, tcp_flows
@@ -150,6 +153,65 @@ def _snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, path, report.schema)
 
 
+def _replay_emptied_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay of all days that finds hour 05 empty empties it; a run that was killed before its commit is not seen."""
+    path = f"{checkpoint_dir(spark)}/snapshot_replay_emptied_hour/{uuid.uuid4().hex}"
+    flows, name = http_flows(spark, sf_dir), "http_bytes_per_bucket"
+    report = _bytes_per_bucket(flows)
+    first, replay = new_run(), new_run()
+    write_rows(report, path, name, first, F.col("batch_time"))
+    commit(spark, path, first, replaced_by_all(spark, path, [name], first))
+    left = report.where(F.substring("batch_time", 9, 2) != "05")
+    write_rows(left, path, name, replay, F.col("batch_time"))
+    days = flows.agg(F.to_date(F.min("ts")).cast("timestamp").alias("a"), F.to_date(F.max("ts")).cast("timestamp").alias("z")).first()
+    commit(spark, path, replay, hours_between(spark, [name], days.a, days.z + timedelta(days=1)))
+    write_rows(report, path, name, new_run(), F.col("batch_time"))  # killed here
+    return read_committed(spark, path, report.schema, name)
+
+
+def _stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches in every hour, rewritten as one run per hour; a second compaction finds nothing to do."""
+    path = f"{checkpoint_dir(spark)}/snapshot_compacted/{uuid.uuid4().hex}"
+    report, name = _bytes_per_bucket(http_flows(spark, sf_dir)), "http_bytes_per_bucket"
+    for batch in range(3):
+        run, mine = new_run(), F.pmod(F.xxhash64("batch_time", "dst_group_id"), F.lit(3)) == batch
+        write_rows(report.where(mine), path, name, run, F.col("batch_time"))
+        commit(spark, path, run, written_hours(spark, path, [name], run), part=f"query-{batch}")
+    for _ in range(2):
+        compact(spark, path, before="9999-01-01T00")
+    return read_committed(spark, path, report.schema, name)
+
+
+def _quarantine_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over the even records, one over all, and that one again: every bad record is kept once."""
+    sink = f"{checkpoint_dir(spark)}/quarantine_two_runs/{uuid.uuid4().hex}"
+    http = http_flows(spark, sf_dir)
+    for records in (http.where("event_id % 2 = 0"), http, http):
+        _, bad = split_bad(decode_json(_mixed_messages(records), HTTP_SCHEMA))
+        add_bad(bad, sink, "http")
+    return read_quarantine(spark, sink).select("kind", "bad_record", "copies")
+
+
+def _json_unknown_fields(http: DataFrame) -> DataFrame:
+    """Requests per client, a field that the schema does not have; text after a record makes it a bad one."""
+    client = F.struct(F.concat(F.lit("client-"), (F.col("event_id") % 7).cast("string")).alias("name"))
+    message = F.to_json(F.struct(*[F.col(f.name) for f in HTTP_SCHEMA.fields], client.alias("client")))
+    trailing = F.when(F.col("event_id") % 11 == 0, F.lit(" x")).otherwise(F.lit(""))
+    messages = http.select(F.concat(message, trailing).alias("value"))
+    good, _ = split_bad(decode_json(messages, HTTP_SCHEMA, extra_col="extra"))
+    name = F.try_variant_get("extra", "$.client.name", "string").alias("client")
+    return good.groupBy(name).agg(F.count(F.lit(1)).alias("requests"))
+
+
+def _http_document_parts(http: DataFrame) -> DataFrame:
+    return report_parts("http", H.url_totals(http), size=40)
+
+
+def _server_document_parts(tcp: DataFrame) -> DataFrame:
+    rows = TR.server_summary(tcp).select("dst_group_id", "dst_ipv4", "bytes_total", "counter", "closed")
+    return report_parts("tcp_server_10s", rows, size=7)
+
+
 def _mixed_messages(http: DataFrame) -> DataFrame:
     """Flows as JSON messages with cases mixed in by id: bad text and fields, blanks, tombstones, arrays, quoted numbers."""
     eid = F.col("event_id")
@@ -206,7 +268,7 @@ def _through_stream(
     query = run_reports(records, {name: report}, f"{root}/sink", f"{root}/checkpoint", available_now=True)
     query.awaitTermination()
     out_schema = T.StructType(report(flows).schema.fields + [T.StructField("batch_time", T.StringType())])
-    return read_snapshot(spark, f"{root}/sink", out_schema, STREAM_PARTITIONS)
+    return read_committed(spark, f"{root}/sink", out_schema, stamp_cols=STREAM_PARTITIONS)
 
 
 def _stream_http_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,6 +364,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "group_document": _on_http(_status_document),
         "http_server_document": _on_http(_server_document),
         "tcp_proto_document": _on_tcp(_proto_document),
+        "http_document": _on_http(_http_document_parts),
+        "tcp_server_document": _on_tcp(_server_document_parts),
+        "json_unknown_fields": _on_http(_json_unknown_fields),
+        "quarantine_two_runs": _quarantine_two_runs,
+        "snapshot_compacted": _stream_compacted,
+        "snapshot_replay_emptied_hour": _replay_emptied_hour,
         "snapshot_incremental": _snapshot_incremental,
         "snapshot_roundtrip": _snapshot_roundtrip,
         "stream_http_status": _stream_http_status,
@@ -485,6 +553,18 @@ def _row_json(columns: list[str], texts: list[str] = ()) -> str:
     return f"'{{' || concat_ws(',', {parts}) || '}}'"
 
 
+def _parts_sql(rows: str, key: str, columns: list[str], size: int) -> str:
+    """The documents of a report in parts: entries numbered in the order of (three digits of the key's md5, key)."""
+    return (
+        f"WITH rep AS ({rows}), named AS (SELECT dst_group_id, {', '.join(columns)}, coalesce({key}, '(none)') AS k FROM rep), "
+        "num AS (SELECT *, row_number() OVER (PARTITION BY dst_group_id ORDER BY substr(md5(k), 1, 3), k) - 1 AS idx, "
+        f"CAST(ceil(count(*) OVER (PARTITION BY dst_group_id) / {size}) AS BIGINT) AS parts FROM named) "
+        f"SELECT dst_group_id, CAST(idx // {size} AS BIGINT) AS part, parts, '{{' || string_agg('\"' || k || '\":' || "
+        + _row_json(columns, [key])
+        + f", ',' ORDER BY k) || '}}' AS document FROM num GROUP BY dst_group_id, idx // {size}, parts"
+    )
+
+
 BUCKET_SQL = "strftime(time_bucket(INTERVAL '10 seconds', ts), '%Y%m%d%H%M%S')"
 STATUS_COUNTS_SQL = (
     "SELECT dst_group_id, status_code, count(*) AS requests FROM http_flows "
@@ -686,6 +766,17 @@ def oracle_sql() -> dict[str, str]:
         "stream_http_status": _http_sql(STATUS_COUNTS_SQL),
         "stream_tcp_proto": _tcp_sql(_bytes_by_sql("l7_proto", "l7_proto")),
     }
+    sql["snapshot_compacted"] = sql["snapshot_roundtrip"]
+    sql["snapshot_replay_emptied_hour"] = sql["snapshot_roundtrip"] + " WHERE substr(batch_time, 9, 2) <> '05'"
+    sql["quarantine_two_runs"] = _http_sql(
+        "bad AS (SELECT CASE event_id % 13 WHEN 0 THEN 'junk ' || event_id ELSE '{\"dst_group_id\":\"x' || event_id || '\"}' END AS bad_record "
+        "FROM http_flows WHERE event_id % 13 IN (0, 1)) SELECT 'http' AS kind, bad_record, count(*) AS copies FROM bad GROUP BY ALL"
+    )
+    sql["json_unknown_fields"] = _http_sql(
+        "SELECT 'client-' || (event_id % 7) AS client, count(*) AS requests FROM http_flows WHERE event_id % 11 <> 0 GROUP BY ALL"
+    )
+    sql["http_document"] = _parts_sql(sql["http_url_totals"], "url", ["url", *OVERALL_NAMES], 40)
+    sql["tcp_server_document"] = _parts_sql(sql["tcp_server_summary"], "dst_ipv4", ["dst_ipv4", "bytes_total", "counter", "closed"], 7)
     # Reports from the shared aggregations must equal the standalone reports.
     sql["snapshot_incremental"] = sql["snapshot_roundtrip"]
     sql["http_shared_top_server"] = sql["http_top_server"]

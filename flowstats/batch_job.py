@@ -4,17 +4,25 @@
         [--format parquet|json] [--reports http_url,...] [--documents] \\
         [--by-bucket --ts-col ts --interval "10 seconds" --start 2024-01-01T09 --end 2024-01-01T12]
 
-Without `--by-bucket` each report runs once over all the records and is written
-under `report=<name>`. With it, each report is replayed per time bucket of
-`--ts-col` (the batch twin of the streaming job) and written under
-`report=<name>/dt=<day>/hour=<hour>`. A replay replaces exactly the hours from
-`--start` to `--end` (UTC, whole hours) and reads only their records; without a
-range it covers all stored records.
+Without `--by-bucket` each report runs once over all the records and is stored
+as one table without times. With it, each report is replayed per time bucket of
+`--ts-col` (the batch twin of the streaming job) and stored by day and hour. A
+replay takes the place of exactly the hours from `--start` to `--end` (UTC, whole
+hours), those without records included, and reads only their records; without a
+range it covers all stored records, and takes the place of all hours.
+
+All reports of a run appear together, by one commit (`flowstats.sinks.committed`):
+a run that was killed leaves nothing that readers see, and the hourly tables and
+those without times do not touch one another. Read with `read_committed`.
 
 Reports are derived from aggregations that are computed once and kept on disk
 while the job runs, so the input is read three times for the twelve HTTP
-reports and twice for the four TCP ones. Bad JSON records go to a quarantine
-folder beside the sink and reach no report.
+reports and twice for the four TCP ones. Bad records, and with `--by-bucket`
+those whose time cannot be read, are added to the sink's quarantine
+(`flowstats.sinks.quarantine`) and reach no report. `--mended FILES` takes JSON
+lines of mended records (with the `quarantine_id` they stand for, if known),
+stores them beside the sink, and replays the hours they belong to; they are
+part of every later replay.
 """
 
 from __future__ import annotations
@@ -34,10 +42,11 @@ from flowstats.plans.report_set import BATCH
 from flowstats.plans.tcp_reports import TCP_REPORTS
 from flowstats.plans.tcp_shared import tcp_report_set
 from flowstats.schemas import BATCH_INTERVAL, CORRUPT_RECORD, HTTP_SCHEMA, TCP_SCHEMA
-from flowstats.sinks.documents import UNBOUNDED, report_documents
-from flowstats.sinks.snapshot import aligned_range, stamp, write_snapshot
-from flowstats.sources.json_records import read_json_files, split_bad
-from flowstats.streaming.runner import quarantine_path
+from flowstats.sinks.documents import UNBOUNDED, report_documents, report_parts
+from flowstats.sinks.committed import WHOLE, commit, hours_between, new_run, replaced_by_all, write_rows
+from flowstats.sinks.quarantine import add_bad, add_mended, read_mended
+from flowstats.sinks.snapshot import aligned_range
+from flowstats.sources.json_records import SOURCE, decode_timed, read_json_files, split_bad
 
 KINDS = {"http": (HTTP_SCHEMA, HTTP_REPORTS, http_report_set), "tcp": (TCP_SCHEMA, TCP_REPORTS, tcp_report_set)}
 
@@ -55,17 +64,30 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--start", help="first hour of the replay (ISO, UTC)")
     p.add_argument("--end", help="hour after the last of the replay")
     p.add_argument("--documents", action="store_true", help="also write nested documents, under report=<name>_document")
+    p.add_argument("--mended", help="JSON lines of mended records: store them and replay their hours")
     args = p.parse_args(argv)
+    if args.mended and (args.start or not args.by_bucket):
+        p.error("--mended goes with --by-bucket, without a range: the records say which hours")
     if bool(args.start) != bool(args.end) or (args.start and not args.by_bucket):
         p.error("--start and --end go together, with --by-bucket")
     return args
 
 
+#: Hour of a bucket, `yyyyMMddHH`.
+HOUR = F.substring(BUCKET, 1, 10)
+
+
 def read_records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """The stored records; bad ones and, for a replay, those without a time carry their text in `_corrupt_record`."""
     schema = KINDS[args.kind][0]
+    time_col = args.ts_col if args.by_bucket else None
     if args.format == "json":
-        return read_json_files(spark, args.input, schema, args.ts_col if args.by_bucket else None)
-    return spark.read.parquet(args.input)
+        return read_json_files(spark, args.input, schema, time_col, with_source=True)
+    records = spark.read.parquet(args.input)
+    if time_col is None:
+        return records
+    text = F.when(F.col(time_col).isNull(), F.to_json(F.struct(*records.columns)))
+    return records.withColumns({CORRUPT_RECORD: text, SOURCE: F.col("_metadata.file_path")})
 
 
 def in_range(records: DataFrame, args: argparse.Namespace) -> DataFrame:
@@ -78,8 +100,22 @@ def in_range(records: DataFrame, args: argparse.Namespace) -> DataFrame:
     return records.where((F.col(args.ts_col) >= bounds[0]) & (F.col(args.ts_col) < bounds[1]))
 
 
+def bucketed(records: DataFrame, args: argparse.Namespace) -> DataFrame:
+    zoned = isinstance(records.schema[args.ts_col].dataType, T.TimestampType)
+    return records.withColumn(BUCKET, batch_time(args.ts_col, args.interval, zoned))
+
+
+def with_mended(good: DataFrame, lines: DataFrame, args: argparse.Namespace, source: str) -> DataFrame:
+    """`good` and the records of the JSON `lines`, of which bad ones go to the quarantine."""
+    decoded = decode_timed(lines.withColumn(SOURCE, F.lit(source)), KINDS[args.kind][0], args.ts_col, [SOURCE])
+    more, bad = split_bad(decoded)
+    add_bad(bad, args.sink, args.kind)
+    more = more.withColumn(args.ts_col, F.col(args.ts_col).cast(good.schema[args.ts_col].dataType))
+    return good.unionByName(more.drop(SOURCE), allowMissingColumns=True)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
-    """Run and write the reports; returns their names."""
+    """Run, write and commit the reports; returns their names."""
     _, catalog, make_set = KINDS[args.kind]
     names = args.reports.split(",") if args.reports else list(catalog)
     unknown = [n for n in names if n not in catalog]
@@ -89,34 +125,57 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
         aligned_range(args.start, args.end)  # refuse a misaligned range before any work
     good, bad = split_bad(read_records(spark, args))
     if bad is not None:
-        bad.select(F.col(CORRUPT_RECORD).alias("bad_record")).write.mode("overwrite").json(quarantine_path(args.sink))
+        add_bad(bad, args.sink, args.kind)
+    good = good.drop(SOURCE)
     by: list[str] = []
+    mended_hours = None
     if args.by_bucket:
         by = [BUCKET]
-        zoned = isinstance(good.schema[args.ts_col].dataType, T.TimestampType)
-        good = in_range(good, args).withColumn(BUCKET, batch_time(args.ts_col, args.interval, zoned))
-        good = good.where(F.col(BUCKET).isNotNull())
+        if args.mended:
+            added = add_mended(spark.read.text(args.mended), args.sink, args.kind)
+            mended_hours = bucketed(with_mended(good.limit(0), added.select("value"), args, "mended"), args)
+            mended_hours = mended_hours.select(HOUR.alias("_hour")).distinct()
+        stored = read_mended(spark, args.sink, args.kind).select("value")
+        if not stored.isEmpty():
+            good = with_mended(good, stored, args, "mended")
+        good = bucketed(in_range(good, args), args)
+        if mended_hours is not None:
+            good = good.join(mended_hours, HOUR == F.col("_hour"), "left_semi")
     report_set = make_set(by=by)
     wanted = report_set.needed(names)
     shared = {n: report_set.shared[n](good).persist(StorageLevel.DISK_ONLY) for n in wanted}
     frames = {**shared, BATCH: good}
+    run_id, written = new_run(), []
     try:
         for name in names:
             rows = report_set.reports[name](frames)
             outputs = {name: rows}
-            if args.documents and name not in UNBOUNDED:
-                outputs[f"{name}_document"] = report_documents(name, rows, by)
+            if args.documents:
+                write = report_parts if name in UNBOUNDED else report_documents
+                outputs[f"{name}_document"] = write(name, rows, by)
             for label, out in outputs.items():
-                if by:
-                    write_snapshot(stamp(out, label, F.col(BUCKET)), args.sink)
-                else:
-                    write_snapshot(out.withColumn("report", F.lit(label)), args.sink, ["report"])
+                write_rows(out, args.sink, label, run_id, F.col(BUCKET) if by else None)
+                written.append(label)
+        commit(spark, args.sink, run_id, _replaced(spark, args, written, run_id, mended_hours))
     finally:
         for df in shared.values():
             df.unpersist()
     return names
 
 
+def _replaced(spark: SparkSession, args: argparse.Namespace, written: list[str], run_id: str, mended_hours: DataFrame | None) -> DataFrame:
+    """(report, dt, hour) that the run's rows are the content of from now on."""
+    if args.start:
+        return hours_between(spark, written, *aligned_range(args.start, args.end))
+    if not args.by_bucket:
+        return spark.createDataFrame([(n, WHOLE, WHOLE) for n in written], "report string, dt string, hour string")
+    if mended_hours is None:
+        return replaced_by_all(spark, args.sink, written, run_id)
+    names = spark.createDataFrame([(n,) for n in written], "report string")
+    day = F.concat_ws("-", F.substring("_hour", 1, 4), F.substring("_hour", 5, 2), F.substring("_hour", 7, 2))
+    return names.join(mended_hours.select(day.alias("dt"), F.substring("_hour", 9, 2).alias("hour")))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName(f"flowstats-batch-{args.kind}").getOrCreate()

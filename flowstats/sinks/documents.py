@@ -6,12 +6,13 @@ outer key, built on the executors. Only use it for reports whose inner
 entries per outer key are bounded (status codes, protocols, ports, top-k
 lists); an unbounded inner list would put a whole group into one row.
 `report_documents` knows the shape of every report and refuses those whose
-inner list has no bound.
+inner list has no bound; `report_parts` writes these in numbered parts of a
+bounded number of entries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,8 +34,14 @@ DOCUMENTS = {
     "tcp_dstport_10s": (["is_all", "dst_group_id"], "port", "rows"),
     "tcp_10s": (["is_all"], "dst_group_id", "rows"),
 }
-# A group of these may hold any number of URLs or servers.
-UNBOUNDED = ("http", "tcp_server_10s")
+# A group of these may hold any number of URLs or servers: outer keys and inner key, rows by key in parts.
+PARTED = {"http": (["dst_group_id"], "url"), "tcp_server_10s": (["dst_group_id"], "dst_ipv4")}
+UNBOUNDED = tuple(PARTED)
+#: Entries of a part at most.
+PART_ENTRIES = 10_000
+#: Digits of the key's md5 that deal a group's entries into slices (16 ** digits of them).
+SLICE_DIGITS = 3
+NO_KEY = "(none)"
 
 
 def report_documents(report: str, rows: DataFrame, by: list[str] | tuple[str, ...] = (), doc_col: str = "document") -> DataFrame:
@@ -44,7 +51,7 @@ def report_documents(report: str, rows: DataFrame, by: list[str] | tuple[str, ..
     codes (ports: 65,536 at most); the `all` entry of TCP documents is the one with `is_all`.
     """
     if report in UNBOUNDED:
-        raise ValueError(f"{report}: a group's list has no bound, write its rows instead")
+        raise ValueError(f"{report}: a group's list has no bound, write it with `report_parts`")
     outer, key, shape = DOCUMENTS[report]
     outer = [*by, *outer]
     if shape == "list":
@@ -54,6 +61,39 @@ def report_documents(report: str, rows: DataFrame, by: list[str] | tuple[str, ..
     return keyed_rows(rows, outer, key, doc_col)
 
 
+def report_parts(
+    report: str, rows: DataFrame, by: list[str] | tuple[str, ...] = (), size: int = PART_ENTRIES, doc_col: str = "document"
+) -> DataFrame:
+    """The documents of a report whose groups have no bound: per group, `parts` of them, numbered from 0 (`part`).
+
+    Every part is `{key: {row}, ...}` with `size` entries, the last one with the rest; an entry's place is its
+    running number in the order of (slice, key), a slice being some digits of the key's md5. Counts per slice give
+    every slice its first number, so a group of any size is numbered and gathered by many tasks, and no task holds
+    more of it than a slice's sort, which spills, and one part. A row without a key is written as `(none)`.
+    """
+    outer, key = PARTED[report]
+    outer = [*by, *outer]
+    inner = [c for c in rows.columns if c not in outer]
+    sliced = rows.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit(NO_KEY)))
+    sliced = sliced.withColumn("_slice", F.substring(F.md5(F.col("_key").cast("binary")), 1, SLICE_DIGITS))
+    before = Window.partitionBy(*outer).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        sliced.groupBy(*outer, "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("parts", F.ceil(F.sum("_n").over(Window.partitionBy(*outer)) / size).cast("long"))
+        .select(*[F.col(c).alias(f"_of_{c}") for c in outer], F.col("_slice").alias("_of_slice"), "_start", "parts")
+    )
+    same = F.col("_slice") == F.col("_of_slice")
+    for c in outer:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    place = F.row_number().over(Window.partitionBy(*outer, "_slice").orderBy("_key"))
+    numbered = sliced.withColumn("_place", place).join(starts, same)
+    part = F.floor((F.col("_start") + F.col("_place") - 1) / size).cast("long").alias("part")
+    entries = F.array_sort(F.collect_list(F.struct(F.col("_key").alias("k"), F.struct(*inner).alias("v"))))
+    return numbered.groupBy(*outer, part, "parts").agg(F.to_json(F.map_from_entries(entries)).alias(doc_col))
+
+
 def keyed_rows(df: DataFrame, outer: list[str], key: str, doc_col: str = "document") -> DataFrame:
     """`{key: {row}, ...}` per outer key, keys sorted, as JSON text; a NULL key is written as `all`."""
     inner = [c for c in df.columns if c not in outer]

@@ -33,14 +33,29 @@ def _typed(field: T.StructField, text: Column) -> Column:
     return text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
 
 
-def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+def _one_value(text: Column) -> Column:
+    """Whether `text` is one JSON value and nothing after it.
+
+    The parser stops at the end of a value, so the text is read as the first element of a list whose second one is the
+    text's hash: what follows a value makes the list unreadable, or stands where the hash should.
+    """
+    mark = F.xxhash64(text).cast("string")
+    return F.coalesce(F.get_json_object(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")), "$[1]") == mark, F.lit(False))
+
+
+def decode_json(
+    df: DataFrame, schema: T.StructType, value_col: str = "value", keep: list[str] | None = None, extra_col: str | None = None
+) -> DataFrame:
     """Parse `value_col` (string or binary) into one row per record of `schema`.
 
     NULL and blank messages (tombstones, empty lines) hold no record and give no
     row; an array gives a row per element. Numbers may be quoted or have a zero
-    fraction. Text that is no JSON object, or a field that does not fit its
+    fraction. Text that is no JSON object or has anything after it, or a field that does not fit its
     type, sets `_corrupt_record` to the record's text; the fields that fit stay.
     `keep` names source columns (e.g. the Kafka `timestamp`) carried along.
+    `extra_col` adds the whole record as a VARIANT, fields outside `schema`
+    included (`extra_fields`, `try_variant_get`); NULL for a bad record, or one that
+    repeats a field.
     """
     keep = list(keep or [])
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
@@ -48,26 +63,41 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value", k
     messages = df.select(*keep, value.alias("_text")).where(F.length(F.trim(F.translate("_text", "\t\r\n", "   "))) > 0)
     # An object is read as an array of one; what is neither gives no element that is a record.
     elements = F.from_json(F.col("_text"), T.ArrayType(texts), {"mode": "PERMISSIVE"})
-    valid = F.get_json_object("_text", "$").isNotNull() & elements.isNotNull()
+    valid = _one_value(F.col("_text")) & elements.isNotNull()
     lone = F.array(F.lit(None).cast(texts))
     is_empty_list = valid & (F.size(elements) == 0)
-    rows = messages.where(~F.coalesce(is_empty_list, F.lit(False))).select(
-        *keep, "_text", F.explode(F.when(valid, elements).otherwise(lone)).alias("_rec")
-    )
+    is_list = F.substring(F.ltrim("_text"), 1, 1) == "["
+    records = F.when(valid, elements).otherwise(lone)
+    messages = messages.where(~F.coalesce(is_empty_list, F.lit(False)))
+    if extra_col is None:
+        rows = messages.select(*keep, "_text", F.explode(records).alias("_rec"))
+    else:
+        whole = F.try_parse_json(F.when(valid, F.col("_text")))
+        listed = F.coalesce(F.try_variant_get(whole, "$", "array<variant>"), F.array(F.lit(None).cast("variant")))
+        variants = F.when(is_list, listed).otherwise(F.array(whole))
+        both = F.arrays_zip(records.alias("rec"), variants.alias("var"))
+        rows = messages.select(*keep, "_text", F.explode(both).alias("_both"))
+        rows = rows.select(*keep, "_text", F.col("_both.rec").alias("_rec"), F.col("_both.var").alias("_var"))
     fields = {f.name: F.col("_rec").getField(f.name) for f in schema.fields}
     misfit = F.lit(False)
     for f in schema.fields:
         if not isinstance(f.dataType, T.StringType):
             misfit = misfit | (fields[f.name].isNotNull() & _typed(f, fields[f.name]).isNull())
-    is_list = F.substring(F.ltrim("_text"), 1, 1) == "["
     own_text = F.when(is_list & F.col("_rec").isNotNull(), F.to_json("_rec")).otherwise(F.col("_text"))
+    bad = F.col("_rec").isNull() | misfit
     return rows.select(
         *keep,
         *[_typed(f, fields[f.name]).alias(f.name) for f in schema.fields],
-        F.when(F.col("_rec").isNull() | misfit, own_text).alias(CORRUPT_RECORD),
+        *([] if extra_col is None else [F.when(~bad, F.col("_var")).alias(extra_col)]),
+        F.when(bad, own_text).alias(CORRUPT_RECORD),
     )
 
 
+def extra_fields(records: DataFrame, extra_col: str = "extra") -> str:
+    """The schema that the records of a VARIANT column have together, as DDL text: known and unknown fields."""
+    return records.agg(F.schema_of_variant_agg(extra_col)).first()[0]
+
+
 def split_bad(records: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(good records without `_corrupt_record`, bad records) of decoded rows; no second part where there is no such column."""
     if CORRUPT_RECORD not in records.columns:
@@ -82,35 +112,62 @@ def encode_json(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(F.to_json(F.struct(*cols)).alias("value"))
 
 
-def read_json_files(spark: SparkSession, path: str, schema: T.StructType, time_col: str | None = None) -> DataFrame:
+#: Column with the place a record comes from: the Kafka message as `topic/partition@offset`, or the file.
+SOURCE = "_source"
+
+
+def decode_timed(lines: DataFrame, schema: T.StructType, time_col: str, keep: list[str] | None = None) -> DataFrame:
+    """`decode_json` with a time field, ISO text or epoch seconds, as a timestamp.
+
+    A record whose time is missing or cannot be read belongs to no hour: it is a bad one.
+    """
+    with_time = T.StructType([*schema.fields, T.StructField(time_col, T.StringType())])
+    text = F.col(time_col)
+    epoch = F.timestamp_seconds(text.try_cast("double"))
+    decoded = decode_json(lines, with_time, keep=keep).withColumn("_time", F.coalesce(text.try_cast("timestamp"), epoch))
+    own_text = F.to_json(F.struct(*with_time.fieldNames()))
+    bad = F.coalesce(F.col(CORRUPT_RECORD), F.when(F.col("_time").isNull(), own_text))
+    names = [f.name for f in schema.fields]
+    return decoded.select(*(keep or []), *names, F.col("_time").alias(time_col), bad.alias(CORRUPT_RECORD))
+
+
+def read_json_files(
+    spark: SparkSession, path: str, schema: T.StructType, time_col: str | None = None, with_source: bool = False
+) -> DataFrame:
     """Batch read of JSON-lines files through the shared decoder.
 
     `time_col` names a time field of the records, ISO text or epoch seconds,
     which is decoded as a timestamp besides the fields of `schema`.
+    `with_source` adds each record's file as `_source`.
     """
     lines = spark.read.text(path)
+    keep = []
+    if with_source:
+        lines, keep = lines.select("value", F.col("_metadata.file_path").alias(SOURCE)), [SOURCE]
     if time_col is None:
-        return decode_json(lines, schema)
-    with_time = T.StructType([*schema.fields, T.StructField(time_col, T.StringType())])
-    text = F.col(time_col)
-    epoch = F.timestamp_seconds(text.try_cast("double"))
-    return decode_json(lines, with_time).withColumn(time_col, F.coalesce(text.try_cast("timestamp"), epoch))
+        return decode_json(lines, schema, keep=keep)
+    return decode_timed(lines, schema, time_col, keep)
 
 
 #: Column with the time that a source gives its records: the Kafka timestamp, or the file's modification time.
 SOURCE_TIME = "timestamp"
 
 
-def stream_json_files(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_json_files(
+    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None, with_source: bool = False
+) -> DataFrame:
     """Streaming read of JSON-lines files dropped into `path`.
 
-    Each record carries its file's modification time as `timestamp`, which is the same when a batch is run again.
+    Each record carries its file's modification time as `timestamp`, which is the same when a batch is run again,
+    and with `with_source` the file as `_source`.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(path).select("value", F.col("_metadata.file_modification_time").alias(SOURCE_TIME))
-    return decode_json(lines, schema, keep=[SOURCE_TIME])
+    lines = reader.load(path).select(
+        "value", F.col("_metadata.file_modification_time").alias(SOURCE_TIME), F.col("_metadata.file_path").alias(SOURCE)
+    )
+    return decode_json(lines, schema, keep=[SOURCE_TIME, SOURCE] if with_source else [SOURCE_TIME])
 
 
 def kafka_stream(
@@ -120,11 +177,13 @@ def kafka_stream(
     schema: T.StructType,
     starting_offsets: str = "latest",
     options: dict[str, str] | None = None,
+    with_source: bool = False,
 ) -> DataFrame:
     """Decoded records of one Kafka topic; needs the spark-sql-kafka package.
 
     Only the message value is decoded; the Kafka `timestamp` is kept so a
-    replayed batch can be stamped with a stable time. `options` are the
+    replayed batch can be stamped with a stable time, and with `with_source` the
+    message's place as `_source`. `options` are the
     source's own, e.g. `maxOffsetsPerTrigger` to bound a catch-up batch.
     """
     reader = (
@@ -144,4 +203,6 @@ def kafka_stream(
                 "(spark.jars.packages) to read from a topic"
             ) from exc
         raise
-    return decode_json(raw, schema, keep=[SOURCE_TIME])
+    place = F.concat_ws("", "topic", F.lit("/"), F.col("partition").cast("string"), F.lit("@"), F.col("offset").cast("string"))
+    raw = raw.select("value", SOURCE_TIME, place.alias(SOURCE))
+    return decode_json(raw, schema, keep=[SOURCE_TIME, SOURCE] if with_source else [SOURCE_TIME])

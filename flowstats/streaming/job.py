@@ -80,9 +80,9 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         options = dict(o.split("=", 1) for o in args.kafka_option)
         if args.max_offsets_per_trigger:
             options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
-        records = kafka_stream(spark, args.brokers, args.topic, schema, args.starting_offsets, options)
+        records = kafka_stream(spark, args.brokers, args.topic, schema, args.starting_offsets, options, with_source=True)
     else:
-        records = stream_json_files(spark, args.files, schema, args.max_files_per_trigger)
+        records = stream_json_files(spark, args.files, schema, args.max_files_per_trigger, with_source=True)
     checkpoint = checkpoint_location(spark, args)
     # All reports of a kind: derive them from aggregations shared within each batch.
     shared_sets = {"http": http_report_set, "tcp": tcp_report_set}
@@ -96,6 +96,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         available_now=args.available_now,
         time_col=SOURCE_TIME,
         query_name=f"flowstats_{args.kind}",
+        kind=args.kind,
     )
 
 

@@ -7,13 +7,14 @@ allowed on streaming frames, but inside `foreachBatch` the batch is a plain
 DataFrame, so the batch reports are reused unchanged.
 
 Fault tolerance: offsets are checkpointed, so a failed batch is replayed with
-the same `batch_id` and the same records. Output is partitioned by report, day,
-hour and `batch_id` and written in dynamic-overwrite mode, so a replay replaces
-its own partitions instead of adding duplicates. The day and hour are those of
+the same `batch_id` and the same records. All reports of a batch are written
+into folders of their own and appear together, by one commit (`sinks.committed`),
+as the part of their hour that the query's batch is; a replay takes the place of
+that part instead of adding duplicates. The day and hour are those of
 the batch's earliest source time, which a replay finds again.
 
-Bad records (`_corrupt_record`) never reach a report: they are written as text
-to a quarantine folder beside the sink, under the same day, hour and batch.
+Bad records (`_corrupt_record`) never reach a report: they are stored in the
+sink's quarantine (`sinks.quarantine`), with the batch's time.
 """
 
 from __future__ import annotations
@@ -30,21 +31,19 @@ from pyspark.sql.streaming import StreamingQuery
 from flowstats.functions.columns import interval_seconds
 from flowstats.plans.report_set import BATCH, ReportSet
 from flowstats.schemas import BATCH_INTERVAL, CORRUPT_RECORD
-from flowstats.sinks.snapshot import stamp, write_snapshot
-from flowstats.sources.json_records import split_bad
+from flowstats.sinks.committed import commit, new_run, write_rows
+from flowstats.sinks.quarantine import add_bad, quarantine_path
+from flowstats.sources.json_records import SOURCE, split_bad
+
+__all__ = ["STREAM_PARTITIONS", "process_batch", "quarantine_path", "run_reports"]
 
 Report = Callable[[DataFrame], DataFrame]
+#: Columns besides a report's own that `read_committed` gives for rows of a stream.
 STREAM_PARTITIONS = ["report", "dt", "hour", "batch_id"]
-QUARANTINE_PARTITIONS = ["dt", "hour", "batch_id"]
-
-
-def quarantine_path(sink_path: str) -> str:
-    """Folder of the bad records of a sink, beside it."""
-    return f"{sink_path.rstrip('/')}-quarantine"
 
 
-def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) -> F.Column:
-    """`yyyyMMddHHmmss` (UTC) start of the batch's time bucket, one literal for all its reports."""
+def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) -> str:
+    """`yyyyMMddHHmmss` (UTC) start of the batch's time bucket, the same for all its reports."""
     seconds = None
     if time_col is not None:
         # Stable on replay: the records' earliest time, read once for the batch.
@@ -52,7 +51,13 @@ def _batch_time(batch: DataFrame, time_col: str | None, bucket_seconds: int) ->
     if seconds is None:
         # Wall clock, only where the source gives no time: a replay may then stamp another hour.
         seconds = int(time.time())
-    return F.lit(time.strftime("%Y%m%d%H%M%S", time.gmtime(seconds - seconds % bucket_seconds)))
+    return time.strftime("%Y%m%d%H%M%S", time.gmtime(seconds - seconds % bucket_seconds))
+
+
+def _part(batch: DataFrame, batch_id: int) -> str:
+    """Name of the batch among all queries that write to the sink; a replay and a restart of the query have it again."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query or 'query'}-{batch_id}"
 
 
 def process_batch(
@@ -64,12 +69,14 @@ def process_batch(
     bucket_seconds: int = 10,
     parallel_reports: int = 8,
     persist: bool = True,
+    kind: str = "records",
 ) -> None:
-    """Run every report on one micro-batch and write its rows to the sink.
+    """Run every report on one micro-batch and commit their rows to the sink.
 
     Reports are submitted from up to `parallel_reports` threads, so their
     (often small) jobs share the cluster instead of queueing one after the
-    other; each writes its own partitions, so the writes do not conflict.
+    other; each writes its own folder, so the writes do not conflict. `kind`
+    names the records in the quarantine.
 
     `persist` caches the batch once for all reports, which is what a decoded
     Kafka or JSON batch needs (decoding costs more than caching). A batch read
@@ -87,15 +94,13 @@ def process_batch(
         empty = batch.count() == 0 if persist else batch.isEmpty()
         if empty:
             return
-        when = _batch_time(batch, time_col, bucket_seconds)
+        when, part = _batch_time(batch, time_col, bucket_seconds), _part(batch, batch_id)
         good, bad = split_bad(batch)
-        if bad is not None:
-            text = bad.select(F.col(CORRUPT_RECORD).alias("bad_record"), F.lit(batch_id).alias("batch_id"), when.alias("batch_time"))
-            write_snapshot(
-                stamp(text, "quarantine", F.col("batch_time")).drop("report"), quarantine_path(sink_path), QUARANTINE_PARTITIONS
-            )
+        if bad is not None and not bad.isEmpty():
+            add_bad(bad, sink_path, kind, F.lit(when), part)
             if good.isEmpty():
                 return
+        good = good.drop(SOURCE)
         workers = max(1, parallel_reports)
         # Pool threads take the query's job group along, so that stopping the query cancels their jobs.
         carried = inheritable_thread_target(batch.sparkSession)
@@ -109,12 +114,17 @@ def process_batch(
             else:
                 jobs = {name: (lambda fn=fn: fn(good)) for name, fn in reports.items()}
 
+            run_id = new_run(f"batch-{batch_id}")
+
             def run(name: str, build: Callable[[], DataFrame]) -> None:
-                rows = build().select("*", F.lit(batch_id).alias("batch_id"), when.alias("batch_time"))
-                write_snapshot(stamp(rows, name, F.col("batch_time")), sink_path, STREAM_PARTITIONS)
+                rows = build().select("*", F.lit(batch_id).alias("batch_id"), F.lit(when).alias("batch_time"))
+                write_rows(rows, sink_path, name, run_id, F.col("batch_time"))
 
             for done in [pool.submit(carried(run), name, build) for name, build in jobs.items()]:
                 done.result()  # re-raises a report's failure, failing the batch
+        hour = (f"{when[:4]}-{when[4:6]}-{when[6:8]}", when[8:10])
+        entries = batch.sparkSession.createDataFrame([(n, *hour) for n in jobs], "report string, dt string, hour string")
+        commit(batch.sparkSession, sink_path, run_id, entries, part)
     finally:
         for df in shared.values():
             df.unpersist()
@@ -132,6 +142,7 @@ def run_reports(
     time_col: str | None = None,
     query_name: str | None = None,
     parallel_reports: int = 8,
+    kind: str = "records",
 ) -> StreamingQuery:
     """Start a streaming query that runs `reports` on each micro-batch.
 
@@ -141,7 +152,7 @@ def run_reports(
     seconds = interval_seconds(interval)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, reports, sink_path, time_col, seconds, parallel_reports)
+        process_batch(batch, batch_id, reports, sink_path, time_col, seconds, parallel_reports, kind=kind)
 
     writer = records.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     if query_name:

@@ -33,7 +33,7 @@ def test_runner_writes_the_report_set(spark, tmp_path):
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
-    from flowstats.sinks.snapshot import read_snapshot
+    from flowstats.sinks.committed import read_committed
     from flowstats.sources.tables import http_flows
     from flowstats.streaming.runner import STREAM_PARTITIONS, process_batch
     from tests.conftest import SF001
@@ -45,7 +45,7 @@ def test_runner_writes_the_report_set(spark, tmp_path):
     for name in ("http_filter_host", "http_url_status", "http_server"):
         expected = HTTP_REPORTS[name](batch)
         schema = T.StructType(expected.schema.fields + [T.StructField("batch_time", T.StringType())])
-        got = read_snapshot(spark, str(tmp_path / "sink"), schema, STREAM_PARTITIONS).where(F.col("report") == name)
+        got = read_committed(spark, str(tmp_path / "sink"), schema, stamp_cols=STREAM_PARTITIONS).where(F.col("report") == name)
         got = got.select(*expected.columns)
         assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0, name
 

@@ -41,7 +41,7 @@ def test_tcp_reports_by_leading_key(tcp_micro):
 
 def test_batch_job_writes_replayed_reports(spark, tmp_path):
     from flowstats.batch_job import parse_args, run
-    from flowstats.sinks.snapshot import read_snapshot
+    from flowstats.sinks.committed import read_committed
 
     flows = http_flows(spark, SF001)
     flows.write.parquet(str(tmp_path / "in"))
@@ -49,7 +49,7 @@ def test_batch_job_writes_replayed_reports(spark, tmp_path):
                        "--reports", "http_host,http_status", "--by-bucket", "--interval", "1 day"])
     assert run(spark, args) == ["http_host", "http_status"]
     expected = replay_by_bucket(flows, H.status_counts, interval="1 day")
-    got = read_snapshot(spark, str(tmp_path / "out"), expected.schema).where("report = 'http_status'")
+    got = read_committed(spark, str(tmp_path / "out"), expected.schema).where("report = 'http_status'")
     got = got.select(*expected.columns)
     assert _same(got, expected)
 
@@ -60,7 +60,7 @@ def test_batch_job_writes_replayed_reports(spark, tmp_path):
     args = parse_args(["http", "--input", str(tmp_path / "json"), "--format", "json", "--sink", str(tmp_path / "out3"),
                        "--reports", "http_status", "--by-bucket", "--interval", "1 day"])
     run(spark, args)
-    got = read_snapshot(spark, str(tmp_path / "out3"), expected.schema).select(*expected.columns)
+    got = read_committed(spark, str(tmp_path / "out3"), expected.schema).select(*expected.columns)
     assert _same(got, expected)
 
     args = parse_args(["tcp", "--input", str(tmp_path / "in"), "--sink", str(tmp_path / "out2"), "--reports", "nope"])
@@ -75,7 +75,7 @@ def test_batch_job_runs_hour_by_hour(spark, tmp_path):
     import pytest
 
     from flowstats.batch_job import parse_args, run
-    from flowstats.sinks.snapshot import read_snapshot
+    from flowstats.sinks.committed import read_committed
 
     flows = http_flows(spark, SF001)
     flows.write.parquet(str(tmp_path / "in"))
@@ -94,7 +94,7 @@ def test_batch_job_runs_hour_by_hour(spark, tmp_path):
     for name in names:
         expected = replay_by_bucket(part, H.HTTP_REPORTS[name], interval="1 hour")
         for sink in ("parts", "whole"):
-            got = read_snapshot(spark, str(tmp_path / sink), expected.schema).where(F.col("report") == name).select(*expected.columns)
+            got = read_committed(spark, str(tmp_path / sink), expected.schema).where(F.col("report") == name).select(*expected.columns)
             assert _same(got, expected), (name, sink)
     with pytest.raises(ValueError, match="aligned"):
         job("parts", "00:30", "12")

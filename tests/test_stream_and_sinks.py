@@ -9,6 +9,8 @@ from flowstats.plans import http_reports as H
 from flowstats.plans import tcp_reports as TR
 from flowstats.schemas import HTTP_SCHEMA, TCP_SCHEMA
 from flowstats.sinks.documents import keyed_document, row_document
+from flowstats.sinks.committed import read_committed
+from flowstats.sinks.quarantine import read_quarantine
 from flowstats.sinks.snapshot import read_snapshot, stamp, write_snapshot
 from flowstats.sources.json_records import encode_json, stream_json_files
 from flowstats.sources.tables import http_flows, tcp_flows
@@ -31,7 +33,7 @@ def test_stream_equals_batch(spark, tmp_path):
     assert q.exception() is None
 
     expected = H.status_counts(flows)
-    out = read_snapshot(spark, str(tmp_path / "sink"), _sink_schema(expected), STREAM_PARTITIONS)
+    out = read_committed(spark, str(tmp_path / "sink"), _sink_schema(expected), stamp_cols=STREAM_PARTITIONS)
     mine = out.where("report = 'http_status'")
     assert mine.select("batch_id").distinct().count() >= 2  # really several micro-batches
     summed = mine.groupBy("dst_group_id", "status_code").agg(F.sum("requests").alias("requests"))
@@ -44,7 +46,7 @@ def test_single_batch_reports_equal_batch_reports(spark, tmp_path):
     tcp = tcp_flows(spark, SF001)
     process_batch(tcp, 0, {"tcp_10s": TR.group_summary}, str(tmp_path / "sink"))
     expected = TR.group_summary(tcp)
-    out = read_snapshot(spark, str(tmp_path / "sink"), _sink_schema(expected), STREAM_PARTITIONS)
+    out = read_committed(spark, str(tmp_path / "sink"), _sink_schema(expected), stamp_cols=STREAM_PARTITIONS)
     got = out.select(*expected.columns)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
@@ -61,7 +63,7 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path, http_micro):
     process_batch(http_micro, 0, reports, sink)
     process_batch(http_micro, 1, reports, sink)
     process_batch(http_micro, 1, reports, sink)  # replay of batch 1
-    out = read_snapshot(spark, sink, _sink_schema(H.status_counts(http_micro)), STREAM_PARTITIONS)
+    out = read_committed(spark, sink, _sink_schema(H.status_counts(http_micro)), stamp_cols=STREAM_PARTITIONS)
     per_batch = {r.batch_id: r["count"] for r in out.groupBy("batch_id").count().collect()}
     assert per_batch == {"0": 5, "1": 5}
 
@@ -131,7 +133,7 @@ def test_command_line_job_runs_all_reports(spark, tmp_path):
     written = {p.name for p in (tmp_path / "sink").iterdir() if p.name.startswith("report=")}
     assert written == {f"report={n}" for n in TR.TCP_REPORTS}
     expected = TR.group_summary(flows)
-    out = read_snapshot(spark, str(tmp_path / "sink"), _sink_schema(expected), STREAM_PARTITIONS)
+    out = read_committed(spark, str(tmp_path / "sink"), _sink_schema(expected), stamp_cols=STREAM_PARTITIONS)
     got = out.where("report = 'tcp_10s'").select(*expected.columns)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
@@ -154,7 +156,7 @@ def _write_json_part(df, folder, name):
 
 
 def _summed_status(spark, sink, template):
-    out = read_snapshot(spark, sink, _sink_schema(template), STREAM_PARTITIONS)
+    out = read_committed(spark, sink, _sink_schema(template), stamp_cols=STREAM_PARTITIONS)
     return out.groupBy("dst_group_id", "status_code").agg(F.sum("requests").alias("requests")), out
 
 
@@ -194,7 +196,7 @@ def test_batch_stamp_from_record_time(spark, tmp_path, http_micro):
 
     stamped = http_micro.withColumn("timestamp", F.lit(dt.datetime(2024, 5, 6, 7, 8, 19, tzinfo=dt.timezone.utc)))
     process_batch(stamped, 3, {"http_status": H.status_counts}, str(tmp_path / "sink"), time_col="timestamp")
-    out = read_snapshot(spark, str(tmp_path / "sink"), _sink_schema(H.status_counts(http_micro)), STREAM_PARTITIONS)
+    out = read_committed(spark, str(tmp_path / "sink"), _sink_schema(H.status_counts(http_micro)), stamp_cols=STREAM_PARTITIONS)
     assert {r.batch_time for r in out.collect()} == {"20240506070810"}
 
 
@@ -221,7 +223,6 @@ BAD = ["junk", '{"dst_group_id":"x","status_code":200}', "", "   ", '{"status_co
 
 def test_bad_records_are_quarantined_and_reach_no_report(spark, tmp_path, http_micro):
     from flowstats.streaming.job import parse_args, start
-    from flowstats.streaming.runner import QUARANTINE_PARTITIONS, quarantine_path
 
     good = [r.value for r in encode_json(http_micro).collect()]
     spark.createDataFrame([(v,) for v in good + BAD], "value string").coalesce(1).write.text(str(tmp_path / "src"))
@@ -231,16 +232,16 @@ def test_bad_records_are_quarantined_and_reach_no_report(spark, tmp_path, http_m
     start(spark, args).awaitTermination()
     for name in ("http_filter", "http_filter_url", "http_filter_status"):
         expected = H.HTTP_REPORTS[name](http_micro)
-        got = read_snapshot(spark, sink, _sink_schema(expected), STREAM_PARTITIONS).where(F.col("report") == name).select(*expected.columns)
+        got = read_committed(spark, sink, _sink_schema(expected), stamp_cols=STREAM_PARTITIONS).where(F.col("report") == name).select(*expected.columns)
         assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0, name
-    bad = read_snapshot(spark, quarantine_path(sink), T.StructType.fromDDL("bad_record string, batch_time string"), QUARANTINE_PARTITIONS)
-    rows = bad.collect()
+    rows = read_quarantine(spark, sink).collect()
     assert sorted(r.bad_record for r in rows) == sorted(v for v in BAD if v.strip())
     # The day and hour are those of the source file, so a replay writes the same partitions.
     written = min(p.stat().st_mtime for p in (tmp_path / "src").glob("part-*"))
     import time
 
-    assert {(r.dt, r.hour) for r in rows} == {(time.strftime("%Y-%m-%d", time.gmtime(written)), time.strftime("%H", time.gmtime(written)))}
+    assert {(r.kind, r.found_at[:10]) for r in rows} == {("http", time.strftime("%Y%m%d%H", time.gmtime(written)))}
+    assert {r.source.rsplit("/", 2)[1] for r in rows} == {"src"}
 
 
 def test_a_batch_of_bad_records_only(spark, tmp_path):
