@@ -9,7 +9,7 @@ Input: a frame with the `HTTP_SCHEMA` columns. NULL handling:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowstats.functions.columns import is_static, latency_us, status_class, url_host
@@ -143,24 +143,46 @@ def class_count_column(cls: str) -> str:
 OTHER_CLASSES = "other_classes"
 
 
-def class_pivot(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per (*keys, url) from (*keys, url, status_class, requests) rows.
+def class_sums(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per (*keys, url) from (*keys, url, status_class, requests) rows: a column per class of STATUS_CLASSES.
 
-    A column per class of STATUS_CLASSES (NULL where the URL never had it), and
-    every other class in `other_classes`, so none is lost.
+    NULL where the URL never had the class. Plain sums only, so they are added up before the shuffle whatever the
+    number of URLs; other classes are attached to the rows that need them (`attach_other_classes`).
     """
     cls, n = F.col("status_class"), F.col("requests")
-    other = F.array_sort(F.collect_list(F.when(~cls.isin(*STATUS_CLASSES), F.struct(cls, n))))
-    return counts.groupBy(*keys, "url").agg(
-        *[F.sum(F.when(cls == c, n)).alias(class_count_column(c)) for c in STATUS_CLASSES],
-        F.when(F.size(other) > 0, F.to_json(F.map_from_entries(other))).alias(OTHER_CLASSES),
+    return counts.groupBy(*keys, "url").agg(*[F.sum(F.when(cls == c, n)).alias(class_count_column(c)) for c in STATUS_CLASSES])
+
+
+def attach_other_classes(rows: DataFrame, counts: DataFrame, keys: list[str], row_key: list[str]) -> DataFrame:
+    """`rows` (each known by `row_key`, with *keys and url) with the counts of every class beyond STATUS_CLASSES.
+
+    Only the counts of such classes are joined; a row's are gathered in a window over itself.
+    """
+    others = counts.where(~F.col("status_class").isin(*STATUS_CLASSES)).groupBy(*keys, "url", "status_class")
+    others = others.agg(F.sum("requests").alias("_n")).select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*keys, "url"]], F.col("status_class").alias("_class"), "_n"
+    )
+    same = F.col("url") == F.col("_of_url")
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    one = Window.partitionBy(*row_key).orderBy("_class")
+    found = F.collect_list(F.when(F.col("_class").isNotNull(), F.struct("_class", "_n"))).over(one)
+    gathered = rows.join(others, same, "left").select(
+        *rows.columns, found.alias("_found"), F.lead(F.lit(True)).over(one).isNull().alias("_last")
     )
+    text = F.when(F.size("_found") > 0, F.to_json(F.map_from_entries("_found")))
+    return gathered.where("_last").select(*rows.columns, text.alias(OTHER_CLASSES))
 
 
-def url_class_pivot(http: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per (*keys, url) with a request count per status class."""
+def classed_requests(http: DataFrame, keys: list[str]) -> DataFrame:
+    """J3/J4 input: (*keys, url, status_class, requests) of every record with a URL and a class, not added up yet."""
     classed = _with_class(http)
     if GROUP in keys:
         classed = classed.where(F.col(GROUP).isNotNull())
-    counts = classed.groupBy(*keys, "url", "status_class").agg(F.count(F.lit(1)).alias("requests"))
-    return class_pivot(counts, keys)
+    return classed.select(*keys, "url", "status_class", F.lit(1).cast("long").alias("requests"))
+
+
+def url_class_pivot(http: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per (*keys, url) with a request count per status class, further classes in `other_classes`."""
+    counts = classed_requests(http, keys)
+    return attach_other_classes(class_sums(counts, keys), counts, keys, [*keys, "url"])

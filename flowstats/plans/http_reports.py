@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowstats.operators import http as agg
 from flowstats.operators.http import Keys
-from flowstats.operators.topk import top_k_by_metrics, top_k_of_classes, top_k_per_class
+from flowstats.operators.topk import top_k_by_metrics, top_k_per_class
 from flowstats.schemas import GROUP_METRICS, OVERALL_METRICS, STATUS_CLASSES, TOP_K
 
 GROUP = "dst_group_id"
@@ -43,24 +43,26 @@ def status_counts(http: DataFrame, by: Keys = ()) -> DataFrame:
     return agg.status_counts(http, by)
 
 
-def top_classes(pivot: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Per status class (and `keys`), the k URLs of a class pivot with most requests of that class.
+def top_classes(counts: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Per status class (and `keys`), the k URLs with most requests of that class, from (*keys, url, status_class, requests).
 
     One long row per class the URL has; each keeps all class counts, which is
-    what the original attached with a self-join.
+    what the original attached with a self-join. Ranking works on the five
+    summed columns alone; the k rows of a list are joined with the counts of
+    further classes afterwards.
     """
+    sums = agg.class_sums(counts, keys)
     columns = {c: agg.class_count_column(c) for c in STATUS_CLASSES}
-    if not keys:
-        return top_k_of_classes(pivot, columns, ["url"], "status_class", "requests", k)
-    pairs = [x for c, n in columns.items() for x in (F.lit(c), F.col(n))]
-    long = pivot.select("*", F.stack(F.lit(len(columns)), *pairs).alias("status_class", "requests")).where(
+    pairs = [x for c in STATUS_CLASSES for x in (F.lit(c), F.col(agg.class_count_column(c)))]
+    long = sums.select("*", F.stack(F.lit(len(STATUS_CLASSES)), *pairs).alias("status_class", "requests")).where(
         F.col("requests").isNotNull()
     )
-    return top_k_per_class(long, "requests", ["url"], ["status_class", *keys], k)
+    winners = top_k_per_class(long, "requests", ["url"], ["status_class", *keys], k)
+    return agg.attach_other_classes(winners, counts, keys, ["status_class", *keys, "rank"])
 
 
 def _top_url_status(http: DataFrame, keys: list[str], k: int) -> DataFrame:
-    return top_classes(agg.url_class_pivot(http, keys), keys, k)
+    return top_classes(agg.classed_requests(http, keys), keys, k)
 
 
 def top_url_status(http: DataFrame, k: int = TOP_K, by: Keys = ()) -> DataFrame:

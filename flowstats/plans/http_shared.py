@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowstats.functions.columns import is_static, latency_us, status_class, url_host
-from flowstats.operators.http import Keys, class_pivot
+from flowstats.operators.http import Keys
 from flowstats.operators.topk import top_k_by_metrics
 from flowstats.plans.http_reports import top_classes
 from flowstats.plans.report_set import ReportSet
@@ -114,9 +114,7 @@ def http_report_set(k: int = TOP_K, by: Keys = ()) -> ReportSet:
         known = f["url"].where(F.col("url").isNotNull() & F.col("status_class").isNotNull())
         if GROUP in keys:
             known = known.where(F.col(GROUP).isNotNull())
-        else:
-            known = known.groupBy(*keys, "url", "status_class").agg(F.sum("requests").alias("requests"))
-        return top_classes(class_pivot(known, list(keys)), list(keys), k)
+        return top_classes(known, list(keys), k)
 
     def status_overall(f):
         known = f["status"].where(F.col("status_code").isNotNull())
