@@ -438,15 +438,30 @@ def _across_blocks(members: DataFrame, texts: DataFrame, links: DataFrame, words
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs`, all columns kept, with one document of each component: that with the smallest id.
+    """The rows of `docs`, all columns kept, without those whose text is linked to a kept one.
 
-    Of rows with the same id one stays. Rows with a null id, and texts without words, stay.
+    Rows are told apart by id and text, not by id alone: of the rows whose texts are linked, directly or over others,
+    that with the smallest id stays (of several texts with that id, one, always the same), and of equal rows one. A
+    row goes only because of its own text, whatever other rows have its id. Rows with a null id, and texts without
+    words, stay. Columns of any name are kept as they are, but for names that start with `__near_`.
+
+    A row's node is a hash of its id and text. Should two different rows have one node, both stay.
     """
-    kept = similar_components(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = docs.where(F.col("doc_id").isNotNull())
-    chosen = named.join(kept, F.col("doc_id") == F.col("__keep"), "left_semi").withColumn("__n", F.row_number().over(one))
-    return chosen.where("__n = 1").drop("__n").union(docs.where(F.col("doc_id").isNull()))
+    named = docs.where(F.col("doc_id").isNotNull()).withColumns(
+        {"__near_node": F.xxhash64("doc_id", "text"), "__near_check": F.xxhash64(F.lit("check"), "text", "doc_id")}
+    )
+    nodes = named.groupBy("__near_node").agg(
+        F.min("doc_id").alias("id"),
+        ((F.min("doc_id") != F.max("doc_id")) | (F.min("__near_check") != F.max("__near_check"))).alias("clash"),
+    )
+    found = similar_components(named.select(F.col("__near_node").alias("doc_id"), "text"), words, percent)
+    found = found.select(F.col("doc_id").alias("__near_node"), "component_id").distinct().join(nodes, "__near_node")
+    found = cut(found)
+    first = found.groupBy("component_id").agg(F.min(F.struct("id", "__near_node")).alias("first"))
+    kept = first.select("first.__near_node").union(found.where("clash").select("__near_node")).distinct()
+    one = Window.partitionBy("__near_node", "__near_check").orderBy("__near_check")
+    chosen = named.join(kept, "__near_node", "left_semi").withColumn("__near_nth", F.row_number().over(one))
+    return chosen.where("__near_nth = 1").select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
 
 
 #: All pairs that share a shingle, and the smallest id reachable by links; for small tables.
