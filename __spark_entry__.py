@@ -40,6 +40,7 @@ from flowstats.operators import tcp as tcp_ops
 from flowstats.plans import http_reports as H
 from flowstats.plans import tcp_reports as TR
 from flowstats.plans.http_shared import http_report_set
+from flowstats.plans.partials import merged_report, store_partials
 from flowstats.plans.tcp_shared import tcp_report_set
 from flowstats.plans.replay import replay_by_bucket
 from flowstats.schemas import CORRUPT_RECORD, HTTP_SCHEMA, OVERALL_METRICS, STATIC_EXTENSIONS, STATUS_CLASSES, TCP_SCHEMA, TOP_K
@@ -182,6 +183,17 @@ def _stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_committed(spark, path, report.schema, name)
 
 
+def _days_from_hours(kind: str, name: str, flows_of: Callable[[SparkSession, str], DataFrame]):
+    """A report per day, merged from stored hourly partials."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{checkpoint_dir(spark)}/partials/{uuid.uuid4().hex}"
+        store_partials(flows_of(spark, sf_dir), kind, path, reports=[name])
+        return _rounded(merged_report(spark, kind, name, path, per_day=True))
+
+    return run
+
+
 def _quarantine_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run over the even records, one over all, and that one again: every bad record is kept once."""
     sink = f"{checkpoint_dir(spark)}/quarantine_two_runs/{uuid.uuid4().hex}"
@@ -367,6 +379,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "http_document": _on_http(_http_document_parts),
         "tcp_server_document": _on_tcp(_server_document_parts),
         "json_unknown_fields": _on_http(_json_unknown_fields),
+        "http_top_host_per_day_from_hours": _days_from_hours("http", "http_host", http_flows),
+        "http_overall_top_server_per_day_from_hours": _days_from_hours("http", "http_filter_server", http_flows),
         "quarantine_two_runs": _quarantine_two_runs,
         "snapshot_compacted": _stream_compacted,
         "snapshot_replay_emptied_hour": _replay_emptied_hour,
@@ -566,6 +580,7 @@ def _parts_sql(rows: str, key: str, columns: list[str], size: int) -> str:
 
 
 BUCKET_SQL = "strftime(time_bucket(INTERVAL '10 seconds', ts), '%Y%m%d%H%M%S')"
+DAY_SQL = "strftime(ts, '%Y%m%d000000')"
 STATUS_COUNTS_SQL = (
     "SELECT dst_group_id, status_code, count(*) AS requests FROM http_flows "
     "WHERE dst_group_id IS NOT NULL AND status_code IS NOT NULL GROUP BY ALL"
@@ -766,6 +781,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_http_status": _http_sql(STATUS_COUNTS_SQL),
         "stream_tcp_proto": _tcp_sql(_bytes_by_sql("l7_proto", "l7_proto")),
     }
+    for name in ("http_top_host", "http_overall_top_server"):
+        sql[f"{name}_per_day_from_hours"] = sql[f"{name}_by_bucket"].replace(BUCKET_SQL, DAY_SQL)
     sql["snapshot_compacted"] = sql["snapshot_roundtrip"]
     sql["snapshot_replay_emptied_hour"] = sql["snapshot_roundtrip"] + " WHERE substr(batch_time, 9, 2) <> '05'"
     sql["quarantine_two_runs"] = _http_sql(

@@ -23,6 +23,12 @@ those whose time cannot be read, are added to the sink's quarantine
 lines of mended records (with the `quarantine_id` they stand for, if known),
 stores them beside the sink, and replays the hours they belong to; they are
 part of every later replay.
+
+`--partials` also stores the hourly sums and counts that the reports are derived
+from (`flowstats.plans.partials`). `--days` then reports whole days of a range
+from them, without reading records, as `<name>_day`:
+
+    python -m flowstats.batch_job http --days --sink S --start 2024-01-01T00 --end 2024-01-08T00
 """
 
 from __future__ import annotations
@@ -37,6 +43,7 @@ from pyspark.sql import types as T
 from flowstats.functions.columns import batch_time
 from flowstats.plans.http_reports import HTTP_REPORTS
 from flowstats.plans.http_shared import http_report_set
+from flowstats.plans.partials import merged_report, partials_path, store_partials
 from flowstats.plans.replay import BUCKET
 from flowstats.plans.report_set import BATCH
 from flowstats.plans.tcp_reports import TCP_REPORTS
@@ -54,7 +61,7 @@ KINDS = {"http": (HTTP_SCHEMA, HTTP_REPORTS, http_report_set), "tcp": (TCP_SCHEM
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="flowstats.batch_job", description=__doc__.split("\n\n")[0])
     p.add_argument("kind", choices=sorted(KINDS))
-    p.add_argument("--input", required=True)
+    p.add_argument("--input", help="stored records (not with --days)")
     p.add_argument("--format", choices=["parquet", "json"], default="parquet")
     p.add_argument("--sink", required=True)
     p.add_argument("--reports", help="comma-separated report names (default: all of the kind)")
@@ -65,11 +72,19 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--end", help="hour after the last of the replay")
     p.add_argument("--documents", action="store_true", help="also write nested documents, under report=<name>_document")
     p.add_argument("--mended", help="JSON lines of mended records: store them and replay their hours")
+    p.add_argument("--partials", action="store_true", help="with --by-bucket: also store the hourly partials")
+    p.add_argument("--days", action="store_true", help="report days from stored partials")
     args = p.parse_args(argv)
+    if args.days == bool(args.input):
+        p.error("either --input or --days")
+    if args.days and (args.by_bucket or args.mended or not args.start):
+        p.error("--days needs --start and --end, and reads neither records nor buckets")
+    if args.partials and not args.by_bucket:
+        p.error("--partials goes with --by-bucket")
     if args.mended and (args.start or not args.by_bucket):
         p.error("--mended goes with --by-bucket, without a range: the records say which hours")
-    if bool(args.start) != bool(args.end) or (args.start and not args.by_bucket):
-        p.error("--start and --end go together, with --by-bucket")
+    if bool(args.start) != bool(args.end) or (args.start and not args.by_bucket and not args.days):
+        p.error("--start and --end go together, with --by-bucket or --days")
     return args
 
 
@@ -123,6 +138,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
         raise ValueError(f"unknown {args.kind} reports: {unknown}; known: {sorted(catalog)}")
     if args.start:
         aligned_range(args.start, args.end)  # refuse a misaligned range before any work
+    if args.days:
+        return _run_days(spark, args, names)
     good, bad = split_bad(read_records(spark, args))
     if bad is not None:
         add_bad(bad, args.sink, args.kind)
@@ -141,6 +158,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
         good = bucketed(in_range(good, args), args)
         if mended_hours is not None:
             good = good.join(mended_hours, HOUR == F.col("_hour"), "left_semi")
+        if args.partials:
+            hours = aligned_range(args.start, args.end) if args.start else None
+            entries = None if mended_hours is None else _hour_entries(mended_hours)
+            store_partials(good, args.kind, partials_path(args.sink), args.ts_col, hours, entries, names)
     report_set = make_set(by=by)
     wanted = report_set.needed(names)
     shared = {n: report_set.shared[n](good).persist(StorageLevel.DISK_ONLY) for n in wanted}
@@ -172,8 +193,25 @@ def _replaced(spark: SparkSession, args: argparse.Namespace, written: list[str],
     if mended_hours is None:
         return replaced_by_all(spark, args.sink, written, run_id)
     names = spark.createDataFrame([(n,) for n in written], "report string")
+    return names.join(_hour_entries(mended_hours))
+
+
+def _hour_entries(hours: DataFrame) -> DataFrame:
     day = F.concat_ws("-", F.substring("_hour", 1, 4), F.substring("_hour", 5, 2), F.substring("_hour", 7, 2))
-    return names.join(mended_hours.select(day.alias("dt"), F.substring("_hour", 9, 2).alias("hour")))
+    return hours.select(day.alias("dt"), F.substring("_hour", 9, 2).alias("hour"))
+
+
+def _run_days(spark: SparkSession, args: argparse.Namespace, names: list[str]) -> list[str]:
+    """The days of the range from the stored partials; a day is stored under its first hour."""
+    start, end = aligned_range(args.start, args.end, 86400)
+    run_id, written = new_run(), []
+    for name in names:
+        label = f"{name}_day"
+        rows = merged_report(spark, args.kind, name, partials_path(args.sink), start, end, per_day=True)
+        write_rows(rows, args.sink, label, run_id, F.col(BUCKET))
+        written.append(label)
+    commit(spark, args.sink, run_id, hours_between(spark, written, start, end).where("hour = '00'"))
+    return names
 
 
 def main(argv: list[str] | None = None) -> None:

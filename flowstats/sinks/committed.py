@@ -3,8 +3,8 @@
 Every run writes its rows into folders of its own and then commits one small file that says which hours of which
 reports they are:
 
-    <path>/report=<name>/run=<run>/dt=<day>/hour=<hour>/part-*.json    rows, never rewritten
-    <path>/_commits/<run>/part-*.json                                  one file per run, written last
+    <path>/report=<name>/run=<run>/dt=<day>/hour=<hour>/part-*    rows, never rewritten
+    <path>/_commits/<run>/part-*.json                             one file per run, written last
 
 Readers resolve the commits (`live_partitions`) and read what they name, so a run that was killed is invisible, a
 replay takes over all its hours at once, and an hour that it finds empty is empty. The commit is a single file that
@@ -80,7 +80,7 @@ def run_folder(path: str, report: str, run: str) -> str:
     return f"{path.rstrip('/')}/report={report}/run={run}"
 
 
-def write_rows(rows: DataFrame, path: str, report: str, run: str, time: Column | None = None) -> None:
+def write_rows(rows: DataFrame, path: str, report: str, run: str, time: Column | None = None, fmt: str = "json") -> None:
     """Write a report's rows for a run; `time` is their `yyyyMMddHHmmss`, None for a table without times.
 
     The rebalance hint gathers the rows of an hour in few files and lets adaptive execution split a large hour. The
@@ -91,7 +91,7 @@ def write_rows(rows: DataFrame, path: str, report: str, run: str, time: Column |
     else:
         day = F.concat_ws("-", F.substring(time, 1, 4), F.substring(time, 5, 2), F.substring(time, 7, 2))
         stamped = rows.withColumns({"dt": day, "hour": F.substring(time, 9, 2)})
-    stamped.hint("rebalance", F.col("dt"), F.col("hour")).write.mode("overwrite").partitionBy("dt", "hour").json(
+    stamped.hint("rebalance", F.col("dt"), F.col("hour")).write.mode("overwrite").partitionBy("dt", "hour").format(fmt).save(
         run_folder(path, report, run)
     )
 
@@ -106,11 +106,11 @@ def hours_between(spark: SparkSession, reports: Iterable[str], start: datetime,
     )
 
 
-def written_hours(spark: SparkSession, path: str, reports: Iterable[str], run: str) -> DataFrame:
+def written_hours(spark: SparkSession, path: str, reports: Iterable[str], run: str, fmt: str = "json") -> DataFrame:
     """(report, dt, hour) of the rows that a run has written."""
     out = spark.createDataFrame([], "report string, dt string, hour string")
     for name in reports:
-        found = _read(spark.read.schema("dt string, hour string").json, run_folder(path, name, run))
+        found = _read(spark.read.schema("dt string, hour string").format(fmt).load, run_folder(path, name, run))
         if found is not None:
             out = out.union(found.where(F.col("dt").isNotNull()).select(F.lit(name).alias("report"), "dt", "hour").distinct())
     return out
@@ -136,14 +136,19 @@ def commit(spark: SparkSession, path: str, run: str, entries: DataFrame, part: s
     return version
 
 
-def replaced_by_all(spark: SparkSession, path: str, reports: list[str], run: str) -> DataFrame:
+def replaced_by_all(spark: SparkSession, path: str, reports: list[str], run: str, fmt: str = "json") -> DataFrame:
     """Entries of a run over all records: the hours it wrote, and those that its reports have now."""
     present = live_partitions(commits(spark, path)).where(F.col("report").isin(reports) & (F.col("dt") != WHOLE))
-    return written_hours(spark, path, reports, run).union(present.select(*_PARTITION)).distinct()
+    return written_hours(spark, path, reports, run, fmt).union(present.select(*_PARTITION)).distinct()
 
 
 def read_committed(
-    spark: SparkSession, path: str, schema: T.StructType, report: str | None = None, stamp_cols: Iterable[str] = ("report", "dt", "hour")
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    report: str | None = None,
+    stamp_cols: Iterable[str] = ("report", "dt", "hour"),
+    fmt: str = "json",
 ) -> DataFrame:
     """The rows of the table, or of one report, with `schema` and the columns `stamp_cols`, all read as strings.
 
@@ -154,7 +159,7 @@ def read_committed(
     full = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in stamps]])
     where = root if report is None else f"{root}/report={report}"
     keep = [*schema.fieldNames(), *[c for c in stamp_cols if c not in schema.fieldNames()]]
-    rows = _read(spark.read.option("basePath", root).schema(full).json, where)
+    rows = _read(spark.read.option("basePath", root).schema(full).format(fmt).load, where)
     if rows is None:
         return spark.createDataFrame([], full).select(*keep)
     live = live_partitions(commits(spark, path)).select("report", "run", "dt", "hour")
@@ -164,7 +169,7 @@ def read_committed(
 def compact(spark: SparkSession, path: str, before: str) -> list[str]:
     """Rewrite the hours before `before` (`yyyy-MM-ddTHH`) that lie in several runs as one run each; returns the reports.
 
-    Rows are carried as text, whatever their report. An hour in one run is left alone, so a second call does nothing.
+    For tables of JSON lines: rows are carried as text, whatever their report. An hour in one run is left alone, so a second call does nothing.
     Commits that come in meanwhile stay: the new run takes the place of what it has read only. One job per report.
     """
     base = latest_version(spark, path)

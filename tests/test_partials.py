@@ -1,0 +1,91 @@
+"""Days and ranges merged from stored hourly partials equal the reports over the records."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowstats.functions.columns import batch_time
+from flowstats.plans.http_reports import HTTP_REPORTS
+from flowstats.plans.partials import KEYS, merged_report, partial_schemas, partials_path, store_partials
+from flowstats.plans.replay import replay_by_bucket
+from flowstats.plans.tcp_reports import TCP_REPORTS
+from flowstats.sinks.committed import read_committed
+from flowstats.sources.tables import http_flows, tcp_flows
+from tests.conftest import SF001
+
+
+def _same(a, b):
+    doubles = [c for c, t in b.dtypes if t == "double"]
+    a, b = (x.select(*[F.round(c, 6).alias(c) if c in doubles else c for c in b.columns]) for x in (a, b))
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _days(flows, n):
+    return sorted(r.d for r in flows.select(batch_time("ts", "1 day").alias("d")).distinct().collect() if r.d)[:n]
+
+
+@pytest.mark.parametrize("kind", ["http", "tcp"])
+def test_every_report_of_two_days(spark, tmp_path, kind):
+    flows = (http_flows if kind == "http" else tcp_flows)(spark, SF001)
+    first, second = _days(flows, 2)
+    two = flows.where(batch_time("ts", "1 day").isin(first, second)).cache()
+    path = str(tmp_path / "p")
+    store_partials(flows.where(batch_time("ts", "1 day").isin(*_days(flows, 3))), kind, path)
+    start, end = datetime.strptime(first, "%Y%m%d%H%M%S"), datetime.strptime(second[:8] + "23", "%Y%m%d%H")
+    until = two.where(F.hour("ts") < 23) if second != first else two
+    part = until.union(two.where((F.hour("ts") == 23) & (batch_time("ts", "1 day") == first)))
+    catalog = HTTP_REPORTS if kind == "http" else TCP_REPORTS
+    for name, report in catalog.items():
+        merged = merged_report(spark, kind, name, path, start, end)
+        assert _same(merged, report(part)), name
+    for name in list(catalog)[-2:]:
+        per_day = merged_report(spark, kind, name, path, start, end, per_day=True)
+        assert _same(per_day, replay_by_bucket(part, catalog[name], interval="1 day")), name
+
+
+def test_every_column_is_a_key_or_a_partial(spark):
+    for kind, frames in KEYS.items():
+        for frame, schema in partial_schemas(spark, kind).items():
+            rest = [f for f in schema.fields if f.name not in ("batch_time", *frames[frame])]
+            assert rest and all(f.dataType.simpleString() == "bigint" for f in rest), (kind, frame)
+
+
+def test_days_of_the_batch_job(spark, tmp_path):
+    """Hours stored by two runs, one replayed: the days follow, and no record is read for them."""
+    from flowstats.batch_job import parse_args, run
+
+    flows = tcp_flows(spark, SF001)
+    (day,) = _days(flows, 1)
+    iso = f"{day[:4]}-{day[4:6]}-{day[6:8]}"
+    noon = [F.hour("ts") < 12, F.hour("ts") >= 12]
+    records = flows.where(batch_time("ts", "1 day") == day)
+    records.write.parquet(str(tmp_path / "in"))
+    records.where(noon[0]).limit(1).write.parquet(str(tmp_path / "less"))
+    base = ["tcp", "--sink", str(tmp_path / "out"), "--reports", "tcp_10s"]
+
+    def hours(source, start, end):
+        more = ["--by-bucket", "--interval", "1 hour", "--partials", "--input", str(tmp_path / source)]
+        run(spark, parse_args([*base, *more, "--start", f"{iso}T{start}", "--end", f"{iso}T{end}"]))
+
+    end = datetime.strptime(day, "%Y%m%d%H%M%S").replace(hour=0)
+    following = datetime.fromordinal(end.toordinal() + 1).strftime("%Y-%m-%d")
+    days = [*base, "--days", "--start", f"{iso}T00", "--end", f"{following}T00"]
+    expected = replay_by_bucket(records, TCP_REPORTS["tcp_10s"], interval="1 day")
+    got = lambda: read_committed(spark, str(tmp_path / "out"), expected.schema, "tcp_10s_day", stamp_cols=())
+    for source in ("less", "in"):  # the first run had one record only
+        hours(source, "00", "12")
+        hours("in", "12", "23")
+        run(spark, parse_args(days))
+    last = records.where(F.hour("ts") == 23).count()
+    want = replay_by_bucket(records.where(F.hour("ts") < 23), TCP_REPORTS["tcp_10s"], interval="1 day") if last else expected
+    assert _same(got(), want)
+    read = merged_report(spark, "tcp", "tcp_10s", partials_path(str(tmp_path / "out"))).inputFiles()
+    assert read and all("/out-partials/" in f for f in read)
+    for bad in (["--days"], ["--days", "--start", f"{iso}T00", "--end", f"{iso}T12", "--input", "x"], ["--input", "x", "--partials"], []):
+        with pytest.raises(SystemExit):
+            parse_args([*base, *bad])
+    with pytest.raises(ValueError, match="aligned"):
+        run(spark, parse_args([*base, "--days", "--start", f"{iso}T00", "--end", f"{iso}T12"]))

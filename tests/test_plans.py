@@ -13,6 +13,7 @@ OVERALL_TOPK = ["http_overall_top_url", "http_overall_top_host", "http_overall_t
 SIDE_EFFECTS = {
     "snapshot_roundtrip", "snapshot_incremental", "snapshot_compacted", "snapshot_replay_emptied_hour", "quarantine_two_runs",
     "stream_http_status", "stream_tcp_proto",
+    "http_top_host_per_day_from_hours", "http_overall_top_server_per_day_from_hours",
 }
 # The queries of this part of the library; those of the training-data operators have tests of their own.
 REPORTS = {name: fn for name, fn in E.queries().items() if not re.match(r"op\d+_|pipeline$", name)}
