@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -21,10 +22,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (`spark.checkpoint.dir`); a fresh local one only where unset, as in tests."""
+    """The folder all executors share (`spark.checkpoint.dir`); a fresh local one only in one local process, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        # A session without the setting has no other machines to share with.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = _LOCAL.setdefault("dir", None) or tempfile.mkdtemp(prefix="llm-shared-")
         _LOCAL["dir"] = path
     if not spark.sparkContext.getCheckpointDir():
