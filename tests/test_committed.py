@@ -242,3 +242,25 @@ def test_encoded_rows_are_read_back(spark, tmp_path, http_micro):
     back = C.read_committed(spark, path, HTTP_SCHEMA, "x", stamp_cols=())
     assert back.exceptAll(http_micro).count() == 0 and back.count() == http_micro.count()
     assert encode_json(back).count() == 7
+
+
+def test_compaction_job_over_a_stream(spark, tmp_path, http_micro):
+    """The batches of an hour become one file a report; the rows stay, the job may run again."""
+    import datetime as dt
+
+    from flowstats.compact_job import parse_args, run
+
+    sink = tmp_path / "out"
+    reports = {"http_status": H.status_counts, "http_filter_status": H.overall_status_counts}
+    batch = http_micro.withColumn("timestamp", F.lit(dt.datetime(2024, 1, 1, 9, 5, tzinfo=dt.timezone.utc)))
+    for i in range(3):
+        process_batch(batch, i, reports, str(sink), time_col="timestamp")
+    read = lambda: sorted(tuple(r) for r in C.read_committed(spark, str(sink), STATUS, stamp_cols=STREAM_PARTITIONS).collect())
+    before = read()
+    assert run(spark, parse_args(["--sink", str(sink), "--before", "2024-01-01T09", "--vacuum"])) == ([], 0)
+    args = parse_args(["--sink", str(sink), "--before", "2024-01-01T10", "--vacuum"])
+    assert run(spark, args) == (sorted(reports), 6)
+    assert read() == before and len(before) == 3 * (5 + 5) and len(files(sink)) == 2
+    assert run(spark, args) == ([], 0) and read() == before
+    with pytest.raises(ValueError, match="aligned"):
+        run(spark, parse_args(["--sink", str(sink), "--before", "2024-01-01T09:30"]))
