@@ -9,7 +9,7 @@ import numpy as np
 
 from flowstats.llm import decontaminate
 from flowstats.llm.common import read_table
-from flowstats.llm.decontaminate import EDIT_SHARE, SEGMENT, Q, leaks, without_leaks
+from flowstats.llm.decontaminate import EDIT_SHARE, LEAST_MATCHED, SEGMENT, Q, leaks, without_leaks
 
 from .brute import LOWER
 
@@ -18,12 +18,23 @@ def norm(text):
     return re.sub(rb"[\x20\x09-\x0d]+", b" ", (text or "").encode().translate(LOWER))
 
 
-def segments(text):
-    b = norm(text).strip(b" ")
-    if len(b) < Q:
+def starts(body):
+    if not body:
         return []
-    starts = [0] if len(b) <= SEGMENT else [*range(0, len(b) - SEGMENT, SEGMENT // 2), len(b) - SEGMENT]
-    return [b[s : s + SEGMENT] for s in starts]
+    return [0] if len(body) <= SEGMENT else [*range(0, len(body) - SEGMENT, SEGMENT // 2), len(body) - SEGMENT]
+
+
+def whole_words(pattern, body):
+    """The first place of the pattern where no word goes on across its ends, or -1."""
+    letter = lambda c: c >= 128 or chr(c).isalnum()
+    same = lambda a, b: letter(a) and letter(b) and (a < 128 or b < 128)
+    at = body.find(pattern)
+    while at >= 0:
+        end = at + len(pattern)
+        if not (at and same(body[at - 1], body[at])) and not (end < len(body) and same(body[end - 1], body[end])):
+            return at
+        at = body.find(pattern, at + 1)
+    return -1
 
 
 def distance(pattern, text):
@@ -39,18 +50,29 @@ def distance(pattern, text):
 
 
 def brute(docs, items):
+    """(doc_id, item_id, edits, matched segments, matched bytes), by a full scan of every segment over every text."""
     out = []
     for doc_id, text in docs:
         body = norm(text)
         for item_id, item in items:
-            near = []
-            for s in segments(item):
+            near, covered, whole = [], set(), norm(item).strip(b" ")
+            for a in starts(whole):
+                s = whole[a : a + SEGMENT]
                 k = max(0, min(int(len(s) * EDIT_SHARE), len(s) // Q - 1))
-                d = distance(s, body)
+                place = whole_words(s, body) if len(s) < 2 * Q else body.find(s)
+                d = 0 if place >= 0 else 99 if len(s) < 2 * Q else distance(s, body)
                 if d <= k:
                     near.append(d)
+                    covered.update(range(a, a + len(s)))
+                if place >= 0:
+                    for step in (-1, 1):
+                        i, j = (a, place) if step < 0 else (a + len(s) - 1, place + len(s) - 1)
+                        while 0 <= (i := i + step) < len(whole) and 0 <= (j := j + step) < len(body) and whole[i] == body[j]:
+                            if abs(i - a) > SEGMENT // 2 and step < 0 or i - a - len(s) >= SEGMENT // 2:
+                                break
+                            covered.add(i)
             if near:
-                out.append((doc_id, item_id, min(near), len(near)))
+                out.append((doc_id, item_id, min(near), len(near), len(covered)))
     return sorted(out, key=str)
 
 
@@ -83,11 +105,12 @@ def test_planted_passages(spark, monkeypatch):
     b = spark.createDataFrame([(*r, 1) for r in items], "item_id long, text string, doc_id int")
     want = brute(docs, items)
     assert len(want) > 20
-    got = lambda: sorted((tuple(r)[:4] for r in leaks(d, b).collect()), key=str)
+    got = lambda: sorted((tuple(r)[:5] for r in leaks(d, b).collect()), key=str)
     assert got() == want
     kept = without_leaks(d, b)
     assert kept.columns == d.columns
-    dirty = {r[0] for r in want}
+    dirty = {r[0] for r in want if r[4] >= LEAST_MATCHED}
+    assert len(dirty) < len({r[0] for r in want})
     assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted(((*r, "x") for r in docs if r[0] not in dirty), key=str)
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)  # several blocks of items
     monkeypatch.setattr(decontaminate, "HITS_AT_ONCE", 50)
@@ -110,7 +133,7 @@ def test_whole_items_in_the_small_table(spark):
     texts = [(d.doc_id, d.text) for d in docs.collect() if len(d.text) < 1500][:40]
     want = brute(texts, [(b.item_id, b.text) for b in items.collect()][:8])
     ids = {d for d, _ in texts}
-    assert [r for r in sorted((tuple(r)[:4] for r in leaks(docs, items).collect()), key=str) if r[0] in ids and r[1] in {b.item_id for b in items.collect()[:8]}] == want
+    assert [r for r in sorted((tuple(r)[:5] for r in leaks(docs, items).collect()), key=str) if r[0] in ids and r[1] in {b.item_id for b in items.collect()[:8]}] == want
 
 
 def test_items_and_documents_of_one_character():
@@ -121,6 +144,69 @@ def test_items_and_documents_of_one_character():
     assert found == {(0, 1), (1, 1), (2, 2)} and edits.min() == 0
 
 
+def test_short_items_leak_as_whole_words_only(spark):
+    docs = [(1, "two answers here"), (2, "The ANSWER, then"), (3, "no"), (4, "caf\u00e9 nothing"), (5, "答案在这里"), (6, "x" * 40 + " is")]
+    items = [(1, "answer"), (2, "no"), (3, "案"), (4, "caf"), (5, "is"), (6, " "), (7, "here")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = [tuple(r)[:5] for r in leaks(d, b).collect()]
+    assert sorted(got) == [(1, 7, 0, 1, 4), (2, 1, 0, 1, 6), (3, 2, 0, 1, 2), (5, 3, 0, 1, 3), (6, 5, 0, 1, 2)]
+    assert sorted(got, key=str) == brute(docs, items)
+    assert without_leaks(d, b).count() == len(docs)  # none holds LEAST_MATCHED bytes of an item
+    assert sorted(r.doc_id for r in without_leaks(d, b, least=6).collect()) == [1, 3, 4, 5, 6]
+
+
+def test_a_stock_phrase_drops_no_document():
+    """Prose that shares a phrase with an item stays; 53 unchanged bytes of it from any place, or 71 changed ones, go."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    phrase = "in this paper we show that the"
+    items = [(i, f"{prose(6)} {phrase} {prose(20)}") for i in range(20)]
+    index = decontaminate.Index(items)
+
+    def covered(text):
+        raw = norm(text)
+        row, seg, edits, _, lo, hi = index.regions(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        got = {}
+        for s, a, b in zip(seg.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            got.setdefault(index.item[s], set()).update(range(a, b))
+        return max(map(len, got.values()), default=0)
+
+    for _, item in items:
+        assert covered(f"{prose(40)} {phrase} {prose(40)}") < LEAST_MATCHED
+        at = rnd.randint(0, len(item) - 71)
+        assert covered(f"{prose(40)}. {item[at : at + 53]} .{prose(40)}") >= LEAST_MATCHED
+        changed = list(item[at : at + 71])
+        for place in (10, 30, 45, 60):
+            changed[place] = "Q"
+        assert covered(f"{prose(40)}. {''.join(changed)} .{prose(40)}") >= LEAST_MATCHED
+
+
+def test_bands_reach_the_lemma_before_they_are_aligned(monkeypatch):
+    """The bound is the lemma's: with it raised by one, a segment with edits spread evenly is lost; as it is, none is."""
+    rnd = random.Random(5)
+    items = [(i, "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(SEGMENT))) for i in range(50)]
+    docs = []
+    for i, text in items:
+        changed = list(text)
+        for place in (8, 14, 20, 26, 32):  # the first piece of six stays
+            changed[place] = "0"
+        docs.append((i, "".join(changed)))
+    assert found(items, docs) == {(i, i) for i, _ in items}
+    seen = []
+    inner = decontaminate._Strings.enough_shared
+
+    def watched(self, text_grams, which, start):
+        ok = inner(self, text_grams, which, start)
+        seen.append((int(self.length[which].max(initial=0)), len(ok), int(ok.sum())))
+        return ok
+
+    monkeypatch.setattr(decontaminate._Strings, "enough_shared", watched)
+    found([(i, t + t[::-1]) for i, t in items], [(0, " ".join(t[:8] for _, t in items))])
+    assert seen[0][1] >= 50 and seen[0][2] == 0  # pieces alone reach no bound
+
+
 def planted(seed, change):
     """(items, documents): each document holds an excerpt of one item, cut anywhere and changed, and leaks that item."""
     rnd = random.Random(seed)
