@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import zstandard
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,14 @@ def text_volume(docs: DataFrame, column: str = "text") -> tuple[int, int]:
     return int(row[0]), int(row[1])
 
 
+def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a folder's address as Spark writes it (a bare path, `file:`, `hdfs://`, `s3a://`), and the path."""
+    scheme, sep, rest = uri.partition("://")
+    if not sep:
+        return pafs.FileSystem.from_uri("file://" + uri.removeprefix("file:"))
+    return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+
+
 # ---- ragged byte arrays -------------------------------------------------------------------------------------------
 
 
@@ -73,12 +82,12 @@ def ragged(column) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most `limit` bytes each; a longer row stands alone."""
+def slices(offsets: np.ndarray, limit: int, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most `limit` bytes, and `rows` rows, each; a longer row stands alone."""
     start, n = 0, len(offsets) - 1
     while start < n:
         end = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
-        end = min(max(end, start + 1), n)
+        end = min(max(end, start + 1), n, start + (rows or n))
         yield start, end
         start = end
 

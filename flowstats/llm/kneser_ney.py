@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowstats.llm.common import RangeHash, cut, pack, ragged, shared_dir, slices, text_volume, unpack, word_spans
+from flowstats.llm.common import RangeHash, cut, open_store, pack, ragged, shared_dir, slices, text_volume, unpack, word_spans
 
 #: Text bytes hashed at once in a task, and words gathered before their counts are sent; they bound a task's memory.
 SLICE_BYTES, GATHER_WORDS = 2 << 20, 2_000_000
@@ -32,13 +33,9 @@ START_ID = np.uint32(0xFFFFFFFF)
 ADD = 0.1  # fixed value: the base score's added count
 
 
-def _store(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
-
-
 def _write(uri: str, name: str, *arrays: np.ndarray) -> str:
     """Arrays one after the other in a new file; the name is this attempt's own."""
-    store, root = _store(uri)
+    store, root = open_store(uri)
     store.create_dir(root, recursive=True)
     name = f"{name}-{uuid.uuid4().hex}"
     with store.open_output_stream(f"{root}/{name}") as f:
@@ -47,20 +44,31 @@ def _write(uri: str, name: str, *arrays: np.ndarray) -> str:
     return name
 
 
-def _map(uri: str, name: str, layout: list[tuple[str, int]]) -> list[np.ndarray]:
-    """The file's arrays, memory-mapped; a store without a mount is copied to a file that goes once it is unmapped."""
-    store, root = _store(uri)
-    if isinstance(store, pafs.LocalFileSystem):
-        path, gone = f"{root}/{name}", False
-    else:
-        fd, path = tempfile.mkstemp()
-        gone = True
+def _mapped(path: str) -> np.ndarray:
+    return np.memmap(path, np.uint8, "r") if os.path.getsize(path) else np.zeros(0, np.uint8)
+
+
+@lru_cache(maxsize=64)
+def _fetched(uri: str, name: str) -> np.ndarray:
+    """A file of a store without a mount, copied once per worker for the 64 used last; the copy goes when it is unmapped.
+
+    Names are never used twice, so what is held is never out of date.
+    """
+    store, root = open_store(uri)
+    fd, path = tempfile.mkstemp()
+    try:
         with store.open_input_stream(f"{root}/{name}") as f, os.fdopen(fd, "wb") as out:
             while part := f.read(8 << 20):
                 out.write(part)
-    whole = np.memmap(path, np.uint8, "r") if os.path.getsize(path) else np.zeros(0, np.uint8)
-    if gone:
+        return _mapped(path)
+    finally:
         os.unlink(path)
+
+
+def _map(uri: str, name: str, layout: list[tuple[str, int]]) -> list[np.ndarray]:
+    """The file's arrays, memory-mapped."""
+    store, root = open_store(uri)
+    whole = _mapped(f"{root}/{name}") if isinstance(store, pafs.LocalFileSystem) else _fetched(uri, name)
     out, at = [], 0
     for dtype, n in layout:
         size = np.dtype(dtype).itemsize * n

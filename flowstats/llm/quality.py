@@ -21,7 +21,8 @@ from flowstats.llm.common import RangeHash, mix, ragged, slices, word_spans
 SAMPLE_ROWS = 3000
 DIMENSIONS, NEIGHBOURS, SHARPNESS = 48, 25, 4
 THRESHOLD = 0.3  # fixed value: score from which a document is predicted to be good
-SLICE_BYTES = 1 << 20
+#: Texts are featurized in slices of so many bytes and rows: a row takes WIDTH floats however short its text is.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 512
 WORD_BUCKETS, SHAPES, REPEAT_BINS = 2048, 16**3, 32
 WIDTH = SHAPES + WORD_BUCKETS + 2 * REPEAT_BINS
 
@@ -111,10 +112,14 @@ class NeighbourModel:
         z = self.project(features)
         cosines = z @ self.vectors.T
         k = min(NEIGHBOURS, cosines.shape[1])
-        near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weight = np.clip(np.take_along_axis(cosines, near, 1), 0, 1).astype(np.float64) ** SHARPNESS
+        # Vectors as near as the k-th share the places that are left, so no order of the sample decides.
+        least = np.partition(cosines, -k, axis=1)[:, -k, None]
+        above, tied = cosines > least, cosines == least
+        share = (k - above.sum(1)) / np.maximum(tied.sum(1), 1)
+        weight = np.clip(cosines, 0, 1) * (above | tied)
+        weight = np.where(tied, share[:, None], 1.0) * weight.astype(np.float64) ** SHARPNESS
         total = weight.sum(1)
-        votes = (weight * self.labels[near]).sum(1)
+        votes = weight @ self.labels
         return np.where(total > 0, votes / np.where(total > 0, total, 1), self.prior)
 
 
@@ -143,7 +148,7 @@ def _features_of(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches):
         for batch in batches:
             data, offsets = ragged(batch.column(0))
-            for lo, hi in slices(offsets, SLICE_BYTES):
+            for lo, hi in slices(offsets, SLICE_BYTES, SLICE_ROWS):
                 f = featurize(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 at = [np.flatnonzero(r).astype(np.uint16) for r in f]
                 yield pa.RecordBatch.from_arrays(
@@ -171,7 +176,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int,
     """(doc_id, text, label) of at most `rows` rows to learn from: outside fold 0, with the smallest hashes of the id.
 
     Only ids and labels are ordered; the texts are joined to that bounded choice. Null labels are left out, and a
-    document with several labels counts with its smallest.
+    document with several labels counts with its smallest, an id with several texts with the smallest of these.
     """
     chosen = (
         labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & (fold(folds) != 0))
@@ -180,7 +185,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int,
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -188,12 +194,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
 
     Learns from `labels` (doc_id, quality) outside the held-out fold, on a bounded sample. The score is the voted
     share of good neighbours, 0 to 1; a text without any feature (null, empty) gets the sample's share of good rows,
-    and 1/2 without labelled rows. A null id is held out; repeated rows are each returned; other columns are not
-    read; an empty table gives an empty result. One narrow pass over the documents after fitting.
+    and 1/2 without labelled rows. Neighbours equally near share the last places. A null id is held out; repeated rows
+    are each returned; other columns are not read; texts of any length are read whole; an empty table gives an empty
+    result. One narrow pass over the documents after fitting.
     """
     spark = docs.sparkSession
     sample = labelled_sample(docs, labels, "quality", sample_rows).select("doc_id", "text", "label")
-    sample = sample.dropDuplicates(["doc_id"]).orderBy("doc_id").select("text", "label")
+    sample = sample.orderBy("doc_id").select("text", "label")
     model = spark.sparkContext.broadcast(fit(*_features_of(sample)))
     id_type = dict(docs.dtypes)["doc_id"]
 
@@ -201,7 +208,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
         m = model.value
         for batch in batches:
             data, offsets = ragged(batch.column(1))
-            for lo, hi in slices(offsets, SLICE_BYTES):
+            for lo, hi in slices(offsets, SLICE_BYTES, SLICE_ROWS):
                 f = featurize(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 score = np.clip(m.score(f), 0.0, 1.0)
                 yield pa.RecordBatch.from_arrays(

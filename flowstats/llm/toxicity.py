@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowstats.llm.common import RangeHash, ragged, slices
+from flowstats.llm.common import RangeHash, cut, ragged, slices
 from flowstats.llm.quality import fold, labelled_sample
 
-#: At most this many labelled rows are fitted on; bounds what is collected, whatever the size of the tables.
+#: At most this many labelled rows are fitted on. Their words are counted in Spark; only features reach the driver.
 SAMPLE_ROWS = 8192
 #: A word is a feature if it occurs in so many rows of the sample.
 MIN_ROWS = 4
@@ -108,6 +108,26 @@ def grades(toxic: np.ndarray, columns: list[np.ndarray], marks: np.ndarray) -> n
     return out
 
 
+def likelihood_gradient(weights, cuts, row, col, y, importance, penalty) -> np.ndarray:
+    """Gradient, by the weights and then the cuts, of the mean weighted log likelihood of the grades less the penalty.
+
+    Text `row[i]` holds feature `col[i]`. A grade's probability is P(>=k) - P(>=k+1), by its two bounding thresholds.
+    """
+    n = len(y)
+    p = _sigmoid(np.bincount(row, weights[col], n)[:, None] + cuts[None, :])
+    upper = np.c_[np.ones(n), p]
+    lower = np.c_[p, np.zeros(n)]
+    mass = np.maximum((upper - lower)[np.arange(n), y], 1e-9)
+    slope = p * (1 - p)
+    d = np.zeros((n, GRADES))
+    has = y > 0
+    d[np.flatnonzero(has), y[has] - 1] += slope[np.flatnonzero(has), y[has] - 1]
+    below = y < GRADES
+    d[np.flatnonzero(below), y[below]] -= slope[np.flatnonzero(below), y[below]]
+    d *= (importance / mass)[:, None] / n
+    return np.r_[np.bincount(col, d.sum(1)[row], len(weights)) - penalty * weights, d.sum(0)]
+
+
 def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: float = 3e-4) -> OrdinalModel:
     """Fit weights and cuts by gradient steps with momentum on the cumulative likelihood.
 
@@ -135,19 +155,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: f
     importance /= importance.mean()
     m1, v1 = np.zeros(len(words) + GRADES), np.zeros(len(words) + GRADES)
     for step in range(1, rounds + 1):
-        p = _sigmoid(np.bincount(row, weights[col], n)[:, None] + cuts[None, :])
-        # Cumulative likelihood: of each grade's probability P(>=k) - P(>=k+1), by its two bounding thresholds.
-        upper = np.c_[np.ones(n), p]
-        lower = np.c_[p, np.zeros(n)]
-        mass = np.maximum((upper - lower)[np.arange(n), y], 1e-9)
-        slope = p * (1 - p)
-        d = np.zeros((n, GRADES))
-        has = y > 0
-        d[np.flatnonzero(has), y[has] - 1] += slope[np.flatnonzero(has), y[has] - 1]
-        below = y < GRADES
-        d[np.flatnonzero(below), y[below]] -= slope[np.flatnonzero(below), y[below]]
-        d *= (importance / mass)[:, None] / n
-        gradient = np.r_[np.bincount(col, d.sum(1)[row], len(words)) - penalty * weights, d.sum(0)]
+        gradient = likelihood_gradient(weights, cuts, row, col, y, importance, penalty)
         m1 = 0.9 * m1 + 0.1 * gradient
         v1 = 0.99 * v1 + 0.01 * gradient**2
         move = 0.05 * (m1 / (1 - 0.9**step)) / (np.sqrt(v1 / (1 - 0.99**step)) + 1e-8)
@@ -158,7 +166,10 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, rounds: int = 400, penalty: f
 
 
 def _labelled_words(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct word hashes and labels of a bounded table (text, label)."""
+    """Hashes of the words that can be features, and labels, of a bounded table (text, label) of texts of any length.
+
+    Rows' words are counted and tested in Spark as `select` does, so only words that pass reach the driver.
+    """
 
     def run(batches):
         for batch in batches:
@@ -166,12 +177,36 @@ def _labelled_words(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
             hashes, owner = terms(data, offsets)
             order = np.argsort(owner, kind="stable")
             hashes, edges = hashes[order], np.searchsorted(owner[order], np.arange(batch.num_rows + 1))
-            sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1).cast(pa.int32()), pa.array(sets, pa.binary())], names=["label", "words"]
+                [batch.column(1).cast(pa.int32()), pa.array(sets, pa.list_(pa.int64()))], names=["label", "words"]
             )
 
-    got = rows.mapInArrow(run, "label int, words binary").collect()  # SAMPLE_ROWS rows at most
+    held = cut(rows.mapInArrow(run, "label int, words array<long>"))
+    bad = (F.col("label") > 0).cast("int")
+    n, m = held.agg(F.count(F.lit(1)), F.coalesce(F.sum(bad), F.lit(0))).first()
+    chosen = np.zeros(0, np.uint64)
+    if 0 < m < n:
+        share = F.col("rows") / F.lit(float(n))
+        spread = F.sqrt(share * (1 - share) * F.lit(1 / m + 1 / (n - m)) + 1e-12)
+        gap = F.col("in_toxic") / F.lit(float(m)) - (F.col("rows") - F.col("in_toxic")) / F.lit(float(n - m))
+        words = held.select(F.explode("words").alias("word"), bad.alias("bad")).groupBy("word")
+        words = words.agg(F.count(F.lit(1)).alias("rows"), F.sum("bad").alias("in_toxic")).where(F.col("rows") >= MIN_ROWS)
+        # A little under the bound, which `select` applies itself: the last digits of the two may differ.
+        passed = words.where(F.abs(gap / spread) >= MIN_DEVIATIONS - 1e-6).select("word").collect()
+        chosen = np.sort(np.array([r["word"] for r in passed], np.int64).view(np.uint64))
+    shared = rows.sparkSession.sparkContext.broadcast(chosen)
+
+    def features(batches):
+        for batch in batches:
+            words = batch.column(1)
+            flat = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            edges = np.r_[0, np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
+            keep = np.isin(flat, shared.value)
+            sets = [flat[a:b][keep[a:b]].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["label", "words"])
+
+    got = held.mapInArrow(features, "label int, words binary").collect()  # SAMPLE_ROWS rows of features at most
     return [np.frombuffer(r["words"], np.uint64) for r in got], np.array([r["label"] > 0 for r in got], bool)
 
 
@@ -179,11 +214,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     """`docs` with expected_severity (0 to 3), severity (most likely grade) and toxic (boolean) for every row.
 
     Learns from `labels` (doc_id, toxic) outside fold 0 of the id's crc32, on a bounded sample. Columns of `docs` with
-    these names are replaced. A null or empty text has no word and is graded by the cuts alone; null ids and repeated
-    rows are graded like any other; an empty table gives an empty result. One narrow pass after fitting.
+    these names are replaced. A null or empty text has no word and is graded by the cuts alone; a text of any length is
+    graded whole; null ids and repeated rows are graded like any other, and of a repeated id with a label the smallest
+    text is learnt from; an empty table gives an empty result. One narrow pass after fitting.
     """
     spark = docs.sparkSession
-    sample = labelled_sample(docs, labels, "toxic", sample_rows).dropDuplicates(["doc_id"]).orderBy("doc_id")
+    sample = labelled_sample(docs, labels, "toxic", sample_rows).orderBy("doc_id")
     model = spark.sparkContext.broadcast(fit(*_labelled_words(sample.select("text", "label"))))
     added = ["expected_severity", "severity", "toxic"]
     kept = docs.drop(*added)

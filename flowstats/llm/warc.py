@@ -12,12 +12,11 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowstats.llm.common import cut, shared_dir
+from flowstats.llm.common import cut, open_store, shared_dir
 
 # Fixed values of the file formats.
 DICTIONARY_FRAME = 0x184D2A5D  # the skippable frame that may hold a dictionary, raw or compressed
@@ -25,6 +24,8 @@ FRAME_MAGIC = 0xFD2FB528
 WARC_VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_DATE = "2024-01-01T00:00:00Z"
+#: Headers that a record may hold several times; their values are joined by blanks.
+REPEATABLE = ("warc-concurrent-to",)
 #: Payloads below this many bytes are always written whole.
 MIN_REVISIT_BYTES = 100
 #: A new archive begins once this many bytes of records were compressed into one.
@@ -74,7 +75,10 @@ def decode_record(record: bytes) -> tuple[dict[str, str], bytes]:
     end = record.find(b"\r\n\r\n")
     if end < 0:
         raise WarcError("a record has no end of headers")
-    lines = record[:end].decode("utf-8").split("\r\n")
+    try:
+        lines = record[:end].decode("utf-8").split("\r\n")
+    except UnicodeDecodeError as e:
+        raise WarcError(f"headers are not UTF-8: {e}") from e
     if lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise WarcError(f"unknown version line {lines[0]!r}")
     headers = {}
@@ -82,7 +86,13 @@ def decode_record(record: bytes) -> tuple[dict[str, str], bytes]:
         name, sep, value = line.partition(":")
         if not sep or not name or name != name.strip():
             raise WarcError(f"malformed header {line!r}")
-        headers[name.lower()] = value.strip()
+        name, value = name.lower(), value.strip()
+        if name not in headers:
+            headers[name] = value
+        elif name in REPEATABLE:
+            headers[name] += " " + value
+        else:
+            raise WarcError(f"header {name} occurs twice")
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in headers:
             raise WarcError(f"missing header {name}")
@@ -118,8 +128,11 @@ def encode_archive(records: list[bytes], level: int = 3) -> bytes:
 
 def _frame_end(data: memoryview, at: int) -> int:
     """Where the frame that begins at `at` ends: header, blocks of declared sizes, checksum."""
-    size = zstandard.frame_header_size(data[at : at + 18])
-    checksum = zstandard.get_frame_parameters(data[at : at + 18]).has_checksum
+    try:
+        size = zstandard.frame_header_size(data[at : at + 18])
+        checksum = zstandard.get_frame_parameters(data[at : at + 18]).has_checksum
+    except zstandard.ZstdError as e:
+        raise WarcError(f"a frame has no valid header: {e}") from e
     at += size
     while True:
         if at + 3 > len(data):
@@ -137,8 +150,20 @@ def _frame_end(data: memoryview, at: int) -> int:
     return at
 
 
+def _decompress(unpacker: zstandard.ZstdDecompressor, frame) -> bytes:
+    """The content of one whole frame, whether or not its header says how long it is."""
+    try:
+        reader = unpacker.decompressobj()
+        content = reader.decompress(bytes(frame))
+    except zstandard.ZstdError as e:
+        raise WarcError(f"a frame cannot be decoded: {e}") from e
+    if not reader.eof or reader.unused_data:
+        raise WarcError("a frame is cut off")
+    return content
+
+
 def decode_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record of an archive."""
+    """(headers, block) of every record of an archive; raises WarcError where it breaks the format."""
     data, at, fitted = memoryview(content), 0, None
     if len(data) >= 8 and struct.unpack_from("<I", data)[0] == DICTIONARY_FRAME:
         length = struct.unpack_from("<I", data, 4)[0]
@@ -146,7 +171,7 @@ def decode_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             raise WarcError("the dictionary frame is cut off")
         raw, at = bytes(data[8 : 8 + length]), 8 + length
         if raw[:4] == struct.pack("<I", FRAME_MAGIC):  # the dictionary may itself be compressed
-            raw = zstandard.ZstdDecompressor().decompress(raw)
+            raw = _decompress(zstandard.ZstdDecompressor(), raw)
         fitted = zstandard.ZstdCompressionDict(raw)
     unpacker = zstandard.ZstdDecompressor(dict_data=fitted)
     while at < len(data):
@@ -155,11 +180,13 @@ def decode_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         magic = struct.unpack_from("<I", data, at)[0]
         if 0x184D2A50 <= magic <= 0x184D2A5F:  # other skippable frames carry no record
             at += 8 + struct.unpack_from("<I", data, at + 4)[0]
+            if at > len(data):
+                raise WarcError("a skippable frame is cut off")
             continue
         if magic != FRAME_MAGIC:
             raise WarcError("neither a frame nor a skippable frame")
         end = _frame_end(data, at)
-        yield decode_record(unpacker.decompress(data[at:end]))
+        yield decode_record(_decompress(unpacker, data[at:end]))
         at = end
 
 
@@ -192,8 +219,24 @@ def plan_records(
     )
 
 
-def _open_store(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
+def _row(headers: dict[str, str], block: bytes) -> tuple:
+    """A record as a row of `_READ_SCHEMA`."""
+    kind = headers["warc-type"]
+    if kind not in ("response", "revisit"):
+        raise WarcError(f"a record of type {kind}")
+    for name in ("warc-payload-digest", "x-payload-length", "x-page-id"):
+        if name not in headers:
+            raise WarcError(f"missing header {name}")
+    digest, page, refers = headers["warc-payload-digest"].removeprefix("sha256:"), headers["x-page-id"], headers.get("x-refers-to-page")
+    try:
+        length, page_id, refers_to = int(headers["x-payload-length"]), int(page) if page else None, int(refers) if refers else None
+        url = headers.get("warc-target-uri")
+        url = url and url.encode("ascii").decode("unicode_escape")
+    except ValueError as e:
+        raise WarcError(f"a header value is malformed: {e}") from e
+    if kind == "response" and (len(block) != length or hashlib.sha256(block).hexdigest() != digest):
+        raise WarcError("the payload does not match its headers")
+    return page_id, url, block if kind == "response" else None, length, digest, kind, refers_to
 
 
 def write_archives(records: DataFrame, out_dir: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -204,7 +247,7 @@ def write_archives(records: DataFrame, out_dir: str, archive_bytes: int = ARCHIV
     """
 
     def run(batches):
-        store, root = _open_store(out_dir)
+        store, root = open_store(out_dir)
         store.create_dir(root, recursive=True)
         held, size = [], 0
 
@@ -239,23 +282,21 @@ def read_archives(manifest: DataFrame, out_dir: str, tasks: int | None = None) -
     """
 
     def run(batches):
-        store, _ = _open_store(out_dir)
+        store, _ = open_store(out_dir)
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 with store.open_input_stream(path) as f:
                     content = f.read()
                 rows = []
-                for headers, block in decode_archive(content):
-                    kind, digest = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha256:")
-                    length = int(headers["x-payload-length"])
-                    if kind == "response" and (len(block) != length or hashlib.sha256(block).hexdigest() != digest):
-                        raise WarcError(f"{path}: the payload does not match its headers")
-                    page, refers = headers["x-page-id"], headers.get("x-refers-to-page")
-                    url = headers.get("warc-target-uri")
-                    rows.append(
-                        (int(page) if page else None, url and url.encode("ascii").decode("unicode_escape"),
-                         block if kind == "response" else None, length, digest, kind, int(refers) if refers else None)
-                    )
+                records = decode_archive(content)
+                while True:
+                    try:
+                        record = next(records, None)
+                        if record is None:
+                            break
+                        rows.append(_row(*record))
+                    except WarcError as e:
+                        raise WarcError(f"{path}: {e}") from e
                     if len(rows) == 512:
                         yield _batch(rows)
                         rows = []

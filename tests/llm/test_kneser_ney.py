@@ -7,6 +7,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from flowstats.llm import kneser_ney
@@ -96,3 +97,30 @@ def test_small_table_empty_and_untrained(spark):
     assert score_documents(docs.where("doc_id < 0")).collect() == []
     only_held = docs.where("crc32(cast(cast(doc_id as string) as binary)) % 10 = 0")
     check(only_held)
+
+
+def test_files_of_a_store_without_mount_are_fetched_once(tmp_path, monkeypatch):
+    """A store that is not local: each file is copied once per worker, and no copy's name is left behind."""
+    from pyarrow.fs import FileSelector, LocalFileSystem, SubTreeFileSystem
+
+    from flowstats.llm import kneser_ney
+
+    opened = []
+
+    def remote(uri):
+        opened.append(uri)
+        return SubTreeFileSystem(str(tmp_path), LocalFileSystem()), "root"
+
+    monkeypatch.setattr(kneser_ney, "open_store", remote)
+    kneser_ney._fetched.cache_clear()
+    words, counts = np.arange(5, dtype=np.uint64), np.arange(3, dtype=np.uint32)
+    name = kneser_ney._write("far://root", "part", words, counts)
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    for _ in range(3):
+        a, b = kneser_ney._map("far://root", name, [("u8", 5), ("u4", 3)])
+        assert (a == words).all() and (b == counts).all()
+    assert kneser_ney._fetched.cache_info().misses == 1
+    left = [f.path for f in LocalFileSystem().get_file_info(FileSelector(str(tmp_path), recursive=True)) if f.is_file]
+    assert len(left) == 1
+    empty = kneser_ney._write("far://root", "none", words[:0])
+    assert len(kneser_ney._map("far://root", empty, [("u8", 0)])[0]) == 0

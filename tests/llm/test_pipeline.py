@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from flowstats.llm.common import read_table
 
@@ -65,3 +67,15 @@ def test_odd_documents(spark):
     for _, stage in pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.collect() == []
+
+
+def test_columns_with_the_operators_names_are_kept(spark):
+    """Extra columns that share a name with what an operator adds keep their values in every stage but the last."""
+    plain = read_table(spark, SF, "documents").where("doc_id < 40")
+    names = ("toxic", "severity", "n_bytes", "spans", "kept_sha256", "component_id", "item_id", "matched_bytes")
+    docs = plain.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    want = {r.doc_id: tuple(r[n] for n in names) for r in docs.collect()}
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).cache()
+        assert docs.columns == [*plain.columns, *names]
+        assert docs.count() and all(tuple(r[n] for n in names) == want[r.doc_id] for r in docs.collect())

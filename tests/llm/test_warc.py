@@ -61,7 +61,7 @@ def test_dictionary_frame_leads_and_is_needed():
     packed = zstandard.ZstdCompressor().compress(raw)
     again = struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed + content[8 + size :]
     assert len(list(decode_archive(again))) == 400
-    with pytest.raises((WarcError, zstandard.ZstdError)):
+    with pytest.raises(WarcError):
         list(decode_archive(content[8 + size :]))  # the dictionary is gone
     skipped = content + struct.pack("<II", 0x184D2A50, 3) + b"abc"
     assert len(list(decode_archive(skipped))) == 400
@@ -74,6 +74,9 @@ def test_dictionary_frame_leads_and_is_needed():
     lambda r: r.replace(b"Content-Length: 130", b"Content-Length: -1"),
     lambda r: r.replace(b"WARC-Type: response\r\n", b""),
     lambda r: r.replace(b"WARC-Date", b"WARC Date no colon\r\nX"),
+    lambda r: r.replace(b"WARC-Date", b"WARC-Type: revisit\r\nWARC-Date"),
+    lambda r: r.replace(b"WARC-Date", b"X-Page-Id: 2\r\nWARC-Date"),
+    lambda r: r.replace(b"http://x/1", b"http://x/\xff"),
     lambda r: r[:-4],
     lambda r: b"",
 ])
@@ -87,6 +90,38 @@ def test_damaged_records_are_refused(damage):
 def test_cut_archives_are_refused():
     content = encode_archive([record(i) for i in range(300)])
     for n in (len(content) - 1, len(content) - 5, 6, 30):
-        with pytest.raises((WarcError, zstandard.ZstdError)):
+        with pytest.raises(WarcError):
             list(decode_archive(content[:n]))
     assert list(decode_archive(b"")) == []
+    with pytest.raises(WarcError):
+        list(decode_archive(content + struct.pack("<II", 0x184D2A50, 9) + b"abc"))
+
+
+def test_frames_of_unknown_size_are_read():
+    """Streaming writers leave the content's size out of the frame header."""
+    records = [record(i) for i in range(5)]
+    frames = []
+    for r in records:
+        packer = zstandard.ZstdCompressor(write_content_size=False).compressobj()
+        frames.append(packer.compress(r[:50]) + packer.compress(r[50:]) + packer.flush())
+    assert [h["x-page-id"] for h, _ in decode_archive(b"".join(frames))] == [str(i) for i in range(5)]
+
+
+def test_headers_that_may_repeat_are_joined():
+    r = record(1).replace(b"WARC-Date", b"WARC-Concurrent-To: <a>\r\nWARC-Concurrent-To: <b>\r\nWARC-Date")
+    assert decode_record(r)[0]["warc-concurrent-to"] == "<a> <b>"
+
+
+@pytest.mark.parametrize("damage", [
+    lambda r: r.replace(b"WARC-Payload-Digest", b"X-Other"),
+    lambda r: r.replace(b"X-Payload-Length: 130", b"X-Payload-Length: many"),
+    lambda r: r.replace(b"X-Page-Id: 1", b"X-Page-Id: one"),
+    lambda r: r.replace(b"WARC-Type: response", b"WARC-Type: resource"),
+    lambda r: r.replace(b"some html", b"none html"),
+])
+def test_records_that_are_no_pages_are_refused(damage):
+    from flowstats.llm.warc import _row
+
+    assert _row(*decode_record(record(1)))[0] == 1
+    with pytest.raises(WarcError):
+        _row(*decode_record(damage(record(1))))
