@@ -2,13 +2,16 @@
 
 Needs the training-data operators (`flowstats.llm`). Every stage takes (spark, docs, sf_dir) and returns the documents
 that go on, with the columns of `documents`; the last returns the mix, with how many words of each document it takes.
+
+All stages but the last keep every column as it is, whatever its name, but for `text` and `n_chars` where a passage is
+cut. Null ids, texts, languages and sources, empty and very long texts, repeated rows and empty tables pass through.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowstats.llm.common import read_table, shared_dir
@@ -19,31 +22,42 @@ from flowstats.llm.suffix_dedup import remove_repeats
 from flowstats.llm.toxicity import toxicity_scores
 
 
+def _aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, Column]]:
+    """`docs` with the columns that an operator would replace under other names, and how to select each by its own."""
+    other = {c: f"__own_{c}" for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(other), {c: F.col(other.get(c, c)).alias(c) for c in docs.columns}
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal model rejects go."""
-    scored = toxicity_scores(docs, read_table(spark, sf_dir, "labels"))
-    return scored.where(~F.col("toxic")).select(*docs.columns)
+    """Documents that the ordinal model rejects go, by their texts alone: a null or empty text stays, equal rows go or
+    stay together."""
+    free, own = _aside(docs, ("expected_severity", "severity", "toxic"))
+    scored = toxicity_scores(free, read_table(spark, sf_dir, "labels"))
+    return scored.where(~F.col("toxic")).select(*own.values())
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, a similarity of 0.8 or more."""
+    """One document of each group of near copies stays, that with the smallest id: five-word shingles, a similarity of
+    0.8 or more. Rows are told apart by id and text, and equal rows are copies; texts without words are copies of none."""
     return one_of_each(docs, words=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 bytes or more that a document with a smaller id has are cut from the texts."""
-    left = remove_repeats(docs, with_text=True)
-    columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return left.select(*columns)
+    """Passages of 50 bytes or more that a document with a smaller id has are cut from the texts; `n_chars` is what is
+    left. Every row stays; one without an id keeps its text, and rows of one id cut nothing from each other."""
+    free, own = _aside(docs, ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "__chunk"))
+    if "n_chars" in own:
+        own["n_chars"] = F.length("text").cast("long").alias("n_chars")
+    return remove_repeats(free, with_text=True).select(*own.values())
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold 50 bytes of a benchmark item go (see `without_leaks`); null and empty texts stay."""
     return without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, with size, target and the words taken of each."""
+    """The documents of the mix, with size, target and the words taken of each; a null source is a source of its own."""
     return mixed_documents(docs)
 
 
