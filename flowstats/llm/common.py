@@ -118,6 +118,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 _BASE = 0x9E3779B97F4A7C15
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
+_OTHER_BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _POWERS: dict[str, np.ndarray] = {}
@@ -143,11 +144,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class RangeHash:
-    """64-bit hashes of any byte ranges of one buffer, from prefix sums of a polynomial over random byte values."""
+    """64-bit hashes of any byte ranges of one buffer, from prefix sums of a polynomial over random byte values.
 
-    def __init__(self, data: np.ndarray, lower: bool = False):
+    With `other`, from byte values of their own, so that both kinds together tell ranges apart by more than 64 bits.
+    """
+
+    def __init__(self, data: np.ndarray, lower: bool = False, other: bool = False):
         up, self.down = _powers(len(data) + 1)
-        table = _BYTE[LOWER] if lower else _BYTE
+        table = _OTHER_BYTE if other else _BYTE
+        table = table[LOWER] if lower else table
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(table[data] * up[: len(data)], out=self.sums[1:])
 

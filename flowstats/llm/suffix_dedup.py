@@ -12,32 +12,43 @@ compared as in difference-cover suffix sorting, to the depth of LENGTH bytes:
 3. The sampled positions of strings that are still open are named and sorted once more, among themselves only: the
    smallest document with a string is never settled, so nothing that could settle a string is missing.
 4. Merge the remaining suffixes. Every open string, sampled start or not, that holds a surviving name is sorted by its
-   whole prefix of LENGTH bytes (as names of its halves, 96 bits together), and neighbours with equal prefixes are compared.
-
-Documents are dealt in chunks that are ranges of the id. A chunk sends each distinct name once, as sorted integers for
-one range of names, so a passage that a third of all documents share is a single entry per chunk; and as chunks are
-ordered by id, comparing documents means comparing chunk numbers, and the answer to an entry is one bit. The text is
-shuffled once and read again by every step.
+   whole prefix of LENGTH bytes, and neighbours with equal prefixes are compared.
+
+Triples and prefixes are sorted by names, not by their bytes: 64 bits of one hash of the whole string and 32 bits of
+another with byte values of its own, so that strings which share any part are told apart by 96 bits. The names of the
+samples in steps 1 and 3 are shorter; they only choose what is looked at further.
+
+Documents are dealt in chunks that are ranges of the id, cut where their bytes fill a chunk; an id whose rows hold more
+than a chunk has several chunks to itself, which are no source for each other. A chunk sends each distinct name once, as
+sorted integers for one range of names, so a passage that a third of all documents share is a single entry per chunk; and
+as chunks are ordered by id, comparing documents means comparing chunk numbers, and the answer to an entry is one bit. The
+text is shuffled once and read again by every step. Chunks and ranges grow with the root of the input once a row would
+hold fewer than ROW_ENTRIES names (from some 200 GB on), so the number of rows grows with the input, not its square.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowstats.llm.common import RangeHash, mix, pack, ragged, text_volume, unpack
+from flowstats.llm.common import RangeHash, cut, mix, pack, ragged, unpack
 
 LENGTH = 50
 # A perfect difference set modulo 21 (every residue is a difference of two members).
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)
 #: Text bytes per chunk of documents, and entries per range of names; they bound a task's memory.
 CHUNK_BYTES, RANGE_ENTRIES = 3 << 20, 4_000_000
+#: Names per row (a chunk's names in one range) that chunks and ranges are made large enough for.
+ROW_ENTRIES = 64
 
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 _STAGE = "bucket long, chunk int, a binary, b binary"
@@ -73,14 +84,17 @@ class Chunk:
         self.doc = np.repeat(np.arange(len(order), dtype=np.int32), self.sizes)
         self.starts = left >= length  # where a string of full length starts
         self.sample = np.flatnonzero(_IN_COVER[place % PERIOD] & (left >= self.name_bytes))
-        self.hash = RangeHash(self.data)
-        self.names = self.hash.fixed(self.sample, self.name_bytes)
+        self.names = RangeHash(self.data).fixed(self.sample, self.name_bytes)
 
     def ranks(self, positions: np.ndarray) -> np.ndarray:
         return self.rank[self.doc[positions]]
 
-    def triples(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(indexes into the sample, names) of the triples of shared names."""
+    def _more(self, at: np.ndarray, length: int) -> np.ndarray:
+        """32 more bits for the names of the strings that start at `at`."""
+        return (RangeHash(self.data, other=True).fixed(at, length) >> np.uint64(32)).astype(np.uint32)
+
+    def triples(self, shared: np.ndarray) -> tuple[np.ndarray, Entries]:
+        """(indexes into the sample, entries) of the triples of shared names."""
         step = len(COVER)
         i = np.arange(max(0, len(self.sample) - 2 * step))
         a, b, c = self.sample[i], self.sample[i + step], self.sample[i + 2 * step]
@@ -88,7 +102,13 @@ class Chunk:
         ok &= (b - a == PERIOD) & (c - b == PERIOD) & (self.doc[a] == self.doc[c])
         i = i[ok]
         first, second, third = self.names[i], self.names[i + step], self.names[i + 2 * step]
-        return i, mix(mix(first * np.uint64(0x9E3779B97F4A7C15) + second) * np.uint64(0xD6E8FEB86659FD93) + third)
+        names = mix(mix(first * np.uint64(0x9E3779B97F4A7C15) + second) * np.uint64(0xD6E8FEB86659FD93) + third)
+        at = self.sample[i]
+        return i, Entries(names, self.ranks(at), self._more(at, 2 * PERIOD + self.name_bytes))
+
+    def prefixes(self, at: np.ndarray) -> Entries:
+        """Entries of the whole strings that start at `at`."""
+        return Entries(RangeHash(self.data).fixed(at, self.length), self.ranks(at), self._more(at, self.length))
 
     def open_samples(self, settled: np.ndarray) -> np.ndarray:
         """Whether an unsettled string holds the name of a sampled position."""
@@ -173,10 +193,10 @@ def _bits(flags: np.ndarray) -> bytes:
     return np.int64(len(flags)).tobytes() + np.packbits(flags).tobytes()
 
 
-def _settle(rows: DataFrame, ranges: int, kind: str) -> DataFrame:
+def _settle(rows: DataFrame, ranges: int, whole: bool, cuts: Broadcast) -> DataFrame:
     """One range of names at a time: sort the entries of all chunks and answer each.
 
-    `name`: does another chunk have this name? `triple`, `prefix`: does an earlier chunk have it?
+    Names of samples: does another chunk have this name? Names of `whole` strings: does a chunk of smaller ids have it?
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -184,11 +204,11 @@ def _settle(rows: DataFrame, ranges: int, kind: str) -> DataFrame:
         if bucket >= ranges:  # a chunk's bits on their way
             return table.select(["bucket", "chunk", "a", "b"]).cast(_STAGE_ARROW)
         chunks = table.column("chunk").to_pylist()
-        dtype = "u4" if kind == "name" else "u8"
+        dtype = "u8" if whole else "u4"
         parts = [unpack(x, dtype, in_order=True) for x in table.column("a").to_pylist()]
         sizes = [len(p) for p in parts]
         names, chunk = np.concatenate(parts), np.repeat(np.array(chunks, np.int32), sizes)
-        if kind == "prefix":
+        if whole:
             second = np.concatenate([unpack(x, "u4") for x in table.column("b").to_pylist()])
             order = np.lexsort((second, names))
         else:
@@ -199,13 +219,12 @@ def _settle(rows: DataFrame, ranges: int, kind: str) -> DataFrame:
             new[1:] |= second[order][1:] != second[order][:-1]
         heads = np.flatnonzero(new)
         flags = np.empty(len(s), bool)
-        if kind == "name":
-            counts = np.diff(np.r_[heads, len(s)])
-            flags[order] = np.repeat(counts > 1, counts)
-        else:
-            counts = np.diff(np.r_[heads, len(s)])
+        counts = np.diff(np.r_[heads, len(s)])
+        if whole:
             first = np.repeat(np.minimum.reduceat(chunk[order], heads), counts)
-            flags[order] = first < chunk[order]
+            flags[order] = first < cuts.value.first_of_id(chunk[order])
+        else:
+            flags[order] = np.repeat(counts > 1, counts)
         out, at = [], 0
         for c, n in zip(chunks, sizes, strict=True):
             out.append((bucket, c, _bits(flags[at : at + n]), None))
@@ -215,6 +234,63 @@ def _settle(rows: DataFrame, ranges: int, kind: str) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(run, _STAGE)
 
 
+class Cuts:
+    """Which chunk a row belongs to: ranges of ids, and several chunks for an id of its own."""
+
+    def __init__(self, pieces: list[tuple[int, int]], chunk_bytes: int):
+        """`pieces`: (first id, bytes) in order; small neighbours are joined up to the size of a chunk."""
+        first, size = [], []
+        for start, n in pieces:
+            if first and size[-1] + n <= chunk_bytes:
+                size[-1] += n
+            else:
+                first.append(start)
+                size.append(n)
+        self.first = np.array(first, np.int64)
+        self.parts = np.maximum(1, -(-np.array(size, np.int64) // chunk_bytes))
+        self.begin = (np.cumsum(self.parts) - self.parts).astype(np.int32)
+
+    def chunk(self, ids: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.first, ids, side="right") - 1
+        return (self.begin[at] + salt % self.parts[at]).astype(np.int32)
+
+    def first_of_id(self, chunks: np.ndarray) -> np.ndarray:
+        """The first chunk of the same range of ids."""
+        return self.begin[np.searchsorted(self.begin, chunks, side="right") - 1]
+
+
+def _pieces(rows: Iterator[tuple[int, int]], chunk_bytes: int) -> Iterator[tuple[int, int]]:
+    """Runs of (id, bytes), in order, that fill a chunk at most; an id with more bytes is a run of its own."""
+    start, size = None, 0
+    for i, n in rows:
+        if start is not None and size + n > chunk_bytes:
+            yield start, size
+            start, size = None, 0
+        start, size = (i if start is None else start), size + n
+    if start is not None:
+        yield start, size
+
+
+def _cuts(known: DataFrame, chunk_bytes: int) -> tuple[Cuts, int, int]:
+    """(cuts, text bytes, bytes of a chunk): ids are sorted and cut in Spark; a row per chunk or so reaches the driver."""
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    ids = cut(known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(size.alias("n")))
+    n_bytes = ids.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    growth = max(1.0, math.sqrt(ROW_ENTRIES * n_bytes / (chunk_bytes * RANGE_ENTRIES)))
+    limit = int(chunk_bytes * growth)
+
+    def run(batches):
+        rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        got = list(_pieces(rows, limit))
+        yield pa.RecordBatch.from_pydict({"id": [i for i, _ in got], "n": [n for _, n in got]}, schema)
+
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64())])
+    # Some sixteen chunks to a task, so few runs end with their task instead of with a full chunk.
+    tasks = max(1, n_bytes // (16 * limit))
+    pieces = ids.repartitionByRange(tasks, "id").sortWithinPartitions("id").mapInArrow(run, "id long, n long")
+    return Cuts(sorted(tuple(r) for r in pieces.collect()), limit), n_bytes, limit
+
+
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, with_text: bool = False, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
@@ -223,26 +299,25 @@ def remove_repeats(
     Adds n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and spans (array of [start, end) byte
     offsets); with `with_text`, `text` is what is left (bytes cut inside a character are dropped), else it is left
     out. Columns of `docs` with these names are replaced. A null text counts as empty. Rows with a null id keep their
-    text and are no source for others; rows with the same id are no source for each other. An empty table gives an
-    empty result.
+    text and are no source for others; rows with the same id are no source for each other. A text longer than a chunk is
+    a chunk by itself. An empty table gives an empty result.
     """
     if length <= 2 * PERIOD:
         raise ValueError(f"length must be over {2 * PERIOD}")
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "__chunk"]
     docs = docs.drop(*added)
     known = docs.where(F.col("doc_id").isNotNull())
-    n_docs, n_bytes = text_volume(known)
-    chunks = max(1, -(-n_bytes // chunk_bytes))
-    ranges = max(1, -(-int(n_bytes * len(COVER) / PERIOD) // RANGE_ENTRIES))
-    shares = [i / chunks for i in range(1, chunks)]
-    edges = known.agg(F.percentile_approx("doc_id", shares, 10 * chunks)).first()[0] if shares and n_docs else []
-    bounds = docs.sparkSession.sparkContext.broadcast(np.unique(np.array(edges or [], np.int64)))
+    cuts, n_bytes, chunk_limit = _cuts(known, chunk_bytes)
+    ranges = max(1, -(-int(n_bytes * len(COVER) / PERIOD) // int(RANGE_ENTRIES * chunk_limit / chunk_bytes)))
+    bounds = docs.sparkSession.sparkContext.broadcast(cuts)
 
     @F.pandas_udf("int")
-    def chunk_of(ids):
-        return _pd_series(np.searchsorted(bounds.value, ids.to_numpy(), side="right"))
+    def chunk_of(ids, salt):
+        return _pd_series(bounds.value.chunk(ids.to_numpy(), salt.to_numpy()))
 
-    texts = known.withColumn("__chunk", chunk_of(F.col("doc_id").cast("long")))
+    # Equal rows of one id are told apart by the task that reads them.
+    salt = F.xxhash64("text", F.spark_partition_id())
+    texts = known.withColumn("__chunk", chunk_of(F.col("doc_id").cast("long"), salt))
     by_chunk = texts.groupBy("__chunk")
 
     def chunk_number(table: pa.Table) -> int:
@@ -267,8 +342,7 @@ def remove_repeats(
         e = name_entries(c, np.ones(len(c.sample), bool))
         elsewhere, _ = _answers(answers, len(e.names))
         shared = (elsewhere | (e.least != e.most))[e.of]
-        i, names = c.triples(shared)
-        t = Entries(names, c.ranks(c.sample[i]))
+        _, t = c.triples(shared)
         return _table([*t.rows(_range_of(t.names, ranges), number, t.names), _state_row(ranges, number, [shared])])
 
     def earlier(c: Chunk, e: Entries, flags: np.ndarray, positions: np.ndarray) -> np.ndarray:
@@ -280,8 +354,8 @@ def remove_repeats(
             return _table([])
         c, number = Chunk(table, length), chunk_number(table)
         flags, (shared,) = _answers(answers, -1)
-        i, names = c.triples(shared)
-        found = earlier(c, Entries(names, c.ranks(c.sample[i])), flags, c.sample[i])
+        i, t = c.triples(shared)
+        found = earlier(c, t, flags, c.sample[i])
         # A triple covers 2 x PERIOD + name_bytes bytes, so the strings that start in its first ones.
         reach = 2 * PERIOD + c.name_bytes - length + 1
         mark = np.zeros(len(c.data) + reach + 1, np.int32)
@@ -292,11 +366,6 @@ def remove_repeats(
         e = name_entries(c, named)
         return _table([*name_rows(e, number), _state_row(ranges, number, [settled, named])])
 
-    def prefixes(c: Chunk, at: np.ndarray) -> Entries:
-        half = length // 2
-        second = (c.hash.fixed(at + half, length - half) >> np.uint64(32)).astype(np.uint32)
-        return Entries(c.hash.fixed(at, half), c.ranks(at), second)
-
     # Step 4: whole prefixes of the remaining strings.
     def open_prefixes(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -307,7 +376,7 @@ def remove_repeats(
         still = np.zeros(len(c.sample), bool)
         still[named] = (flags | (e.least != e.most))[e.of]
         at = c.open_strings(settled, still)
-        p = prefixes(c, at)
+        p = c.prefixes(at)
         chosen = np.zeros(len(c.data), bool)
         chosen[at] = True
         return _table([*p.rows(_range_of(p.names, ranges), number, p.names), _state_row(ranges, number, [settled, chosen])])
@@ -344,7 +413,7 @@ def remove_repeats(
         flags, (settled, chosen) = _answers(answers, -1)
         at = np.flatnonzero(chosen)
         starts = settled & c.starts
-        starts[at] |= earlier(c, prefixes(c, at), flags, at)
+        starts[at] |= earlier(c, c.prefixes(at), flags, at)
         mark = np.zeros(len(c.data) + length + 1, np.int32)
         where = np.flatnonzero(starts)
         mark[where] += 1
@@ -359,10 +428,10 @@ def remove_repeats(
         return emit(table.take(pa.array(c.order)), kept, counts)
 
     state = by_chunk.applyInArrow(sample_names, _STAGE)
-    for kind, step in (("name", triple_names), ("triple", open_names), ("name", open_prefixes)):
-        answers = _settle(state, ranges, kind)
+    for whole, step in ((False, triple_names), (True, open_names), (False, open_prefixes)):
+        answers = _settle(state, ranges, whole, bounds)
         state = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(step, _STAGE)
-    out = by_chunk.cogroup(_settle(state, ranges, "prefix").groupBy("chunk")).applyInArrow(removed, schema)
+    out = by_chunk.cogroup(_settle(state, ranges, True, bounds).groupBy("chunk")).applyInArrow(removed, schema)
 
     nobody = docs.where(F.col("doc_id").isNull())
 
