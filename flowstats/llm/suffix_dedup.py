@@ -156,9 +156,9 @@ def _range_of(names: np.ndarray, ranges: int) -> np.ndarray:
     return (((names >> np.uint64(40)) * np.uint64(ranges)) >> np.uint64(24)).astype(np.int64)
 
 
-def _short(names: np.ndarray, ranges: int) -> np.ndarray:
-    """Names cut to their range and 32 more bits: equal names stay equal, and few others meet."""
-    return (_range_of(names, ranges).astype(np.uint64) << np.uint64(32)) | ((names >> np.uint64(8)) & np.uint64(0xFFFFFFFF))
+def _short(names: np.ndarray, ranges: int, bits: int) -> np.ndarray:
+    """Names cut to their range and a few more bits: equal names stay equal, and few others meet."""
+    return (_range_of(names, ranges).astype(np.uint64) << np.uint64(32)) | ((names >> np.uint64(8)) & np.uint64((1 << bits) - 1))
 
 
 def _answers(table: pa.Table, wanted: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -308,7 +308,10 @@ def remove_repeats(
     docs = docs.drop(*added)
     known = docs.where(F.col("doc_id").isNotNull())
     cuts, n_bytes, chunk_limit = _cuts(known, chunk_bytes)
-    ranges = max(1, -(-int(n_bytes * len(COVER) / PERIOD) // int(RANGE_ENTRIES * chunk_limit / chunk_bytes)))
+    range_entries = int(RANGE_ENTRIES * chunk_limit / chunk_bytes)
+    ranges = max(1, -(-int(n_bytes * len(COVER) / PERIOD) // range_entries))
+    # In a full range, one of 64 unique names of samples meets another; step 3 finds most of these unique.
+    bits = min(32, range_entries.bit_length() + 6)
     bounds = docs.sparkSession.sparkContext.broadcast(cuts)
 
     @F.pandas_udf("int")
@@ -323,8 +326,10 @@ def remove_repeats(
     def chunk_number(table: pa.Table) -> int:
         return table.column("__chunk")[0].as_py()
 
-    def name_entries(c: Chunk, mask: np.ndarray) -> Entries:
-        return Entries(_short(c.names[mask], ranges), c.ranks(c.sample[mask]))
+    def name_entries(c: Chunk, mask: np.ndarray, again: bool = False) -> Entries:
+        # Named again, names that met by their short form are told apart by other bits.
+        names = mix(c.names[mask] + np.uint64(1)) if again else c.names[mask]
+        return Entries(_short(names, ranges, bits), c.ranks(c.sample[mask]))
 
     def name_rows(e: Entries, number: int) -> list[tuple]:
         return e.rows((e.names >> np.uint64(32)).astype(np.int64), number, e.names.astype(np.uint32))
@@ -363,7 +368,7 @@ def remove_repeats(
         np.add.at(mark, c.sample[i[found]] + reach, -1)
         settled = np.cumsum(mark)[: len(c.data)] > 0
         named = shared & c.open_samples(settled)
-        e = name_entries(c, named)
+        e = name_entries(c, named, again=True)
         return _table([*name_rows(e, number), _state_row(ranges, number, [settled, named])])
 
     # Step 4: whole prefixes of the remaining strings.
@@ -372,7 +377,7 @@ def remove_repeats(
             return _table([])
         c, number = Chunk(table, length), chunk_number(table)
         flags, (settled, named) = _answers(answers, -1)
-        e = name_entries(c, named)
+        e = name_entries(c, named, again=True)
         still = np.zeros(len(c.sample), bool)
         still[named] = (flags | (e.least != e.most))[e.of]
         at = c.open_strings(settled, still)
