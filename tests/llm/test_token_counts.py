@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
 
 from flowstats.llm.common import read_table  # noqa: E402
+from flowstats.llm import token_counts  # noqa: E402
 from flowstats.llm.token_counts import MergeTable, count_tokens  # noqa: E402
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,3 +54,50 @@ def test_overlapping_pairs_merge_from_the_left():
     table = MergeTable(PATH)
     words = [b"a" * n for n in range(1, 40)] + [b"ab" * 9 + b"aab"]
     assert table.count(words).tolist() == expected([w.decode() for w in words])
+
+
+def _texts(n):
+    """Texts of words that hardly repeat."""
+    return [" ".join(f"{w * 7919 % 100003:x}{chr(97 + w % 26)} x{w * w % 9973}é" for w in range(i * 40, i * 40 + 40)) for i in range(n)]
+
+
+def test_texts_are_merged_many_at_once(spark, monkeypatch):
+    """New pre-tokens of a slice of texts go through one merge, not through one per text."""
+    calls, texts = [], _texts(300) + [None, "", ODD[4], ODD[8]]
+    merge = MergeTable.count
+    monkeypatch.setattr(MergeTable, "count", lambda self, words: calls.append(len(words)) or merge(self, words))
+    # The function that runs in the tasks, on one batch, in this process.
+    run = _task_function(spark, monkeypatch)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    (out,) = run([batch])
+    assert out.column("n_tokens").to_pylist() == expected(texts)
+    assert len(calls) == 1
+
+
+def test_slices_and_a_full_cache_change_no_count(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "SLICE_CHARS", 700)
+    monkeypatch.setattr(token_counts, "CACHE_ENTRIES", 50)
+    texts = [*_texts(12), *ODD, None, *_texts(12), *ODD]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    (out,) = _task_function(spark, monkeypatch)([batch.slice(0, len(texts))])
+    assert out.column("n_tokens").to_pylist() == expected(texts)
+    assert out.column("n_bytes").to_pylist() == [len((t or "").encode()) for t in texts]
+
+
+def _task_function(spark, monkeypatch):
+    kept = []
+    frame = type(spark.range(0))
+    with monkeypatch.context() as m:
+        m.setattr(frame, "mapInArrow", lambda self, run, schema: kept.append(run))
+        count_tokens(spark.createDataFrame([], "doc_id long, text string"), PATH)
+    return kept[0]
+
+
+def test_pairs_beside_a_merge_are_ranked_again():
+    """Random words over few letters: long chains of merges, empty words and single bytes among them."""
+    table, rng = MergeTable(PATH), np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abehinst éß"), rng.integers(0, 24))) for _ in range(20_000)]
+    words = [w for w in words if " " not in w[1:] and w != " "] + ["", "a"]
+    known = dict(zip(words, table.count([w.encode() for w in words]).tolist(), strict=True))
+    assert list(map(known.__getitem__, words)) == expected(words)
+    assert table.count([]).tolist() == [] and table.count([b""]).tolist() == [0]
