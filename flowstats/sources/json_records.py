@@ -43,6 +43,24 @@ def _one_value(text: Column) -> Column:
     return F.coalesce(F.get_json_object(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")), "$[1]") == mark, F.lit(False))
 
 
+#: Field of a plainly read record that is set where one of the others could not be read.
+UNFIT = "_unfit"
+#: An object without brackets inside ends where its one closing bracket is: if it can be read, nothing comes after it.
+FLAT = r"^\{[^{}\[\]]*+\}\z"
+
+
+def _plain_schema(schema: T.StructType) -> T.StructType:
+    fields = [T.StructField(f.name, f.dataType if isinstance(f.dataType, T.LongType) else T.StringType()) for f in schema.fields]
+    return T.StructType([*fields, T.StructField(UNFIT, T.StringType())])
+
+
+def _plain_record(text: Column, schema: T.StructType) -> Column:
+    """An object whose whole numbers stand as JSON numbers, as nearly all do, read without a text for each field."""
+    # NaN and the like are no JSON for `_one_value` either.
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNFIT, "allowNonNumericNumbers": "false"}
+    return F.from_json(text, _plain_schema(schema), options)
+
+
 def decode_json(
     df: DataFrame, schema: T.StructType, value_col: str = "value", keep: list[str] | None = None, extra_col: str | None = None
 ) -> DataFrame:
@@ -59,38 +77,55 @@ def decode_json(
     """
     keep = list(keep or [])
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    value = F.col(value_col).cast("string")
-    messages = df.select(*keep, value.alias("_text")).where(F.length(F.trim(F.translate("_text", "\t\r\n", "   "))) > 0)
+    text = F.col("_text")
+    messages = df.select(*keep, F.col(value_col).cast("string").alias("_text")).where(text.rlike(r"[^ \t\r\n]"))
     # An object is read as an array of one; what is neither gives no element that is a record.
-    elements = F.from_json(F.col("_text"), T.ArrayType(texts), {"mode": "PERMISSIVE"})
-    valid = _one_value(F.col("_text")) & elements.isNotNull()
+    elements = F.from_json(text, T.ArrayType(texts), {"mode": "PERMISSIVE"})
+    one_value = _one_value(text)
     lone = F.array(F.lit(None).cast(texts))
-    is_empty_list = valid & (F.size(elements) == 0)
     is_list = F.substring(F.ltrim("_text"), 1, 1) == "["
-    records = F.when(valid, elements).otherwise(lone)
-    messages = messages.where(~F.coalesce(is_empty_list, F.lit(False)))
+
+    def decoded(rec: Column) -> list[Column]:
+        fields, misfit = {f.name: rec.getField(f.name) for f in schema.fields}, F.lit(False)
+        for f in schema.fields:
+            if not isinstance(f.dataType, T.StringType):
+                misfit = misfit | (fields[f.name].isNotNull() & _typed(f, fields[f.name]).isNull())
+        own_text = F.when(is_list & rec.isNotNull(), F.to_json(rec)).otherwise(text)
+        bad = F.when(rec.isNull() | misfit, own_text).alias(CORRUPT_RECORD)
+        return [*[_typed(f, fields[f.name]).alias(f.name) for f in schema.fields], bad]
+
     if extra_col is None:
-        rows = messages.select(*keep, "_text", F.explode(records).alias("_rec"))
-    else:
-        whole = F.try_parse_json(F.when(valid, F.col("_text")))
-        listed = F.coalesce(F.try_variant_get(whole, "$", "array<variant>"), F.array(F.lit(None).cast("variant")))
-        variants = F.when(is_list, listed).otherwise(F.array(whole))
-        both = F.arrays_zip(records.alias("rec"), variants.alias("var"))
-        rows = messages.select(*keep, "_text", F.explode(both).alias("_both"))
-        rows = rows.select(*keep, "_text", F.col("_both.rec").alias("_rec"), F.col("_both.var").alias("_var"))
-    fields = {f.name: F.col("_rec").getField(f.name) for f in schema.fields}
-    misfit = F.lit(False)
-    for f in schema.fields:
-        if not isinstance(f.dataType, T.StringType):
-            misfit = misfit | (fields[f.name].isNotNull() & _typed(f, fields[f.name]).isNull())
-    own_text = F.when(is_list & F.col("_rec").isNotNull(), F.to_json("_rec")).otherwise(F.col("_text"))
-    bad = F.col("_rec").isNull() | misfit
-    return rows.select(
-        *keep,
-        *[_typed(f, fields[f.name]).alias(f.name) for f in schema.fields],
-        *([] if extra_col is None else [F.when(~bad, F.col("_var")).alias(extra_col)]),
-        F.when(bad, own_text).alias(CORRUPT_RECORD),
-    )
+        # What parses a text is named once on each way, as Spark works an expression out wherever it is named. The way of
+        # the few has no part in the generated code of the many, which would grow too large to be compiled.
+        messages = messages.select(*keep, "_text", F.when(text.startswith("{"), _plain_record(text, schema)).alias("_plain"))
+        fits = F.col("_plain").isNotNull() & F.col("_plain").getField(UNFIT).isNull()
+        for f in schema.fields:
+            if not isinstance(f.dataType, T.LongType | T.StringType):
+                ready = F.col("_plain").getField(f.name)
+                fits = fits & (ready.isNull() | _typed(f, ready).isNotNull())
+        messages = messages.select(*keep, "_text", "_plain", (fits & (text.rlike(FLAT) | one_value)).alias("_fits"))
+        plain = [F.col("_plain").getField(f.name) for f in schema.fields]
+        plain = [(c if isinstance(f.dataType, T.LongType) else _typed(f, c)).alias(f.name) for f, c in zip(schema.fields, plain, strict=True)]
+        ready = F.array(F.struct(*plain, F.lit(None).cast("string").alias(CORRUPT_RECORD)))
+        records = F.transform(F.coalesce(F.when(one_value, elements), lone), lambda rec: F.struct(*decoded(rec)))
+        messages = messages.select(*keep, F.when(F.col("_fits"), ready).otherwise(records).alias("_records"))
+        # Outer, as Spark would first filter by the size of the lists and parse the texts for that too; an empty list gives
+        # the row without a place.
+        rows = messages.select(*keep, F.posexplode_outer("_records").alias("_place", "_rec")).where(F.col("_place").isNotNull())
+        return rows.select(*keep, *[F.col("_rec").getField(n).alias(n) for n in [*schema.fieldNames(), CORRUPT_RECORD]])
+    valid = one_value & elements.isNotNull()
+    is_empty_list = valid & (F.size(elements) == 0)
+    messages = messages.where(~F.coalesce(is_empty_list, F.lit(False)))
+    records = F.when(valid, elements).otherwise(lone)
+    whole = F.try_parse_json(F.when(valid, text))
+    listed = F.coalesce(F.try_variant_get(whole, "$", "array<variant>"), F.array(F.lit(None).cast("variant")))
+    variants = F.when(is_list, listed).otherwise(F.array(whole))
+    both = F.arrays_zip(records.alias("rec"), variants.alias("var"))
+    rows = messages.select(*keep, "_text", F.explode(both).alias("_both"))
+    rows = rows.select(*keep, "_text", F.col("_both.rec").alias("_rec"), F.col("_both.var").alias("_var"))
+    *typed, bad = decoded(F.col("_rec"))
+    extra = F.when(bad.isNull(), F.col("_var")).alias(extra_col)
+    return rows.select(*keep, *typed, extra, bad)
 
 
 def extra_fields(records: DataFrame, extra_col: str = "extra") -> str:

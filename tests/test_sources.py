@@ -100,3 +100,38 @@ def test_views_for_sql_users(spark, http_micro, tcp_micro):
     report = H.top_urls(http_micro).where("metric = 'bytes_total' AND dst_group_id = 1 AND rank <= 2")
     assert sorted(r.url for r in report.collect()) == sorted(r.url for r in top)
     assert spark.sql("SELECT sum(in_bytes + out_bytes) AS b FROM tcp").first().b == 1172
+
+
+def test_each_text_is_parsed_once_for_plain_records(spark):
+    """One parse for plain records and one for the others, none in a filter, and no large generated method."""
+    rows = decode_json(spark.range(2).select(F.concat(F.lit("{"), F.col("id").cast("string")).alias("value")), TCP_SCHEMA)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 2
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    parts = debug.codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+    sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+    assert sizes and max(sizes) < 8000  # larger methods are not compiled by the JVM
+
+
+def test_plain_and_other_spellings_of_a_record_agree(spark):
+    plain = ['{"dst_group_id":7,"url":"a}b","status_code":200,"in_bytes":-0}', '{"in_bytes":9223372036854775807}', "{}",
+             '{"in_bytes":1,"in_bytes":null}', '{"in_bytes":"x","in_bytes":2}', '{"url":"[x]","status_code":"n/a"}',
+             '{"url":1.50}', '{"url":{"a":1}}']
+    same = [f" {t}" for t in plain] + [f"[{t}]" for t in plain] + [f"{t}\t" for t in plain]
+    bad = ['{"url":NaN}', '{"in_bytes":1}{"in_bytes":2}', '{"in_bytes":1}]', '{"in_bytes":9223372036854775808}', '{"in_bytes":2.5}',
+           '{"url":"}"} {', '{"in_bytes":1', '{"in_bytes":""}', '{"dst_group_id":1,"in_bytes":[1]}']
+    messages = [*plain, *same, *bad]
+    raw = spark.createDataFrame(list(enumerate(messages)), "i long, value string")
+    rows = {r.i: r for r in decode_json(raw, HTTP_SCHEMA, keep=["i"]).collect()}
+    assert len(rows) == len(messages)
+    for i, text in enumerate(same):
+        assert tuple(rows[len(plain) + i])[1:] == tuple(rows[i % len(plain)])[1:], text
+    assert [rows[i].in_bytes for i in range(len(plain))] == [0, 2**63 - 1, None, None, 2, None, None, None]
+    assert [(rows[i].url, rows[i].status_code) for i in (0, 5, 6, 7)] == [("a}b", "200"), ("[x]", "n/a"), ("1.5", None), ('{"a":1}', None)]
+    first = len(plain) + len(same)
+    assert [rows[first + i][CORRUPT_RECORD] for i in range(len(bad))] == bad
+    assert all(rows[i][CORRUPT_RECORD] is None for i in range(first))
+    # A broken byte before a bracket does not hide that the record ends there.
+    broken = [bytearray(b'{"url":"x\xe2"}{"in_bytes":1}'), bytearray(b'{"url":"x\xe2"}')]
+    got = decode_json(spark.createDataFrame([(b,) for b in broken], "value binary"), HTTP_SCHEMA).collect()
+    assert [(r.url, r[CORRUPT_RECORD] is None) for r in got] == [(None, False), ("x�", True)]
