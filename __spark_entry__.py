@@ -50,7 +50,7 @@ from flowstats.sinks.quarantine import add_bad, read_quarantine
 from flowstats.sinks.committed import commit, compact, hours_between, new_run, read_committed, replaced_by_all, write_rows, written_hours
 from flowstats.sinks.snapshot import read_snapshot, stamp, write_snapshot
 from flowstats.sources.json_records import decode_json, encode_json, split_bad, stream_json_files
-from flowstats.sources.tables import http_flows, tcp_flows
+from flowstats.sources.tables import http_flows, read_table, tcp_flows, tcp_flows_from
 from flowstats.streaming.runner import STREAM_PARTITIONS, run_reports
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -270,16 +270,49 @@ def _proto_document(tcp: DataFrame) -> DataFrame:
     return report_documents("tcp_proto_10s", TR.proto_bytes(tcp))
 
 
+#: Flows in one of the files that a stream reads, at most; as JSON some 400 MB.
+FILE_FLOWS = 1_000_000
+
+
+def _slices(spark: SparkSession, rows: DataFrame, path: str) -> list[DataFrame]:
+    """`rows`, written to `path` once, as frames of whole files there: a file of `FILE_FLOWS` rows for each core, two at least."""
+    rows.write.option("maxRecordsPerFile", FILE_FLOWS).option("compression", "zstd").parquet(path)
+    reader = spark.read.schema(rows.schema)
+    counts = reader.parquet(path).groupBy("_metadata.file_name").count().collect()
+    most, taken, room = FILE_FLOWS * max(2, spark.sparkContext.defaultParallelism), [], 0
+    for name, n in sorted(map(tuple, counts)):
+        if n > room:
+            taken.append([])
+            room = most
+        taken[-1].append(f"{path}/{name}")
+        room -= n
+    return [reader.parquet(*files) for files in taken] or [rows]
+
+
 def _through_stream(
-    spark: SparkSession, flows: DataFrame, schema: T.StructType, name: str, report: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    rows: DataFrame,
+    schema: T.StructType,
+    name: str,
+    report: Callable[[DataFrame], DataFrame],
+    flows_of: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Flows as JSON files -> file stream -> `report` per micro-batch -> sink; rows read back."""
+    """Flows as JSON files -> file stream -> `report` per micro-batch -> sink; rows read back.
+
+    `flows_of` makes the flows of any part of `rows`. JSON takes many times the room of the rows that it is made of, so
+    a slice of it is there at a time: the query is started from its checkpoint for each, and what it has read gives way
+    to the next.
+    """
     root = f"{checkpoint_dir(spark)}/stream_{name}/{uuid.uuid4().hex}"
-    encode_json(flows).write.text(f"{root}/source")
-    records = stream_json_files(spark, f"{root}/source", schema, max_files_per_trigger=2)
-    query = run_reports(records, {name: report}, f"{root}/sink", f"{root}/checkpoint", available_now=True)
-    query.awaitTermination()
-    out_schema = T.StructType(report(flows).schema.fields + [T.StructField("batch_time", T.StringType())])
+    for part in _slices(spark, rows, f"{root}/rows"):
+        encode_json(flows_of(part)).write.mode("overwrite").option("maxRecordsPerFile", FILE_FLOWS).text(f"{root}/source")
+        records = stream_json_files(spark, f"{root}/source", schema, max_files_per_trigger=2)
+        query = run_reports(records, {name: report}, f"{root}/sink", f"{root}/checkpoint", available_now=True)
+        query.awaitTermination()
+    for folder in ("rows", "source"):
+        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
+        done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, True)
+    out_schema = T.StructType(report(flows_of(rows)).schema.fields + [T.StructField("batch_time", T.StringType())])
     return read_committed(spark, f"{root}/sink", out_schema, stamp_cols=STREAM_PARTITIONS)
 
 
@@ -291,7 +324,8 @@ def _stream_http_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_tcp_proto(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TCP bytes by protocol through the streaming runner, summed over micro-batches."""
-    out = _through_stream(spark, tcp_flows(spark, sf_dir), TCP_SCHEMA, "tcp_proto_10s", TR.proto_bytes)
+    rows = read_table(spark, sf_dir, "lineitem")
+    out = _through_stream(spark, rows, TCP_SCHEMA, "tcp_proto_10s", TR.proto_bytes, tcp_flows_from)
     return out.groupBy("is_all", "dst_group_id", "l7_proto").agg(
         *[F.sum(c).alias(c) for c in ("total_bytes", "bytes_in", "bytes_out")]
     )

@@ -13,7 +13,7 @@ from flowstats.sinks.committed import read_committed
 from flowstats.sinks.quarantine import read_quarantine
 from flowstats.sinks.snapshot import read_snapshot, stamp, write_snapshot
 from flowstats.sources.json_records import encode_json, stream_json_files
-from flowstats.sources.tables import http_flows, tcp_flows
+from flowstats.sources.tables import http_flows, read_table, tcp_flows
 from flowstats.streaming.runner import STREAM_PARTITIONS, process_batch, run_reports
 from tests.conftest import SF001
 
@@ -41,6 +41,41 @@ def test_stream_equals_batch(spark, tmp_path):
     assert out.where("report = 'http_filter_status'").count() > 0
 
 
+def test_streamed_json_is_there_a_slice_at_a_time(spark, tmp_path, monkeypatch):
+    """The JSON of all flows is never on disk together; nothing is lost, doubled or left behind."""
+    import __spark_entry__ as E
+
+    rows = spark.range(300).selectExpr(
+        "if(id % 50 = 3, null, id) l_orderkey", "id * 7 % 40 l_partkey", "if(id % 9 = 0, null, id % 11) l_suppkey",
+        "cast(id % 4 as int) l_linenumber", "timestamp_ntz'2024-01-01 00:00:00' l_shipdate",
+    )
+    rows.union(rows).coalesce(1).write.parquet(str(tmp_path / "sf" / "lineitem.parquet"))
+    expected = E.TR.proto_bytes(tcp_flows(spark, str(tmp_path / "sf")))
+    there, proto_bytes = [], E.TR.proto_bytes
+
+    def watched(tcp):
+        there.append(sum(len(p.read_text().splitlines()) for p in tmp_path.glob("stream_*/*/source/part-*")))
+        return proto_bytes(tcp)
+
+    monkeypatch.setattr(E, "FILE_FLOWS", 100, raising=False)
+    monkeypatch.setattr(E, "checkpoint_dir", lambda _: str(tmp_path))
+    monkeypatch.setattr(E.TR, "proto_bytes", watched)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 2)
+    got = E.queries()["stream_tcp_proto"](spark, str(tmp_path / "sf"))
+    assert 0 < max(there) <= 200
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    assert not list(tmp_path.glob("stream_*/*/source")) and not list(tmp_path.glob("stream_*/*/rows"))
+
+
+def test_stream_of_an_empty_table(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as E
+
+    empty = spark.createDataFrame([], read_table(spark, SF001, "lineitem").schema)
+    empty.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(E, "checkpoint_dir", lambda _: str(tmp_path))
+    assert E.queries()["stream_tcp_proto"](spark, str(tmp_path)).count() == 0
+
+
 def test_single_batch_reports_equal_batch_reports(spark, tmp_path):
     """With one micro-batch, each report's stream output equals its batch output."""
     tcp = tcp_flows(spark, SF001)
